@@ -1,0 +1,5 @@
+"""All inputs of this engine are bounded files, so there is no streaming operator to offer.
+
+Position windows and position sessions are bounded-table operators and live in
+``basetide.operators.intervals`` and ``basetide.operators.cluster``.
+"""
