@@ -9,6 +9,7 @@ from basetide.catalog.common import as_long, fragment, query, r6
 from basetide.operators import grid, segment
 from basetide.operators.segment import HmmParams
 from basetide.plans import pipelines
+from basetide.plans.lineage import cut
 
 PARAMS = [HmmParams(0, 0.95, 0.9, 0.8, 0.6, 0.9), HmmParams(1, 0.2, 0.1, 0.3, 0.9, 1.0), HmmParams(2, 0.99, 0.97, 0.7, 0.6, 0.5)]
 MIN_LEN, MAX_LEN = 3, 60
@@ -17,7 +18,7 @@ MIN_LEN, MAX_LEN = 3, 60
 def _hours(spark, d):
     """Conserved sites and chromosomes on an hour axis: an hour is conserved when it has a site."""
     hour = F.floor(F.col("start") / 3600)
-    cons = pipelines.conserved(A.sites(spark, d)).select("chrom", hour.alias("start")).distinct()
+    cons = cut(pipelines.conserved(A.sites(spark, d)).select("chrom", hour.alias("start")).distinct())
     lengths = A.chromes(spark, d).select("chrom", (F.floor((F.col("length") - 1) / 3600) + 1).alias("length"))
     return cons.withColumn("end", F.col("start") + 1), lengths
 
@@ -118,7 +119,7 @@ def hmm_states(spark, d):
 @query("hmm_elements_bases")
 def hmm_elements_bases(spark, d):
     """The same segmentation on single positions of every chromosome."""
-    cons = pipelines.conserved(A.sites(spark, d))
+    cons = cut(pipelines.conserved(A.sites(spark, d)))
     sets = [HmmParams(0, 0.9999, 0.999, 0.9998, 0.01, 0.9)]
     return segment.hmm_elements(segment.hmm_segment(cons, A.chromes(spark, d), sets), 20, 10**9)
 

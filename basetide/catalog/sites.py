@@ -9,6 +9,7 @@ from basetide.catalog.common import as_long, fragment, merged_sql, query, r6
 from basetide.operators import intervals, sites, stats
 from basetide.operators.cluster import cluster_extents, cluster_positions, cluster_summary, distinct_clusters
 from basetide.plans import pipelines
+from basetide.plans.lineage import cut
 from basetide.plans.ordered import exact_quantiles
 
 
@@ -20,6 +21,11 @@ def _conserved(spark, d):
     return pipelines.conserved(A.sites(spark, d))
 
 
+def _conserved_table(spark, d):
+    """The conserved sites written once, for queries that scan them several times."""
+    return cut(_conserved(spark, d))
+
+
 @query("score_status", """
   SELECT chrom, start, score, CAST(status AS INTEGER) AS status, round(p, 9) AS p_value FROM v_scored""")
 def score_status(spark, d):
@@ -123,9 +129,9 @@ def union_of_sites(spark, d):
 
 
 @query("clamped_probabilities", """
-  SELECT chrom, start, greatest(least(p, 0.9999999999), 1e-10) AS p FROM v_scored""")
+  SELECT chrom, start, round(greatest(least(p, 0.9999999999), 1e-10), 8) AS p FROM v_scored""")
 def clamped_probabilities(spark, d):
-    return _classified(spark, d).select("chrom", "start", F.round(sites.clamp("p_value"), 12).alias("p"))
+    return _classified(spark, d).select("chrom", "start", F.round(sites.clamp("p_value"), 8).alias("p"))
 
 
 @query("percent_conserved", """
@@ -173,7 +179,7 @@ def distance_histogram(spark, d):
   SELECT chrom, round(quantile_cont(inter_dist, 0.1), 6) AS q10, round(quantile_cont(inter_dist, 0.5), 6) AS q50,
          round(quantile_cont(inter_dist, 0.9), 6) AS q90 FROM v_dist WHERE inter_dist IS NOT NULL GROUP BY chrom""")
 def distance_quantiles(spark, d):
-    q = exact_quantiles(stats.inter_site_distance(_conserved(spark, d)), ["chrom"], "inter_dist",
+    q = exact_quantiles(stats.inter_site_distance(_conserved_table(spark, d)), ["chrom"], "inter_dist",
                         {"q10": 0.1, "q50": 0.5, "q90": 0.9})
     return q.select("chrom", *[r6(c, c) for c in ("q10", "q50", "q90")])
 
@@ -194,7 +200,7 @@ fragment("v_bins", """
 
 @query("binned_sites", "SELECT chrom, bin, n FROM v_bins")
 def binned_sites(spark, d):
-    return intervals.binned_counts(_conserved(spark, d), A.chromes(spark, d), 10000)
+    return intervals.binned_counts(_conserved_table(spark, d), A.chromes(spark, d), 10000)
 
 
 @query("chisq_uniform", """
@@ -203,13 +209,13 @@ def binned_sites(spark, d):
   FROM (SELECT *, sum(n) OVER (PARTITION BY chrom) / count(*) OVER (PARTITION BY chrom) AS e FROM v_bins)
   GROUP BY chrom""")
 def chisq_uniform(spark, d):
-    out = stats.chisq_uniform(intervals.binned_counts(_conserved(spark, d), A.chromes(spark, d), 10000))
+    out = stats.chisq_uniform(intervals.binned_counts(_conserved_table(spark, d), A.chromes(spark, d), 10000))
     return out.withColumn("statistic", F.round("statistic", 6))
 
 
 @query("chisq_uniform_p")
 def chisq_uniform_p(spark, d):
-    out = stats.chisq_uniform(intervals.binned_counts(_conserved(spark, d), A.chromes(spark, d), 10000))
+    out = stats.chisq_uniform(intervals.binned_counts(_conserved_table(spark, d), A.chromes(spark, d), 10000))
     return stats.with_chisq_p(out)
 
 
@@ -219,7 +225,7 @@ def chisq_uniform_p(spark, d):
   FROM (SELECT c.n, l.length / sum(l.length) OVER () * sum(c.n) OVER () AS e
         FROM v_chromes l JOIN (SELECT chrom, count(*) AS n FROM v_cons GROUP BY chrom) c USING (chrom))""")
 def chisq_by_length(spark, d):
-    out = stats.chisq_by_length(sites.count_by(_conserved(spark, d), "chrom"), A.chromes(spark, d))
+    out = stats.chisq_by_length(sites.count_by(_conserved_table(spark, d), "chrom"), A.chromes(spark, d))
     return out.withColumn("statistic", F.round("statistic", 6))
 
 
@@ -237,7 +243,7 @@ KS_TAIL = """CASE WHEN {x} < 0.02 THEN 1.0 ELSE greatest(0.0, least(1.0, list_su
                      avg(inter_dist) OVER () AS mean, 1 - exp(-inter_dist / avg(inter_dist) OVER ()) AS cdf
               FROM v_dist WHERE inter_dist IS NOT NULL))""")
 def ks_exponential(spark, d):
-    out = stats.ks_exponential(stats.inter_site_distance(_conserved(spark, d)))
+    out = stats.ks_exponential(stats.inter_site_distance(_conserved_table(spark, d)))
     return out.select("n", r6("rate", "rate", 9), r6("statistic", "statistic"), r6("p_value", "p_value"))
 
 
@@ -255,7 +261,7 @@ def ks_exponential(spark, d):
                     WINDOW w AS (PARTITION BY chrom ORDER BY x))
               GROUP BY chrom))""")
 def ks_uniform(spark, d):
-    out = stats.ks_uniform(_conserved(spark, d), A.chromes(spark, d), seed=1)
+    out = stats.ks_uniform(_conserved_table(spark, d), A.chromes(spark, d), seed=1)
     return out.select("chrom", "n", *[r6(c, c) for c in ("statistic", "p_value", "p_corrected")], "flagged")
 
 
@@ -292,13 +298,13 @@ EPS = 5000
 
 @query("site_clusters", extents_sql(cluster_sql("v_cons", 4, 5, EPS)))
 def site_clusters(spark, d):
-    return cluster_extents(cluster_positions(_conserved(spark, d), 5, 4, EPS))
+    return cluster_extents(cluster_positions(_conserved_table(spark, d), 5, 4, EPS))
 
 
 @query("distinct_clusters", f"""
   SELECT chrom, count(*) AS n FROM ({extents_sql(cluster_sql("v_cons", 4, 5, EPS))}) GROUP BY chrom""")
 def distinct_cluster_counts(spark, d):
-    return sites.count_by(distinct_clusters(cluster_positions(_conserved(spark, d), 5, 4, EPS)), "chrom")
+    return sites.count_by(distinct_clusters(cluster_positions(_conserved_table(spark, d), 5, 4, EPS)), "chrom")
 
 
 fragment("v_core", """
@@ -314,7 +320,7 @@ fragment("v_core", """
 def core_distances(spark, d):
     from basetide.operators.cluster import core_distances as distances
 
-    return distances(_conserved(spark, d), 3).select("chrom", "start", "core_dist")
+    return distances(_conserved_table(spark, d), 3).select("chrom", "start", "core_dist")
 
 
 CLUSTER_PAIRS = [(5, 3), (8, 3), (5, 4), (8, 4)]
@@ -336,7 +342,7 @@ fragment("v_clusters", " UNION ALL ".join(
          round(sum(num_conserved) / (SELECT count(*) FROM v_cons), 6) AS share_in_clusters
   FROM v_clusters GROUP BY min_cluster_size, min_samples""")
 def cluster_grid_summary(spark, d):
-    cons = _conserved(spark, d)
+    cons = _conserved_table(spark, d)
     found = pipelines.cluster_grid(cons, [5, 8], [3, 4], EPS)
     out = cluster_summary(found, sites.count_by(cons, "chrom"), A.chromes(spark, d))
     for c in ("mean_length", "mean_sites", "mean_density", "median_length", "median_sites", "median_density",
@@ -350,7 +356,7 @@ def cluster_grid_summary(spark, d):
   SELECT chrom, count(*) AS n_elements, CAST(sum("end" - start) AS BIGINT) AS bases
   FROM ({merged_sql("SELECT * FROM v_wincount WHERE n >= 2", 5)}) GROUP BY chrom""")
 def conserved_elements(spark, d):
-    merged = pipelines.conserved_elements(_conserved(spark, d), A.chromes(spark, d), 21600, 2)
+    merged = pipelines.conserved_elements(_conserved_table(spark, d), A.chromes(spark, d), 21600, 2)
     return intervals.element_totals(merged, "chrom")
 
 
@@ -369,6 +375,6 @@ fragment("v_deepwin", """
   SELECT depth_cutoff, site_cutoff, chrom, count(*) AS n_elements, CAST(sum("end" - start) AS BIGINT) AS bases
   FROM ({merged_sql("SELECT * FROM v_deepwin", 5, "depth_cutoff, site_cutoff, chrom")}) GROUP BY ALL""")
 def element_grid(spark, d):
-    found = pipelines.element_grid(_conserved(spark, d), A.depth(spark, d), A.chromes(spark, d), 21600,
+    found = pipelines.element_grid(_conserved_table(spark, d), A.depth(spark, d), A.chromes(spark, d), 21600,
                                    [40, 80, 120], [1, 2, 3])
     return intervals.element_totals(found, "depth_cutoff", "site_cutoff", "chrom")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basetide.plans.lineage import cut
 from basetide.plans.ordered import TILE_WIDTH, Scan, exact_quantiles, ordered_scan, position_tile
 
 
@@ -51,7 +52,7 @@ def cluster_positions(sites: DataFrame, min_cluster_size: int, min_samples: int,
     one on a tie); clusters under ``min_cluster_size`` sites become noise. Without ``eps``, the
     given percentile of all core distances is used.
     """
-    cores = core_distances(sites, min_samples, tile_width=tile_width)
+    cores = cut(core_distances(sites, min_samples, tile_width=tile_width))
     if eps is None:
         eps = exact_quantiles(cores, [], "core_dist", {"q": eps_percentile}).first()["q"]
     x = F.col("start")
@@ -67,7 +68,7 @@ def cluster_positions(sites: DataFrame, min_cluster_size: int, min_samples: int,
     right_island = F.when(F.col("_right") - F.col("_left") <= eps, F.col("_island")).otherwise(F.col("_right"))
     use_left = (to_left <= eps) & (F.col("_right").isNull() | (to_left <= to_right))
     cluster = F.when(use_left, F.col("_island")).when(to_right <= eps, right_island)
-    placed = islands.withColumn("_cluster", cluster)
+    placed = cut(islands.withColumn("_cluster", cluster))
 
     sizes = (placed.where(F.col("_cluster").isNotNull()).groupBy("chrom", "_cluster")
              .agg(F.sum("copies").alias("_size")).where(F.col("_size") >= min_cluster_size))

@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basetide.operators.intervals import _explode_range, expand_runs, length_filter, make_windows, merge_intervals
+from basetide.plans.lineage import cut
 from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
 LOW, HIGH = 1e-10, 0.9999999999
@@ -164,6 +165,10 @@ def hmm_tiles(sites: DataFrame, chromes: DataFrame, carry: bool = False, tile_wi
                     F.coalesce(F.transform("p", lambda x: x["e"]), empty).alias("hi")))
 
 
+def _field(array: str, name: str) -> Column:
+    return F.transform(array, lambda x: x[name]).alias(name)
+
+
 def hmm_segment(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmParams], carry: bool = False,
                 tile_width: int = TILE_WIDTH) -> DataFrame:
     """Stretches in state 1: (param_id, chrom, start, end, num_conserved, opened, closed).
@@ -216,14 +221,14 @@ def hmm_segment(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmParams
     # at most length / tile_width tiles per chromosome and parameter set
     lines = matrices.groupBy(*scope).agg(F.sort_array(F.collect_list(
         F.struct("ord", "tile", "chrom", "m00", "m01", "m10", "m11"))).alias("m"))
-    entering = lines.select("param_id", *[F.transform("m", lambda x, c=c: x[c]).alias(c)
+    entering = lines.select("param_id", *[_field("m", c)
                                           for c in ("chrom", "tile", "m00", "m01", "m10", "m11")])
     entering = entering.mapInPandas(enter_tiles, "param_id int, chrom string, tile long, v0 double, v1 double")
     per_tile = entering.groupBy("chrom", "tile").agg(F.collect_list(F.struct("param_id", "v0", "v1")).alias("v"))
     walked = tiles.join(per_tile, ["chrom", "tile"]).select(
         "chrom", "start", "end", "reset", "lo", "hi",
-        *[F.transform("v", lambda x, c=c: x[c]).alias(c) for c in ("param_id", "v0", "v1")])
-    pieces = walked.mapInPandas(walk_tiles, "param_id int, chrom string, start long, end long, num_conserved long")
+        *[_field("v", c) for c in ("param_id", "v0", "v1")])
+    pieces = cut(walked.mapInPandas(walk_tiles, "param_id int, chrom string, start long, end long, num_conserved long"))
     whole = merge_intervals(pieces, 0, keys=("param_id", "chrom"), sums=("num_conserved",), tile_width=tile_width)
     return (whole.join(chromes.select("chrom", "length"), "chrom")
             .select("param_id", "chrom", "start", "end", "num_conserved", (F.col("start") > 0).alias("opened"),

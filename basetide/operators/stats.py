@@ -6,12 +6,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basetide.plans.ordered import (TILE_WIDTH, Scan, ordered_scan, position_tile,
-                                    value_histogram, value_tiles)
+                                    value_tiles)
 
 
 def inter_site_distance(sites: DataFrame, tile_width: int = TILE_WIDTH) -> DataFrame:
@@ -117,13 +117,15 @@ def kolmogorov_tail(d: Column, n_eff: Column, terms: int = 100) -> Column:
 
 def ks_exponential(df: DataFrame, col: str = "inter_dist", tiles: int | None = None) -> DataFrame:
     """One-sample KS against the exponential with rate 1 / mean, all rows together: one row."""
-    h = value_histogram(df, [], col, tiles).withColumn("_one", F.lit(1))
-    mean = h.groupBy("_one").agg((F.sum(F.col(col) * F.col("n")) / F.sum("n")).alias("mean"))
+    tiled = value_tiles(df.where(F.col(col).isNotNull()), col, tiles=tiles)
+    hist = tiled.groupBy("_tile", col).agg(F.count(F.lit(1)).alias("n"))
+    h = ordered_scan(hist.withColumn("_vn", F.col(col) * F.col("n")), [], col, "_tile", [
+        Scan("cum", "sum", "n"), Scan("total", "total", "n"), Scan("_sum", "total", "_vn")])
+    h = h.withColumn("mean", F.col("_sum") / F.col("total"))
     cdf = 1 - F.exp(-F.col(col) / F.col("mean"))
     gap = F.greatest(F.abs(F.col("cum") / F.col("total") - cdf),
                      F.abs((F.col("cum") - F.col("n")) / F.col("total") - cdf))
-    out = (h.join(mean, "_one").groupBy("mean")
-           .agg(F.max("total").alias("n"), F.max(gap).alias("statistic")))
+    out = h.agg(F.max("mean").alias("mean"), F.max("total").alias("n"), F.max(gap).alias("statistic"))
     return out.select("n", (1 / F.col("mean")).alias("rate"), "statistic",
                       kolmogorov_tail(F.col("statistic"), F.col("n")).alias("p_value"))
 
@@ -149,10 +151,10 @@ def ks_uniform(sites: DataFrame, chromes: DataFrame, seed: int = 1, alpha: float
         Scan("ca", "sum", "a"), Scan("cb", "sum", "b"), Scan("na", "total", "a"), Scan("nb", "total", "b")])
     gap = F.abs(F.col("ca") / F.col("na") - F.col("cb") / F.col("nb"))
     per_chrom = cum.groupBy("chrom").agg(F.max("na").alias("n"), F.max(gap).alias("statistic"))
-    # one row per chromosome, so counting them is a window over the final report rows
     p = kolmogorov_tail(F.col("statistic"), F.col("n") / 2)
-    tests = per_chrom.groupBy().agg(F.count(F.lit(1)).alias("_tests")).withColumn("_one", F.lit(1))
-    out = per_chrom.withColumn("_one", F.lit(1)).join(tests, "_one").withColumn("p_value", p)
+    # the report has one row per chromosome, so this window is as small as the report
+    report = Window.partitionBy(F.lit(1))
+    out = per_chrom.withColumn("p_value", p).withColumn("_tests", F.count(F.lit(1)).over(report))
     corrected = F.least(F.lit(1.0), F.col("p_value") * F.col("_tests"))
     return out.select("chrom", "n", "statistic", "p_value", corrected.alias("p_corrected"),
                       (corrected < alpha).alias("flagged"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basetide.session import ensure_checkpoint_dir
+from basetide.plans.lineage import cut
 
 
 def ancestor_pairs(nodes: DataFrame) -> DataFrame:
@@ -15,9 +15,8 @@ def ancestor_pairs(nodes: DataFrame) -> DataFrame:
     d takes about log2(d) rounds and no pair is ever made twice. Lineage is cut once per round with
     a reliable checkpoint.
     """
-    ensure_checkpoint_dir(nodes.sparkSession)
-    pairs = (nodes.where(F.col("parent").isNotNull())
-             .select("tree_id", "node", F.col("parent").alias("ancestor"), F.lit(1).alias("steps"))).checkpoint()
+    pairs = cut(nodes.where(F.col("parent").isNotNull())
+                .select("tree_id", "node", F.col("parent").alias("ancestor"), F.lit(1).alias("steps")))
     reach = 1
     while True:
         far = pairs.where(F.col("steps") == reach)
@@ -25,7 +24,7 @@ def ancestor_pairs(nodes: DataFrame) -> DataFrame:
                               F.col("steps").alias("_more"))
         longer = far.join(onward, ["tree_id", "ancestor"]).select(
             "tree_id", "node", F.col("_next").alias("ancestor"), (F.col("steps") + F.col("_more")).alias("steps"))
-        longer = longer.checkpoint()
+        longer = cut(longer)
         if longer.isEmpty():
             return pairs
         pairs, reach = pairs.unionByName(longer), reach * 2
