@@ -343,7 +343,7 @@ fragment("v_clusters", " UNION ALL ".join(
   FROM v_clusters GROUP BY min_cluster_size, min_samples""")
 def cluster_grid_summary(spark, d):
     cons = _conserved_table(spark, d)
-    found = pipelines.cluster_grid(cons, [5, 8], [3, 4], EPS)
+    found = cut(pipelines.cluster_grid(cons, [5, 8], [3, 4], EPS))
     out = cluster_summary(found, sites.count_by(cons, "chrom"), A.chromes(spark, d))
     for c in ("mean_length", "mean_sites", "mean_density", "median_length", "median_sites", "median_density",
               "share_in_clusters"):

@@ -63,7 +63,7 @@ def maf_depth(blocks: DataFrame, skip_ref_gaps: bool = False) -> DataFrame:
 
 def block_summary(blocks: DataFrame) -> DataFrame:
     """Reference scaffold, start, aligned length, length of the reference text and row count."""
-    ref = F.col("rows")[0]
+    ref = F.get("rows", F.lit(0))
     return blocks.select("block_id", ref["scaffold"].alias("ref_scaffold"), ref["start"].alias("ref_start"),
                          ref["size"].alias("aln_len"), F.length(ref["text"]).alias("line_len"),
                          F.size("rows").alias("n_seqs"))

@@ -43,15 +43,10 @@ def core_distances(sites: DataFrame, min_samples: int, rank_tile: int = 1 << 16,
     return own.select("chrom", "start", "copies", F.array_min(spans).alias("core_dist"))
 
 
-def cluster_positions(sites: DataFrame, min_cluster_size: int, min_samples: int, eps: float | None = None,
-                      eps_percentile: float = 0.5, tile_width: int = TILE_WIDTH) -> DataFrame:
-    """Density clusters per chromosome: (chrom, start, copies, core_dist, label), label -1 = noise.
-
-    A position is core when its core distance is at most ``eps``; core positions no further than
-    ``eps`` apart share a cluster; a border position joins its nearest core within ``eps`` (the left
-    one on a tie); clusters under ``min_cluster_size`` sites become noise. Without ``eps``, the
-    given percentile of all core distances is used.
-    """
+def density_islands(sites: DataFrame, min_samples: int, eps: float | None = None, eps_percentile: float = 0.5,
+                    tile_width: int = TILE_WIDTH) -> DataFrame:
+    """Every distinct position with the island it belongs to (``_cluster``, the first core position
+    of the island, or NULL): the part of clustering that does not depend on the cluster size."""
     cores = cut(core_distances(sites, min_samples, tile_width=tile_width))
     if eps is None:
         eps = exact_quantiles(cores, [], "core_dist", {"q": eps_percentile}).first()["q"]
@@ -68,8 +63,11 @@ def cluster_positions(sites: DataFrame, min_cluster_size: int, min_samples: int,
     right_island = F.when(F.col("_right") - F.col("_left") <= eps, F.col("_island")).otherwise(F.col("_right"))
     use_left = (to_left <= eps) & (F.col("_right").isNull() | (to_left <= to_right))
     cluster = F.when(use_left, F.col("_island")).when(to_right <= eps, right_island)
-    placed = cut(islands.withColumn("_cluster", cluster))
+    return cut(islands.withColumn("_cluster", cluster).select("chrom", "start", "copies", "core_dist", "_cluster"))
 
+
+def label_islands(placed: DataFrame, min_cluster_size: int, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """Number the islands that hold at least ``min_cluster_size`` sites; all else is noise, -1."""
     sizes = (placed.where(F.col("_cluster").isNotNull()).groupBy("chrom", "_cluster")
              .agg(F.sum("copies").alias("_size")).where(F.col("_size") >= min_cluster_size))
     sizes = sizes.withColumn("_one", F.lit(1).cast("long")).withColumn("_ctile", position_tile("_cluster", tile_width))
@@ -78,6 +76,19 @@ def cluster_positions(sites: DataFrame, min_cluster_size: int, min_samples: int,
             .select("chrom", "start", "copies", "core_dist", F.coalesce("label", F.lit(-1)).cast("long").alias("label")))
 
 
+def cluster_positions(sites: DataFrame, min_cluster_size: int, min_samples: int, eps: float | None = None,
+                      eps_percentile: float = 0.5, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """Density clusters per chromosome: (chrom, start, copies, core_dist, label), label -1 = noise.
+
+    A position is core when its core distance is at most ``eps``; core positions no further than
+    ``eps`` apart share a cluster; a border position joins its nearest core within ``eps`` (the left
+    one on a tie); clusters under ``min_cluster_size`` sites become noise. Without ``eps``, the
+    given percentile of all core distances is used.
+    """
+    placed = density_islands(sites, min_samples, eps, eps_percentile, tile_width)
+    return label_islands(placed, min_cluster_size, tile_width)
+
+
 def cluster_extents(labelled: DataFrame) -> DataFrame:
     """Clusters as (chrom, start, end, cluster_id, num_conserved); ``end`` is the last position."""
     return (labelled.where(F.col("label") != -1).groupBy("chrom", "label")

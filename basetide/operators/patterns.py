@@ -20,7 +20,7 @@ MISSING = "*"
 def block_columns(blocks: DataFrame, species: Sequence[str]) -> DataFrame:
     """(pattern, n) per batch of blocks: alignment columns in the given species order, ``*`` where a
     species has no row. Columns are counted inside the task, so only distinct ones are shuffled."""
-    ref = F.col("rows")[0]["text"]
+    ref = F.get("rows", F.lit(0))["text"]
 
     def text_of(s):
         own = F.filter("rows", lambda r: r["species"] == s)
@@ -159,7 +159,7 @@ def fourfold_columns(blocks: DataFrame, gff: DataFrame, species: Sequence[str])
         "end", F.greatest("b1", "b3") + 1)
     span_of = blocks.select("chrom", "start", (F.col("start") + F.col("size")).alias("end"), "rows")
     met = overlap_join(spans, span_of).where((F.col("b_start") <= F.col("start")) & (F.col("end") <= F.col("b_end")))
-    ref = F.col("b_rows")[0]["text"]
+    ref = F.get("b_rows", F.lit(0))["text"]
 
     def base(pos: str):
         raw = F.upper(F.substring(ref, (F.col(pos) - F.col("b_start") + 1).cast("int"), F.lit(1)))

@@ -94,7 +94,7 @@ def upper_gamma(a: float, x: float) -> float:
         return math.nan
     if x <= 0:
         return 1.0
-    scale = math.exp(min(0.0, a * math.log(x) - x - math.lgamma(a)))
+    scale = math.exp(a * math.log(x) - x - math.lgamma(a))
     terms = int(60 + 12 * math.sqrt(max(a, x)))
     if x < a + 1:
         # lower series: sum of x^k / (a (a+1) ... (a+k))

@@ -38,11 +38,13 @@ def element_grid(site_table: DataFrame, depth: DataFrame, chromes: DataFrame, wi
 
 
 def cluster_grid(site_table: DataFrame, sizes: Sequence[int], samples: Sequence[int], eps: float) -> DataFrame:
-    """Clusters of every (min_cluster_size, min_samples) pair, as one table."""
+    """Clusters of every (min_cluster_size, min_samples) pair, as one table; the islands are found
+    once per min_samples."""
     frames = []
     for m in samples:
+        placed = cluster.density_islands(site_table, m, eps)
         for size in sizes:
-            found = cluster.cluster_extents(cluster.cluster_positions(site_table, size, m, eps))
+            found = cluster.cluster_extents(cluster.label_islands(placed, size))
             frames.append(found.withColumn("min_cluster_size", F.lit(size)).withColumn("min_samples", F.lit(m)))
     return sites.union_all(frames)
 

@@ -104,7 +104,7 @@ def read_maf(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                         f[5].cast("long").alias("src_size"), f[6].alias("text"))
 
     blocks = raw.select(F.transform(lines, row).alias("rows")).where(F.size("rows") > 0)
-    ref = F.col("rows")[0]
+    ref = F.get("rows", F.lit(0))
     return blocks.select(F.xxhash64(ref["scaffold"], ref["start"]).alias("block_id"), ref["scaffold"].alias("chrom"),
                          ref["start"].alias("start"), ref["size"].alias("size"), "rows")
 

@@ -97,11 +97,19 @@ def write_samples(filled: DataFrame, path: str, average_path: str | None = None)
         avg_gc(filled).select(F.col("avg_gc").cast("string").alias("value")).write.mode("overwrite").text(average_path)
 
 
-def write_hmm_log(summary: DataFrame, path: str) -> None:
-    """Segmentation report in the column order of the logs, tab-separated, ``# ``-marked header."""
+def hmm_log_lines(summary: DataFrame, command: str = "hmm_segment") -> DataFrame:
+    """Lines of a segmentation log: a command line and a header, both marked ``# ``, then one line
+    per parameter set and chromosome; (param_id, chrom, value) with the marked lines first."""
     from basetide.sources.readers import HMM_LOG
 
     names = [part.split()[0] for part in HMM_LOG.split(",")]
-    first, *rest = names
-    out = summary.select(*names).withColumnRenamed(first, f"# {first}").select(f"# {first}", *rest)
-    out.write.mode("overwrite").options(sep="\t", header=True, quote="").csv(path)
+    body = summary.select("param_id", "chrom", F.concat_ws("\t", *[F.col(n).cast("string") for n in names]).alias("value"))
+    head = summary.sparkSession.createDataFrame(
+        [(-2, "", f"# Command: {command}"), (-1, "", "# " + "\t".join(names))], "param_id int, chrom string, value string")
+    return head.union(body)
+
+
+def write_hmm_log(summary: DataFrame, path: str, command: str = "hmm_segment") -> None:
+    order = ("param_id", "chrom")
+    (hmm_log_lines(summary, command).repartitionByRange(*order).sortWithinPartitions(*order).select("value")
+     .write.mode("overwrite").text(path))
