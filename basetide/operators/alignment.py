@@ -22,7 +22,8 @@ def first_per_species(rows: Column | str = "rows") -> Column:
     """The rows of a block without later copies of a species."""
     r = F.col(rows) if isinstance(rows, str) else rows
     names = F.transform(r, lambda x: x["species"])
-    return F.filter(r, lambda x, i: F.array_position(names, x["species"]) == i + 1)
+    firsts = F.filter(r, lambda x, i: F.array_position(names, x["species"]) == i + 1)
+    return F.when(F.size(F.array_distinct(names)) == F.size(r), r).otherwise(firsts)
 
 
 def char_matrix(texts: Sequence[str]) -> np.ndarray:
@@ -43,18 +44,23 @@ def maf_depth(blocks: DataFrame, skip_ref_gaps: bool = False) -> DataFrame:
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            parts = []
-            for chrom, start, texts in zip(pdf["chrom"], pdf["start"], pdf["texts"]):
+            depths = []
+            for texts in pdf["texts"]:
                 cells = char_matrix(texts)
                 if skip_ref_gaps:
                     cells = cells[:, cells[0] != ord("-")]
-                if not cells.shape[1]:
-                    continue
-                depth = (~np.isin(cells, gaps)).sum(axis=0)
-                first = np.flatnonzero(np.r_[True, depth[1:] != depth[:-1]])
-                parts.append(pd.DataFrame({"chrom": chrom, "start": start + first,
-                                           "end": start + np.r_[first[1:], depth.size], "depth": depth[first]}))
-            yield pd.concat(parts) if parts else pd.DataFrame({"chrom": [], "start": [], "end": [], "depth": []})
+                absent = (cells == gaps[0]) | (cells == gaps[1]) | (cells == gaps[2])
+                depths.append(len(texts) - absent.sum(axis=0))
+            sizes = np.array([d.size for d in depths], dtype=np.int64)
+            depth = np.concatenate(depths) if depths else np.empty(0, dtype=np.int64)
+            # one pass over the batch: a run ends where the depth changes or the block ends
+            owner = np.repeat(np.arange(sizes.size), sizes)
+            change = (depth[1:] != depth[:-1]) | (owner[1:] != owner[:-1])
+            first = np.flatnonzero(np.r_[np.ones(min(depth.size, 1), dtype=bool), change])
+            block = owner[first]
+            shift = pdf["start"].to_numpy()[block] - (np.cumsum(sizes) - sizes)[block]
+            yield pd.DataFrame({"chrom": pdf["chrom"].to_numpy()[block], "start": first + shift,
+                                "end": np.r_[first[1:], depth.size][: first.size] + shift, "depth": depth[first]})
 
     texts = F.transform(first_per_species(), lambda x: x["text"])
     return (blocks.where(F.size("rows") > 0).select("chrom", "start", texts.alias("texts"))

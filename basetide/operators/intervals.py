@@ -119,6 +119,16 @@ def window_counts(windows: DataFrame, sites: DataFrame, width: int, out: str = "
             .select("chrom", "start", "end", "window_no", F.coalesce(out, F.lit(0)).cast("long").alias(out)))
 
 
+def occupied_windows(sites: DataFrame, chromes: DataFrame, width: int, keys: Sequence[str] = (),
+                     out: str = "n") -> DataFrame:
+    """Windows that hold at least one 1-bp site, with the count: no window skeleton is laid out."""
+    counts = (sites.groupBy(*keys, "chrom", F.floor(F.col("start") / width).alias("window_no"))
+              .agg(F.count(F.lit(1)).alias(out)))
+    start = F.col("window_no") * F.lit(width)
+    return (counts.join(chromes.select("chrom", "length"), "chrom")
+            .select(*keys, "chrom", start.alias("start"), F.least(start + width, "length").alias("end"), "window_no", out))
+
+
 def windows_by_count(counted: DataFrame, n: str = "n") -> DataFrame:
     """How many windows hold 0, 1, 2 ... sites."""
     return counted.groupBy(F.col(n).alias("n_sites")).agg(F.count(F.lit(1)).alias("n_windows"))

@@ -34,26 +34,24 @@ def block_columns(blocks: DataFrame, species: Sequence[str]) -> DataFrame:
 
 def _count_columns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        seen = []
-        for texts in pdf["texts"]:
-            cells = char_matrix(texts).astype("<u4")
-            if cells.shape[1]:
-                columns = np.ascontiguousarray(cells.T).view(f"<U{cells.shape[0]}").ravel()
-                seen.append(pd.Series(columns))
-        counts = pd.concat(seen).value_counts() if seen else pd.Series([], dtype=int)
-        yield pd.DataFrame({"pattern": counts.index.astype(str), "n": counts.to_numpy(dtype=np.int64)})
+        # every block has one text per species, so the texts of a species can be laid end to end
+        cells = char_matrix(["".join(texts) for texts in zip(*pdf["texts"])]).astype("<u4")
+        if cells.size:
+            columns = np.ascontiguousarray(cells.T).view(f"<U{cells.shape[0]}").ravel()
+            counts = pd.Series(columns.astype(object)).value_counts()
+            yield pd.DataFrame({"pattern": counts.index, "n": counts.to_numpy(dtype=np.int64)})
 
 
 def site_patterns(columns: DataFrame) -> DataFrame:
     """Distinct patterns with counts and a running ``idx``.
 
     Input has ``pattern`` and optionally ``n`` (so the union of several pattern tables works too).
-    The order is that of md5(pattern): its leading digits give evenly filled tiles for the
-    numbering, whatever the patterns look like.
+    The order is that of md5(pattern): its four leading hex digits give 65,536 evenly filled tiles
+    for the numbering, whatever the patterns look like.
     """
     n = F.sum("n") if "n" in columns.columns else F.count(F.lit(1))
     counts = columns.groupBy("pattern").agg(n.cast("long").alias("n")).withColumn("_h", F.md5("pattern"))
-    tiled = counts.withColumn("_tile", F.substring("_h", 1, 3)).withColumn("_one", F.lit(1).cast("long"))
+    tiled = counts.withColumn("_tile", F.substring("_h", 1, 4)).withColumn("_one", F.lit(1).cast("long"))
     out = ordered_scan(tiled, [], ["_h", "pattern"], "_tile", [Scan("idx", "sum", "_one", inclusive=False)])
     return out.select("idx", "pattern", "n")
 

@@ -41,9 +41,9 @@ def node_types(nodes: DataFrame) -> DataFrame:
 def tree_info(nodes: DataFrame) -> DataFrame:
     """Per node: the sorted tip labels below it joined by ";", node type, branch length, label.
     A clade text is as long as its tree is wide, which is the size of the asked-for result."""
-    typed = node_types(nodes)
+    typed = cut(node_types(nodes))
     tips = typed.where(F.col("node_type") == "tip").select("tree_id", "node", F.col("label").alias("tip"))
-    below = ancestor_pairs(nodes).join(tips, ["tree_id", "node"]).select("tree_id", F.col("ancestor").alias("node"), "tip")
+    below = ancestor_pairs(typed).join(tips, ["tree_id", "node"]).select("tree_id", F.col("ancestor").alias("node"), "tip")
     clades = (below.unionByName(tips).groupBy("tree_id", "node")
               .agg(F.array_join(F.sort_array(F.collect_list("tip")), ";").alias("clade")))
     return (typed.select("tree_id", "node", "node_type", "branch_length", "label")
@@ -62,9 +62,9 @@ def annotate_tree(nodes: DataFrame, info: DataFrame, trait: str, name_col: str =
 
 def propagate_trait(nodes: DataFrame, trait: str) -> DataFrame:
     """An internal node becomes "Y" when all tips below it are "Y"; otherwise it keeps its value."""
-    typed = node_types(nodes)
+    typed = cut(node_types(nodes))
     tips = typed.where(F.col("node_type") == "tip").select("tree_id", "node", (F.col(trait) == "Y").alias("_y"))
-    all_y = (ancestor_pairs(nodes).join(tips, ["tree_id", "node"])
+    all_y = (ancestor_pairs(typed).join(tips, ["tree_id", "node"])
              .groupBy("tree_id", F.col("ancestor").alias("node")).agg(F.bool_and("_y").alias("_all")))
     return (typed.join(all_y, ["tree_id", "node"], "left")
             .withColumn(trait, F.when(F.col("_all"), "Y").otherwise(F.col(trait))).drop("_all"))

@@ -16,9 +16,8 @@ def conserved(scored: DataFrame, scope: str | None = None, alpha: float = 0.05)
 
 
 def conserved_elements(site_table: DataFrame, chromes: DataFrame, width: int, min_sites: int, gap: int = 5) -> DataFrame:
-    """Conserved sites -> windows with enough of them -> merged elements."""
-    windows = intervals.make_windows(chromes, width)
-    counted = intervals.window_counts(windows, site_table, width)
+    """Conserved sites -> windows with enough of them (at least one) -> merged elements."""
+    counted = intervals.occupied_windows(site_table, chromes, width)
     return intervals.merge_intervals(counted.where(F.col("n") >= min_sites), gap)
 
 
@@ -29,9 +28,7 @@ def element_grid(site_table: DataFrame, depth: DataFrame, chromes: DataFrame, wi
     deep = intervals.point_join(depth.where(F.col("depth") > min(depth_cutoffs)), site_table)
     each = deep.withColumn("depth_cutoff", F.explode(F.array(*[F.lit(c) for c in depth_cutoffs]))).where(
         F.col("depth") > F.col("depth_cutoff"))
-    counts = (each.groupBy("depth_cutoff", "chrom", F.floor(F.col("start") / width).alias("window_no"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    windows = counts.join(intervals.make_windows(chromes, width), ["chrom", "window_no"])
+    windows = intervals.occupied_windows(each, chromes, width, keys=["depth_cutoff"])
     passed = windows.withColumn("site_cutoff", F.explode(F.array(*[F.lit(c) for c in site_cutoffs]))).where(
         F.col("n") >= F.col("site_cutoff"))
     return intervals.merge_intervals(passed, gap, keys=("depth_cutoff", "site_cutoff", "chrom"))
