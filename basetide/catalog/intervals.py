@@ -58,12 +58,12 @@ def overlap_counts(spark, d):
 
 @query("merged_intervals", merged_sql("SELECT * FROM v_iv", 5))
 def merged_intervals(spark, d):
-    return I.merge_intervals(A.intervals(spark, d), 5)
+    return I.merge_intervals(A.intervals(spark, d), 5, count=True)
 
 
 @query("merged_bookended", merged_sql("SELECT * FROM v_probe", 0))
 def merged_bookended(spark, d):
-    return I.merge_intervals(A.probes(spark, d), 0)
+    return I.merge_intervals(A.probes(spark, d), 0, count=True)
 
 
 @query("packed_runs", """

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basetide.plans.lineage import cut
-from basetide.plans.ordered import TILE_WIDTH, Scan, exact_quantiles, ordered_scan, position_tile
+from basetide.plans.ordered import TILE_WIDTH, Scan, exact_quantiles, ordered_scan, placed, position_tile
 
 
 def core_distances(sites: DataFrame, min_samples: int, rank_tile: int = 1 << 16,
@@ -21,7 +21,7 @@ def core_distances(sites: DataFrame, min_samples: int, rank_tile: int = 1 << 16,
     m = min_samples - 1
     if rank_tile < max(1, m):
         raise ValueError("rank_tile must be at least min_samples - 1")
-    distinct = sites.groupBy("chrom", "start").agg(F.count(F.lit(1)).alias("copies"))
+    distinct = placed(sites, "chrom", "start").groupBy("chrom", "start").agg(F.count(F.lit(1)).alias("copies"))
     laid = distinct.withColumn("_tile", position_tile("start", tile_width)).withColumn(
         "_k", F.least(F.col("copies"), F.lit(min_samples)))
     ranked = ordered_scan(laid, ["chrom"], "start", "_tile", [Scan("_end", "sum", "_k")])

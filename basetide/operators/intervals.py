@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
+from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, placed, position_tile
 from basetide.plans.skew import HOT_ROWS, grid_salt
 
 _STRIDE = 4096
@@ -98,7 +98,8 @@ def overlap_count(a: DataFrame, b: DataFrame, out: str = "n", tile_width: int =
                               F.struct(F.col("end").alias("pos"), F.lit(0).alias("s"), F.lit(1).alias("e"))))
     asked = F.explode(F.array(F.struct(F.col("start").alias("pos"), F.lit(0).alias("s"), F.lit(0).alias("e")),
                               F.struct(F.col("end").alias("pos"), F.lit(0).alias("s"), F.lit(0).alias("e"))))
-    points = (b.select("chrom", edges.alias("x")).union(a.select("chrom", asked.alias("x")))
+    points = (placed(b, "chrom").select("chrom", edges.alias("x")).union(placed(a, "chrom").select("chrom", asked.alias("x")))
+              .where(F.col("x.pos").isNotNull())
               .groupBy("chrom", F.col("x.pos").alias("pos"))
               .agg(F.sum("x.s").alias("s"), F.sum("x.e").alias("e"))
               .withColumn("_tile", position_tile("pos", tile_width)))
@@ -135,26 +136,28 @@ def windows_by_count(counted: DataFrame, n: str = "n") -> DataFrame:
 
 
 def merge_intervals(df: DataFrame, gap: int = 0, keys: Sequence[str] = ("chrom",), sums: Sequence[str] = (),
-                    tile_width: int = TILE_WIDTH) -> DataFrame:
+                    count: bool = False, tile_width: int = TILE_WIDTH) -> DataFrame:
     """Merge intervals whose distance to the furthest end so far is at most ``gap`` (bookended ones
-    merge at 0). Output: keys, start, end, ``n_merged`` and the totals of the ``sums`` columns."""
-    keys = list(keys)
-    rows = df.groupBy(*keys, "start").agg(
-        F.max("end").alias("end"), F.count(F.lit(1)).alias("n_merged"), *[F.sum(c).alias(c) for c in sums])
+    merge at 0). Output: keys, start, end, the totals of the ``sums`` columns and, with ``count``,
+    the number of intervals merged (``n_merged``). Without extra columns all branches of the two
+    scans share the same two shuffles."""
+    keys, sums = list(keys), list(sums)
+    if count:
+        df, sums = df.withColumn("n_merged", F.lit(1).cast("long")), [*sums, "n_merged"]
+    rows = placed(df, *keys, "start").groupBy(*keys, "start").agg(F.max("end").alias("end"), *[F.sum(c).alias(c) for c in sums])
     rows = rows.withColumn("_tile", position_tile("start", tile_width))
     reach = ordered_scan(rows, keys, "start", "_tile", [Scan("_reach", "max", "end", inclusive=False)])
     opens = F.col("_reach").isNull() | (F.col("start") - F.col("_reach") > gap)
     islands = ordered_scan(reach.withColumn("_open", F.when(opens, F.col("start"))), keys, "start", "_tile",
                            [Scan("_island", "max", "_open")])
     return (islands.groupBy(*keys, "_island")
-            .agg(F.min("start").alias("first"), F.max("end").alias("end"), F.sum("n_merged").alias("n_merged"),
-                 *[F.sum(c).alias(c) for c in sums])
-            .select(*keys, F.col("first").alias("start"), "end", "n_merged", *sums))
+            .agg(F.max("end").alias("end"), *[F.sum(c).alias(c) for c in sums])
+            .select(*keys, F.col("_island").alias("start"), "end", *sums))
 
 
 def pack_runs(df: DataFrame, value: str, tile_width: int = TILE_WIDTH) -> DataFrame:
     """Join touching rows of a track (end = next start) that carry the same value."""
-    rows = df.select("chrom", "start", "end", value).withColumn("_tile", position_tile("start", tile_width))
+    rows = placed(df.select("chrom", "start", "end", value), "chrom", "start").withColumn("_tile", position_tile("start", tile_width))
     rows = rows.withColumn("_cell", F.struct("end", value))
     prev = ordered_scan(rows, ["chrom"], "start", "_tile", [Scan("_prev", "last", "_cell", inclusive=False)])
     joined = (F.col("_prev.end") == F.col("start")) & F.col(f"_prev.{value}").eqNullSafe(F.col(value))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basetide.plans.ordered import Scan, ordered_scan, value_tiles
+from basetide.plans.ordered import Scan, ordered_scan, placed, value_tiles
 from basetide.plans.skew import lookup_join
 
 
@@ -28,7 +28,7 @@ def bh_adjust(df: DataFrame, p_col: str = "p_value", scope: str | None = None, a
     reverse minimum gives it. Rows with a NULL p keep NULL results.
     """
     keys = [scope] if scope else []
-    present = df.where(F.col(p_col).isNotNull()).select(*keys, p_col)
+    present = placed(df, *keys, p_col).select(*keys, p_col)
     tiled = value_tiles(present, p_col, tiles=tiles)
     hist = tiled.groupBy(*keys, "_tile", p_col).agg(F.count(F.lit(1)).alias("_n"))
     ranked = ordered_scan(hist, keys, p_col, "_tile", [Scan("_rank", "sum", "_n"), Scan("_total", "total", "_n")])

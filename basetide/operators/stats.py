@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basetide.plans.ordered import (TILE_WIDTH, Scan, ordered_scan, position_tile,
+from basetide.plans.ordered import (TILE_WIDTH, Scan, ordered_scan, placed, position_tile,
                                     value_tiles)
 
 
@@ -20,7 +20,7 @@ def inter_site_distance(sites: DataFrame, tile_width: int = TILE_WIDTH) -> DataF
     One row per distinct position; ``copies`` counts the sites there. Copies beyond the first are
     at distance 0, which counts as missing, so they have no row of their own.
     """
-    rows = (sites.groupBy("chrom", "start").agg(F.count(F.lit(1)).alias("copies"))
+    rows = (placed(sites, "chrom", "start").groupBy("chrom", "start").agg(F.count(F.lit(1)).alias("copies"))
             .withColumn("_tile", position_tile("start", tile_width)))
     prev = ordered_scan(rows, ["chrom"], "start", "_tile", [Scan("_prev", "last", "start", inclusive=False)])
     dist = F.col("start") - F.col("_prev")
@@ -35,7 +35,7 @@ def ntile_bins(sites: DataFrame, buckets: int = 100, tile_width: int = TILE_WIDT
     covers (a running count), and the ranks are split over the buckets by arithmetic: with n rows
     and k buckets the first n mod k buckets hold one row more.
     """
-    rows = (sites.groupBy("chrom", "start").agg(F.count(F.lit(1)).alias("_n"))
+    rows = (placed(sites, "chrom", "start").groupBy("chrom", "start").agg(F.count(F.lit(1)).alias("_n"))
             .withColumn("_tile", position_tile("start", tile_width)))
     cum = ordered_scan(rows, ["chrom"], "start", "_tile",
                        [Scan("_last", "sum", "_n"), Scan("_all", "total", "_n")])

@@ -40,6 +40,14 @@ def position_tile(col: str, width: int = TILE_WIDTH) -> Column:
     return F.floor(F.col(col) / F.lit(width)).cast("long")
 
 
+def placed(df: DataFrame, *cols: str) -> DataFrame:
+    """Rows that have a place on the axis. Stating it up front also gives both branches of a scan the
+    same filters, so that they share one shuffle."""
+    for c in cols:
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
 def value_tiles(df: DataFrame, col: str, out: str = "_tile", tiles: int | None = None) -> DataFrame:
     """Add a balanced, order-preserving tile number for a numeric column.
 
@@ -123,7 +131,7 @@ def _combine(s: Scan, here: str, carry: str) -> Column:
 
 def value_histogram(df: DataFrame, keys: Sequence[str], col: str, tiles: int | None = None) -> DataFrame:
     """(keys, value) -> n, cum (rows <= value) and total, all per key. NULL values are left out."""
-    tiled = value_tiles(df.where(F.col(col).isNotNull()), col, tiles=tiles)
+    tiled = value_tiles(placed(df, *keys, col), col, tiles=tiles)
     counts = tiled.groupBy(*keys, "_tile", col).agg(F.count(F.lit(1)).alias("n"))
     scanned = ordered_scan(counts, keys, col, "_tile", [Scan("cum", "sum", "n"), Scan("total", "total", "n")])
     return scanned.drop("_tile")

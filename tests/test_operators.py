@@ -99,7 +99,7 @@ def merge_loop(rows, gap):
 def test_merge_matches_a_loop_and_is_idempotent(spark, seed, gap):
     rows = random_intervals(seed, n=120, span=6000)
     df = spark.createDataFrame(rows, IV)
-    merged = intervals.merge_intervals(df, gap, tile_width=64)
+    merged = intervals.merge_intervals(df, gap, count=True, tile_width=64)
     assert got(merged, "chrom", "start", "end") == merge_loop(rows, gap)
     again = intervals.merge_intervals(merged.select("chrom", "start", "end"), gap, tile_width=64)
     assert got(again, "chrom", "start", "end") == merge_loop(rows, gap)
