@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basetide.llm import (byte_bpe, packing, preference, quality_rules, segment_search, simhash, suffix_dedup, token_counts,
+from basetide.llm import (byte_bpe, katz, packing, preference, quality_rules, segment_search, simhash, suffix_dedup, token_counts,
                           token_files)
 from basetide.llm.common import crc_mod, table
 
@@ -66,6 +66,13 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files).drop("ids").withColumnRenamed("id", "doc_id")
 
 
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under a Katz model of those whose crc32(doc_id) mod 7 is not 2."""
+    scored = katz.score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) != 2)
+    return scored.select(F.col("id").alias("doc_id"), (~F.col("trained")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and the components of their links within 4 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=4, shingle=4)
@@ -81,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_segment_search, op2_suffix_dedup, op3_packing, op4_byte_bpe, op5_token_counts, op6_preference, op7_quality_rules,
-    op8_token_files, op10_simhash, pipeline)}
+    op8_token_files, op9_katz, op10_simhash, pipeline)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 

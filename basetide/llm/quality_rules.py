@@ -37,6 +37,7 @@ class Rule:
 #: Ratios are per word or per line with a word; see ``measures``.
 RULES = (
     Rule("mean_word_length", "word_length", 2.0, 16.0),
+    Rule("stop_words", "stop_word_ratio", 0.01, None),
     Rule("symbols_per_word", "symbol_ratio", None, 0.25),
     Rule("duplicate_lines", "dup_line_ratio", None, 0.5),
 )

@@ -340,29 +340,30 @@ def whole_characters(raw: bytes, spans: list[tuple[int, int]]) -> list[tuple[int
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, spans): every row of ``docs`` with the maximal runs of bytes, as array<struct<start, end>>, that
-    are covered by a string of ``length`` bytes which also starts earlier.
+    """``docs`` with a last column ``_spans``: the runs of bytes, as array<struct<start, end>>, covered by strings of
+    ``length`` bytes which also start earlier; runs can overlap, ``merge_spans`` makes them maximal.
 
     Null texts are empty. Order is by id, nulls first; rows that repeat an id are ordered by a hash of their
     text, and rows equal in both are one document and get the same result. Overlapping repeats count,
-    strings never cross documents, and all are judged on the input. Other columns are not read.
+    strings never cross documents, and all are judged on the input.
     """
-    rows = texts(docs, id_col, text_col).withColumn("h", _text_hash(F.col("text")))
-    spans = removed_places(docs, length, id_col, text_col)
-    return (rows.join(spans, rows["id"].eqNullSafe(spans["id"]) & (rows["h"] == spans["h"]), "left")
-            .select(rows["id"], "text", F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans")))
+    found = removed_places(docs, length, id_col, text_col).select(
+        F.col("id").alias("_sd_id"), F.col("h").alias("_sd_h"), F.col("spans").alias("_spans"))
+    rows = docs.withColumn("_sd_own", _text_hash(F.coalesce(F.col(text_col), F.lit(""))))
+    return rows.join(found, F.col(id_col).eqNullSafe(F.col("_sd_id")) & (F.col("_sd_own") == F.col("_sd_h")), "left").select(
+        *docs.columns, F.coalesce("_spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("_spans"))
 
 
 def dedup_digest(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) of every document after the removal."""
-    rows = repeated_spans(docs, length, id_col, text_col)
+    rows = repeated_spans(texts(docs, id_col, text_col), length, "id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             size, gone, n, digest = [], [], [], []
             for i in range(b.num_rows):
                 raw = b.column("text")[i].as_py().encode("utf-8", "replace")
-                spans = merge_spans([(x["start"], x["end"]) for x in b.column("spans")[i].as_py()])
+                spans = merge_spans([(x["start"], x["end"]) for x in b.column("_spans")[i].as_py()])
                 size.append(len(raw))
                 gone.append(sum(e - s for s, e in spans))
                 n.append(len(spans))
@@ -381,18 +382,24 @@ def _rest(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def dedup_text(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, text, kept): every row with its text and the text without repeats; spans are drawn in to whole
-    characters, so that ``kept`` is valid."""
+    """``docs`` with the repeats taken out of their texts. Spans are drawn in to whole characters, so that what is
+    left is valid text; a null text stays null."""
     rows = repeated_spans(docs, length, id_col, text_col)
+    columns = docs.columns
+    place = columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             kept = []
             for i in range(b.num_rows):
-                raw = b.column("text")[i].as_py().encode("utf-8", "replace")
-                spans = merge_spans([(x["start"], x["end"]) for x in b.column("spans")[i].as_py()])
-                kept.append(_rest(raw, whole_characters(raw, spans)).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("text"), pa.array(kept, pa.string())], ["id", "text", "kept"])
+                text = b.column(text_col)[i].as_py()
+                spans = b.column("_spans")[i].as_py()
+                if spans:
+                    raw = text.encode("utf-8", "replace")
+                    found = merge_spans([(x["start"], x["end"]) for x in spans])
+                    text = _rest(raw, whole_characters(raw, found)).decode("utf-8", "replace")
+                kept.append(text)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kept, pa.string()) if k == place else b.column(c) for k, c in enumerate(columns)], columns)
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, text string, kept string")
+    return rows.mapInArrow(run, docs.schema)

@@ -292,7 +292,7 @@ def test_suffix_dedup_random_small_alphabet(spark):
 def test_suffix_dedup_keeps_valid_text(spark, empty):
     text = "äöüß" * 40
     got = suffix_dedup.dedup_text(spark.createDataFrame([(1, text), (2, "a" + text), (3, "x")], "doc_id long, text string"), 50).collect()
-    by = {r.id: r.kept for r in got}
+    by = {r.doc_id: r.text for r in got}
     assert by[3] == "x" and by[2].encode().decode() == by[2] and by[2].startswith("a") and len(by[2]) < 10
     assert suffix_dedup.dedup_digest(empty).count() == 0
     assert suffix_dedup.whole_characters("aäb".encode(), [(2, 4)]) == [(3, 4)]
