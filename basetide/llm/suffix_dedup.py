@@ -35,8 +35,8 @@ from basetide.llm.common import stored, texts
 
 #: Bytes named at a time; longer texts are taken in slices that overlap by a window.
 SLICE = 1 << 20
-#: Windows of a bin.
-BIN = 8
+#: Windows of a bin, and runs opened at a time.
+BIN, RUNS = 8, 1 << 13
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 # rows between the rounds
@@ -114,9 +114,13 @@ def anchor_runs(a: np.ndarray, valid: np.ndarray, length: int):
 
 
 class _Texts:
-    """Documents of a batch as byte arrays with their order: by id (null first), then by the hash of the text."""
+    """Documents of a batch as one byte array with their order: by id (null first), then by the hash of the text.
+    ``first`` are the rows to look at; rows equal in both are one document."""
 
     def __init__(self, b: pa.RecordBatch):
+        text = b.column("text").cast(pa.large_string())
+        self.starts = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
+        self.bytes = np.frombuffer(text.buffers()[2] or b"", np.uint8)
         self.ids, self.hashes = b.column("id"), b.column("h").to_numpy()
         keys = list(zip(self.ids.to_pylist(), self.hashes.tolist()))
         seen: dict = {}
@@ -124,12 +128,12 @@ class _Texts:
         ranked = sorted(self.first, key=lambda i: (keys[i][0] is not None, keys[i][0] if keys[i][0] is not None else 0, keys[i][1]))
         self.rank = np.zeros(len(keys), np.int64)
         self.rank[ranked] = np.arange(len(ranked))
-        self.raw = [b.column("text")[i].as_py().encode("utf-8", "replace") for i in self.first]
 
     def slices(self, length: int) -> Iterator[tuple[list[tuple[int, int, int, int]], np.ndarray, np.ndarray]]:
         """Groups of about SLICE bytes: ((document, place in the group, place in the document, windows), bytes, valid)."""
         group, parts, n = [], [], 0
-        for i, raw in zip(self.first, self.raw):
+        for i in self.first:
+            raw = self.bytes[self.starts[i]:self.starts[i + 1]]
             for s in range(0, max(1, len(raw) - length + 1), SLICE):
                 part = raw[s:s + SLICE + length - 1]
                 if len(part) < length:
@@ -148,7 +152,7 @@ class _Texts:
         valid = np.zeros(n, bool)
         for _, at, _, windows in group:
             valid[at:at + windows] = True
-        return group, np.frombuffer(b"".join(parts), np.uint8), valid
+        return group, np.concatenate(parts), valid
 
 
 def _places(h: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -214,32 +218,41 @@ def _opened(length: int, step: int):
     (id, at, core, span, windows, offset, removed)."""
     k = anchor_bytes(length)
 
+    def bins_of(a: np.ndarray, at: np.ndarray, n: np.ndarray, off: np.ndarray):
+        """Bins of runs whose bytes stand one behind the other in ``a``, each from ``at`` on: (run, first window and
+        windows, offset of the anchor, core, span)."""
+        named = names(a, [k, length - step + 1, length])
+        p = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        run = np.repeat(np.arange(len(n)), n)
+        anchor = (at + off)[run]
+        bins = (anchor - p) // step
+        cut = np.flatnonzero(np.append(True, (bins[1:] != bins[:-1]) | (run[1:] != run[:-1])))
+        s, e, anchor, j, run = p[cut], p[np.append(cut[1:], len(p)) - 1], anchor[cut], bins[cut], run[cut]
+        g = named[k][anchor]
+        core = _mix(_mix(named[length - step + 1][anchor - step * j], g), j.astype(np.uint64))
+        span = _mix(_mix(named[length][s], named[length][e]), _mix(g, (e - s).astype(np.uint64)))
+        return run, s - at[run], e - s + 1, anchor - s, core, span
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             docs = _Texts(b)
-            doc, lo, n, off, core, span = [], [], [], [], [], []
-            for i, raw in zip(docs.first, docs.raw):
-                for runs in _together(b.column("runs")[i].as_py(), length):
-                    base = runs[0]["lo"]
-                    a = np.frombuffer(raw, np.uint8)[base:runs[-1]["lo"] + runs[-1]["windows"] - 1 + length]
-                    named = names(a, [k, length - step + 1, length])
-                    r_lo, r_n, r_off = (np.array([x[c] for x in runs]) for c in ("lo", "windows", "offset"))
-                    # of each window: its start and its anchor
-                    p = np.repeat(r_lo - base - (np.cumsum(r_n) - r_n), r_n) + np.arange(r_n.sum())
-                    anchor = np.repeat(r_lo - base + r_off, r_n)
-                    bins = (anchor - p) // step
-                    cut = np.flatnonzero(np.append(True, (bins[1:] != bins[:-1]) | (anchor[1:] != anchor[:-1])))
-                    last = np.append(cut[1:], len(p)) - 1
-                    s, e, at, j = p[cut], p[last], anchor[cut], bins[cut]
-                    doc.append(np.full(len(s), i))
-                    lo.append(s + base)
-                    n.append(e - s + 1)
-                    off.append(at - s)
-                    core.append(_mix(_mix(named[length - step + 1][at - step * j], named[k][at]), j.astype(np.uint64)))
-                    span.append(_mix(_mix(named[length][s], named[length][e]), _mix(named[k][at], (e - s).astype(np.uint64))))
-            if not doc:
+            lists = b.column("runs")
+            edges = lists.offsets.to_numpy()
+            fields = lists.values
+            r_lo, r_n, r_off = (fields.field(c).to_numpy().astype(np.int64) for c in ("lo", "windows", "offset"))
+            picked = np.concatenate([np.arange(edges[i], edges[i + 1]) for i in docs.first] or [np.zeros(0, np.int64)])
+            owner = np.repeat(docs.first, np.diff(edges)[docs.first])
+            out = []
+            for c in range(0, len(picked), RUNS):
+                r, d = picked[c:c + RUNS], owner[c:c + RUNS]
+                size = r_n[r] + length - 1
+                at = np.cumsum(size) - size
+                a = docs.bytes[np.repeat(docs.starts[d] + r_lo[r] - at, size) + np.arange(size.sum())]
+                of, first_window, windows, offset, core, span = bins_of(a, at, r_n[r], r_off[r])
+                out.append((d[of], r_lo[r][of] + first_window, windows, offset, core, span))
+            if not out:
                 continue
-            doc, lo, n, off, core, span = map(np.concatenate, (doc, lo, n, off, core, span))
+            doc, lo, n, off, core, span = map(np.concatenate, zip(*out))
             first = _first_of([span, core], docs.rank[doc], lo)
             core[~first] = _mix(core[~first], lo[~first].astype(np.uint64))  # deals the rows that are settled
             yield pa.RecordBatch.from_arrays(
@@ -250,19 +263,6 @@ def _opened(length: int, step: int):
     return run
 
 
-def _together(runs: list, length: int) -> Iterator[list]:
-    """Runs of a text whose windows touch, so that shared bytes are named once."""
-    held, end = [], -1
-    for r in sorted(runs, key=lambda x: x["lo"]):
-        if held and (r["lo"] > end + length or end - held[0]["lo"] > SLICE):
-            yield held
-            held = []
-        held.append(r)
-        end = r["lo"] + r["windows"]
-    if held:
-        yield held
-
-
 def _text_hash(text: Column) -> Column:
     return F.crc32(text.cast("binary")).bitwiseAND(F.lit(0x7FFFFFFF))
 
@@ -303,7 +303,7 @@ def removed_places(docs: DataFrame, length: int, id_col: str, text_col: str) ->
         return bins.withColumn("_gone", F.col("removed") | (F.min(place).over(same_span) != place))
 
     # rounds 3 and 4: bins of first runs whose anchor has another class, windows of bins whose core has another span
-    bins = opened(heads.join(several, "g", "left_semi"), min(BIN, length // 4 + 1))
+    bins = stored(opened(heads.join(several, "g", "left_semi"), min(BIN, length // 4 + 1)).drop("removed"), "bins")
     first_bins = bins.where(~F.col("_gone"))
     mixed = first_bins.groupBy("core").agg((F.min("span") != F.max("span")).alias("_m")).where("_m").select("core")
     windows = opened(first_bins.join(mixed, "core", "left_semi"), 1)
