@@ -5,9 +5,11 @@ to ``cutoff``; other pairs back off to ``alpha(h) * p(w)``, where alpha makes th
 one. The unigrams at the bottom are add-one estimates over the V training words and one unknown word:
 ``p(w) = (c + 1) / (N + V + 1)``.
 
-1. Words are 64-bit hashes made from the bytes of a batch at once. Their training counts are one aggregate.
-2. Documents are dealt to batches of bounded bytes. Each batch asks for the counts of its words and then codes its
-   word pairs: each pair once, with the documents it stands in.
+1. Words are 64-bit hashes made from the bytes of a batch at once. Their training counts are one aggregate, and
+   words are numbered by falling count, so that the number of a word tells its count: a table of distinct
+   counts, of which there are fewer than sqrt(2 N), is all that tasks need to know.
+2. Documents are dealt to batches of bounded bytes. Each batch asks for the numbers of its words and then codes its
+   word pairs: each pair once, with the documents it stands in. Words outside the training rows share a number.
 3. Coded pairs are dealt to buckets by history. A bucket meets a pair's counts of all batches, so it knows c(h, w)
    and alpha(h), scores every pair and returns sums per document. A history with more than a
    ten-thousandth of all tokens is split over several buckets, and its two sums travel apart.
@@ -22,16 +24,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basetide.llm.common import stored
+from basetide.llm.common import partition_bases, stored
 
 #: Bytes of text of a batch and behind a bucket.
-BATCH_BYTES, BUCKET_BYTES = 24 << 20, 16 << 20
+BATCH_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
 #: Histories of more than this share of the tokens are split (and of HOT tokens at least).
 HOT, HOT_SHARE = 1 << 20, 10_000
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _B = 0x2545F4914F6CDD1D | 1
-END, START = np.uint64(1), np.uint64(2)
+END = np.uint64(1)
 
 
 def _mix(z: np.ndarray) -> np.ndarray:
@@ -81,7 +83,7 @@ def word_hashes(raw: bytes) -> np.ndarray:
             s, e = starts[lo:hi] - base, ends[lo:hi] - base
             out[lo:hi] = _mix((sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64))
         lo = hi
-    return np.maximum(out, np.uint64(3))
+    return np.maximum(out, np.uint64(2))
 
 
 def _tokens(raws: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -90,85 +92,84 @@ def _tokens(raws: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.array([len(p) for p in parts], np.int64)
 
 
-# arrays of a bucket row: narrow integers with exceptions
-
-def _put(x: np.ndarray) -> bytes:
-    """Non-negative integers: most of them in the narrowest type, the rest listed behind."""
-    x = np.asarray(x)
-    for t in ("<u1", "<u2", "<u4", "<u8"):
-        top = np.iinfo(t).max
-        odd = np.flatnonzero(x >= top) if t != "<u8" else np.zeros(0, np.int64)
-        if len(odd) * 16 <= max(0.04 * len(x), 64) * np.dtype(t).itemsize or t == "<u8":
-            body = x.astype(t) if not len(odd) else np.minimum(x, top).astype(t)
-            head = np.array([np.dtype(t).itemsize, len(x), len(odd)], "<u8").tobytes()
-            return head + body.tobytes() + odd.astype("<u8").tobytes() + x[odd].astype("<u8").tobytes()
-    raise AssertionError
-
-
-def _take(raw: memoryview, at: int) -> tuple[np.ndarray, int]:
-    size, n, k = np.frombuffer(raw, "<u8", 3, at).tolist()
-    at += 24
-    body = np.frombuffer(raw, f"<u{size}", n, at).astype(np.uint64)
-    at += size * n
-    odd, values = np.frombuffer(raw, "<u8", k, at), np.frombuffer(raw, "<u8", k, at + 8 * k)
-    if k:
-        body[odd.astype(np.int64)] = values
-    return body, at + 16 * k
-
+# arrays of a bucket row: unsigned integers as byte planes, of which the high ones compress to little
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    return b"".join(map(_put, arrays))
+    out = []
+    for x in arrays:
+        x = np.ascontiguousarray(x, "<u8")
+        width = max(1, -(-int(x.max(initial=0)).bit_length() // 8))
+        out += [np.array([width, len(x)], "<u8").tobytes(), x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()]
+    return b"".join(out)
 
 
 def _unpack(raw: bytes, n: int) -> list[np.ndarray]:
     out, at = [], 0
     for _ in range(n):
-        x, at = _take(raw, at)
-        out.append(x)
+        width, size = np.frombuffer(raw, "<u8", 2, at).tolist()
+        x = np.zeros((size, 8), np.uint8)
+        x[:, :width] = np.frombuffer(raw, np.uint8, width * size, at + 16).reshape(width, size).T
+        out.append(x.view("<u8").ravel())
+        at += 16 + width * size
     return out
 
 
-def _totals(n_tokens: int, n_words: int) -> float:
-    return float(n_tokens + n_words + 1)
+class Counts:
+    """Training counts by word number: numbers fall into stretches of equal counts, the largest first. ``unknown`` is
+    the number of all other words, ``start`` that of the beginning of a text (which stands before every
+    training text once)."""
+
+    def __init__(self, counts: list[int], words: list[int], n_docs: int):
+        self.counts, self.ends = np.append(np.array(counts, np.int64), 0), np.cumsum(np.array(words, np.int64))
+        self.n_docs = n_docs
+        self.n_tokens, self.n_words = int((self.counts[:-1] * np.array(words, np.int64)).sum()), int(sum(words))
+        self.unknown, self.start = self.n_words, self.n_words + 1
+        self.total = float(self.n_tokens + self.n_words + 1)
+
+    def __call__(self, number: np.ndarray) -> np.ndarray:
+        number = number.astype(np.int64)
+        out = self.counts[np.searchsorted(self.ends, np.minimum(number, self.unknown), "right")]
+        return np.where(number == self.start, self.n_docs, out)
 
 
 def _bucket_of(h: np.ndarray, w: np.ndarray, c_h: np.ndarray, hot: int, buckets: int) -> np.ndarray:
     salts = np.uint64(1) + c_h.astype(np.uint64) // np.uint64(hot)
     salt = np.where(salts > 1, _mix(w + np.uint64(7)) % salts, np.uint64(0))
-    return (_mix(h + salt * _C2) % np.uint64(buckets)).astype(np.int64)
+    return (_mix(h + np.uint64(1) + salt * _C2) % np.uint64(buckets)).astype(np.int64)
 
 
-def code_batch(texts_: list[str], train: np.ndarray, words: np.ndarray, ids: np.ndarray, counts: np.ndarray,
-               n_tokens: int, n_words: int, n_docs: int, hot: int, buckets: int):
+def code_batch(texts_: list[str], train: np.ndarray, places: np.ndarray, numbers: np.ndarray, counts: Counts, hot: int, buckets: int):
     """Document sums and coded pairs of a batch.
 
-    ``words`` (sorted hashes), ``ids`` and ``counts`` tell of each word of the batch its number and training count.
+    ``numbers`` are those of the training words at ``places`` among the sorted distinct hashes of the batch.
     Returns (tokens, known, base scores) per document and {bucket: bytes}.
     """
     tokens, lengths = _tokens(texts_)
-    at = np.searchsorted(words, tokens)
+    words, at = np.unique(tokens, return_inverse=True)
+    number = np.full(len(words), counts.unknown, np.uint64)
+    number[places] = numbers
+    w = number[at]
     doc = np.repeat(np.arange(len(lengths)), lengths)
-    c = counts[at]
-    base = np.log10((c + 1) / _totals(n_tokens, n_words))
+    c = counts(number)[at]
     sums = lambda x: np.bincount(doc, x, len(lengths))
-    stats = lengths, sums(c > 0).astype(np.int64), sums(base)
-    before = np.append(-1, at[:-1])  # history: place of the word before, -1 at the start of a text
-    before[np.cumsum(lengths) - lengths] = -1
-    wide = len(words) + 1
-    pair = (before + 1).astype(np.uint64) * np.uint64(wide) + at.astype(np.uint64)
-    order = np.lexsort((doc, pair))
-    pair, d = pair[order], doc[order]
-    new_pair = np.append(True, pair[1:] != pair[:-1])
-    new = np.flatnonzero(new_pair | np.append(True, d[1:] != d[:-1]))
-    n = np.diff(np.append(new, len(pair)))  # times the pair stands in the document
-    pair, d, new_pair = pair[new], d[new], new_pair[new]
+    stats = lengths, sums(c > 0).astype(np.int64), sums(np.log10((c + 1) / counts.total))
+    h = np.append(np.uint64(0), w[:-1])
+    h[np.cumsum(lengths) - lengths] = counts.start
+    span = np.uint64(counts.n_words + 2)
+    if (counts.n_words + 2) ** 2 < 1 << 64:
+        order = np.argsort(h * span + w, kind="stable")  # documents stay in order
+    else:
+        order = np.lexsort((w, h))
+    h, w, doc = h[order], w[order], doc[order]
+    new_pair = np.append(True, (h[1:] != h[:-1]) | (w[1:] != w[:-1]))
+    new = np.flatnonzero(new_pair | np.append(True, doc[1:] != doc[:-1]))
+    n = np.diff(np.append(new, len(h)))  # times the pair stands in the document
+    h, w, doc, new_pair = h[new], w[new], doc[new], new_pair[new]
     first = np.flatnonzero(new_pair)
-    postings = np.diff(np.append(first, len(pair)))
-    hp, wp = (pair[first] // np.uint64(wide)).astype(np.int64) - 1, (pair[first] % np.uint64(wide)).astype(np.int64)
-    h = np.where(hp < 0, START, words[hp])
-    c_h = np.where(hp < 0, n_docs, counts[hp])
-    bucket = _bucket_of(h, words[wp], c_h, hot, buckets)
-    marked = 2 * d + train[d]
+    postings = np.diff(np.append(first, len(h)))
+    h, w = h[first], w[first]
+    bucket = _bucket_of(h, w, counts(h), hot, buckets)
+    marked = 2 * doc + train[doc]
     out = {}
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -180,23 +181,21 @@ def code_batch(texts_: list[str], train: np.ndarray, words: np.ndarray, ids: np.
         m = postings[p]
         rows = np.repeat(ends[p] - m - (np.cumsum(m) - m), m) + np.arange(m.sum())
         run = np.flatnonzero(np.append(True, h[p][1:] != h[p][:-1]))
-        out[k] = _pack(h[p][run], c_h[p][run], np.diff(np.append(run, len(p))), ids[wp[p]], counts[wp[p]], m, marked[rows], n[rows])
+        out[k] = _pack(h[p][run], np.diff(np.append(run, len(p))), w[p], m, marked[rows], n[rows])
     return stats, out
 
 
 class _Bucket:
     """All pairs of a bucket over its batches."""
 
-    def __init__(self, blobs: list[bytes]):
-        parts = [_unpack(b, 8) for b in blobs]
+    def __init__(self, blobs: list[bytes], counts: Counts):
+        parts = [_unpack(b, 6) for b in blobs]
         cat = lambda xs: np.concatenate(xs) if xs else np.zeros(0, np.uint64)
-        h = cat([np.repeat(p[0], p[2].astype(np.int64)) for p in parts])
-        c_h = cat([np.repeat(p[1], p[2].astype(np.int64)) for p in parts])
-        w, c_w = cat([p[3] for p in parts]), cat([p[4] for p in parts])
-        m = cat([p[5] for p in parts]).astype(np.int64)
-        self.docs = cat([p[6] for p in parts]).astype(np.int64)
-        self.n = cat([p[7] for p in parts]).astype(np.int64)
-        self.sizes = [int(p[5].sum()) for p in parts]  # postings of each batch
+        h = cat([np.repeat(p[0], p[1].astype(np.int64)) for p in parts])
+        w, m = cat([p[2] for p in parts]), cat([p[3] for p in parts]).astype(np.int64)
+        self.docs = cat([p[4] for p in parts]).astype(np.int64)
+        self.n = cat([p[5] for p in parts]).astype(np.int64)
+        self.sizes = [int(p[3].sum()) for p in parts]  # postings of each batch
         self.pair_of = np.repeat(np.arange(len(m)), m)
         trained = np.bincount(self.pair_of, self.n * (self.docs & 1), len(m)).astype(np.int64)
         order = np.lexsort((w, h))
@@ -206,7 +205,8 @@ class _Bucket:
         self.type_of[order] = kind
         first = order[np.flatnonzero(new)]
         self.c = np.bincount(self.type_of, trained, len(first)).astype(np.int64)
-        self.h, self.c_h, self.c_w = h[first], c_h[first].astype(np.int64), c_w[first].astype(np.int64)
+        self.h, self.c_w = h[first], counts(w[first])
+        self.c_h = counts(self.h)
         starts = np.flatnonzero(np.append(True, self.h[1:] != self.h[:-1])) if len(first) else np.zeros(0, np.int64)
         self.starts = starts
         self.h_of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(first))))
@@ -277,38 +277,37 @@ def score(docs: DataFrame, train: Column, cutoff: int = 5, id_col: str = "doc_id
             words, n = np.unique(tokens[keep], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
 
-    counted = stored(rows.mapInArrow(count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
-    n = counted.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_tokens, n_words = n["n"] or 0, n["v"]
-    hot = max(hot_tokens, n_tokens // HOT_SHARE)
-    total = _totals(n_tokens, n_words)
-    # numbers from the places in the written files, which are the same whenever they are read
-    parts = max(1, counted.rdd.getNumPartitions())
-    place = F.monotonically_increasing_id()
-    numbered = counted.withColumn("wid", F.shiftright(place, 33) + place.bitwiseAND(F.lit((1 << 33) - 1)) * parts + 1)
+    words = rows.mapInArrow(count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
+    # numbered where they lie: the partition of the sort and the place in it are written with each word
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    sorted_ = stored(words.orderBy(F.desc("c"), "word").select("word", "c", F.spark_partition_id().alias("part"), place.alias("row")),
+                     "words")
+    # one row per partition
+    numbered = sorted_.join(F.broadcast(partition_bases(sorted_.select("part", F.lit(1).alias("n")), "part", "n", "base")), "part").select(
+        "word", (F.col("base") + F.col("row")).alias("number"))
+    # fewer than sqrt(2 N) distinct counts
+    by_count = sorted_.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
+    counts = Counts([r["c"] for r in by_count], [r["n"] for r in by_count], n_docs)
+    n_tokens, total, hot = counts.n_tokens, counts.total, max(hot_tokens, counts.n_tokens // HOT_SHARE)
 
     dealt = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int"))
 
     def batch_words(t: pa.Table) -> pa.Table:
-        words = np.unique(_tokens(t.column("text").to_pylist())[0])
-        return pa.table({"batch": pa.array(np.full(len(words), t.column("batch")[0].as_py() if t.num_rows else 0), pa.int32()),
-                         "word": pa.array(words.view(np.int64))})
+        found = np.unique(_tokens(t.column("text").to_pylist())[0])
+        n = len(found)
+        return pa.table({"batch": pa.array(np.full(n, t.column("batch")[0].as_py()), pa.int32()), "word": pa.array(found.view(np.int64)),
+                         "place": pa.array(np.arange(n), pa.int32())})
 
-    asked = dealt.groupBy("batch").applyInArrow(batch_words, "batch int, word long")
-    told = asked.join(numbered, "word", "left").select(
-        "batch", "word", F.coalesce("wid", F.lit(0)).alias("wid"), F.coalesce("c", F.lit(0)).alias("c"))
+    asked = dealt.groupBy("batch").applyInArrow(batch_words, "batch int, word long, place int")
+    told = asked.join(numbered, "word").select("batch", "place", "number")
 
     def code(left: pa.Table, right: pa.Table) -> pa.Table:
         ids, raws, train_ = (left.column(x).to_pylist() for x in ("id", "text", "train"))
         # the same order whenever the batch is made again
         order = sorted(range(len(raws)), key=lambda i: (ids[i] is not None, ids[i] if ids[i] is not None else 0, raws[i]))
-        words = right.column("word").to_numpy().view(np.uint64)
-        by = np.argsort(words)
-        wid, c = right.column("wid").to_numpy()[by].astype(np.uint64), right.column("c").to_numpy()[by]
-        # unknown words have no number; their place in the batch cannot meet a known one's
         flags = np.array([train_[i] for i in order], np.int64)
-        stats, out = code_batch([raws[i] for i in order], flags, words[by], np.where(wid > 0, wid - 1, _unknown(words[by])), c,
-                                n_tokens, n_words, n_docs, hot, buckets)
+        places, numbers = right.column("place").to_numpy(), right.column("number").to_numpy().astype(np.uint64)
+        stats, out = code_batch([raws[i] for i in order], flags, places, numbers, counts, hot, buckets)
         batch = left.column("batch")[0].as_py()
         named = pa.array([[ids[i] for i in order]], pa.list_(left.schema.field("id").type))
         head = np.concatenate([stats[0], stats[1], flags]).astype("<i8").tobytes() + stats[2].astype("<f8").tobytes()
@@ -322,7 +321,7 @@ def score(docs: DataFrame, train: Column, cutoff: int = 5, id_col: str = "doc_id
     def load(t: pa.Table) -> tuple[_Bucket, list[int]]:
         r = sorted((b, d) for b, i, d in zip(t.column("batch").to_pylist(), t.column("ids").to_pylist(), t.column("data").to_pylist())
                    if i is None)
-        return _Bucket([d for _, d in r]), [b for b, _ in r]
+        return _Bucket([d for _, d in r], counts), [b for b, _ in r]
 
     def statistics(t: pa.Table) -> pa.Table:
         b, _ = load(t)
@@ -330,7 +329,7 @@ def score(docs: DataFrame, train: Column, cutoff: int = 5, id_col: str = "doc_id
         coc = np.array([(b.c == r).sum() for r in range(1, cutoff + 2)], float)
         hs, ch = b.h[b.starts], b.c_h[b.starts]
         big = np.flatnonzero(ch >= hot)
-        keys = np.append(np.uint64(0), hs[big]).view(np.int64)
+        keys = np.append(np.uint64(0), hs[big] + np.uint64(1)).view(np.int64)
         values = [coc, *(np.append(times[i], mass[i]) for i in big)]
         return pa.table({"h": pa.array(keys), "v": pa.array(values, pa.list_(pa.float64()))})
 
@@ -345,9 +344,9 @@ def score(docs: DataFrame, train: Column, cutoff: int = 5, id_col: str = "doc_id
         heads = [(b, i, d) for b, i, d in zip(left.column("batch").to_pylist(), left.column("ids"), left.column("data").to_pylist())
                  if i.is_valid]
         b, names = load(left)
-        known = {x["h"] & ((1 << 64) - 1): np.array(x["v"]) for x in (right.column("g")[0].as_py() if right.num_rows else [])}
+        known = {x["h"]: np.array(x["v"]) for x in (right.column("g")[0].as_py() if right.num_rows else [])}
         d = discounts(known.pop(0, np.zeros(cutoff + 1)), cutoff)
-        heavy = {h: (v[:-1], v[-1]) for h, v in known.items()}
+        heavy = {h - 1: (v[:-1], v[-1]) for h, v in known.items()}
         logs = score_bucket(b, d, heavy, hot, total)[b.type_of][b.pair_of] * b.n
         out, at = [], 0
         for name, m in zip(names, b.sizes):
@@ -383,9 +382,4 @@ def score(docs: DataFrame, train: Column, cutoff: int = 5, id_col: str = "doc_id
         gather, f"id {id_type}, trained boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _unknown(words: np.ndarray) -> np.ndarray:
-    """Numbers of words outside the training vocabulary, above all others; equal for equal words in all batches."""
-    return words | np.uint64(1 << 63)
-
-
 __all__ = ["discounts", "score", "word_hashes"]
