@@ -146,18 +146,21 @@ def code_batch(texts_: list[str], train: np.ndarray, places: np.ndarray, numbers
     """
     tokens, lengths = _tokens(texts_)
     words, at = np.unique(tokens, return_inverse=True)
-    number = np.full(len(words), counts.unknown, np.uint64)
+    del tokens
+    kind = np.uint32 if counts.start < 1 << 32 else np.uint64
+    number = np.full(len(words), counts.unknown, kind)
     number[places] = numbers
     w = number[at]
-    doc = np.repeat(np.arange(len(lengths)), lengths)
-    c = counts(number)[at]
-    sums = lambda x: np.bincount(doc, x, len(lengths))
+    doc = np.repeat(np.arange(len(lengths), dtype=np.uint32), lengths)
+    c = counts(number)
+    sums = lambda x: np.bincount(doc, x[at], len(lengths))
     stats = lengths, sums(c > 0).astype(np.int64), sums(np.log10((c + 1) / counts.total))
-    h = np.append(np.uint64(0), w[:-1])
+    del at, words, number, c
+    h = np.append(kind(0), w[:-1])
     h[np.cumsum(lengths) - lengths] = counts.start
     span = np.uint64(counts.n_words + 2)
     if (counts.n_words + 2) ** 2 < 1 << 64:
-        order = np.argsort(h * span + w, kind="stable")  # documents stay in order
+        order = np.argsort(h * span + w.astype(np.uint64), kind="stable")  # documents stay in order
     else:
         order = np.lexsort((w, h))
     h, w, doc = h[order], w[order], doc[order]
@@ -167,9 +170,9 @@ def code_batch(texts_: list[str], train: np.ndarray, places: np.ndarray, numbers
     h, w, doc, new_pair = h[new], w[new], doc[new], new_pair[new]
     first = np.flatnonzero(new_pair)
     postings = np.diff(np.append(first, len(h)))
-    h, w = h[first], w[first]
+    h, w = h[first].astype(np.uint64), w[first].astype(np.uint64)
     bucket = _bucket_of(h, w, counts(h), hot, buckets)
-    marked = 2 * doc + train[doc]
+    marked = 2 * doc + train[doc].astype(np.uint32)
     out = {}
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
