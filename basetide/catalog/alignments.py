@@ -254,9 +254,9 @@ def complete_alignments(spark, d):
 
 
 @query("seqs_per_alignment", """
-  SELECT n_seqs, count(*) AS n_alignments FROM (SELECT count(*) AS n_seqs FROM v_dedup GROUP BY region_id) GROUP BY 1""")
+  SELECT n_seqs, count(*) AS n_alignments FROM (SELECT count(*) AS n_seqs FROM v_complete GROUP BY region_id) GROUP BY 1""")
 def seqs_per_alignment(spark, d):
-    return alignment.seqs_per_alignment(_dedup(spark, d))
+    return alignment.seqs_per_alignment(alignment.complete_regions(_dedup(spark, d), 4))
 
 
 @query("pruned_alignments", """

@@ -120,13 +120,21 @@ def window_counts(windows: DataFrame, sites: DataFrame, width: int, out: str = "
             .select("chrom", "start", "end", "window_no", F.coalesce(out, F.lit(0)).cast("long").alias(out)))
 
 
+def indexed_length(df: DataFrame, chromes: DataFrame) -> DataFrame:
+    """``df`` with the ``length`` of its chromosome. A chromosome that the index lacks is an error and not a
+    reason to lose rows."""
+    known = chromes.select("chrom", "length").where(F.col("length").isNotNull())
+    missing = F.raise_error(F.concat(F.lit("chromosome is not in the index: "), F.coalesce("chrom", F.lit("null"))))
+    return df.join(known, "chrom", "left").withColumn("length", F.coalesce("length", missing.cast("long")))
+
+
 def occupied_windows(sites: DataFrame, chromes: DataFrame, width: int, keys: Sequence[str] = (),
                      out: str = "n") -> DataFrame:
     """Windows that hold at least one 1-bp site, with the count: no window skeleton is laid out."""
     counts = (sites.groupBy(*keys, "chrom", F.floor(F.col("start") / width).alias("window_no"))
               .agg(F.count(F.lit(1)).alias(out)))
     start = F.col("window_no") * F.lit(width)
-    return (counts.join(chromes.select("chrom", "length"), "chrom")
+    return (indexed_length(counts, chromes)
             .select(*keys, "chrom", start.alias("start"), F.least(start + width, "length").alias("end"), "window_no", out))
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basetide.operators.intervals import _explode_range, expand_runs, length_filter, make_windows, merge_intervals
+from basetide.operators.intervals import indexed_length, _explode_range, expand_runs, length_filter, make_windows, merge_intervals
 from basetide.plans.lineage import cut
 from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
@@ -149,6 +149,10 @@ def hmm_tiles(sites: DataFrame, chromes: DataFrame, carry: bool = False, tile_wi
     pieces = cut.select("chrom", "tile", F.greatest("start", base).alias("s"),
                         F.least("end", base + tile_width).alias("e")).distinct()
     pieces = pieces.groupBy("chrom", "tile").agg(F.sort_array(F.collect_list(F.struct("s", "e"))).alias("p"))
+    inside = indexed_length(pieces, chromes)
+    outside = F.raise_error(F.concat(F.lit("sites behind the end of chromosome "), "chrom"))
+    pieces = inside.withColumn("p", F.when(F.col("tile") * tile_width < F.col("length"), F.col("p")).otherwise(
+        outside.cast(pieces.schema["p"].dataType))).drop("length")
     tiles = make_windows(chromes, tile_width).withColumnRenamed("window_no", "tile")
     if carry and "ord" not in chromes.columns:
         raise ValueError("carry needs an `ord` column in chromes")
@@ -230,7 +234,7 @@ def hmm_segment(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmParams
         *[_field("v", c) for c in ("param_id", "v0", "v1")])
     pieces = cut(walked.mapInPandas(walk_tiles, "param_id int, chrom string, start long, end long, num_conserved long"))
     whole = merge_intervals(pieces, 0, keys=("param_id", "chrom"), sums=("num_conserved",), tile_width=tile_width)
-    return (whole.join(chromes.select("chrom", "length"), "chrom")
+    return (indexed_length(whole, chromes)
             .select("param_id", "chrom", "start", "end", "num_conserved", (F.col("start") > 0).alias("opened"),
                     (F.col("end") < F.col("length")).alias("closed")))
 

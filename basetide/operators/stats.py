@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basetide.operators.intervals import indexed_length
 from basetide.plans.ordered import (TILE_WIDTH, Scan, ordered_scan, placed, position_tile,
                                     value_tiles)
 
@@ -135,7 +136,7 @@ def uniform_null(sites: DataFrame, chromes: DataFrame, seed: int = 1) -> DataFra
     start), so a recomputed task draws the same number. Hash: first 12 hex digits of md5 / 2^48."""
     key = F.concat_ws(":", F.lit(str(seed)), F.col("chrom"), F.col("start").cast("string"))
     unit = F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
-    return (sites.select("chrom", "start").join(chromes.select("chrom", "length"), "chrom")
+    return (indexed_length(sites.select("chrom", "start"), chromes)
             .select("chrom", (1 + unit * (F.col("length") - 1)).alias("x")))
 
 

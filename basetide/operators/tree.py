@@ -25,6 +25,8 @@ def ancestor_pairs(nodes: DataFrame) -> DataFrame:
         longer = far.join(onward, ["tree_id", "ancestor"]).select(
             "tree_id", "node", F.col("_next").alias("ancestor"), (F.col("steps") + F.col("_more")).alias("steps"))
         longer = cut(longer)
+        if not longer.where("node = ancestor").isEmpty():
+            raise ValueError("a node is its own ancestor")
         if longer.isEmpty():
             return pairs
         pairs, reach = pairs.unionByName(longer), reach * 2

@@ -81,13 +81,19 @@ def read_wig_fixedstep(spark: SparkSession, path: str | Sequence[str]) -> DataFr
     def field(name: str) -> Column:
         return F.regexp_extract(head, rf"{name}=(\S+)", 1)
 
-    blocks = raw.where(head.rlike(r"chrom=\S+")).select(
+    # what stands before the first block may be empty or track lines; nothing else is passed over
+    lines = F.filter(F.split("value", r"\r?\n"), lambda x: (F.trim(x) != "") & ~x.rlike("^(track|browser|#)"))
+    preface = (F.size(lines) == 0) & ~head.rlike("=")
+    known = head.rlike(r"chrom=\S+") & head.rlike(r"start=\d+") & ~F.contains("value", F.lit("variableStep"))
+    bad_block = F.raise_error(F.concat(F.lit("not a fixedStep block: "), F.substring(head, 1, 80))).cast("boolean")
+    blocks = raw.where(F.when(preface | head.rlike("^(track|browser|#)") & (F.size(lines) == 0), False).when(known, True).otherwise(bad_block)).select(
         field("chrom").alias("chrom"), (field("start").cast("long") - 1).alias("first"),
         F.coalesce(field("step").try_cast("long"), F.lit(1)).alias("step"),
         F.posexplode(F.split(F.trim(F.regexp_replace(body, "\r", "")), r"\s+")).alias("k", "text"))
     start = F.col("first") + F.col("k") * F.col("step")
-    return (blocks.select("chrom", start.alias("start"), (start + 1).alias("end"), F.col("text").try_cast("double").alias("score"))
-            .where(F.col("score").isNotNull()))
+    bad_value = F.raise_error(F.concat(F.lit("not a score: "), "text")).cast("double")
+    score = F.coalesce(F.col("text").try_cast("double"), bad_value)
+    return blocks.where("text <> ''").select("chrom", start.alias("start"), (start + 1).alias("end"), score.alias("score"))
 
 
 def read_maf(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

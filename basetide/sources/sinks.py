@@ -58,7 +58,7 @@ def maf_text(rows: Column | str = "rows") -> Column:
     """Block rows as alignment text, with the "a" line and a closing blank line."""
     r = F.col(rows) if isinstance(rows, str) else rows
     lines = F.transform(r, lambda x: F.concat_ws(
-        " ", F.lit("s"), F.concat_ws(".", x["species"], x["scaffold"]), x["start"].cast("string"),
+        " ", F.lit("s"), F.concat_ws(".", x["species"], F.nullif(x["scaffold"], F.lit(""))), x["start"].cast("string"),
         x["size"].cast("string"), x["strand"], x["src_size"].cast("string"), x["text"]))
     return F.concat(F.lit("a\n"), F.array_join(lines, "\n"), F.lit("\n"))
 

@@ -345,3 +345,34 @@ def test_grid_exceedance_matches_nested_loop(spark):
 def test_param_grid(spark):
     g = grid.param_grid(spark, chrom=["a", "b"], size=[1, 2, 3])
     assert g.count() == 6 and g.columns == ["chrom", "size"]
+
+
+def test_missing_chromosomes_are_errors(spark):
+    from basetide.operators import segment
+
+    sites = spark.createDataFrame([("c1", 5, 6), ("c9", 7, 8)], "chrom string, start long, end long")
+    index = spark.createDataFrame([("c1", 100)], "chrom string, length long")
+    for build in (lambda: intervals.occupied_windows(sites, index, 10), lambda: stats.uniform_null(sites, index),
+                  lambda: segment.hmm_tiles(sites, index, tile_width=16)):
+        with pytest.raises(Exception, match="not in the index: c9"):
+            build().collect()
+    beyond = spark.createDataFrame([("c1", 500, 501)], "chrom string, start long, end long")
+    with pytest.raises(Exception, match="behind the end"):
+        segment.hmm_tiles(beyond, index, tile_width=16).collect()
+
+
+def test_cycles_are_errors(spark):
+    from basetide.operators import tree
+
+    nodes = spark.createDataFrame([(1, "a", "b"), (1, "b", "c"), (1, "c", "a")], "tree_id int, node string, parent string")
+    with pytest.raises(ValueError):
+        tree.ancestor_pairs(nodes)
+
+
+def test_reference_gaps_are_refused(spark):
+    row = "struct<species:string,scaffold:string,start:bigint,size:bigint,strand:string,src_size:bigint,text:string>"
+    blocks = spark.createDataFrame([("c1", 0, 6, [("ref", "c1", 0, 6, "+", 100, "AC--GTTA"), ("x", "s", 0, 8, "+", 100, "ACTTGTTA")])],
+                                   f"chrom string, start long, size long, rows array<{row}>")
+    regions = spark.createDataFrame([("c1", 0, 6)], "chrom string, start long, end long")
+    with pytest.raises(Exception, match="reference gaps"):
+        alignment.fetch_regions(blocks, regions).collect()
