@@ -104,7 +104,7 @@ def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, r
     rows of one (region, species, scaffold) are folded in block order. A piece extends the first
     copy whose last source position is less than ``join_dist`` away and that was not extended in
     this block; otherwise it opens a new copy. Bases a copy does not cover are gaps, so every
-    sequence is as long as its region. A met block whose reference row holds gaps is an error. The group is bounded by the
+    sequence is as long as its region. A met block whose reference row is longer than its size (it holds gaps) is an error. The group is bounded by the
     region: at most one piece per region base and source copy.
 
     Output: region_id, chrom, start, end, species, scaffold, copy, src_start, src_end, seq and the
@@ -118,7 +118,7 @@ def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, r
     # positions are columns only where the reference row has no gap
     reference = F.get("b_rows", F.lit(0))["text"]
     gapped = F.raise_error(F.concat(F.lit("reference gaps in the block at "), "chrom", F.lit(":"), F.col("b_start").cast("string")))
-    rows = F.when(F.contains(reference, F.lit("-")), gapped.cast(met.schema["b_rows"].dataType)).otherwise(F.col("b_rows"))
+    rows = F.when(F.length(reference) != F.col("b_end") - F.col("b_start"), gapped.cast(met.schema["b_rows"].dataType)).otherwise(F.col("b_rows"))
     pieces = met.select("chrom", "start", "end", "b_start", cut_from.alias("at"), cut_to.alias("to"),
                         F.posexplode(rows).alias("row_no", "r"))
     offset = F.col("at") - F.col("b_start")
