@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -40,7 +41,7 @@ class _Table(dict):
 
     def __init__(self, tok):
         super().__init__()
-        self.tok, self.starts, self.lengths, self.flat = tok, [], [], []
+        self.tok, self.starts, self.lengths, self.flat = tok, array("q"), array("q"), array("I")
 
     def __missing__(self, chunk: bytes) -> int:
         ids = self.tok.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -72,9 +73,8 @@ class WordEncoder:
         for text in texts:
             chunks = _chunks(text)
             rows.append(np.fromiter(map(self.table.__getitem__, chunks), np.int64, len(chunks)))
-        starts = np.array(self.table.starts or [0], np.int64)
-        lengths = np.array(self.table.lengths or [0], np.int64)
-        flat = np.array(self.table.flat or [0], np.uint32)
+        starts, lengths = np.array(self.table.starts, np.int64), np.array(self.table.lengths, np.int64)
+        flat = np.array(self.table.flat, np.uint32)
         out = []
         for row in rows:
             n = lengths[row]
