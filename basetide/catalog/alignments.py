@@ -165,9 +165,9 @@ fragment("v_third", """
     SELECT *, g % 3 AS ph, lag(ch, 2) OVER w || lag(ch, 1) OVER w AS ahead, lead(rc, 2) OVER w || lead(rc, 1) OVER w AS back
     FROM v_refch WINDOW w AS (PARTITION BY g ORDER BY pos))
   WHERE CASE WHEN g % 2 = 0
-             THEN pos >= ph + 2 AND (pos - ph) % 3 = 2 AND pos // 60 = (pos - 2) // 60
+             THEN pos >= ph + 2 AND (pos - ph) % 3 = 2
                   AND ahead IN ('AC', 'CC', 'CG', 'CT', 'GC', 'GG', 'GT', 'TC')
-             ELSE pos <= len - 3 - ph AND (len - 1 - ph - pos) % 3 = 2 AND pos // 60 = (pos + 2) // 60
+             ELSE pos <= len - 3 - ph AND (len - 1 - ph - pos) % 3 = 2
                   AND back IN ('AC', 'CC', 'CG', 'CT', 'GC', 'GG', 'GT', 'TC') END""")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basetide.functions.sequences import count_char
@@ -17,9 +17,8 @@ from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 MISSING = "*"
 
 
-def block_columns(blocks: DataFrame, species: Sequence[str]) -> DataFrame:
-    """(pattern, n) per batch of blocks: alignment columns in the given species order, ``*`` where a
-    species has no row. Columns are counted inside the task, so only distinct ones are shuffled."""
+def species_texts(species: Sequence[str]) -> Column:
+    """The first text of each species in a block; ``*`` over its whole width where it has no row."""
     ref = F.get("rows", F.lit(0))["text"]
 
     def text_of(s):
@@ -27,8 +26,13 @@ def block_columns(blocks: DataFrame, species: Sequence[str]) -> DataFrame:
         return F.coalesce(F.try_element_at(F.transform(own, lambda r: r["text"]), F.lit(1)),
                           F.repeat(F.lit(MISSING), F.length(ref)))
 
-    texts = F.transform(F.array(*[F.lit(s) for s in species]), text_of)
-    return (blocks.where(F.size("rows") > 0).select(texts.alias("texts"))
+    return F.transform(F.array(*[F.lit(s) for s in species]), text_of)
+
+
+def block_columns(blocks: DataFrame, species: Sequence[str]) -> DataFrame:
+    """(pattern, n) per batch of blocks: alignment columns in the given species order, ``*`` where a
+    species has no row. Columns are counted inside the task, so only distinct ones are shuffled."""
+    return (blocks.where(F.size("rows") > 0).select(species_texts(species).alias("texts"))
             .mapInPandas(_count_columns, "pattern string, n long"))
 
 
@@ -132,45 +136,95 @@ FOURFOLD_PREFIXES = ("AC", "CC", "CG", "CT", "GC", "GG", "GT", "TC")
 COMPLEMENT = {"A": "T", "C": "G", "G": "C", "T": "A"}
 
 
+def _transcripts(gff: DataFrame) -> DataFrame:
+    """CDS rows with 0-based ends, phase and the transcript they belong to, one row per transcript they name
+    (``transcript_id`` or the comma-separated ``Parent``); a row that names none is a transcript of its own."""
+    place = ["seqid", "strand", "start", "end"]
+    phase = F.coalesce(F.col("phase").try_cast("int"), F.lit(0))
+    cds = gff.where(F.col("type") == "CDS").withColumn("_ph", phase)
+    own = F.concat_ws(":", *place, "_ph")
+    if "attributes" in gff.columns:
+        found = [F.regexp_extract(F.coalesce("attributes", F.lit("")), p, 1)
+                 for p in (r'transcript_id[ =]"?([^";]+)', r"(?:^|;)\s*Parent=([^;]+)")]
+        own = F.coalesce(*[F.nullif(x, F.lit("")) for x in found], own)
+    return cds.select(
+        F.col("seqid").alias("chrom"), (F.coalesce("strand", F.lit("+")) != "-").alias("ahead"), (F.col("start") - 1).alias("s"),
+        F.col("end").alias("e"), F.col("_ph").alias("ph"), F.explode(F.split(own, ",")).alias("transcript")).distinct()
+
+
 def codon_positions(gff: DataFrame) -> DataFrame:
     """CDS features (1-based inclusive, with strand and phase) -> one row per complete codon:
-    chrom, strand and the positions b1, b2, b3 (0-based) of its bases in reading order."""
-    phase = F.coalesce(F.col("phase").try_cast("int"), F.lit(0))
-    cds = gff.where(F.col("type") == "CDS").select(
-        F.col("seqid").alias("chrom"), "strand", (F.col("start") - 1).alias("s"), F.col("end").alias("e"),
-        phase.alias("ph"))
-    n = F.floor((F.col("e") - F.col("s") - F.col("ph")) / 3)
-    codons = cds.where(n > 0).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-    ahead = F.col("strand") != "-"
-    first = F.when(ahead, F.col("s") + F.col("ph") + 3 * F.col("k")).otherwise(
-        F.col("e") - 1 - F.col("ph") - 3 * F.col("k"))
-    way = F.when(ahead, F.lit(1)).otherwise(F.lit(-1))
-    return codons.select("chrom", F.when(ahead, "+").otherwise("-").alias("strand"), first.alias("b1"),
-                         (first + way).alias("b2"), (first + 2 * way).alias("b3")).distinct()
+    chrom, strand and the positions b1, b2, b3 (0-based) of its bases in reading order.
+
+    Codons inside one feature come from its phase alone. The bases left at the ends of features are put together
+    along the transcript; where a phase does not fit the feature before it, reading starts anew and the
+    bases before the phase have no codon. The window runs over the features of one transcript."""
+    n = F.col("e") - F.col("s")
+    w = Window.partitionBy("chrom", "ahead", "transcript").orderBy(F.when(F.col("ahead"), F.col("s")).otherwise(-F.col("e")), n)
+    part = Window.partitionBy("chrom", "ahead", "transcript", "run").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
+    fits = F.col("ph") == F.pmod(F.lag(F.col("ph") - n).over(w), F.lit(3))
+    placed = (_transcripts(gff).withColumn("no", F.row_number().over(w))
+              .withColumn("_new", F.when(F.coalesce(fits, F.lit(False)), 0).otherwise(1))
+              .withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("before", F.coalesce(F.sum(n).over(part), F.lit(0)))
+              .withColumn("skip", F.coalesce(F.first("ph").over(part), F.col("ph"))))
+
+    def base(offset):
+        return F.when(F.col("ahead"), F.col("s") + offset).otherwise(F.col("e") - 1 - offset)
+
+    whole = F.greatest(F.lit(0), F.floor((n - F.col("ph")) / 3))
+    first = F.col("ph") + 3 * F.col("k")
+    inside = (placed.where(whole > 0).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)))
+              .select("chrom", "ahead", base(first).alias("b1"), base(first + 1).alias("b2"), base(first + 2).alias("b3")))
+    head = F.filter(F.array(F.lit(0), F.lit(1)), lambda i: i < F.least("ph", n))
+    tail = F.filter(F.transform(F.array(F.lit(0), F.lit(1)), lambda i: F.col("ph") + 3 * whole + i), lambda i: i < n)
+    rest = placed.withColumn("o", F.explode(F.concat(F.transform(head, lambda i: i.cast("long")), tail)))
+    at = F.col("before") + F.col("o") - F.col("skip")
+    split = (rest.select("chrom", "ahead", "transcript", "run", F.floor(at / 3).alias("codon"), F.pmod(at, F.lit(3)).alias("place"),
+                         base(F.col("o")).alias("pos"))
+             .groupBy("chrom", "ahead", "transcript", "run", "codon")
+             .agg(*[F.max(F.when(F.col("place") == i, F.col("pos"))).alias(f"b{i + 1}") for i in range(3)])
+             .where(F.col("b1").isNotNull() & F.col("b2").isNotNull() & F.col("b3").isNotNull()))
+    return (inside.unionByName(split.select("chrom", "ahead", "b1", "b2", "b3")).distinct()
+            .select("chrom", F.when(F.col("ahead"), "+").otherwise("-").alias("strand"), "b1", "b2", "b3"))
+
+
+def covered_columns(blocks: DataFrame, spans: DataFrame, species: Sequence[str]) -> DataFrame:
+    """(chrom, pos, base, pattern) of the reference positions inside ``spans`` (chrom, start, end) that blocks
+    cover. Only coordinates meet in the interval join; a block is read once and cut in its own row. A reference
+    row longer than the block's size has gaps, which count as no position."""
+    areas = blocks.select("chrom", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
+    met = overlap_join(spans.distinct(), areas)
+    part = F.sequence(F.greatest("start", "b_start"), F.least("end", "b_end") - 1)
+    met = met.groupBy("chrom", F.col("b_start").alias("start"), (F.col("b_end") - F.col("b_start")).alias("size")).agg(
+        F.array_distinct(F.flatten(F.collect_set(part))).alias("_wanted"))
+    ref = F.get("rows", F.lit(0))["text"]
+    letters = F.split(ref, "")
+    bases = F.filter(F.transform(letters, lambda c, i: F.when(c != "-", i)), lambda i: i.isNotNull())
+    wrong = F.raise_error(F.concat(F.lit("the reference row does not match the size of the block at "), "chrom", F.lit(":"),
+                                   F.col("start").cast("string"))).cast("array<int>")
+    gapped = F.when(F.size(bases) == F.col("size"), bases).otherwise(wrong)
+    at = F.when(F.length(ref) == F.col("size"), F.sequence(F.lit(0), F.length(ref) - 1)).otherwise(gapped)
+    cut = (blocks.where(F.size("rows") > 0).join(met, ["chrom", "start", "size"])
+           .select("chrom", "start", species_texts(species).alias("texts"), letters.alias("letters"), at.alias("at"),
+                   F.explode("_wanted").alias("pos"))
+           .withColumn("i", F.get("at", (F.col("pos") - F.col("start")).cast("int"))))
+    pattern = F.array_join(F.transform("texts", lambda t: F.substring(t, F.col("i") + 1, F.lit(1))), "")
+    return cut.select("chrom", "pos", F.upper(F.get("letters", F.col("i"))).alias("base"), pattern.alias("pattern"))
 
 
 def fourfold_columns(blocks: DataFrame, gff: DataFrame, species: Sequence[str]) -> DataFrame:
     """Alignment columns at the third position of codons whose first two reference bases leave the
-    third one free: (chrom, pos, pattern). Codons must lie in one block; reference gaps are taken
-    not to occur, as everywhere positions are read from column numbers."""
-    spans = codon_positions(gff).withColumn("start", F.least("b1", "b3")).withColumn(
-        "end", F.greatest("b1", "b3") + 1)
-    span_of = blocks.select("chrom", "start", (F.col("start") + F.col("size")).alias("end"), "rows")
-    met = overlap_join(spans, span_of).where((F.col("b_start") <= F.col("start")) & (F.col("end") <= F.col("b_end")))
-    ref = F.get("b_rows", F.lit(0))["text"]
-
-    def base(pos: str):
-        raw = F.upper(F.substring(ref, (F.col(pos) - F.col("b_start") + 1).cast("int"), F.lit(1)))
-        return F.when(F.col("strand") == "+", raw).otherwise(F.translate(raw, "".join(COMPLEMENT),
-                                                                         "".join(COMPLEMENT.values())))
-
-    at = (F.col("b3") - F.col("b_start") + 1).cast("int")
-
-    def cell(s):
-        own = F.filter("b_rows", lambda r: r["species"] == s)
-        return F.coalesce(F.try_element_at(F.transform(own, lambda r: F.substring(r["text"], at, F.lit(1))), F.lit(1)),
-                          F.lit(MISSING))
-
-    hits = met.where(F.concat(base("b1"), base("b2")).isin(*FOURFOLD_PREFIXES))
-    pattern = F.array_join(F.transform(F.array(*[F.lit(s) for s in species]), cell), "")
-    return hits.select("chrom", F.col("b3").alias("pos"), pattern.alias("pattern")).distinct()
+    third one free: (chrom, pos, pattern). The three bases may lie in different blocks and features; a codon
+    with a base that no block covers is left out."""
+    cds = _transcripts(gff).select("chrom", F.col("s").alias("start"), F.col("e").alias("end")).where("start < end")
+    columns = covered_columns(blocks, cds, species)
+    bases = codon_positions(gff).select("chrom", "strand", "b1", "b2", "b3",
+                                        F.posexplode(F.array("b1", "b2", "b3")).alias("place", "pos"))
+    raw = F.when(F.col("strand") == "+", F.col("base")).otherwise(
+        F.translate("base", "".join(COMPLEMENT), "".join(COMPLEMENT.values())))
+    read = bases.join(columns, ["chrom", "pos"]).groupBy("chrom", "strand", "b1", "b2", "b3").agg(
+        *[F.max(F.when(F.col("place") == i, raw)).alias(f"x{i}") for i in (0, 1)],
+        F.collect_set(F.when(F.col("place") == 2, F.col("pattern"))).alias("patterns"))
+    hits = read.where(F.concat("x0", "x1").isin(*FOURFOLD_PREFIXES))
+    return hits.select("chrom", F.col("b3").alias("pos"), F.explode("patterns").alias("pattern")).distinct()

@@ -334,6 +334,52 @@ def test_fourfold_columns_by_hand(spark):
     assert got(patterns.fourfold_columns(b, gff, ["ref", "x", "y"])) == [("c", 2, "AC*"), ("c", 8, "TT*")]
 
 
+def test_fourfold_codons_cross_blocks_and_exons(spark):
+    """Random genes of one to five exons on both strands over blocks of 7 bases, some with reference gaps, against a walk
+    along each transcript."""
+    r = random.Random(5)
+    ref, other = ("".join(r.choice("ACGT") for _ in range(400)) for _ in "ab")
+    schema = ("block_id long, chrom string, start long, size long, rows array<struct<species:string,scaffold:string,"
+              "start:long,size:long,strand:string,src_size:long,text:string>>")
+    blocks, hole = [], 21 * 7
+    for s in range(0, 400, 7):
+        if s == hole:
+            continue
+        a, b = ref[s:s + 7], other[s:s + 7]
+        if r.random() < 0.3:
+            a, b = a[:3] + "--" + a[3:], b[:3] + "GG" + b[3:]
+        blocks.append((s, "c", s, len(ref[s:s + 7]), [("ref", "c", s, 7, "+", 400, a), ("x", "y", s, 7, "+", 400, b)]))
+    genes, want = [], set()
+    for g in range(30):
+        cuts = sorted(r.sample(range(400), 2 * r.randint(1, 5)))
+        exons = [(s, e) for s, e in zip(cuts[::2], cuts[1::2])]
+        strand = r.choice("+-")
+        read = exons if strand == "+" else exons[::-1]
+        lead = r.randint(0, 2) if read[0][1] - read[0][0] > 2 else 0
+        done, bases = 0, []
+        for s, e in read:
+            genes.append(("c", "CDS", s + 1, e, strand, str((lead - done) % 3), f"ID=cds{g};Parent=t{g}"))
+            done += e - s
+            bases += range(s, e) if strand == "+" else range(e - 1, s - 1, -1)
+        for i in range(lead, len(bases) - 2, 3):
+            three = bases[i:i + 3]
+            if any(hole <= p < hole + 7 for p in three):
+                continue
+            text = "".join(ref[p] if strand == "+" else dict(zip("ACGT", "TGCA"))[ref[p]] for p in three[:2])
+            if text in patterns.FOURFOLD_PREFIXES:
+                want.add(("c", three[2], ref[three[2]] + other[three[2]] + "*"))
+    gff = spark.createDataFrame(genes, "seqid string, type string, start long, end long, strand string, phase string, attributes string")
+    out = got(patterns.fourfold_columns(spark.createDataFrame(blocks, schema), gff, ["ref", "x", "none"]))
+    assert out == sorted(want) and len(want) > 100
+
+
+def test_codons_restart_where_phases_do_not_fit(spark):
+    rows = [("c", "CDS", 1, 4, "+", "0", "Parent=t"), ("c", "CDS", 11, 15, "+", "1", "Parent=t"), ("c", "CDS", 21, 22, "+", "2", "Parent=t,u")]
+    gff = spark.createDataFrame(rows, "seqid string, type string, start long, end long, strand string, phase string, attributes string")
+    # 0-2 is whole, base 3 has no partner; 10 lies before the phase, 11-13 is whole, 14 goes on with 20 and 21
+    assert got(patterns.codon_positions(gff)) == [("c", "+", 0, 1, 2), ("c", "+", 11, 12, 13), ("c", "+", 14, 20, 21)]
+
+
 def test_grid_exceedance_matches_nested_loop(spark):
     r = random.Random(2)
     data = [(r.uniform(-8, 8), float(r.randint(-8, 8))) for _ in range(80)]
