@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from basetide import adapters as A
-from basetide.catalog.common import as_long, fragment, query, r6
+from basetide.catalog.common import FRAGMENTS, as_long, fragment, query, r6
 from basetide.operators import grid, segment
 from basetide.operators.segment import HmmParams
 from basetide.plans import pipelines
@@ -23,9 +25,12 @@ def _hours(spark, d):
     return cons.withColumn("end", F.col("start") + 1), lengths
 
 
-fragment("v_par", "SELECT * FROM (VALUES " + ", ".join(
-    f"({p.param_id}, {', '.join(f'CAST({v!r} AS DOUBLE)' for v in p.clamped())})" for p in PARAMS)
-    + ") t(param_id, t0, t1, e0, e1, s0)")
+def _sets_sql(sets) -> str:
+    rows = ", ".join(f"({p.param_id}, {', '.join(f'CAST({v!r} AS DOUBLE)' for v in p.clamped())})" for p in sets)
+    return f"SELECT * FROM (VALUES {rows}) t(param_id, t0, t1, e0, e1, s0)"
+
+
+fragment("v_par", _sets_sql(PARAMS))
 fragment("v_hlen", "SELECT chrom, (length - 1) // 3600 + 1 AS length FROM v_chromes")
 fragment("v_hcons", "SELECT DISTINCT chrom, start // 3600 AS pos FROM v_cons")
 fragment("v_sym", """
@@ -77,7 +82,7 @@ fragment("v_kept", """
   FROM v_class WHERE opened AND closed AND length_class = 'kept'""")
 
 
-@query("hmm_summary", f"""
+SUMMARY_SQL = f"""
   SELECT p.param_id, l.chrom, l.length, c.n AS conserved_sites, coalesce(e.total, 0) AS total_elements,
          coalesce(e.short, 0) AS too_short, coalesce(e.long, 0) AS too_long,
          coalesce(e.total - e.short - e.long, 0) AS final_elements,
@@ -93,7 +98,10 @@ fragment("v_kept", """
              FROM v_class GROUP BY ALL) e ON e.param_id = p.param_id AND e.chrom = l.chrom
   LEFT JOIN (SELECT param_id, chrom, sum(len) AS len, coalesce(sum(gap), 0) AS gap, sum(num_conserved) AS cons,
                     sum(num_conserved / len) AS dens FROM v_kept GROUP BY ALL) k
-  ON k.param_id = p.param_id AND k.chrom = l.chrom""")
+  ON k.param_id = p.param_id AND k.chrom = l.chrom"""
+
+
+@query("hmm_summary", SUMMARY_SQL)
 def hmm_summary(spark, d):
     cons, lengths = _hours(spark, d)
     stretches = segment.hmm_segment(cons, lengths, PARAMS, tile_width=128)
@@ -128,12 +136,35 @@ GRID = [HmmParams(i, t0, t1, e0, e1, 1.0) for i, (t0, t1, e0, e1) in enumerate(
     (t0, t1, e0, e1) for t0 in (0.5, 0.8, 0.9) for t1 in (0.5, 0.8, 0.9) for e0 in (0.6, 0.8) for e1 in (0.3, 0.8))]
 
 
-@query("hmm_grid")
+#: The same texts over the grid: every fragment that depends on the parameter sets under a second name.
+BY_SET = ("v_par", "v_first", "v_filter", "v_states", "v_stretch", "v_class", "v_kept")
+
+
+def _over_grid(sql: str) -> str:
+    return re.sub(rf"\b({'|'.join(BY_SET)})\b", r"\1_grid", sql)
+
+
+fragment("v_par_grid", _sets_sql(GRID))
+for _name in BY_SET[1:]:
+    fragment(f"{_name}_grid", _over_grid(FRAGMENTS[_name]))
+fragment("v_summary_grid", _over_grid(SUMMARY_SQL))
+
+
+@query("hmm_grid", """
+  SELECT *, round(t0_0 / t1_1, 6) AS t_ratio, round(t0_0 - t1_1, 6) AS t_diff, round(t0_0 * t1_1, 6) AS t_prod,
+         CAST(t0_0 AS VARCHAR) || '-' || CAST(t1_1 AS VARCHAR) AS t_key,
+         round(e0_0 / e1_1, 6) AS e_ratio, round(e0_0 - e1_1, 6) AS e_diff, round(e0_0 * e1_1, 6) AS e_prod,
+         CAST(e0_0 AS VARCHAR) || '-' || CAST(e1_1 AS VARCHAR) AS e_key,
+         round(CASE WHEN conserved_sites > 0 THEN sites_in_elements / conserved_sites END, 6) AS share_in_elements
+  FROM v_summary_grid""")
 def hmm_grid(spark, d):
     """Summary of a whole parameter grid with the derived grid columns."""
     cons, lengths = _hours(spark, d)
     stretches = segment.hmm_segment(cons, lengths, GRID, tile_width=128)
-    return grid.hmm_grid_features(segment.hmm_summary(stretches, cons, lengths, GRID, MIN_LEN, MAX_LEN))
+    out = grid.hmm_grid_features(segment.hmm_summary(stretches, cons, lengths, GRID, MIN_LEN, MAX_LEN))
+    for c in ("mean_length", "mean_gap", "mean_density", "t_ratio", "t_diff", "t_prod", "e_ratio", "e_diff", "e_prod", "share_in_elements"):
+        out = out.withColumn(c, F.round(c, 6))
+    return as_long(out, "sites_in_elements")
 
 
 @query("grid_features", """

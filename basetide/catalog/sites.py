@@ -213,10 +213,16 @@ def chisq_uniform(spark, d):
     return out.withColumn("statistic", F.round("statistic", 6))
 
 
-@query("chisq_uniform_p")
+@query("chisq_uniform_p", """
+  SELECT chrom, bins, total, round(statistic, 6) AS statistic, df,
+         round(greatest(0, 1 - list_sum(list_transform(range(0, CAST(statistic + 40 * sqrt(statistic) + 300 AS BIGINT)),
+           lambda k: exp((df / 2 + k) * ln(statistic / 2) - statistic / 2 - lgamma(df / 2 + k + 1))))), 6) AS p_value
+  FROM (SELECT chrom, count(*) AS bins, CAST(sum(n) AS BIGINT) AS total, sum(pow(n - e, 2) / e) AS statistic, count(*) - 1 AS df
+        FROM (SELECT *, sum(n) OVER (PARTITION BY chrom) / count(*) OVER (PARTITION BY chrom) AS e FROM v_bins)
+        GROUP BY chrom)""")
 def chisq_uniform_p(spark, d):
-    out = stats.chisq_uniform(intervals.binned_counts(_conserved_table(spark, d), A.chromes(spark, d), 10000))
-    return stats.with_chisq_p(out)
+    out = stats.with_chisq_p(stats.chisq_uniform(intervals.binned_counts(_conserved_table(spark, d), A.chromes(spark, d), 10000)))
+    return out.withColumn("statistic", F.round("statistic", 6)).withColumn("p_value", F.round("p_value", 6))
 
 
 @query("chisq_by_length", """
