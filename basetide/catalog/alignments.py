@@ -212,8 +212,34 @@ def fetched_regions(spark, d):
 @query("long_features", """
   SELECT region_id, species, seq FROM v_fetched WHERE "end" - start >= 200""")
 def long_features(spark, d):
-    out = alignment.concat_blocks(A.blocks(spark, d), _regions(spark, d), 200, ref="doc", bin_width=240)
-    return out.select("region_id", "species", "seq")
+    regions = _regions(spark, d).where(F.col("end") - F.col("start") >= 200)
+    return alignment.fetch_regions(A.blocks(spark, d), regions, ref="doc", bin_width=240).select("region_id", "species", "seq")
+
+
+# two of three windows are features, so groups run over holes; the shortest pieces have 10 columns
+fragment("v_piece", """
+  SELECT g, chrom, start, "end", "end" - start AS len, row_number() OVER (PARTITION BY g ORDER BY start) AS no
+  FROM (SELECT r.g, r.chrom, greatest(r.start, b.start) AS start, least(r."end", b.start + b.size) AS "end"
+        FROM v_regions r JOIN v_blocks b ON r.g = b.g AND r.start < b.start + b.size AND b.start < r."end"
+        WHERE r.start // 250 % 3 <> 1)""")
+fragment("v_group", """
+  SELECT g, no, 1 AS group_no, len AS acc FROM v_piece WHERE no = 1
+  UNION ALL
+  SELECT p.g, p.no, CASE WHEN q.acc >= 200 THEN q.group_no + 1 ELSE q.group_no END, CASE WHEN q.acc >= 200 THEN 0 ELSE q.acc END + p.len
+  FROM v_group q JOIN v_piece p ON p.g = q.g AND p.no = q.no + 1""")
+
+
+@query("concatenated_blocks", """
+  SELECT p.chrom, CAST(o.group_no AS BIGINT) AS group_no, min(p.start) AS start, max(p."end") AS "end",
+         CAST(count(*) AS INTEGER) AS n_pieces, CAST(sum(p.len) AS INTEGER) AS width, 'sp' || d.s AS species,
+         string_agg(rpad(substr(d.text, p.start + 1, p.len), CAST(p.len AS INTEGER), '-'), '' ORDER BY p.start) AS seq
+  FROM v_piece p JOIN v_group o ON p.g = o.g AND p.no = o.no JOIN v_docs d ON p.g = d.g
+  GROUP BY p.chrom, o.group_no, d.s HAVING bool_or(d.len > p.start // 60 * 60)""")
+def concatenated_blocks(spark, d):
+    features = _regions(spark, d).where(F.floor(F.col("start") / 250) % 3 != 1)
+    out = alignment.concat_blocks(A.blocks(spark, d), features, 200, tile_width=1024)
+    return out.select("chrom", "group_no", "start", "end", "n_pieces", "width", F.explode("rows").alias("r")).select(
+        "chrom", "group_no", "start", "end", "n_pieces", "width", "r.species", F.col("r.text").alias("seq"))
 
 
 @query("region_loci", """

@@ -243,6 +243,94 @@ def validate_reference(aln: DataFrame, genome: DataFrame, ref_species: str, chun
         "matches", F.coalesce(F.upper("genome_seq") == F.upper("seq"), F.lit(False)))
 
 
-def concat_blocks(blocks: DataFrame, features: DataFrame, min_size: int = 200, **kw) -> DataFrame:
-    """Stitched alignments of the features that are at least ``min_size`` long."""
-    return fetch_regions(blocks, features.where(F.col("end") - F.col("start") >= min_size), **kw)
+def cut_blocks(blocks: DataFrame, features: DataFrame) -> DataFrame:
+    """Blocks cut to the features they meet: block_id, chrom, start, end, width (columns) and rows (species, text), one
+    row per block and distinct stretch. Only coordinates meet in the interval join. Reference gaps between two bases of
+    a stretch stay in it; a reference row shorter than the block's size is an error."""
+    areas = blocks.select("block_id", "chrom", "start", (F.col("start") + F.col("size")).alias("end"))
+    met = overlap_join(features.select("chrom", "start", "end").where("start < end").distinct(), areas)
+    spans = met.select(F.col("b_block_id").alias("block_id"), F.greatest("start", "b_start").alias("at"), F.least("end", "b_end").alias("to"))
+    spans = spans.groupBy("block_id").agg(F.collect_set(F.struct("at", "to")).alias("_spans"))
+    ref = F.get("rows", F.lit(0))["text"]
+    bases = F.filter(F.transform(F.split(ref, ""), lambda c, i: F.when(c != "-", i)), lambda i: i.isNotNull())
+    wrong = F.raise_error(F.concat(F.lit("the reference row does not match the size of block "), F.col("block_id").cast("string")))
+    at = (F.when(F.length(ref) == F.col("size"), F.sequence(F.lit(0), F.length(ref) - 1))
+          .when(F.size(bases) == F.col("size"), bases).otherwise(wrong.cast("array<int>")))
+    cut = blocks.join(spans, "block_id").select(
+        "block_id", "chrom", "start", first_per_species().alias("rows"), at.alias("cols"), F.explode("_spans").alias("span"))
+    first = F.get("cols", (F.col("span.at") - F.col("start")).cast("int"))
+    width = F.get("cols", (F.col("span.to") - F.col("start") - 1).cast("int")) - first + 1
+    rows = F.transform("rows", lambda r: F.struct(r["species"].alias("species"), F.substring(r["text"], F.col("first") + 1, F.col("width")).alias("text")))
+    return (cut.select("block_id", "chrom", F.col("span.at").alias("start"), F.col("span.to").alias("end"), first.alias("first"),
+                       width.alias("width"), "rows")
+            .select("block_id", "chrom", "start", "end", "width", rows.alias("rows")))
+
+
+def _pass_through(widths: np.ndarray, state: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Columns of the open group (0: none yet, ``size``: full) and groups opened, for all entry states at once."""
+    opened = np.zeros_like(state)
+    for w in widths:
+        new = (state == 0) | (state >= size)
+        opened += new
+        state = np.minimum(np.where(new, w, state + w), size)
+    return state, opened
+
+
+def concat_groups(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """Add ``group_no``: consecutive pieces of a chromosome (chrom, start, end, block_id, width) are put together until
+    they hold ``min_size`` columns. What is left at the end of a chromosome is a group too.
+
+    Where a group ends depends on where it began, so a running sum cannot tell. A tile is a function from the columns
+    that are open at its start to those at its end: tiles tabulate it for the ``min_size + 1`` possible values, one row
+    per tile is followed along the chromosome, and tiles number their pieces from the state they are given."""
+    keys = pieces.select("chrom", "start", "end", "block_id", "width").withColumn("tile", position_tile("start", tile_width))
+    order = ["start", "end", "block_id"]
+
+    def tabulate(pdf: pd.DataFrame) -> pd.DataFrame:
+        state, opened = _pass_through(pdf.sort_values(order)["width"].to_numpy(), np.arange(min_size + 1), min_size)
+        return pd.DataFrame({"chrom": pdf["chrom"].iloc[:1], "tile": pdf["tile"].iloc[:1], "to": [state], "opened": [opened]})
+
+    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+        state, group, rows = 0, 0, []
+        for r in pdf.sort_values("tile").itertuples():
+            rows.append((r.chrom, r.tile, state, group))
+            state, group = int(r.to[state]), group + int(r.opened[state])
+        return pd.DataFrame(rows, columns=["chrom", "tile", "state", "before"])
+
+    def number(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order)
+        state, group, out = int(pdf["state"].iloc[0]), int(pdf["before"].iloc[0]), []
+        for w in pdf["width"].to_numpy():
+            if state == 0 or state >= min_size:
+                state, group = 0, group + 1
+            state = min(state + int(w), min_size)
+            out.append(group)
+        return pdf.assign(group_no=np.array(out, np.int64))[["chrom", *order, "group_no"]]
+
+    tables = keys.groupBy("chrom", "tile").applyInPandas(tabulate, "chrom string, tile long, to array<long>, opened array<long>")
+    entries = tables.groupBy("chrom").applyInPandas(follow, "chrom string, tile long, state long, before long")
+    numbered = keys.join(entries, ["chrom", "tile"]).groupBy("chrom", "tile").applyInPandas(
+        number, "chrom string, start long, end long, block_id long, group_no long")
+    return pieces.join(numbered, ["chrom", *order])
+
+
+def concat_blocks(blocks: DataFrame, features: DataFrame, min_size: int = 200, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """Blocks cut to the features and put together, in order, until they hold ``min_size`` columns: chrom, group_no
+    (from 1), start and end (of the first and last piece), n_pieces, width and rows (species, text). No piece is left out,
+    however short. A species without a row in a piece has gaps there. A group holds ``min_size`` pieces at most."""
+    pieces = concat_groups(cut_blocks(blocks, features), min_size, tile_width)
+    groups = pieces.groupBy("chrom", "group_no").agg(
+        F.sort_array(F.collect_list(F.struct("start", "end", "block_id", "width", "rows"))).alias("parts"))
+    names = F.array_distinct(F.flatten(F.transform("parts", lambda p: F.transform(p["rows"], lambda r: r["species"]))))
+
+    def text_of(name: Column) -> Column:
+        def part(p: Column) -> Column:
+            own = F.filter(p["rows"], lambda r: r["species"] == name)
+            return F.coalesce(F.get(F.transform(own, lambda r: r["text"]), F.lit(0)), F.repeat(F.lit("-"), p["width"]))
+
+        return F.array_join(F.transform("parts", part), "")
+
+    rows = F.transform(names, lambda n: F.struct(n.alias("species"), text_of(n).alias("text")))
+    return groups.select("chrom", "group_no", F.get("parts", F.lit(0))["start"].alias("start"),
+                         F.array_max(F.transform("parts", lambda p: p["end"])).alias("end"), F.size("parts").alias("n_pieces"),
+                         F.aggregate("parts", F.lit(0), lambda a, p: a + p["width"]).alias("width"), rows.alias("rows"))

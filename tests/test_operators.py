@@ -373,6 +373,41 @@ def test_fourfold_codons_cross_blocks_and_exons(spark):
     assert out == sorted(want) and len(want) > 100
 
 
+def test_blocks_are_put_together_and_none_is_dropped(spark):
+    """Blocks of 1 to 9 bases, some with reference gaps, cut to features and joined up to 12 columns, against a loop."""
+    r = random.Random(8)
+    schema = ("block_id long, chrom string, start long, size long, rows array<struct<species:string,scaffold:string,"
+              "start:long,size:long,strand:string,src_size:long,text:string>>")
+    blocks, features, pieces = [], [], []
+    for chrom in ("c", "d"):
+        features += [(chrom, s, s + 11) for s in range(0, 300, 16)]
+        at = 0
+        while at < 300:
+            n = r.randint(1, 9)
+            text = "".join(r.choice("ACGT") for _ in range(n))
+            ref = text[:n // 2] + "-" * r.choice([0, 0, 2]) + text[n // 2:]
+            rows = [("ref", chrom, at, n, "+", 300, ref)] + [
+                (x, "s", 0, n, "+", 300, "".join(r.choice("ACGT-") for _ in ref)) for x in ("x", "y") if r.random() < 0.5]
+            no = len(blocks)
+            blocks.append((no, chrom, at, n, rows))
+            cols = [i for i, ch in enumerate(ref) if ch != "-"]
+            for _, s, e in [f for f in features if f[0] == chrom and f[1] < at + n and at < f[2]]:
+                lo, hi = cols[max(s, at) - at], cols[min(e, at + n) - 1 - at] + 1
+                pieces.append((chrom, max(s, at), min(e, at + n), hi - lo, {x[0]: x[6][lo:hi] for x in rows}))
+            at += n
+    want, open_ = [], None
+    for p in sorted(pieces, key=lambda p: p[:3]):
+        if open_ is None or open_[0][0] != p[0] or sum(q[3] for q in open_) >= 12:
+            open_ = []
+            want.append(open_)
+        open_.append(p)
+    text = lambda g, s: "".join(p[4].get(s, "-" * p[3]) for p in g)
+    want = sorted((g[0][0], g[0][1], g[-1][2], s, text(g, s)) for g in want for s in {s for p in g for s in p[4]})
+    out = alignment.concat_blocks(spark.createDataFrame(blocks, schema), spark.createDataFrame(features, IV), 12, tile_width=32)
+    rows = out.selectExpr("chrom", "start", "end", "inline(rows)")
+    assert got(rows) == want
+
+
 def test_codons_restart_where_phases_do_not_fit(spark):
     rows = [("c", "CDS", 1, 4, "+", "0", "Parent=t"), ("c", "CDS", 11, 15, "+", "1", "Parent=t"), ("c", "CDS", 21, 22, "+", "2", "Parent=t,u")]
     gff = spark.createDataFrame(rows, "seqid string, type string, start long, end long, strand string, phase string, attributes string")
