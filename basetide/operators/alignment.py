@@ -96,36 +96,49 @@ def subset_species(blocks: DataFrame, species: Sequence[str], unique: bool = Tru
     return blocks.withColumn("rows", kept).where(F.size("rows") > 0)
 
 
+def meet_areas(blocks: DataFrame, areas: DataFrame, bin_width: int | None = None) -> DataFrame:
+    """Blocks that overlap an area (chrom, start, end and more columns), with ``areas``, the list of all they overlap.
+
+    Coordinates alone go through the interval join; the rows of a block are moved once, by one equi-join, however many
+    areas it meets, and not at all where it meets none."""
+    keys = ["chrom", "start", "size"]
+    spans = blocks.select(*keys, (F.col("start") + F.col("size")).alias("end")).distinct()
+    rest = [c for c in areas.columns if c != "chrom"]
+    met = (overlap_join(areas, spans, bin_width=bin_width)
+           .groupBy("chrom", F.col("b_start").alias("start"), F.col("b_size").alias("size"))
+           .agg(F.collect_list(F.struct(*rest)).alias("areas")))
+    return blocks.join(met, keys).select(*blocks.columns, "areas")
+
+
 def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, ref: str = "ref",
                   bin_width: int | None = None) -> DataFrame:
     """Stitched alignment of every region: one row per (region, species, scaffold, copy).
 
-    Blocks meet regions through the binned interval join; each block row is cut to the region and
+    Blocks meet regions through ``meet_areas``; each block row is cut to the region and
     rows of one (region, species, scaffold) are folded in block order. A piece extends the first
     copy whose last source position is less than ``join_dist`` away and that was not extended in
     this block; otherwise it opens a new copy. Bases a copy does not cover are gaps, so every
-    sequence is as long as its region. A met block whose reference row is longer than its size (it holds gaps) is an error. The group is bounded by the
-    region: at most one piece per region base and source copy.
+    sequence is as long as its region. A met block whose reference row is longer than its size (it holds gaps)
+    is an error. The group is bounded by the region: at most one piece per region base and source copy.
 
     Output: region_id, chrom, start, end, species, scaffold, copy, src_start, src_end, seq and the
     file order of the record (first_block, first_row, copy).
     """
     areas = regions.select("chrom", "start", "end").distinct()
-    met = overlap_join(areas, blocks.select("chrom", "start", (F.col("start") + F.col("size")).alias("end"), "rows"),
-                       bin_width=bin_width)
-    cut_from = F.greatest("start", "b_start")
-    cut_to = F.least("end", "b_end")
-    # positions are columns only where the reference row has no gap
-    reference = F.get("b_rows", F.lit(0))["text"]
-    gapped = F.raise_error(F.concat(F.lit("reference gaps in the block at "), "chrom", F.lit(":"), F.col("b_start").cast("string")))
-    rows = F.when(F.length(reference) != F.col("b_end") - F.col("b_start"), gapped.cast(met.schema["b_rows"].dataType)).otherwise(F.col("b_rows"))
-    pieces = met.select("chrom", "start", "end", "b_start", cut_from.alias("at"), cut_to.alias("to"),
-                        F.posexplode(rows).alias("row_no", "r"))
+    fits = F.length(F.get("rows", F.lit(0))["text"]) == F.col("size")
+    met = (meet_areas(blocks, areas, bin_width)
+           .select("chrom", F.col("start").alias("b_start"), (F.col("start") + F.col("size")).alias("b_end"), fits.alias("fits"), "rows",
+                   F.explode("areas").alias("area"))
+           .select("chrom", "area.*", "b_start", "b_end", "fits", "rows"))
+    pieces = met.select("chrom", "start", "end", "b_start", F.greatest("start", "b_start").alias("at"), F.least("end", "b_end").alias("to"),
+                        "fits", F.posexplode("rows").alias("row_no", "r"))
     offset = F.col("at") - F.col("b_start")
+    # positions are columns only where the reference row has no gap; asked behind the join, where only met blocks are left
+    gapped = F.raise_error(F.concat(F.lit("reference gaps in the block at "), "chrom", F.lit(":"), F.col("b_start").cast("string")))
+    seq = F.when(F.col("fits"), slice_seq("r.text", offset, F.col("to") - F.col("b_start"))).otherwise(gapped.cast("string"))
     piece = F.struct(
         F.col("at"), F.col("row_no"), F.col("r.start").alias("src"), offset.alias("offset"),
-        (F.col("r.start") + ungapped_length("r.text")).alias("src_last"),
-        slice_seq("r.text", offset, F.col("to") - F.col("b_start")).alias("seq"))
+        (F.col("r.start") + ungapped_length("r.text")).alias("src_last"), seq.alias("seq"))
     groups = (pieces.groupBy("chrom", "start", "end", F.col("r.species").alias("species"),
                              F.col("r.scaffold").alias("scaffold"))
               .agg(F.sort_array(F.collect_list(piece)).alias("pieces")))
@@ -247,17 +260,16 @@ def cut_blocks(blocks: DataFrame, features: DataFrame) -> DataFrame:
     """Blocks cut to the features they meet: block_id, chrom, start, end, width (columns) and rows (species, text), one
     row per block and distinct stretch. Only coordinates meet in the interval join. Reference gaps between two bases of
     a stretch stay in it; a reference row shorter than the block's size is an error."""
-    areas = blocks.select("block_id", "chrom", "start", (F.col("start") + F.col("size")).alias("end"))
-    met = overlap_join(features.select("chrom", "start", "end").where("start < end").distinct(), areas)
-    spans = met.select(F.col("b_block_id").alias("block_id"), F.greatest("start", "b_start").alias("at"), F.least("end", "b_end").alias("to"))
-    spans = spans.groupBy("block_id").agg(F.collect_set(F.struct("at", "to")).alias("_spans"))
+    met = meet_areas(blocks, features.select("chrom", "start", "end").where("start < end").distinct())
+    inside = F.transform("areas", lambda a: F.struct(F.greatest(a["start"], F.col("start")).alias("at"),
+                                                     F.least(a["end"], F.col("start") + F.col("size")).alias("to")))
     ref = F.get("rows", F.lit(0))["text"]
     bases = F.filter(F.transform(F.split(ref, ""), lambda c, i: F.when(c != "-", i)), lambda i: i.isNotNull())
     wrong = F.raise_error(F.concat(F.lit("the reference row does not match the size of block "), F.col("block_id").cast("string")))
     at = (F.when(F.length(ref) == F.col("size"), F.sequence(F.lit(0), F.length(ref) - 1))
           .when(F.size(bases) == F.col("size"), bases).otherwise(wrong.cast("array<int>")))
-    cut = blocks.join(spans, "block_id").select(
-        "block_id", "chrom", "start", first_per_species().alias("rows"), at.alias("cols"), F.explode("_spans").alias("span"))
+    cut = met.select("block_id", "chrom", "start", first_per_species().alias("rows"), at.alias("cols"),
+                     F.explode(F.array_distinct(inside)).alias("span"))
     first = F.get("cols", (F.col("span.at") - F.col("start")).cast("int"))
     width = F.get("cols", (F.col("span.to") - F.col("start") - 1).cast("int")) - first + 1
     rows = F.transform("rows", lambda r: F.struct(r["species"].alias("species"), F.substring(r["text"], F.col("first") + 1, F.col("width")).alias("text")))
@@ -278,13 +290,16 @@ def _pass_through(widths: np.ndarray, state: np.ndarray, size: int) -> tuple[np.
 
 def concat_groups(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH) -> DataFrame:
     """Add ``group_no``: consecutive pieces of a chromosome (chrom, start, end, block_id, width) are put together until
-    they hold ``min_size`` columns. What is left at the end of a chromosome is a group too.
+    they hold ``min_size`` columns. What is left at the end of a chromosome is a group too. Pieces equal in place and
+    content are one step and stay together.
 
     Where a group ends depends on where it began, so a running sum cannot tell. A tile is a function from the columns
     that are open at its start to those at its end: tiles tabulate it for the ``min_size + 1`` possible values, one row
     per tile is followed along the chromosome, and tiles number their pieces from the state they are given."""
-    keys = pieces.select("chrom", "start", "end", "block_id", "width").withColumn("tile", position_tile("start", tile_width))
-    order = ["start", "end", "block_id"]
+    order = ["start", "end", "block_id", "content"]
+    pieces = pieces.withColumn("content", F.xxhash64("rows"))
+    keys = (pieces.groupBy("chrom", *order).agg(F.sum("width").alias("width"))
+            .withColumn("tile", position_tile("start", tile_width)))
 
     def tabulate(pdf: pd.DataFrame) -> pd.DataFrame:
         state, opened = _pass_through(pdf.sort_values(order)["width"].to_numpy(), np.arange(min_size + 1), min_size)
@@ -310,8 +325,8 @@ def concat_groups(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH
     tables = keys.groupBy("chrom", "tile").applyInPandas(tabulate, "chrom string, tile long, to array<long>, opened array<long>")
     entries = tables.groupBy("chrom").applyInPandas(follow, "chrom string, tile long, state long, before long")
     numbered = keys.join(entries, ["chrom", "tile"]).groupBy("chrom", "tile").applyInPandas(
-        number, "chrom string, start long, end long, block_id long, group_no long")
-    return pieces.join(numbered, ["chrom", *order])
+        number, "chrom string, start long, end long, block_id long, content long, group_no long")
+    return pieces.join(numbered, ["chrom", *order]).drop("content")
 
 
 def concat_blocks(blocks: DataFrame, features: DataFrame, min_size: int = 200, tile_width: int = TILE_WIDTH) -> DataFrame:

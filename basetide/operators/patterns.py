@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basetide.functions.sequences import count_char
-from basetide.operators.alignment import char_matrix
-from basetide.operators.intervals import overlap_join
+from basetide.operators.alignment import char_matrix, meet_areas
+from basetide.plans.lineage import cut
 from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
 MISSING = "*"
@@ -54,7 +54,8 @@ def site_patterns(columns: DataFrame) -> DataFrame:
     for the numbering, whatever the patterns look like.
     """
     n = F.sum("n") if "n" in columns.columns else F.count(F.lit(1))
-    counts = columns.groupBy("pattern").agg(n.cast("long").alias("n")).withColumn("_h", F.md5("pattern"))
+    # the numbering reads the counts twice, the alignment only once
+    counts = cut(columns.groupBy("pattern").agg(n.cast("long").alias("n"))).withColumn("_h", F.md5("pattern"))
     tiled = counts.withColumn("_tile", F.substring("_h", 1, 4)).withColumn("_one", F.lit(1).cast("long"))
     out = ordered_scan(tiled, [], ["_h", "pattern"], "_tile", [Scan("idx", "sum", "_one", inclusive=False)])
     return out.select("idx", "pattern", "n")
@@ -193,11 +194,9 @@ def covered_columns(blocks: DataFrame, spans: DataFrame, species: Sequence[str])
     """(chrom, pos, base, pattern) of the reference positions inside ``spans`` (chrom, start, end) that blocks
     cover. Only coordinates meet in the interval join; a block is read once and cut in its own row. A reference
     row longer than the block's size has gaps, which count as no position."""
-    areas = blocks.select("chrom", "start", (F.col("start") + F.col("size")).alias("end")).distinct()
-    met = overlap_join(spans.distinct(), areas)
-    part = F.sequence(F.greatest("start", "b_start"), F.least("end", "b_end") - 1)
-    met = met.groupBy("chrom", F.col("b_start").alias("start"), (F.col("b_end") - F.col("b_start")).alias("size")).agg(
-        F.array_distinct(F.flatten(F.collect_set(part))).alias("_wanted"))
+    part = F.transform("areas", lambda a: F.sequence(F.greatest(a["start"], F.col("start")),
+                                                     F.least(a["end"], F.col("start") + F.col("size")) - 1))
+    met = meet_areas(blocks.where(F.size("rows") > 0), spans.distinct()).withColumn("_wanted", F.array_distinct(F.flatten(part)))
     ref = F.get("rows", F.lit(0))["text"]
     letters = F.split(ref, "")
     bases = F.filter(F.transform(letters, lambda c, i: F.when(c != "-", i)), lambda i: i.isNotNull())
@@ -205,12 +204,11 @@ def covered_columns(blocks: DataFrame, spans: DataFrame, species: Sequence[str])
                                    F.col("start").cast("string"))).cast("array<int>")
     gapped = F.when(F.size(bases) == F.col("size"), bases).otherwise(wrong)
     at = F.when(F.length(ref) == F.col("size"), F.sequence(F.lit(0), F.length(ref) - 1)).otherwise(gapped)
-    cut = (blocks.where(F.size("rows") > 0).join(met, ["chrom", "start", "size"])
-           .select("chrom", "start", species_texts(species).alias("texts"), letters.alias("letters"), at.alias("at"),
+    cells = (met.select("chrom", "start", species_texts(species).alias("texts"), letters.alias("letters"), at.alias("at"),
                    F.explode("_wanted").alias("pos"))
            .withColumn("i", F.get("at", (F.col("pos") - F.col("start")).cast("int"))))
     pattern = F.array_join(F.transform("texts", lambda t: F.substring(t, F.col("i") + 1, F.lit(1))), "")
-    return cut.select("chrom", "pos", F.upper(F.get("letters", F.col("i"))).alias("base"), pattern.alias("pattern"))
+    return cells.select("chrom", "pos", F.upper(F.get("letters", F.col("i"))).alias("base"), pattern.alias("pattern"))
 
 
 def fourfold_columns(blocks: DataFrame, gff: DataFrame, species: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basetide.operators.intervals import overlap_join
+from basetide.operators.alignment import meet_areas
 
 
 def write_bed(df: DataFrame, path: str, columns: Sequence[str] = (), partitions: int | None = None) -> None:
@@ -66,9 +66,8 @@ def maf_text(rows: Column | str = "rows") -> Column:
 def split_blocks(blocks: DataFrame, regions: DataFrame) -> DataFrame:
     """Blocks with the region each one meets: (chrom, win, start, rows). Regions have a ``win`` name;
     a block that spans several regions goes to each of them."""
-    spans = blocks.select("chrom", "start", (F.col("start") + F.col("size")).alias("end"), "rows")
-    met = overlap_join(regions.select("chrom", "start", "end", "win"), spans)
-    return met.select("chrom", "win", F.col("b_start").alias("start"), F.col("b_rows").alias("rows"))
+    met = meet_areas(blocks.select("chrom", "start", "size", "rows"), regions.select("chrom", "start", "end", "win"))
+    return met.select("chrom", F.explode("areas.win").alias("win"), "start", "rows")
 
 
 def write_maf_partitioned(blocks: DataFrame, path: str, regions: DataFrame | None = None) -> None:

@@ -32,3 +32,18 @@ def test_chromosome_windows_run_over_tiles(spark):
     # exchanges on the chromosome alone only feed the window over tile summaries
     summaries = text.count("hashpartitioning(chrom#")
     assert summaries >= 1 and "_tile" in text
+
+
+@pytest.mark.parametrize("name", ["fetched_regions", "fourfold_columns", "concatenated_blocks"])
+def test_interval_joins_move_coordinates_only(spark, name):
+    """Whole block rows pass no exchange that is keyed on the bins of the interval join."""
+    df = entry.queries()[name](spark, SF)
+    exchanges = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(_chrom" in line]
+    assert exchanges
+    text = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    binned = [line for line in text if "_bin#" in line and "Project" in line]
+    assert binned and not any("rows#" in line for line in binned)
+
+
+def test_alignment_columns_are_counted_once(spark):
+    assert plan(entry.queries()["site_patterns"](spark, SF)).count("MapInPandas") == 0
