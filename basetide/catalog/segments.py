@@ -167,6 +167,14 @@ def hmm_grid(spark, d):
     return as_long(out, "sites_in_elements")
 
 
+@query("hmm_grid_limits", """
+  SELECT param_id, chrom, final_elements, mean_length, mean_gap FROM v_summary_grid
+  WHERE mean_length < 8 AND mean_gap < 40 AND final_elements < 100000""")
+def hmm_grid_limits(spark, d):
+    report = hmm_grid(spark, d).select("param_id", "chrom", "final_elements", "mean_length", "mean_gap")
+    return grid.grid_below(report, mean_length=8, mean_gap=40, final_elements=100000)
+
+
 @query("grid_features", """
   SELECT o_orderkey, round(t0_0 / t1_1, 6) AS t_ratio, round(t0_0 - t1_1, 6) AS t_diff, round(t0_0 * t1_1, 6) AS t_prod,
          CAST(t0_0 AS VARCHAR) || '-' || CAST(t1_1 AS VARCHAR) AS t_key, round(t1_1 / t0_0, 6) AS e_ratio,

@@ -42,6 +42,13 @@ def grid_slice(df: DataFrame, **fixed: float) -> DataFrame:
     return df
 
 
+def grid_below(df: DataFrame, **limits: float) -> DataFrame:
+    """Rows of a grid report whose named columns all lie below their limits."""
+    for name, limit in limits.items():
+        df = df.where(F.col(name) < F.lit(limit))
+    return df
+
+
 def classify_acceleration(df: DataFrame, bf1: float = 5, bf2: float = 5, max_bf1: float = 200,
                           min_bf2: float = -500) -> DataFrame:
     """Bayes-factor flags, the class they give, and whether the row is inside the display range."""
