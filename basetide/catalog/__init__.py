@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basetide.catalog import alignments, intervals, segments, sites, trees
+from basetide.catalog import alignments, formats, intervals, segments, sites, trees
 from basetide.catalog.common import ORACLES, QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
     return dict(ORACLES)
 
 
-__all__ = ["alignments", "intervals", "oracle_sql", "queries", "segments", "sites", "trees"]
+__all__ = ["alignments", "formats", "intervals", "oracle_sql", "queries", "segments", "sites", "trees"]

@@ -98,6 +98,14 @@ def interval_density(spark, d):
     return out.select("chrom", "start", "length", r6("density", "density"))
 
 
+@query("score_histogram", """
+  SELECT chrom, bin, count(*) AS n, round(lo + bin * (hi - lo) / 30, 6) AS bin_start
+  FROM (SELECT chrom, lo, hi, least(29, CAST(floor((score - lo) * 30 / (hi - lo)) AS BIGINT)) AS bin
+        FROM v_sites, (SELECT min(score) AS lo, max(score) AS hi FROM v_sites)) GROUP BY chrom, bin, lo, hi""")
+def score_histogram(spark, d):
+    return I.histogram_bins(A.sites(spark, d), "score", 30, ["chrom"]).withColumn("bin_start", F.round("bin_start", 6))
+
+
 @query("interval_histogram", """
   SELECT chrom, start // 1000 AS bin, count(*) AS n, start // 1000 * 1000 AS bin_start FROM v_iv GROUP BY ALL""")
 def interval_histogram(spark, d):

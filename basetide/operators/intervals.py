@@ -198,6 +198,15 @@ def histogram(df: DataFrame, col: str, width: float, keys: Sequence[str] = ()) -
             .agg(F.count(F.lit(1)).alias("n")).withColumn("bin_start", F.col("bin") * F.lit(width)))
 
 
+def histogram_bins(df: DataFrame, col: str, bins: int, keys: Sequence[str] = ()) -> DataFrame:
+    """Histogram of ``bins`` equal bins from the smallest to the largest value, which lies in the last bin; rows with NULL
+    fall out. The range is that of the whole table for every key. Equal values make one bin, number 0."""
+    lo, hi = df.agg(F.min(col)).scalar(), df.agg(F.max(col)).scalar()
+    no = F.when(hi > lo, F.least(F.floor((F.col(col) - lo) * bins / (hi - lo)).cast("long"), F.lit(bins - 1).cast("long"))).otherwise(0)
+    counts = df.where(F.col(col).isNotNull()).groupBy(*keys, no.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("bin_start", lo + F.col("bin") * (hi - lo) / bins)
+
+
 def length_filter(df: DataFrame, min_len: int = 20, max_len: int = 10000) -> DataFrame:
     """Label elements: ``short`` when length <= min_len, ``long`` when >= max_len, else ``kept``."""
     length = F.col("end") - F.col("start")

@@ -35,6 +35,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None and not spark.sparkContext.master.startswith("local"):
+    if shared is None and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-ckpt-", dir="/tmp"))

@@ -101,23 +101,23 @@ def read_maf(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     scaffold; the first row is the reference and gives chrom, start and size."""
     raw = spark.read.option("lineSep", "\na").text(_paths(path))
     lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: x.rlike(r"^s\s"))
+    fields = F.transform(lines, lambda line: F.split(line, r"\s+"))  # each line is split once
 
-    def row(line: Column) -> Column:
-        f = F.split(line, r"\s+")
-        src = F.split(f[1], r"\.", 2)
-        return F.struct(src[0].alias("species"), F.coalesce(F.try_element_at(src, F.lit(2)), F.lit("")).alias("scaffold"),
+    def row(f: Column) -> Column:
+        # everything in front of the first dot, and what follows it
+        return F.struct(F.substring_index(f[1], ".", 1).alias("species"), F.regexp_replace(f[1], r"^[^.]*\.?", "").alias("scaffold"),
                         f[2].cast("long").alias("start"), f[3].cast("long").alias("size"), f[4].alias("strand"),
                         f[5].cast("long").alias("src_size"), f[6].alias("text"))
 
-    blocks = raw.select(F.transform(lines, row).alias("rows")).where(F.size("rows") > 0)
+    blocks = raw.select(F.transform(fields, row).alias("rows")).where(F.size("rows") > 0)
     ref = F.get("rows", F.lit(0))
     return blocks.select(F.xxhash64(ref["scaffold"], ref["start"]).alias("block_id"), ref["scaffold"].alias("chrom"),
                          ref["start"].alias("start"), ref["size"].alias("size"), "rows")
 
 
-def read_fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_fasta(spark: SparkSession, path: str | Sequence[str], files: str = "*.{fa,fasta,fna}") -> DataFrame:
     """FASTA files -> (file, title, seq); wrapped lines are joined, blank lines skipped."""
-    raw = spark.read.options(lineSep="\n>", pathGlobFilter="*.{fa,fasta,fna}").text(_paths(path))
+    raw = spark.read.options(lineSep="\n>", pathGlobFilter=files).text(_paths(path))
     entry = F.regexp_replace("value", r"^\s*>|\r", "")
     seq = F.regexp_replace(F.expr("substring(value, instr(value, '\n') + 1)"), r"\s", "")
     return (raw.select(F.col("_metadata.file_name").alias("file"), entry.alias("value")).where(F.trim("value") != "")
@@ -125,14 +125,17 @@ def read_fasta(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                     F.when(F.col("value").contains("\n"), seq).otherwise("").alias("seq")))
 
 
-def fasta_alignments(fasta: DataFrame, delim: str = ".") -> DataFrame:
-    """FASTA rows of region files -> alignment records with region_id, coordinates and species."""
+def fasta_alignments(fasta: DataFrame, delim: str = ".", region_in_title: bool = False) -> DataFrame:
+    """FASTA rows of region files -> alignment records with region_id, coordinates and species.
+
+    The region is the file's name, or with ``region_in_title`` what follows the last space of the title."""
     from basetide.functions.sequences import parse_region_name
 
-    base = F.regexp_replace("file", r"(-dedup)?\.(fa|fasta|fna)$", "")
+    title = F.regexp_replace("title", r" \S*$", "") if region_in_title else F.col("title")
+    base = F.substring_index("title", " ", -1) if region_in_title else F.regexp_replace("file", r"(-dedup)?\.(fa|fasta|fna)$", "")
     region = parse_region_name(base)
     return fasta.select(base.alias("region_id"), region["chrom"].alias("chrom"), region["start"].alias("start"),
-                        region["end"].alias("end"), F.substring_index("title", delim, 1).alias("species"), "title", "seq")
+                        region["end"].alias("end"), F.substring_index(title, delim, 1).alias("species"), title.alias("title"), "seq")
 
 
 def read_ss(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -180,9 +183,9 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
 def read_counts(spark: SparkSession, path: str | Sequence[str], name_regex: str, names: Sequence[str],
                 key: str = "chrom") -> DataFrame:
     """Space-separated ``key count`` files read as one table; the groups of ``name_regex`` (matched
-    on the file name) become the string columns ``names``."""
+    on the path, so a folder of part files counts as a file) become the string columns ``names``."""
     df = _tsv(spark, path, f"{key} string, n long", sep=" ")
-    found = [F.regexp_extract(F.col("_metadata.file_name"), name_regex, i + 1).alias(n) for i, n in enumerate(names)]
+    found = [F.regexp_extract(F.col("_metadata.file_path"), name_regex, i + 1).alias(n) for i, n in enumerate(names)]
     return df.select("*", *found)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basetide.operators.alignment import meet_areas
+from basetide.operators.alignment import RECORD_ORDER, meet_areas
 
 
 def write_bed(df: DataFrame, path: str, columns: Sequence[str] = (), partitions: int | None = None) -> None:
@@ -15,15 +15,20 @@ def write_bed(df: DataFrame, path: str, columns: Sequence[str] = (), partitions:
     out = df.select(*columns) if columns else df
     cols = ("chrom", "start")
     ranged = out.repartitionByRange(partitions, *cols) if partitions else out.repartitionByRange(*cols)
-    ranged.sortWithinPartitions(*cols).write.mode("overwrite").options(sep="\t", header=False).csv(path)
+    # fields stand as they are: the readers know no quotes
+    plain = {"sep": "\t", "header": False, "quote": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    ranged.sortWithinPartitions(*cols).write.mode("overwrite").options(**plain).csv(path)
+
+
+def _title(only_species: bool) -> Column:
+    return F.col("species") if only_species else F.concat(
+        "species", F.lit("."), "scaffold", F.lit(":"), F.col("src_start").cast("string"), F.lit("-"), F.col("src_end").cast("string"))
 
 
 def fasta_records(aln: DataFrame, only_species: bool = False) -> DataFrame:
     """One row per region: region_id and the FASTA text. A region's group is bounded by its records."""
-    title = F.col("species") if only_species else F.concat(
-        "species", F.lit("."), "scaffold", F.lit(":"), F.col("src_start").cast("string"), F.lit("-"),
-        F.col("src_end").cast("string"))
-    record = F.struct("first_block", "first_row", "copy", F.concat(F.lit(">"), title, F.lit("\n"), "seq").alias("text"))
+    text = F.concat(F.lit(">"), _title(only_species), F.lit("\n"), "seq")
+    record = F.struct("first_block", "first_row", "copy", text.alias("text"))
     ordered = F.sort_array(F.collect_list(record))
     return aln.groupBy("region_id").agg(F.array_join(F.transform(ordered, lambda r: r["text"]), "\n").alias("value"))
 
@@ -34,6 +39,15 @@ def write_fasta(aln: DataFrame, path: str, only_species: bool = False) -> None:
      .write.mode("overwrite").partitionBy("region").text(path))
 
 
+def write_fasta_batches(aln: DataFrame, path: str, only_species: bool = False, partitions: int | None = None) -> None:
+    """FASTA files of many regions each, for more regions than a store likes folders. The title ends with
+    the region's name; regions and their records keep their order. No region is gathered in one row."""
+    order = ("region_id", *RECORD_ORDER)
+    ranged = aln.repartitionByRange(partitions, *order) if partitions else aln.repartitionByRange(*order)
+    text = F.concat(F.lit(">"), _title(only_species), F.lit(" "), "region_id", F.lit("\n"), "seq")
+    ranged.sortWithinPartitions(*order).select(text.alias("value")).write.mode("overwrite").text(path)
+
+
 def ss_lines(header: DataFrame, patterns: DataFrame) -> DataFrame:
     """Lines of a site-pattern file with LENGTH and NTUPLES recomputed; (ord, value)."""
     totals = patterns.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("LENGTH"), F.count(F.lit(1)).alias("NTUPLES"))
