@@ -24,6 +24,8 @@ from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
 LOW, HIGH = 1e-10, 0.9999999999
 TIE = 1e-12
+#: Sets times runs worked on at once, sets from which runs are walked for all sets together, rows of a frame that is sent on.
+SET_CELLS, MANY_SETS, FRAME_ROWS = 250_000, 16, 100_000
 
 
 @dataclass(frozen=True)
@@ -59,13 +61,29 @@ class _Model:
         self.rest = (big[:, None, None] * eye - mats) / (2 * root)[:, None, None]
         self.ratio = small / big
 
-    def runs(self, length: np.ndarray, symbol: np.ndarray, first: bool):
-        """(P1, P2, r) of every run; the very first base of a chromosome replaces the update by
+
+class _Models:
+    """Parameter sets side by side: the first axis of every array is the set."""
+
+    def __init__(self, params: Sequence[HmmParams]):
+        each = [_Model(p) for p in params]
+        self.ids = np.array([p.param_id for p in params], dtype=np.int64)
+        self.main, self.rest = np.stack([m.main for m in each]), np.stack([m.rest for m in each])
+        self.ratio = np.stack([m.ratio for m in each])
+        self.opening = np.stack([m.start * m.emit for m in each])
+
+    def parts(self, n_runs: int) -> Iterator[slice]:
+        """Ranges of sets whose matrices over ``n_runs`` runs stay within a fixed size."""
+        step = max(1, SET_CELLS // max(n_runs, 1))
+        return (slice(i, i + step) for i in range(0, len(self.ids), step))
+
+    def runs(self, which: slice | np.ndarray, symbol: np.ndarray, first: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(P1, P2, r) of every set and run; the very first base of a chromosome replaces the update by
         start * emission, whatever comes in."""
-        main, rest, ratio = self.main[symbol], self.rest[symbol], self.ratio[symbol]
+        main, rest, ratio = self.main[which][:, symbol], self.rest[which][:, symbol], self.ratio[which][:, symbol]
         if first:
-            v = self.start * self.emit[symbol[0]]
-            main[0], rest[0], ratio[0] = np.stack([v, v], axis=1), 0.0, 0.0
+            v = self.opening[which][:, symbol[0]]
+            main[:, 0], rest[:, 0], ratio[:, 0] = np.stack([v, v], axis=2), 0.0, 0.0
         return main, rest, ratio
 
 
@@ -86,29 +104,39 @@ def _tile_runs(start: int, end: int, lo: np.ndarray, hi: np.ndarray, first: bool
 
 
 def _product(mats: np.ndarray) -> np.ndarray:
-    """Later matrices times earlier ones, pairwise, rescaled on the way."""
-    while len(mats) > 1:
-        odd = mats[-1:] if len(mats) % 2 else mats[:0]
-        even = mats[: len(mats) - len(odd)]
-        mats = np.concatenate([even[1::2] @ even[0::2], odd])
-        mats = mats / mats.max(axis=(1, 2), keepdims=True)
-    return mats[0]
-
-
-def _conserved_pieces(model: _Model, edges: np.ndarray, symbol: np.ndarray, first: bool,
-                      entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and conserved bases of the stretches of a tile that are in state 1."""
+    """Later matrices times earlier ones for every set, pairwise, rescaled on the way."""
+    while mats.shape[1] > 1:
+        odd = mats[:, -1:] if mats.shape[1] % 2 else mats[:, :0]
+        even = mats[:, : mats.shape[1] - odd.shape[1]]
+        mats = np.concatenate([even[:, 1::2] @ even[:, 0::2], odd], axis=1)
+        mats = mats / mats.max(axis=(2, 3), keepdims=True)
+    return mats[:, 0]
+
+
+def _entering(full: np.ndarray, entry: np.ndarray) -> np.ndarray:
+    """The distribution in front of every run, (sets, runs, 2), from the one in front of the tile."""
+    out = np.empty(full.shape[:3])
+    if len(full) >= MANY_SETS:
+        v = entry
+        for i in range(full.shape[1]):
+            out[:, i] = v
+            v = np.einsum("sjk,sk->sj", full[:, i], v)
+            v = v / v.sum(axis=1, keepdims=True)
+        return out
+    for s, mats in enumerate(full.reshape(len(full), -1, 4).tolist()):
+        a, b = entry[s].tolist()
+        for i, (m00, m01, m10, m11) in enumerate(mats):
+            out[s, i] = a, b
+            a, b = m00 * a + m01 * b, m10 * a + m11 * b
+            total = a + b
+            a, b = a / total, b / total
+    return out
+
+
+def _conserved_pieces(main: np.ndarray, rest: np.ndarray, ratio: np.ndarray, edges: np.ndarray, symbol: np.ndarray,
+                      entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and conserved bases of the stretches of a tile that are in state 1, for one set."""
     length = np.diff(edges)
-    main, rest, ratio = model.runs(length, symbol, first)
-    power = ratio**length
-    full = main + power[:, None, None] * rest
-    entries = np.empty((len(length), 2))
-    a, b = float(entry[0]), float(entry[1])
-    for i, (m00, m01, m10, m11) in enumerate(full.reshape(-1, 4).tolist()):
-        entries[i] = a, b
-        a, b = m00 * a + m01 * b, m10 * a + m11 * b
-        total = a + b
-        a, b = a / total, b / total
     # in state 1 after k bases iff lead + drift * r^k > 0
     weight = np.array([-1 - TIE, 1 - TIE])
     lead = np.einsum("j,ijk,ik->i", weight, main, entries)
@@ -169,6 +197,27 @@ def hmm_tiles(sites: DataFrame, chromes: DataFrame, carry: bool = False, tile_wi
                     F.coalesce(F.transform("p", lambda x: x["e"]), empty).alias("hi")))
 
 
+def _tuples(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    return (row for pdf in batches for row in pdf.itertuples(index=False, name=None))
+
+
+def _in_frames(work):
+    """Put the many small frames of ``work`` together into frames of some ``FRAME_ROWS`` rows."""
+
+    def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
+        for frame in work(batches):
+            held.append(frame)
+            rows += len(frame)
+            if rows >= FRAME_ROWS or len(held) >= 1000:
+                yield pd.concat(held)
+                held, rows = [], 0
+        if held:
+            yield pd.concat(held)
+
+    return gathered
+
+
 def _field(array: str, name: str) -> Column:
     return F.transform(array, lambda x: x[name]).alias(name)
 
@@ -181,21 +230,20 @@ def hmm_segment(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmParams
     the chromosome end. Parameter sets are settings (a grid of thousands at most). The filter starts
     anew on every chromosome; ``carry`` runs it through all chromosomes in ``ord`` order.
     """
-    models = {p.param_id: _Model(p) for p in params}
+    models = _Models(params)
+    place = {int(pid): i for i, pid in enumerate(models.ids)}
     tiles = hmm_tiles(sites, chromes, carry, tile_width)
     scope = ["param_id"] if carry else ["param_id", "chrom"]
 
     def reduce_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for chrom, ord_, tile, start, end, reset, lo, hi in pdf.itertuples(index=False):
-                edges, symbol = _tile_runs(start, end, np.asarray(lo), np.asarray(hi), reset)
-                length = np.diff(edges)
-                for pid, model in models.items():
-                    main, rest, ratio = model.runs(length, symbol, reset)
-                    m = _product(main + (ratio**length)[:, None, None] * rest)
-                    rows.append((pid, chrom, ord_, tile, *m.ravel().tolist()))
-            yield pd.DataFrame(rows, columns=["param_id", "chrom", "ord", "tile", "m00", "m01", "m10", "m11"])
+        for chrom, ord_, tile, start, end, reset, lo, hi in _tuples(batches):
+            edges, symbol = _tile_runs(start, end, np.asarray(lo), np.asarray(hi), reset)
+            length = np.diff(edges)
+            for part in models.parts(len(length)):
+                main, rest, ratio = models.runs(part, symbol, reset)
+                m = _product(main + (ratio**length)[:, :, None, None] * rest)
+                yield pd.DataFrame({"param_id": models.ids[part], "chrom": chrom, "ord": ord_, "tile": tile, "m00": m[:, 0, 0],
+                                    "m01": m[:, 0, 1], "m10": m[:, 1, 0], "m11": m[:, 1, 1]})
 
     def enter_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -209,18 +257,22 @@ def hmm_segment(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmParams
             yield pd.DataFrame(rows, columns=["param_id", "chrom", "tile", "v0", "v1"])
 
     def walk_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            parts = []
-            for chrom, start, end, reset, lo, hi, ids, v0, v1 in pdf.itertuples(index=False):
-                edges, symbol = _tile_runs(start, end, np.asarray(lo), np.asarray(hi), reset)
-                for pid, *v in zip(ids, v0, v1):
-                    s, e, n = _conserved_pieces(models[pid], edges, symbol, reset, np.array(v))
-                    parts.append(pd.DataFrame({"param_id": pid, "chrom": chrom, "start": s, "end": e,
-                                               "num_conserved": n}))
-            yield pd.concat(parts) if parts else pd.DataFrame(
-                {c: [] for c in ("param_id", "chrom", "start", "end", "num_conserved")})
-
-    matrices = tiles.mapInPandas(reduce_tiles, "param_id int, chrom string, ord int, tile long, "
+        for chrom, start, end, reset, lo, hi, ids, v0, v1 in _tuples(batches):
+            edges, symbol = _tile_runs(start, end, np.asarray(lo), np.asarray(hi), reset)
+            length = np.diff(edges)
+            sets, entry = np.array([place[int(pid)] for pid in ids]), np.stack([v0, v1], axis=1)
+            for part in models.parts(len(length)):
+                chosen = sets[part]
+                if not chosen.size:
+                    continue
+                main, rest, ratio = models.runs(chosen, symbol, reset)
+                entries = _entering(main + (ratio**length)[:, :, None, None] * rest, entry[part])
+                found = [_conserved_pieces(main[i], rest[i], ratio[i], edges, symbol, entries[i]) for i in range(len(chosen))]
+                s, e, n = (np.concatenate(x) for x in zip(*found))
+                yield pd.DataFrame({"param_id": np.repeat(models.ids[chosen], [len(x[0]) for x in found]), "chrom": chrom,
+                                    "start": s, "end": e, "num_conserved": n})
+
+    matrices = tiles.mapInPandas(_in_frames(reduce_tiles), "param_id int, chrom string, ord int, tile long, "
                                                "m00 double, m01 double, m10 double, m11 double")
     # at most length / tile_width tiles per chromosome and parameter set
     lines = matrices.groupBy(*scope).agg(F.sort_array(F.collect_list(
@@ -232,7 +284,7 @@ def hmm_segment(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmParams
     walked = tiles.join(per_tile, ["chrom", "tile"]).select(
         "chrom", "start", "end", "reset", "lo", "hi",
         *[_field("v", c) for c in ("param_id", "v0", "v1")])
-    pieces = cut(walked.mapInPandas(walk_tiles, "param_id int, chrom string, start long, end long, num_conserved long"))
+    pieces = cut(walked.mapInPandas(_in_frames(walk_tiles), "param_id int, chrom string, start long, end long, num_conserved long"))
     whole = merge_intervals(pieces, 0, keys=("param_id", "chrom"), sums=("num_conserved",), tile_width=tile_width)
     return (indexed_length(whole, chromes)
             .select("param_id", "chrom", "start", "end", "num_conserved", (F.col("start") > 0).alias("opened"),
