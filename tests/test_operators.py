@@ -457,3 +457,30 @@ def test_reference_gaps_are_refused(spark):
     regions = spark.createDataFrame([("c1", 0, 6)], "chrom string, start long, end long")
     with pytest.raises(Exception, match="reference gaps"):
         alignment.fetch_regions(blocks, regions).collect()
+
+
+def test_histogram_bins_edges(spark):
+    from basetide.operators import intervals
+
+    df = spark.createDataFrame([("a", 0.0), ("a", 2.4), ("b", 2.5), ("b", 10.0), ("b", None)], "k string, x double")
+    got = sorted(tuple(r) for r in intervals.histogram_bins(df, "x", 4, ["k"]).collect())
+    assert got == [("a", 0, 2, 0.0), ("b", 1, 1, 2.5), ("b", 3, 1, 7.5)]
+    same = spark.createDataFrame([(3.0,), (3.0,)], "x double")
+    assert [tuple(r) for r in intervals.histogram_bins(same, "x", 4).collect()] == [(0, 2, 3.0)]
+    assert intervals.histogram_bins(df.where("x is null"), "x", 4).count() == 0
+
+
+def test_sets_side_by_side_equal_sets_alone():
+    import numpy as np
+    from basetide.operators import segment
+
+    rng = np.random.default_rng(3)
+    sets = [segment.HmmParams(i, *rng.uniform(0.3, 0.99, 4), 0.9) for i in range(segment.MANY_SETS + 4)]
+    models, lo = segment._Models(sets), np.sort(rng.choice(900, 120, replace=False))
+    edges, symbol = segment._tile_runs(0, 1000, lo, lo + 1, True)
+    power = np.diff(edges)
+    main, rest, ratio = models.runs(slice(None), symbol, True)
+    full, entry = main + (ratio**power)[:, :, None, None] * rest, np.full((len(sets), 2), 0.5)
+    together = segment._entering(full, entry)
+    alone = np.concatenate([segment._entering(full[i:i + 1], entry[i:i + 1]) for i in range(len(sets))])
+    assert np.allclose(together, alone, rtol=0, atol=1e-13)

@@ -162,3 +162,19 @@ def test_hmm_log_round_trip(spark, tmp_path):
     K.write_hmm_log(out, str(tmp_path / "log"))
     back = R.read_hmm_logs(spark, str(tmp_path / "log")).collect()
     assert len(back) == 1 and back[0]["conserved_sites"] == 1 and back[0]["t0_0"] == 0.9
+
+
+def test_bed_fields_stand_as_they_are(spark, tmp_path):
+    bed = spark.createDataFrame([("c", 0, 1, 'a "b"'), ("c", 1, 2, " x "), ("c", 2, 3, "it's")], "chrom string, start long, end long, name string")
+    K.write_bed(bed, str(tmp_path / "bed"))
+    assert rows(R.read_bed(spark, str(tmp_path / "bed"), "name string")) == rows(bed)
+
+
+def test_fasta_batches_round_trip(spark, fixtures, tmp_path):
+    b = R.read_maf(spark, f"{fixtures}/mini.maf")
+    regions = spark.createDataFrame([("chr1", 0, 12), ("chr1", 12, 24)], "chrom string, start long, end long")
+    aln = alignment.fetch_regions(b, regions)
+    K.write_fasta_batches(aln, str(tmp_path / "fa"), partitions=2)
+    back = R.fasta_alignments(R.read_fasta(spark, str(tmp_path / "fa"), "part-*"), region_in_title=True)
+    cols = ("region_id", "chrom", "start", "end", "species", "seq")
+    assert rows(back, *cols) == rows(aln, *cols)
