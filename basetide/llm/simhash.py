@@ -22,22 +22,28 @@ from basetide.llm.components import components
 TILE = 8192
 
 
-def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
-    """64-bit fingerprint: ASCII-lower-cased words, ``shingle``-word sequences with repeats (a shorter text is one
-    sequence), and a bit for each place set in over half of their XXH64 values; 0 without words."""
+def sequence_hashes(text: str, shingle: int, seed: int = 42) -> np.ndarray:
+    """XXH64 values of the ``shingle``-word sequences of the ASCII-lower-cased words, with repeats; a shorter text is one
+    sequence, a text without words has none."""
     import xxhash
 
     words = text.encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     begins = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - shingle + 1)
     spans = zip(begins[:n].tolist(), ends[min(shingle, len(words)) - 1:].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(line[s:e], seed) for s, e in spans), np.uint64, n)
-    return _majority(hashes)
+    return np.fromiter((digest(line[s:e], seed) for s, e in spans), np.uint64, n)
+
+
+def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
+    """64-bit fingerprint: ASCII-lower-cased words, ``shingle``-word sequences with repeats (a shorter text is one
+    sequence), and a bit for each place set in over half of their XXH64 values; 0 without words."""
+    hashes = sequence_hashes(text, shingle, seed)
+    return _majority(hashes) if len(hashes) else 0
 
 
 def _majority(hashes: np.ndarray) -> int:
