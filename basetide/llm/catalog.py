@@ -28,7 +28,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 4096 ids."""
-    return packing.pack(table(spark, sf_dir, "documents"), 4096, 2).drop("ids").withColumnRenamed("id", "doc_id")
+    return packing.pack(table(spark, sf_dir, "documents"), 4096, 2, added=True).drop("ids").withColumnRenamed("id", "doc_id")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +62,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from the token files."""
-    files = token_files.write_token_files(table(spark, sf_dir, "documents"), 1)
+    files = token_files.write_token_files(table(spark, sf_dir, "documents"), 1, added=True)
     return token_files.read_token_files(files).drop("ids").withColumnRenamed("id", "doc_id")
 
 

@@ -152,12 +152,13 @@ SEGMENT_SCHEMA = ("part int, segment int, n_ids long, n_docs long, ids array<{id
 
 
 def write_token_files(docs: DataFrame, end_id: int = 1, tokenizer: str | None = None, id_col: str = "doc_id",
-                      text_col: str = "text", segment_ids: int = SEGMENT_IDS) -> DataFrame:
+                      text_col: str = "text", segment_ids: int = SEGMENT_IDS, added: bool = False) -> DataFrame:
     """Encode all documents in ascending id order and write them as segments; returns the written table.
 
     Ranges of ids go to one partition each, so the table's order is (part, segment). Rows with the same id
     follow each other in the order of their texts; a null id comes first; null and empty texts are a
-    single end id. Other columns are not read. An empty table gives no segment.
+    single end id. Other columns are not read. An empty table gives no segment. With ``added`` the string of an
+    added token gives its id, else it is ordinary text.
     """
     tokenizer = tokenizer or default_path("word_bpe_49k.json")
     rows = texts(docs, id_col, text_col)
@@ -167,7 +168,7 @@ def write_token_files(docs: DataFrame, end_id: int = 1, tokenizer: str | None =
                .sortWithinPartitions("id", "_t", "text").drop("_t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, segment = word_encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, segment = word_encoder(tokenizer, added), TaskContext.get().partitionId(), 0
         keys, held, n = [], [], 0
 
         def close():

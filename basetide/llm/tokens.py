@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
+import re
 from array import array
 from functools import lru_cache
 
 import numpy as np
+import regex
 
+#: An ASCII capital with a mark behind it.
+MARKED = regex.compile(r"[A-Z]\p{M}")
 #: Entries of a worker's word table; when full it is emptied and filled again, which changes no result.
 TABLE_ENTRIES = 800_000
 
@@ -27,15 +32,24 @@ def default_path(name: str) -> str:
 
 
 @lru_cache(maxsize=4)
-def json_tokenizer(path: str):
+def json_tokenizer(path: str, added: bool = False):
+    """The tokenizer of a file; strings of its added tokens in a text are ordinary text unless ``added`` is set."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True  # their strings in a text are ordinary text
+    tok.encode_special_tokens = not added
     return tok
 
 
+@lru_cache(maxsize=4)
+def _added_strings(path: str):
+    """Pattern of the strings of the added tokens, or None."""
+    with open(path, encoding="utf-8") as f:
+        found = [t["content"] for t in json.load(f).get("added_tokens") or []]
+    return re.compile("|".join(map(re.escape, found))) if found else None
+
+
 class _Table(dict):
     """chunk of bytes -> row of ``starts`` / ``lengths``; a missing chunk is encoded by the library."""
 
@@ -59,24 +73,40 @@ class WordEncoder:
 
     The text is cut at such places and at white space, each distinct piece is encoded once by the
     library, and the ids of a batch are gathered with array operations. The ids equal those of
-    encoding the text in one call.
+    encoding the text in one call. Texts with a mark on an ASCII capital (which composes before it is
+    lower-cased, or not at all) and, where ``added`` is set, with the string of an added token go to the
+    library whole.
     """
 
-    def __init__(self, path: str):
-        self.tok = json_tokenizer(path)
+    def __init__(self, path: str, added: bool = False):
+        self.tok = json_tokenizer(path, added)
+        self.added = _added_strings(path) if added else None
         self.table = _Table(self.tok)
 
+    def _whole(self, text: str) -> bool:
+        if self.added is not None and self.added.search(text):
+            return True
+        return not text.isascii() and MARKED.search(text) is not None
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.table) > TABLE_ENTRIES:
             self.table = _Table(self.tok)
-        rows, counts = [], []
-        for text in texts:
+        rows, counts, whole = [], [], {}
+        for k, text in enumerate(texts):
+            if self._whole(text):
+                ids = self.tok.encode(text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids
+                whole[k] = np.array(ids, np.uint32)
+                rows.append(np.zeros(0, np.int64))
+                continue
             chunks = _chunks(text)
             rows.append(np.fromiter(map(self.table.__getitem__, chunks), np.int64, len(chunks)))
         starts, lengths = np.array(self.table.starts, np.int64), np.array(self.table.lengths, np.int64)
         flat = np.array(self.table.flat, np.uint32)
         out = []
-        for row in rows:
+        for k, row in enumerate(rows):
+            if k in whole:
+                out.append(whole[k])
+                continue
             n = lengths[row]
             ends = np.cumsum(n)
             total = int(ends[-1]) if len(ends) else 0
@@ -96,8 +126,8 @@ def _chunks(text: str) -> list[bytes]:
 
 
 @lru_cache(maxsize=4)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, added: bool = False) -> WordEncoder:
+    return WordEncoder(path, added)
 
 
 @lru_cache(maxsize=4)
