@@ -43,3 +43,12 @@ def test_queries_give_the_ids_of_the_plain_tokenizer(spark, tmp_path):
     got = catalog.op5_token_counts(spark, str(tmp_path)).collect()
     tok.encode_special_tokens = True
     assert {r.doc_id: r.n_tokens for r in got} == {i: len(tok.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(CASES[:11])}
+
+
+def test_the_pipeline_hands_on_its_sequences(spark):
+    docs = spark.createDataFrame(list(enumerate(CASES[:11])), "doc_id long, text string")
+    got = corpus_pipeline.pack_sequences(spark, docs, "").collect()
+    assert len(got) == 11
+    for r in got:
+        ids = tokens.widen(bytes(r.ids))
+        assert len(ids) == r.length and zlib.crc32(ids.tobytes()) == r.ids_crc32
