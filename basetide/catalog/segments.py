@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import product
 
 from pyspark.sql import functions as F
 
@@ -132,6 +133,35 @@ def hmm_elements_bases(spark, d):
     return segment.hmm_elements(segment.hmm_segment(cons, A.chromes(spark, d), sets), 20, 10**9)
 
 
+def _bases(spark, d):
+    """Conserved sites and chromosomes on single positions."""
+    return cut(pipelines.conserved(A.sites(spark, d))), A.chromes(spark, d)
+
+
+@query("hmm_stretches_bases")
+def hmm_stretches_bases(spark, d):
+    """``hmm_stretches`` on single positions."""
+    return segment.hmm_segment(*_bases(spark, d), PARAMS)
+
+
+@query("hmm_elements_all_bases")
+def hmm_elements_all_bases(spark, d):
+    """``hmm_elements`` on single positions."""
+    return segment.hmm_elements(segment.hmm_segment(*_bases(spark, d), PARAMS), MIN_LEN, MAX_LEN)
+
+
+def _report_bases(spark, d, sets):
+    cons, lengths = _bases(spark, d)
+    stretches = cut(segment.hmm_segment(cons, lengths, sets))
+    return segment.hmm_summary(stretches, cons, lengths, sets, MIN_LEN, MAX_LEN)
+
+
+@query("hmm_summary_bases")
+def hmm_summary_bases(spark, d):
+    """``hmm_summary`` on single positions."""
+    return _report_bases(spark, d, PARAMS)
+
+
 GRID = [HmmParams(i, t0, t1, e0, e1, 1.0) for i, (t0, t1, e0, e1) in enumerate(
     (t0, t1, e0, e1) for t0 in (0.5, 0.8, 0.9) for t1 in (0.5, 0.8, 0.9) for e0 in (0.6, 0.8) for e1 in (0.3, 0.8))]
 
@@ -167,6 +197,17 @@ def hmm_grid(spark, d):
     return as_long(out, "sites_in_elements")
 
 
+#: The reference's grid: 0.1 to 0.9 for each of the four.
+FULL_GRID = [HmmParams(i, t0 / 10, t1 / 10, e0 / 10, e1 / 10, 1.0)
+             for i, (t0, t1, e0, e1) in enumerate(product(range(1, 10), repeat=4))]
+
+
+@query("hmm_grid_bases")
+def hmm_grid_bases(spark, d):
+    """``hmm_grid`` on single positions, over all 6,561 sets of the reference."""
+    return grid.hmm_grid_features(_report_bases(spark, d, FULL_GRID))
+
+
 @query("hmm_grid_limits", """
   SELECT param_id, chrom, final_elements, mean_length, mean_gap FROM v_summary_grid
   WHERE mean_length < 8 AND mean_gap < 40 AND final_elements < 100000""")
