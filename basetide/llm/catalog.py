@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basetide.llm import (byte_bpe, hard_negatives, katz, merkle, packing, preference, quality_rules, segment_search, simhash,
-                          suffix_dedup, token_counts, token_files)
+from basetide.llm import (byte_bpe, hard_negatives, katz, merkle, packing, page_text, preference, quality_rules, segment_search,
+                          simhash, suffix_dedup, token_counts, token_files)
 from basetide.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,11 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(rows, rows.where(F.col("id") % 100 == 0), 5, 10, hard_negatives.Band(30, 90, 100))
 
 
+def op13_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return page_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline over ``documents``."""
     import corpus_pipeline
@@ -104,7 +109,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_segment_search, op2_suffix_dedup, op3_packing, op4_byte_bpe, op5_token_counts, op6_preference, op7_quality_rules,
-    op8_token_files, op9_katz, op10_simhash, op11_merkle, op12_hard_negatives, pipeline)}
+    op8_token_files, op9_katz, op10_simhash, op11_merkle, op12_hard_negatives, op13_page_text, pipeline)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
