@@ -28,6 +28,8 @@ from basetide.llm.common import stored
 TILE, BUCKET, ANCHORS, FOCUS = 8192, 1024, 256, 4
 #: Anchor tiles are broadcast up to this many bytes; beyond it they are joined by a shuffle.
 BROADCAST_BYTES = 64 << 20
+#: Anchor tiles whose best rows a task keeps before it passes them on.
+KEPT_TILES = 64
 _SLACK = 1e-9
 
 
@@ -110,16 +112,20 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return scores[order], ids[order]
 
 
+Held = list[tuple[np.ndarray, np.ndarray]]
+
+
 def search(buckets: list[Bucket], anchor: np.ndarray, own_id: int | None, lows: np.ndarray, highs: np.ndarray, k: int,
-           focus: int = FOCUS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(scores, ids) of the k best rows for each band of scores lows..highs; rows named ``own_id`` take no part.
+           focus: int = FOCUS, held: Held | None = None) -> Held:
+    """(scores, ids) of the k best rows for each band of scores lows..highs, those ``held`` from other buckets among
+    them; rows named ``own_id`` take no part.
 
     ``lows`` may be -inf. Scores above a band's end are seen and left out, so that a band never loses rows to them.
     """
     x = anchor.astype(float)
     length = float(np.sqrt((x * x).sum()))
     none = np.zeros(0, np.int64)
-    held = [(none, none) for _ in lows]
+    held = list(held) if held else [(none, none) for _ in lows]
     if not len(lows):
         return held
 
@@ -174,7 +180,7 @@ def tiles(vectors: DataFrame, tile: int = TILE) -> DataFrame:
                 if e == s:
                     continue
                 own = (int(labels[s]), int(dims[s]))
-                if key is not None and own != key:
+                if n and own != key:
                     yield pack(*key, ids, rows)
                     ids, rows, n = [], [], 0
                 key, at = own, s
@@ -251,30 +257,37 @@ def _found(anchors: DataFrame, candidate_tiles: DataFrame, same_label: bool, k:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, buckets = None, None
+        kept: dict[int, tuple[np.ndarray, list[Held]]] = {}  # anchor tile -> its anchors and their best rows so far
+
+        def passed_on(tile: int) -> pa.RecordBatch:
+            cells = [(own, j + (band is not None), s, ids) for own, lists in zip(*kept.pop(tile)) for j, (s, ids) in enumerate(lists)]
+            sizes = [len(c[2]) for c in cells]
+            flat = lambda k: np.concatenate([c[k] for c in cells]) if cells else np.zeros(0, np.int64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat([c[0] for c in cells], sizes).astype(np.int64)), pa.array(np.repeat([c[1] for c in cells], sizes).astype(np.int32)),
+                 pa.array(flat(3).astype(np.int64)), pa.array(flat(2).astype(np.int64))], ["anchor_id", "positive_rank", "id", "score"])
+
         for b in batches:
             for r in range(b.num_rows):
                 raw_ids, raw = b.column("c_ids")[r].as_py(), b.column("c_rows")[r].as_py()
-                dim = b.column("dim")[r].as_py()
-                if known != raw_ids:  # neighbouring pairs often share their candidate tile
+                dim, tile = b.column("dim")[r].as_py(), b.column("at")[r].as_py()
+                if known != (dim, raw_ids):  # neighbouring pairs often share their candidate tile
                     c_ids = np.frombuffer(raw_ids, "<i8")
-                    buckets, known = _buckets(c_ids, np.frombuffer(raw, "<i8").reshape(len(c_ids), dim)), raw_ids
+                    buckets, known = _buckets(c_ids, np.frombuffer(raw, "<i8").reshape(len(c_ids), dim)), (dim, raw_ids)
                 a_ids = np.frombuffer(b.column("ids")[r].as_py(), "<i8")
                 a_rows = np.frombuffer(b.column("rows")[r].as_py(), "<i8").reshape(len(a_ids), dim)
-                scores, at, out = np.frombuffer(b.column("positives")[r].as_py(), "<i8"), 0, []
-                for own, row in zip(a_ids, a_rows):
+                scores, at, lists = np.frombuffer(b.column("positives")[r].as_py(), "<i8"), 0, []
+                if tile not in kept and len(kept) >= KEPT_TILES:
+                    yield passed_on(next(iter(kept)))
+                before = kept[tile][1] if tile in kept else [None] * len(a_ids)
+                for own, row, held in zip(a_ids, a_rows, before):
                     n = int(scores[at])
                     mine, at = scores[at + 1:at + 1 + n], at + 1 + n
-                    if band is None:
-                        lows, highs = np.array([-np.inf]), np.array([np.inf])
-                    else:
-                        lows, highs = band.limits(mine)
-                    for j, (s, ids) in enumerate(search(buckets, row, int(own), lows, highs, k, focus)):
-                        out.append((np.full(len(s), own), np.full(len(s), j + (band is not None)), ids, s))
-                if out:
-                    cols = [np.concatenate(c) for c in zip(*out)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int64()),
-                         pa.array(cols[3], pa.int64())], ["anchor_id", "positive_rank", "id", "score"])
+                    lows, highs = (np.array([-np.inf]), np.array([np.inf])) if band is None else band.limits(mine)
+                    lists.append(search(buckets, row, int(own), lows, highs, k, focus, held))
+                kept[tile] = (a_ids, lists)
+        while kept:
+            yield passed_on(next(iter(kept)))
 
     found = met.mapInArrow(run, "anchor_id long, positive_rank int, id long, score long")
     order = Window.partitionBy("anchor_id", "positive_rank").orderBy(F.desc("score"), "id")
