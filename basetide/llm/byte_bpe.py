@@ -62,19 +62,27 @@ def encode_chunk(text: str, encoding, pattern, zone_left: int, zone_right: int):
 
     Returns (ids, left, right): ``left`` and ``right`` are (place, ids before it) pairs of all boundaries up
     to ``zone_left`` and from ``zone_right`` on. Matches inside a zone are encoded one by one, what lies
-    between in one call.
+    between in one call, up to the last boundary with no white space in front: white space is matched by what
+    follows it, which the end of a call would hide. Matches behind that boundary are encoded one by one too.
     """
     at = boundaries(text, pattern)
     # the last match may be bent by the chunk's end unless the text ends there; callers never use it
     zone = (at == 0) | (at <= zone_left) | (at >= zone_right)
     marks = at[zone]
-    ids, counts, total = [], [], 0
+    ids, counts = [], []
     for s, e in zip(marks, [*marks[1:], len(text)]):
-        counts.append(total)
-        if e > s:
-            piece = encoding.encode_ordinary(text[s:e])
-            ids += piece
-            total += len(piece)
+        counts.append(len(ids))
+        inner = at[np.searchsorted(at, s, "right"):np.searchsorted(at, e, "left")]
+        singles = [e]
+        for m in inner[::-1].tolist():
+            if not text[singles[0] - 1].isspace():
+                break
+            singles.insert(0, m)
+        if len(inner) and text[singles[0] - 1].isspace():
+            singles.insert(0, s)
+        for a, b in zip([s, *singles], singles):
+            if b > a:
+                ids += encoding.encode_ordinary(text[a:b])
     pairs = list(zip(marks.tolist(), counts))
     return (np.array(ids, np.uint32), [p for p in pairs if p[0] <= zone_left], [p for p in pairs if p[0] >= zone_right])
 
