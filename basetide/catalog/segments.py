@@ -18,12 +18,9 @@ PARAMS = [HmmParams(0, 0.95, 0.9, 0.8, 0.6, 0.9), HmmParams(1, 0.2, 0.1, 0.3, 0.
 MIN_LEN, MAX_LEN = 3, 60
 
 
-def _hours(spark, d):
-    """Conserved sites and chromosomes on an hour axis: an hour is conserved when it has a site."""
-    hour = F.floor(F.col("start") / 3600)
-    cons = cut(pipelines.conserved(A.sites(spark, d)).select("chrom", hour.alias("start")).distinct())
-    lengths = A.chromes(spark, d).select("chrom", (F.floor((F.col("length") - 1) / 3600) + 1).alias("length"))
-    return cons.withColumn("end", F.col("start") + 1), lengths
+def _bases(spark, d):
+    """Conserved sites and chromosomes on single positions."""
+    return cut(pipelines.conserved(A.sites(spark, d))), A.chromes(spark, d)
 
 
 def _sets_sql(sets) -> str:
@@ -32,37 +29,63 @@ def _sets_sql(sets) -> str:
 
 
 fragment("v_par", _sets_sql(PARAMS))
-fragment("v_hlen", "SELECT chrom, (length - 1) // 3600 + 1 AS length FROM v_chromes")
-fragment("v_hcons", "SELECT DISTINCT chrom, start // 3600 AS pos FROM v_cons")
-fragment("v_sym", """
-  SELECT b.chrom, b.pos, CASE WHEN c.pos IS NULL THEN 0 ELSE 1 END AS x
-  FROM (SELECT chrom, unnest(range(length)) AS pos FROM v_hlen) b LEFT JOIN v_hcons c ON b.chrom = c.chrom AND b.pos = c.pos""")
-fragment("v_first", """
-  SELECT p.*, s.chrom, s.pos, p.s0 * (CASE s.x WHEN 0 THEN p.e0 ELSE 1 - p.e0 END) AS n0,
-         (1 - p.s0) * (CASE s.x WHEN 0 THEN 1 - p.e1 ELSE p.e1 END) AS n1 FROM v_sym s, v_par p WHERE s.pos = 0""")
+fragment("v_cpos", "SELECT DISTINCT chrom, start AS pos FROM v_cons")
+fragment("v_run", """
+  SELECT chrom, run, start, stop, CASE WHEN start IN (SELECT pos FROM v_cpos c WHERE c.chrom = r.chrom) THEN 1 ELSE 0 END AS x
+  FROM (SELECT chrom, p AS start, lead(p) OVER w AS stop, row_number() OVER w - 1 AS run
+        FROM (SELECT chrom, 0 AS p FROM v_chromes UNION SELECT chrom, 1 FROM v_chromes WHERE length > 1
+              UNION SELECT chrom, length FROM v_chromes UNION SELECT chrom, pos FROM v_cpos UNION SELECT chrom, pos + 1 FROM v_cpos)
+        WINDOW w AS (PARTITION BY chrom ORDER BY p)) r WHERE stop IS NOT NULL""")
+# powers of the 2x2 update of each set and symbol: A^k = big^k (P + r^k Q)
+fragment("v_update", """
+  SELECT param_id, s0, e0, e1, x, (a00 - small) / (2 * root) AS p00, a01 / (2 * root) AS p01, a10 / (2 * root) AS p10,
+         (a11 - small) / (2 * root) AS p11, (big - a00) / (2 * root) AS q00, -a01 / (2 * root) AS q01, -a10 / (2 * root) AS q10,
+         (big - a11) / (2 * root) AS q11, small / big AS r,
+         CAST(ceil(ln(1e-17) / ln(greatest(least(abs(small / big), 1 - 1e-12), 1e-300))) AS BIGINT) + 1 AS settled
+  FROM (SELECT *, (a00 + a11) / 2 + root AS big, (a00 + a11) / 2 - root AS small
+        FROM (SELECT *, sqrt(pow((a00 - a11) / 2, 2) + a01 * a10) AS root
+              FROM (SELECT *, o0 * t0 AS a00, o0 * (1 - t1) AS a01, o1 * (1 - t0) AS a10, o1 * t1 AS a11
+                    FROM (SELECT *, CASE x WHEN 0 THEN e0 ELSE 1 - e0 END AS o0, CASE x WHEN 0 THEN 1 - e1 ELSE e1 END AS o1
+                          FROM v_par, (SELECT unnest([0, 1]) AS x)))))""")
+# the filter behind every run, from run to run; the first base is a run of its own
 fragment("v_filter", """
-  SELECT param_id, t0, t1, e0, e1, chrom, pos, n0 / (n0 + n1) AS a, n1 / (n0 + n1) AS b FROM v_first
+  SELECT param_id, chrom, run, n0 / (n0 + n1) AS a, n1 / (n0 + n1) AS b
+  FROM (SELECT u.param_id, s.chrom, s.run, u.s0 * (CASE s.x WHEN 0 THEN u.e0 ELSE 1 - u.e0 END) AS n0,
+               (1 - u.s0) * (CASE s.x WHEN 0 THEN 1 - u.e1 ELSE u.e1 END) AS n1
+        FROM v_run s JOIN v_update u ON u.x = s.x WHERE s.run = 0)
   UNION ALL
-  SELECT param_id, t0, t1, e0, e1, chrom, pos, n0 / (n0 + n1), n1 / (n0 + n1)
-  FROM (SELECT f.param_id, f.t0, f.t1, f.e0, f.e1, s.chrom, s.pos,
-               (f.t0 * f.a + (1 - f.t1) * f.b) * (CASE s.x WHEN 0 THEN f.e0 ELSE 1 - f.e0 END) AS n0,
-               ((1 - f.t0) * f.a + f.t1 * f.b) * (CASE s.x WHEN 0 THEN 1 - f.e1 ELSE f.e1 END) AS n1
-        FROM v_filter f JOIN v_sym s ON f.chrom = s.chrom AND s.pos = f.pos + 1)""")
-fragment("v_states", """
-  SELECT f.param_id, f.chrom, f.pos, s.x, CASE WHEN f.b - f.a > 1e-12 THEN 1 ELSE 0 END AS state
-  FROM v_filter f JOIN v_sym s ON f.chrom = s.chrom AND f.pos = s.pos""")
+  SELECT param_id, chrom, run, n0 / (n0 + n1), n1 / (n0 + n1)
+  FROM (SELECT f.param_id, f.chrom, s.run, (p00 + pow(r, stop - start) * q00) * a + (p01 + pow(r, stop - start) * q01) * b AS n0,
+               (p10 + pow(r, stop - start) * q10) * a + (p11 + pow(r, stop - start) * q11) * b AS n1
+        FROM v_filter f JOIN v_run s ON f.chrom = s.chrom AND s.run = f.run + 1
+        JOIN v_update u ON u.param_id = f.param_id AND u.x = s.x)""")
+# base by base until the state of a run has settled, then the rest of it
+fragment("v_piece", """
+  SELECT param_id, chrom, start + k - 1 AS start, CASE WHEN k = n THEN stop ELSE start + k END AS stop, x,
+         CASE WHEN (p10 + pow(r, k) * q10 - p00 - pow(r, k) * q00) * a + (p11 + pow(r, k) * q11 - p01 - pow(r, k) * q01) * b
+                   > 1e-12 * ((p10 + pow(r, k) * q10 + p00 + pow(r, k) * q00) * a + (p11 + pow(r, k) * q11 + p01 + pow(r, k) * q01) * b)
+              THEN 1 ELSE 0 END AS state
+  FROM (SELECT f.param_id, f.chrom, f.a, f.b, s.start, s.stop, u.*, least(s.stop - s.start, u.settled) AS n,
+               unnest(range(1, least(s.stop - s.start, u.settled) + 1)) AS k
+        FROM v_filter f JOIN v_run s ON f.chrom = s.chrom AND s.run = f.run + 1
+        JOIN v_update u ON u.param_id = f.param_id AND u.x = s.x)
+  UNION ALL
+  SELECT f.param_id, f.chrom, s.start, s.stop, s.x, CASE WHEN f.b - f.a > 1e-12 THEN 1 ELSE 0 END
+  FROM v_filter f JOIN v_run s ON f.chrom = s.chrom AND f.run = s.run WHERE s.run = 0""")
 fragment("v_stretch", """
-  SELECT i.param_id, i.chrom, min(pos) AS start, max(pos) + 1 AS "end", CAST(sum(x) AS BIGINT) AS num_conserved,
-         min(pos) > 0 AS opened, max(pos) + 1 < max(l.length) AS closed
-  FROM (SELECT *, pos - row_number() OVER (PARTITION BY param_id, chrom, state ORDER BY pos) AS isl FROM v_states) i
-  JOIN v_hlen l ON i.chrom = l.chrom WHERE state = 1 GROUP BY i.param_id, i.chrom, isl""")
+  SELECT i.param_id, i.chrom, min(start) AS start, max(stop) AS "end", CAST(sum(x * (stop - start)) AS BIGINT) AS num_conserved,
+         min(start) > 0 AS opened, max(stop) < max(l.length) AS closed
+  FROM (SELECT *, sum(changed) OVER (PARTITION BY param_id, chrom ORDER BY start) AS isl
+        FROM (SELECT *, CASE WHEN state = lag(state) OVER (PARTITION BY param_id, chrom ORDER BY start) THEN 0 ELSE 1 END AS changed
+              FROM v_piece)) i
+  JOIN v_chromes l ON i.chrom = l.chrom WHERE state = 1 GROUP BY i.param_id, i.chrom, isl""")
 fragment("v_class", f"""
   SELECT *, "end" - start AS len, CASE WHEN "end" - start <= {MIN_LEN} THEN 'short' WHEN "end" - start >= {MAX_LEN} THEN 'long'
          ELSE 'kept' END AS length_class FROM v_stretch""")
 
 
 def _stretches(spark, d):
-    return segment.hmm_segment(*_hours(spark, d), PARAMS, tile_width=128)
+    return segment.hmm_segment(*_bases(spark, d), PARAMS)
 
 
 @query("hmm_stretches", 'SELECT param_id, chrom, start, "end", num_conserved, opened, closed FROM v_stretch')
@@ -92,7 +115,7 @@ SUMMARY_SQL = f"""
          CAST(coalesce(k.cons, 0) AS BIGINT) AS sites_in_elements,
          coalesce(round(k.dens / nullif(e.total - e.short - e.long, 0), 6), 0) AS mean_density,
          p.t0 AS t0_0, p.t1 AS t1_1, p.e0 AS e0_0, p.e1 AS e1_1, p.s0, {MIN_LEN} AS min_len
-  FROM v_par p CROSS JOIN v_hlen l JOIN (SELECT chrom, count(*) AS n FROM v_hcons GROUP BY chrom) c ON l.chrom = c.chrom
+  FROM v_par p CROSS JOIN v_chromes l JOIN (SELECT chrom, count(*) AS n FROM v_cpos GROUP BY chrom) c ON l.chrom = c.chrom
   LEFT JOIN (SELECT param_id, chrom, count(*) FILTER (opened) AS total,
                     count(*) FILTER (opened AND closed AND length_class = 'short') AS short,
                     count(*) FILTER (opened AND closed AND length_class = 'long') AS long
@@ -104,25 +127,38 @@ SUMMARY_SQL = f"""
 
 @query("hmm_summary", SUMMARY_SQL)
 def hmm_summary(spark, d):
-    cons, lengths = _hours(spark, d)
-    stretches = segment.hmm_segment(cons, lengths, PARAMS, tile_width=128)
-    out = segment.hmm_summary(stretches, cons, lengths, PARAMS, MIN_LEN, MAX_LEN)
+    cons, lengths = _bases(spark, d)
+    out = segment.hmm_summary(segment.hmm_segment(cons, lengths, PARAMS), cons, lengths, PARAMS, MIN_LEN, MAX_LEN)
     for c in ("mean_length", "mean_gap", "mean_density"):
         out = out.withColumn(c, F.round(c, 6))
     return as_long(out, "sites_in_elements")
 
 
-@query("hmm_states", f"""
-  SELECT s.param_id, s.chrom, s.pos, s.x AS symbol, s.state, CASE s.state WHEN 1 THEN 'IN' ELSE 'OUT' END AS place,
-         CASE WHEN b.start IS NOT NULL AND b.start > 0 THEN 'START' WHEN e."end" IS NOT NULL THEN 'END' ELSE '' END AS change,
-         e.start AS elem_start, e."end" AS elem_end, e.len AS elem_length
-  FROM v_states s LEFT JOIN v_class b ON b.param_id = s.param_id AND b.chrom = s.chrom AND b.start = s.pos
-  LEFT JOIN v_class e ON e.param_id = s.param_id AND e.chrom = s.chrom AND e."end" = s.pos AND e.opened""")
+@query("hmm_states", """
+  SELECT s.*, coalesce(b.n, 0) AS starts, CAST(coalesce(b.at, 0) AS BIGINT) AS start_positions, coalesce(e.n, 0) AS ends,
+         CAST(coalesce(e.starts, 0) AS BIGINT) AS elem_starts, CAST(coalesce(e.bases, 0) AS BIGINT) AS elem_bases,
+         coalesce(round(e.density, 4), 0) AS elem_density
+  FROM (SELECT param_id, chrom, pos // 3600 AS hour, count(*) AS bases, CAST(sum(x) AS BIGINT) AS conserved,
+               CAST(sum(state) AS BIGINT) AS inside, CAST(sum(state * pos) AS BIGINT) AS inside_positions
+        FROM (SELECT param_id, chrom, unnest(range(start, stop)) AS pos, x, state FROM v_piece) GROUP BY ALL) s
+  LEFT JOIN (SELECT param_id, chrom, start // 3600 AS hour, count(*) AS n, sum(start) AS at FROM v_class WHERE start > 0 GROUP BY ALL) b
+  USING (param_id, chrom, hour)
+  LEFT JOIN (SELECT param_id, chrom, "end" // 3600 AS hour, count(*) AS n, sum(start) AS starts, sum(len) AS bases,
+                    sum(CASE WHEN length_class = 'kept' THEN num_conserved / len END) AS density
+             FROM v_class WHERE opened AND closed GROUP BY ALL) e USING (param_id, chrom, hour)""")
 def hmm_states(spark, d):
-    cons, lengths = _hours(spark, d)
-    stretches = segment.hmm_segment(cons, lengths, PARAMS, tile_width=128)
-    out = segment.state_sequence(stretches, cons, lengths, [p.param_id for p in PARAMS], MIN_LEN, MAX_LEN)
-    return out.drop("elem_density")
+    """The state of every base, added up by hour: the rows themselves are as many as the genome's bases."""
+    cons, lengths = _bases(spark, d)
+    stretches = cut(segment.hmm_segment(cons, lengths, PARAMS))
+    rows = segment.state_sequence(stretches, cons, lengths, [p.param_id for p in PARAMS], MIN_LEN, MAX_LEN)
+    start, end = F.col("change") == "START", F.col("change") == "END"
+    whole = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return rows.groupBy("param_id", "chrom", F.floor(F.col("pos") / 3600).alias("hour")).agg(
+        F.count(F.lit(1)).alias("bases"), whole("symbol").alias("conserved"), whole((F.col("place") == "IN").cast("int")).alias("inside"),
+        whole(F.col("state") * F.col("pos")).alias("inside_positions"), F.count(F.when(start, 1)).alias("starts"),
+        whole(F.when(start, F.col("pos"))).alias("start_positions"), F.count(F.when(end, 1)).alias("ends"),
+        whole(F.when(end, F.col("elem_start"))).alias("elem_starts"), whole(F.when(end, F.col("elem_length"))).alias("elem_bases"),
+        F.round(F.coalesce(F.sum("elem_density"), F.lit(0.0)), 4).alias("elem_density"))
 
 
 @query("hmm_elements_bases")
@@ -133,33 +169,27 @@ def hmm_elements_bases(spark, d):
     return segment.hmm_elements(segment.hmm_segment(cons, A.chromes(spark, d), sets), 20, 10**9)
 
 
-def _bases(spark, d):
-    """Conserved sites and chromosomes on single positions."""
-    return cut(pipelines.conserved(A.sites(spark, d))), A.chromes(spark, d)
-
-
-@query("hmm_stretches_bases")
+@query("hmm_stretches_bases", 'SELECT param_id, chrom, start, "end", num_conserved, opened, closed FROM v_stretch')
 def hmm_stretches_bases(spark, d):
-    """``hmm_stretches`` on single positions."""
-    return segment.hmm_segment(*_bases(spark, d), PARAMS)
+    """Former name of ``hmm_stretches``."""
+    return _stretches(spark, d)
 
 
-@query("hmm_elements_all_bases")
+@query("hmm_elements_all_bases", """
+  SELECT param_id, chrom, start, "end", num_conserved, len AS length, length_class, num_conserved / len AS density
+  FROM v_class WHERE opened AND closed""")
 def hmm_elements_all_bases(spark, d):
-    """``hmm_elements`` on single positions."""
+    """``hmm_elements`` with the unrounded density."""
     return segment.hmm_elements(segment.hmm_segment(*_bases(spark, d), PARAMS), MIN_LEN, MAX_LEN)
 
 
-def _report_bases(spark, d, sets):
-    cons, lengths = _bases(spark, d)
-    stretches = cut(segment.hmm_segment(cons, lengths, sets))
-    return segment.hmm_summary(stretches, cons, lengths, sets, MIN_LEN, MAX_LEN)
-
-
-@query("hmm_summary_bases")
+@query("hmm_summary_bases", SUMMARY_SQL)
 def hmm_summary_bases(spark, d):
-    """``hmm_summary`` on single positions."""
-    return _report_bases(spark, d, PARAMS)
+    """``hmm_summary`` by the fold that serves grids."""
+    out = segment.hmm_grid_summary(*_bases(spark, d), PARAMS, MIN_LEN, MAX_LEN)
+    for c in ("mean_length", "mean_gap", "mean_density"):
+        out = out.withColumn(c, F.round(c, 6))
+    return out
 
 
 GRID = [HmmParams(i, t0, t1, e0, e1, 1.0) for i, (t0, t1, e0, e1) in enumerate(
@@ -167,7 +197,7 @@ GRID = [HmmParams(i, t0, t1, e0, e1, 1.0) for i, (t0, t1, e0, e1) in enumerate(
 
 
 #: The same texts over the grid: every fragment that depends on the parameter sets under a second name.
-BY_SET = ("v_par", "v_first", "v_filter", "v_states", "v_stretch", "v_class", "v_kept")
+BY_SET = ("v_par", "v_update", "v_filter", "v_piece", "v_stretch", "v_class", "v_kept")
 
 
 def _over_grid(sql: str) -> str:
@@ -189,23 +219,21 @@ fragment("v_summary_grid", _over_grid(SUMMARY_SQL))
   FROM v_summary_grid""")
 def hmm_grid(spark, d):
     """Summary of a whole parameter grid with the derived grid columns."""
-    cons, lengths = _hours(spark, d)
-    stretches = segment.hmm_segment(cons, lengths, GRID, tile_width=128)
-    out = grid.hmm_grid_features(segment.hmm_summary(stretches, cons, lengths, GRID, MIN_LEN, MAX_LEN))
+    out = grid.hmm_grid_features(segment.hmm_grid_summary(*_bases(spark, d), GRID, MIN_LEN, MAX_LEN))
     for c in ("mean_length", "mean_gap", "mean_density", "t_ratio", "t_diff", "t_prod", "e_ratio", "e_diff", "e_prod", "share_in_elements"):
         out = out.withColumn(c, F.round(c, 6))
     return as_long(out, "sites_in_elements")
 
 
-#: The reference's grid: 0.1 to 0.9 for each of the four.
+#: The full grid: 0.1 to 0.9 for each of the four.
 FULL_GRID = [HmmParams(i, t0 / 10, t1 / 10, e0 / 10, e1 / 10, 1.0)
              for i, (t0, t1, e0, e1) in enumerate(product(range(1, 10), repeat=4))]
 
 
 @query("hmm_grid_bases")
 def hmm_grid_bases(spark, d):
-    """``hmm_grid`` on single positions, over all 6,561 sets of the reference."""
-    return grid.hmm_grid_features(_report_bases(spark, d, FULL_GRID))
+    """``hmm_grid`` over all 6,561 sets of the full grid."""
+    return grid.hmm_grid_features(segment.hmm_grid_summary(*_bases(spark, d), FULL_GRID, MIN_LEN, MAX_LEN))
 
 
 @query("hmm_grid_limits", """

@@ -15,10 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basetide.operators.intervals import indexed_length, _explode_range, expand_runs, length_filter, make_windows, merge_intervals
+from basetide.operators.intervals import indexed_length, _explode_range, length_filter, make_windows, merge_intervals
 from basetide.plans.lineage import cut
 from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
@@ -133,39 +135,65 @@ def _entering(full: np.ndarray, entry: np.ndarray) -> np.ndarray:
     return out
 
 
-def _conserved_pieces(main: np.ndarray, rest: np.ndarray, ratio: np.ndarray, edges: np.ndarray, symbol: np.ndarray,
-                      entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and conserved bases of the stretches of a tile that are in state 1, for one set."""
+def _state_pieces(main: np.ndarray, rest: np.ndarray, ratio: np.ndarray, edges: np.ndarray, symbol: np.ndarray,
+                  entries: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(set, start, end, state, symbol) of pieces that cover the tile once per set, in order, for all sets at once.
+
+    Inside a run the state after k bases is 1 iff lead + drift * r^k > 0. Where r is positive that changes once at most, at the
+    crossing of both terms; where it is negative single bases are looked at up to the crossing, behind it nothing changes.
+    """
     length = np.diff(edges)
-    # in state 1 after k bases iff lead + drift * r^k > 0
     weight = np.array([-1 - TIE, 1 - TIE])
-    lead = np.einsum("j,ijk,ik->i", weight, main, entries)
-    drift = np.einsum("j,ijk,ik->i", weight, rest, entries)
+    lead = np.einsum("j,srjk,srk->sr", weight, main, entries)
+    drift = np.einsum("j,srjk,srk->sr", weight, rest, entries)
     with np.errstate(divide="ignore", invalid="ignore"):
         cross = np.log(np.abs(lead / drift)) / np.log(np.abs(ratio))
     cross = np.where(np.isfinite(cross), cross, np.where(drift == 0, 0, length))
     cross = np.clip(np.ceil(cross), 0, length).astype(np.int64)
-    # bases 1 .. settled are looked at one by one where the sign alternates, else only near the crossing
-    cuts = []
-    flips = (ratio < 0) & (cross > 0)
-    for i in np.flatnonzero(flips):
-        cuts.append(edges[i] + np.arange(1, min(cross[i] + 2, length[i])))
-    near = np.flatnonzero(~flips & (length > 1))
-    for shift in (-1, 0, 1):
-        k = np.clip(cross[near] + shift, 1, length[near] - 1)
-        cuts.append(edges[near] + k)
-    bounds = np.unique(np.concatenate([edges, *cuts]))
-    owner = np.searchsorted(edges, bounds[:-1], side="right") - 1
-    k = bounds[:-1] - edges[owner] + 1
-    inside = lead[owner] + drift[owner] * ratio[owner] ** k > 0
-    width = np.diff(bounds)
+
+    def state(at: tuple, k: np.ndarray) -> np.ndarray:
+        """State of base k (from 0) of the cells ``at``."""
+        return lead[at] + drift[at] * ratio[at] ** (k + 1) > 0
+
+    cells = np.indices(lead.shape)
+    everywhere = (cells[0], cells[1])
+    last = np.broadcast_to(length - 1, lead.shape)
+    opening, closing = state(everywhere, np.zeros_like(last)), state(everywhere, last)
+    flips = (ratio < 0) & (cross > 0) & (last > 0)
+    # cells that change once: the first base near the crossing that has the last one's state
+    turn = np.nonzero(~flips & (opening != closing))
+    turned = last[turn].copy()
+    for shift in (1, 0, -1):
+        k = np.clip(cross[turn] + shift, 1, last[turn])
+        turned = np.where(state(turn, k) == closing[turn], np.minimum(turned, k), turned)
+    n = np.ones(lead.shape, np.int64)
+    n[turn] = 2
+    n[flips] = np.minimum(cross + 2, length)[flips]
+    # lay out the pieces of all cells, in (set, run, base) order
+    flat = n.ravel()
+    first = np.cumsum(flat) - flat
+    cell = np.repeat(np.arange(flat.size), flat)
+    k = np.arange(len(cell)) - first[cell]
+    k[first[np.ravel_multi_index(turn, lead.shape)] + 1] = turned
+    which = np.unravel_index(cell, lead.shape)
+    begin = edges[which[1]] + k
+    end = np.empty_like(begin)
+    end[:-1] = begin[1:]
+    closes = first + flat - 1
+    end[closes] = edges[1:][np.arange(flat.size) % lead.shape[1]]
+    return which[0], begin, end, state(which, k), symbol[which[1]]
+
+
+def _conserved_stretches(*cells) -> tuple[np.ndarray, ...]:
+    """(set, start, end, conserved bases) of the stretches of a tile that are in state 1."""
+    owner, begin, end, inside, symbol = _state_pieces(*cells)
     hits = np.flatnonzero(inside)
     if not hits.size:
         none = np.empty(0, dtype=np.int64)
-        return none, none, none
-    opens = np.r_[True, np.diff(hits) > 1]
-    counted = np.add.reduceat(width[hits] * symbol[owner[hits]], np.flatnonzero(opens))
-    return bounds[hits[opens]], bounds[hits[np.r_[opens[1:], True]] + 1], counted
+        return none, none, none, none
+    opens = np.r_[True, (np.diff(hits) > 1) | (np.diff(owner[hits]) > 0)]
+    counted = np.add.reduceat((end - begin)[hits] * symbol[hits], np.flatnonzero(opens))
+    return owner[hits[opens]], begin[hits[opens]], end[hits[np.r_[opens[1:], True]]], counted
 
 
 def hmm_tiles(sites: DataFrame, chromes: DataFrame, carry: bool = False, tile_width: int = TILE_WIDTH) -> DataFrame:
@@ -267,10 +295,8 @@ def hmm_segment(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmParams
                     continue
                 main, rest, ratio = models.runs(chosen, symbol, reset)
                 entries = _entering(main + (ratio**length)[:, :, None, None] * rest, entry[part])
-                found = [_conserved_pieces(main[i], rest[i], ratio[i], edges, symbol, entries[i]) for i in range(len(chosen))]
-                s, e, n = (np.concatenate(x) for x in zip(*found))
-                yield pd.DataFrame({"param_id": np.repeat(models.ids[chosen], [len(x[0]) for x in found]), "chrom": chrom,
-                                    "start": s, "end": e, "num_conserved": n})
+                who, s, e, n = _conserved_stretches(main, rest, ratio, edges, symbol, entries)
+                yield pd.DataFrame({"param_id": models.ids[chosen][who], "chrom": chrom, "start": s, "end": e, "num_conserved": n})
 
     matrices = tiles.mapInPandas(_in_frames(reduce_tiles), "param_id int, chrom string, ord int, tile long, "
                                                "m00 double, m01 double, m10 double, m11 double")
@@ -317,12 +343,21 @@ def hmm_summary(stretches: DataFrame, sites: DataFrame, chromes: DataFrame, para
         F.count(F.when(F.col("opened"), 1)).alias("total_elements"),
         F.count(F.when(ok & (F.col("length_class") == "short"), 1)).alias("too_short"),
         F.count(F.when(ok & (F.col("length_class") == "long"), 1)).alias("too_long"))
+    return _report(counts.join(stats, keys, "left"), sites, chromes, params, min_len)
+
+
+def _report(sums: DataFrame, sites: DataFrame, chromes: DataFrame, params: Iterable[HmmParams], min_len: int) -> DataFrame:
+    """The report rows from counts and sums per (parameter set, chromosome)."""
+    keys = ["param_id", "chrom"]
     covered = sites.select("chrom", "start", "end").distinct().groupBy("chrom").agg(
         F.sum(F.col("end") - F.col("start")).alias("conserved_sites"))
-    sets = F.array(*[F.struct(F.lit(p.param_id).alias("param_id"), *[
-        F.lit(v).alias(n) for n, v in zip(("t0_0", "t1_1", "e0_0", "e1_1", "s0"), p.clamped())]) for p in params])
-    report = chromes.select("chrom", "length").withColumn("_p", F.explode(sets)).select("chrom", "length", "_p.*")
-    out = (report.join(covered, "chrom", "left").join(counts, keys, "left").join(stats, keys, "left")
+    fields = ("t0_0", "t1_1", "e0_0", "e1_1", "s0")
+    rows = [(i, p.param_id, *map(float, p.clamped())) for i, p in enumerate(params)]
+    settings = chromes.sparkSession.createDataFrame(rows, "_i int, param_id int, " + ", ".join(f"{n} double" for n in fields))
+    # every chromosome with every set; the table of sets is a setting, thousands of rows at most
+    report = (chromes.select("chrom", "length", F.explode(F.sequence(F.lit(0), F.lit(len(rows) - 1))).alias("_i"))
+              .join(F.broadcast(settings), "_i").drop("_i"))
+    out = (report.join(covered, "chrom", "left").join(sums, keys, "left")
            .na.fill(0, ["conserved_sites", "total_elements", "too_short", "too_long", "_len", "_gap",
                         "sites_in_elements", "_dens"]))
     final = F.col("total_elements") - F.col("too_short") - F.col("too_long")
@@ -332,30 +367,230 @@ def hmm_summary(stretches: DataFrame, sites: DataFrame, chromes: DataFrame, para
 
     return out.select("param_id", "chrom", "length", "conserved_sites", "total_elements", "too_short", "too_long",
                       final.alias("final_elements"), mean("_len").alias("mean_length"), mean("_gap").alias("mean_gap"),
-                      "sites_in_elements", mean("_dens").alias("mean_density"),
-                      "t0_0", "t1_1", "e0_0", "e1_1", "s0", F.lit(min_len).alias("min_len"))
+                      "sites_in_elements", mean("_dens").alias("mean_density"), *fields, F.lit(min_len).alias("min_len"))
+
+
+#: What a tile tells about each set: end and conserved bases of the stretch at its start (end = start: none), start and
+#: conserved bases of another one at its end (start = end: none), then counts and sums over the stretches between.
+PARTS = ("head_end", "head_n", "tail_start", "tail_n", "total", "short", "long", "len", "gap", "n", "dens", "first", "last")
+_TOTALS = {"total_elements": "total", "too_short": "short", "too_long": "long", "_len": "len", "_gap": "gap", "sites_in_elements": "n",
+           "_dens": "dens"}
+
+
+def _tile_parts(n_sets: int, start: int, end: int, found: tuple[np.ndarray, ...], min_len: int, max_len: int) -> np.ndarray:
+    """(len(PARTS), sets) of a tile from its stretches; ``first`` and ``last`` are the start and the end of the outer kept ones,
+    -1 without any."""
+    who, s, e, n = found
+    out = np.zeros((len(PARTS), n_sets))
+    out[0], out[2], out[11], out[12] = start, end, -1, -1
+    head = s == start
+    out[0, who[head]], out[1, who[head]] = e[head], n[head]
+    tail = (e == end) & ~head
+    out[2, who[tail]], out[3, who[tail]] = s[tail], n[tail]
+    inner = ~head & ~tail
+    who, s, e, n = who[inner], s[inner], e[inner], n[inner]
+    length = e - s
+    short, long = length <= min_len, (length >= max_len) & (length > min_len)
+    kept = ~short & ~long
+
+    def count(rows: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+        return np.bincount(who[rows], None if weights is None else weights[rows], n_sets)
+
+    out[4], out[5], out[6] = count(slice(None)), count(short), count(long)
+    out[7], out[9], out[10] = count(kept, length), count(kept, n), count(kept, n / length)
+    w, s, e = who[kept], s[kept], e[kept]
+    if len(w):
+        same = w[1:] == w[:-1]
+        out[8] = np.bincount(w[1:][same], (s[1:] - e[:-1])[same], n_sets)
+        opens, closes = np.r_[True, ~same], np.r_[~same, True]
+        out[11, w[opens]], out[12, w[closes]] = s[opens], e[closes]
+    return out
+
+
+class _Folded:
+    """Counts and sums of all sets over the tiles of a chromosome so far, and the stretch that is still open."""
+
+    def __init__(self, n_sets: int, min_len: int, max_len: int):
+        self.min_len, self.max_len = min_len, max_len
+        self.sums = dict.fromkeys(_TOTALS.values())
+        for k in self.sums:
+            self.sums[k] = np.zeros(n_sets)
+        self.open, self.begin, self.n, self.last = np.zeros(n_sets, bool), np.zeros(n_sets), np.zeros(n_sets), np.full(n_sets, -1.0)
+
+    def _close(self, which: np.ndarray, begin: np.ndarray, end: np.ndarray, n: np.ndarray) -> None:
+        """Stretches that end inside the chromosome; one that begins at its first base is no element."""
+        which = which & (begin > 0)
+        length = end - begin
+        short = which & (length <= self.min_len)
+        long = which & ~short & (length >= self.max_len)
+        kept = which & ~short & ~long
+        self.sums["total"] += which
+        self.sums["short"] += short
+        self.sums["long"] += long
+        self.sums["len"] += np.where(kept, length, 0)
+        self.sums["n"] += np.where(kept, n, 0)
+        self.sums["dens"] += np.where(kept, n / np.maximum(length, 1), 0)
+        self.sums["gap"] += np.where(kept & (self.last >= 0), begin - self.last, 0)
+        self.last = np.where(kept, end, self.last)
+
+    def add(self, start: int, end: int, parts: np.ndarray) -> None:
+        p = dict(zip(PARTS, parts))
+        has_head, has_tail = p["head_end"] > start, p["tail_start"] < end
+        self._close(self.open & ~has_head, self.begin, np.full_like(self.begin, start), self.n)
+        goes_on = self.open & has_head
+        begin = np.where(goes_on, self.begin, start)
+        n = np.where(goes_on, self.n, 0) + p["head_n"]
+        through = has_head & (p["head_end"] == end)
+        self._close(has_head & ~through, begin, p["head_end"], n)
+        for k in self.sums:
+            self.sums[k] += p[k]
+        self.sums["gap"] += np.where((p["first"] >= 0) & (self.last >= 0), p["first"] - self.last, 0)
+        self.last = np.where(p["last"] >= 0, p["last"], self.last)
+        self.open = through | has_tail
+        self.begin = np.where(through, begin, p["tail_start"])
+        self.n = np.where(through, n, p["tail_n"])
+
+    def finish(self) -> dict[str, np.ndarray]:
+        """A stretch open at the end counts as one that opened and is no element otherwise."""
+        self.sums["total"] += self.open & (self.begin > 0)
+        return self.sums
+
+
+def hmm_grid_summary(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmParams], min_len: int = 20, max_len: int = 10000,
+                     tile_width: int = TILE_WIDTH, block: int = 256) -> DataFrame:
+    """``hmm_summary`` for grids of many sets, without a row per stretch.
+
+    Sets go in blocks, as array rows: a tile gives each block its matrices, a fold over the tiles of a chromosome gives what
+    enters them, a tile then gives counts and sums of its stretches and those cut by its borders, and a second fold adds
+    them up. A group of both folds is a chromosome and a block: its tiles times ``block`` sets.
+    """
+    models = _Models(params)
+    n_blocks = -(-len(params) // block)
+    sets_of = [slice(b * block, min((b + 1) * block, len(params))) for b in range(n_blocks)]
+    tiles = cut(hmm_tiles(sites, chromes, False, tile_width))
+
+    def parts_of(which: slice, runs: int) -> Iterator[np.ndarray]:
+        ids, step = np.arange(which.start, which.stop), max(1, SET_CELLS // max(runs, 1))
+        return (ids[i:i + step] for i in range(0, len(ids), step))
+
+    def reduce_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chrom, tile, start, end, reset, lo, hi in _tuples(batches):
+            edges, symbol = _tile_runs(start, end, np.asarray(lo), np.asarray(hi), reset)
+            length, rows = np.diff(edges), []
+            for b, which in enumerate(sets_of):
+                mats = []
+                for ids in parts_of(which, len(length)):
+                    main, rest, ratio = models.runs(ids, symbol, reset)
+                    mats.append(_product(main + (ratio**length)[:, :, None, None] * rest))
+                rows.append((chrom, b, tile, np.concatenate(mats).tobytes()))
+            yield pd.DataFrame(rows, columns=["chrom", "block", "tile", "m"])
+
+    def enter_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chrom, b, numbers, mats in _tuples(batches):
+            v, rows = None, []
+            for tile, m in zip(numbers, mats):
+                m = np.frombuffer(m).reshape(-1, 2, 2)
+                v = np.full((len(m), 2), 0.5) if v is None else v
+                rows.append((chrom, b, tile, v.tobytes()))
+                v = np.einsum("sjk,sk->sj", m, v)
+                v = v / v.sum(axis=1, keepdims=True)
+            yield pd.DataFrame(rows, columns=["chrom", "block", "tile", "v"])
+
+    def walk_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chrom, tile, start, end, reset, lo, hi, b, v in _tuples(batches):
+            edges, symbol = _tile_runs(start, end, np.asarray(lo), np.asarray(hi), reset)
+            length, v, parts, at = np.diff(edges), np.frombuffer(v).reshape(-1, 2), [], 0
+            for ids in parts_of(sets_of[b], len(length)):
+                main, rest, ratio = models.runs(ids, symbol, reset)
+                entries = _entering(main + (ratio**length)[:, :, None, None] * rest, v[at:at + len(ids)])
+                found = _conserved_stretches(main, rest, ratio, edges, symbol, entries)
+                parts.append(_tile_parts(len(ids), start, end, found, min_len, max_len))
+                at += len(ids)
+            yield pd.DataFrame([(chrom, b, tile, start, end, np.concatenate(parts, axis=1).tobytes())],
+                               columns=["chrom", "block", "tile", "start", "end", "parts"])
+
+    def fold_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chrom, b, starts, ends, parts in _tuples(batches):
+            ids = models.ids[sets_of[b]]
+            folded = _Folded(len(ids), min_len, max_len)
+            for start, end, raw in zip(starts, ends, parts):
+                folded.add(start, end, np.frombuffer(raw).reshape(len(PARTS), -1))
+            sums = folded.finish()
+            yield pd.DataFrame({"param_id": ids, "chrom": chrom, **{c: sums[k] for c, k in _TOTALS.items()}})
+
+    # few small rows with much work each: dealt to all cores, which sizes of shuffles would not do
+    tasks = 4 * tiles.sparkSession.sparkContext.defaultParallelism
+    matrices = tiles.select("chrom", "tile", "start", "end", "reset", "lo", "hi").repartition(tasks, "chrom", "tile").mapInPandas(
+        _in_frames(reduce_tiles), "chrom string, block int, tile long, m binary")
+    lines = matrices.groupBy("chrom", "block").agg(F.sort_array(F.collect_list(F.struct("tile", "m"))).alias("l"))
+    entering = lines.select("chrom", "block", "l.tile", "l.m").mapInPandas(enter_tiles, "chrom string, block int, tile long, v binary")
+    walked = tiles.join(entering, ["chrom", "tile"]).select("chrom", "tile", "start", "end", "reset", "lo", "hi", "block", "v")
+    walked = walked.repartition(tasks, "chrom", "tile", "block")
+    partial = walked.mapInPandas(_in_frames(walk_tiles), "chrom string, block int, tile long, start long, end long, parts binary")
+    lines = partial.groupBy("chrom", "block").agg(F.sort_array(F.collect_list(F.struct("tile", "start", "end", "parts"))).alias("l"))
+    counts = "total_elements", "too_short", "too_long", "_len", "_gap", "sites_in_elements"
+    sums = lines.select("chrom", "block", "l.start", "l.end", "l.parts").mapInPandas(
+        fold_tiles, "param_id int, chrom string, " + ", ".join(f"{c} double" for c in _TOTALS))
+    for c in counts:
+        sums = sums.withColumn(c, F.col(c).cast("long"))
+    return _report(sums, sites, chromes, params, min_len)
 
 
 def state_sequence(stretches: DataFrame, sites: DataFrame, chromes: DataFrame, param_ids: Sequence[int],
-                   min_len: int = 20, max_len: int = 10000) -> DataFrame:
-    """One row per base and parameter set: symbol, state, IN/OUT, START/END and, at END, the
-    element just closed. Meant for inspection: its size is the genome's."""
-    bases = expand_runs(chromes.select("chrom", F.lit(0).cast("long").alias("start"), F.col("length").alias("end")))
-    bases = bases.select("chrom", F.col("start").alias("pos"))
-    per_set = bases.withColumn("param_id", F.explode(F.array(*[F.lit(i) for i in param_ids])))
-    symbol = expand_runs(sites.select("chrom", "start", "end")).select(
-        "chrom", F.col("start").alias("pos"), F.lit(1).alias("_sym")).distinct()
-    inside = expand_runs(stretches.select("param_id", "chrom", "start", "end", F.col("start").alias("_from"))).select(
-        "param_id", "chrom", F.col("start").alias("pos"), "_from")
-    ends = hmm_elements(stretches, min_len, max_len).select(
-        "param_id", "chrom", F.col("end").alias("pos"), F.col("start").alias("elem_start"),
-        F.col("end").alias("elem_end"), F.col("length").alias("elem_length"),
-        F.when(F.col("length_class") == "kept", F.col("density")).alias("elem_density"))
-    keys = ["param_id", "chrom", "pos"]
-    out = per_set.join(symbol, ["chrom", "pos"], "left").join(inside, keys, "left").join(ends, keys, "left")
-    state = F.col("_from").isNotNull()
-    change = F.when(state & (F.col("_from") == F.col("pos")) & (F.col("pos") > 0), "START").when(
-        F.col("elem_start").isNotNull(), "END").otherwise("")
-    return out.select(*keys, F.coalesce("_sym", F.lit(0)).alias("symbol"), state.cast("int").alias("state"),
-                      F.when(state, "IN").otherwise("OUT").alias("place"), change.alias("change"),
-                      "elem_start", "elem_end", "elem_length", "elem_density")
+                   min_len: int = 20, max_len: int = 10000, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """One row per base and parameter set: symbol, state, IN/OUT, START/END and, at END, the element just closed.
+
+    Sites, stretches and elements are cut into tiles and brought together there; each tile then writes its bases, so that no row
+    of a base is shuffled. Meant for inspection: its size is the genome's.
+    """
+    def tiled(df: DataFrame, keys: list[str]) -> DataFrame:
+        spread = _explode_range(df, F.floor(F.col("start") / tile_width), F.floor((F.col("end") - 1) / tile_width), "tile")
+        base = F.col("tile") * tile_width
+        piece = F.struct(F.greatest("start", base).alias("s"), F.least("end", base + tile_width).alias("e"), "start")
+        return spread.groupBy(*keys, "tile").agg(F.collect_list(piece).alias("p")).select(
+            *keys, "tile", F.col("p.s").alias("s"), F.col("p.e").alias("e"), F.col("p.start").alias("begin"))
+
+    symbols = tiled(sites.select("chrom", "start", "end"), ["chrom"]).select("chrom", "tile", F.col("s").alias("ss"), F.col("e").alias("se"))
+    inside = tiled(stretches.select("param_id", "chrom", "start", "end"), ["param_id", "chrom"])
+    density = F.when(F.col("length_class") == "kept", F.col("density"))
+    ended = (hmm_elements(stretches, min_len, max_len).withColumn("tile", F.floor(F.col("end") / tile_width)).groupBy("param_id", "chrom", "tile")
+             .agg(F.collect_list(F.struct("start", "end", density.alias("density"))).alias("x"))
+             .select("param_id", "chrom", "tile", F.col("x.start").alias("xs"), F.col("x.end").alias("xe"), F.col("x.density").alias("xd")))
+    tiles = make_windows(chromes, tile_width).withColumnRenamed("window_no", "tile").withColumn(
+        "param_id", F.explode(F.array(*[F.lit(i) for i in param_ids])))
+    keys = ["param_id", "chrom", "tile"]
+    met = tiles.join(symbols, ["chrom", "tile"], "left").join(inside, keys, "left").join(ended, keys, "left").select(
+        "param_id", "chrom", F.col("start").alias("from"), F.col("end").alias("to"), "ss", "se", "s", "e", "begin", "xs", "xe", "xd")
+
+    def bases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                lo, n = row["from"], row["to"] - row["from"]
+                symbol, state, labels = np.zeros(n, np.int32), np.zeros(n, np.int32), np.zeros(n, np.int8)
+                for s, e in zip(row["ss"] or (), row["se"] or ()):
+                    symbol[s - lo:e - lo] = 1
+                for s, e, begin in zip(row["s"] or (), row["e"] or (), row["begin"] or ()):
+                    state[s - lo:e - lo] = 1
+                    if s == begin and s > 0:
+                        labels[s - lo] = 1
+                at = np.array(row["xe"] or (), np.int64) - lo
+                labels[at] = 2
+                named = {"elem_start": row["xs"], "elem_end": row["xe"], "elem_density": row["xd"]}
+                for k in range(0, n, FRAME_ROWS):
+                    part = slice(k, min(k + FRAME_ROWS, n))
+                    size, here = part.stop - k, np.flatnonzero((at >= k) & (at < part.stop))
+                    pick = np.full(size, -1)
+                    pick[at[here] - k] = here
+                    where = pa.array(pick, mask=pick < 0)
+                    elem = {c: pa.array(v or [], pa.float64() if c == "elem_density" else pa.int64()).take(where) for c, v in named.items()}
+                    cols = {"param_id": pa.array(np.full(size, row["param_id"], np.int32)), "chrom": pa.array([row["chrom"]]).take(pa.array(np.zeros(size, np.int64))),
+                            "pos": pa.array(np.arange(lo + k, lo + part.stop)), "symbol": pa.array(symbol[part]), "state": pa.array(state[part]),
+                            "place": pa.array(["OUT", "IN"]).take(pa.array(state[part])), "change": pa.array(["", "START", "END"]).take(pa.array(labels[part])),
+                            **elem, "elem_length": pc.subtract(elem["elem_end"], elem["elem_start"])}
+                    yield pa.RecordBatch.from_arrays([cols[c] for c in STATE_COLUMNS], STATE_COLUMNS)
+
+    return met.mapInArrow(bases, "param_id int, chrom string, pos long, symbol int, state int, place string, change string, "
+                                 "elem_start long, elem_end long, elem_length long, elem_density double")
+
+
+STATE_COLUMNS = ["param_id", "chrom", "pos", "symbol", "state", "place", "change", "elem_start", "elem_end", "elem_length", "elem_density"]
