@@ -45,6 +45,17 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until ``df`` has no such column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def crc_mod(id_col: Column, n: int) -> Column:
     """crc32 of the id's decimal text, modulo n: the fixed split into training and held-out rows."""
     return F.crc32(id_col.cast("string").cast("binary")) % n
@@ -58,4 +69,4 @@ def partition_bases(sizes: DataFrame, part: str, n: str, out: str) -> DataFrame:
     return totals.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(out))
 
 
-__all__ = ["SPACE_PATTERN", "WORD_PATTERN", "crc_mod", "cut", "partition_bases", "stored", "table", "texts"]
+__all__ = ["SPACE_PATTERN", "WORD_PATTERN", "crc_mod", "cut", "free_names", "partition_bases", "stored", "table", "texts"]

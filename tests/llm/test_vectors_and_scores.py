@@ -105,26 +105,36 @@ def test_preference_edges(spark):
 
 def test_pipeline_stages_against_plain_versions(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(3)
-    odd = spark.createDataFrame([(None, None, "en", "s", 0), (5000, "", "en", "s", 0), (5001, None, None, None, None)], docs.schema)
-    docs = docs.unionByName(odd)
+    long = docs.where("length(text) > 600").orderBy("doc_id").first().text
+    odd = [(None, None, "en", "s", 0), (5000, "", "en", "s", 0), (5001, None, None, None, None), (None, long, "en", "s", 1),
+           (5002, long + " one more", "en", "s", 1), (5002, long + " one more", "en", "s", 1)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    for k, c in enumerate(("id", "_id", "_h", "_score", "score", "_q_kept", "kept", "n", "name", "key")):  # names the stages use
+        docs = docs.withColumn(c, F.lit(k))
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         kept = stage(spark, docs, SF)
         before, rows = docs.collect(), kept.collect()
         if k < 4:
             assert kept.columns == docs.columns, name
         if name == "quality_rules":
-            want = {r.doc_id for r in quality_rules.quality_rules(docs).where("kept").collect()}
+            want = {r.doc_id for r in quality_rules.quality_rules(docs, prefix="t_").where("t_kept").collect()}
             assert {r.doc_id for r in rows} == want and 5000 not in want
         if name == "quality_classifier":
             bad = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 0").collect()}
             assert {r.doc_id for r in before} - {r.doc_id for r in rows} <= bad
-        if name == "simhash_near_dedup":
-            fps = [(r.doc_id, simhash.fingerprint(r.text)) for r in before]
-            ids = {r.doc_id for r in rows}
-            for i, f in fps:  # whatever went is within reach of something that stayed or went for it
-                assert i in ids or any(j < i and (f ^ g).bit_count() <= 4 or j != i and (f ^ g).bit_count() <= 4 for j, g in fps)
-            stay = [(i, f) for i, f in fps if i in ids]
-            assert not any((f ^ g).bit_count() <= 4 for n, (i, f) in enumerate(stay) for _, g in stay[:n])
+        if name == "near_dedup":
+            sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (r.text.lower().split() for r in before)]
+            root = list(range(len(before)))
+            for i, x in enumerate(sets):
+                for j, y in enumerate(sets[:i]):
+                    if 5 * len(x & y) >= 4 * len(x | y):
+                        old, new = root[i], root[j]
+                        root = [new if r == old else r for r in root]
+            groups = {}
+            for r, row in zip(root, before):
+                groups.setdefault(r, []).append(row.doc_id)
+            want = [min((i for i in g if i is not None), default=None) for g in groups.values()]
+            assert sorted(r.doc_id or -1 for r in rows) == sorted(i or -1 for i in want) and len(rows) < len(before)
         if name == "suffix_array_dedup":
             assert sum(len(r.text) for r in rows) <= sum(len(r.text) for r in before)
             again = suffix_dedup.dedup_digest(docs).agg(F.sum("n_removed")).first()[0]
