@@ -107,6 +107,18 @@ def fasta_files(spark, d):
     return readers.fasta_alignments(readers.read_fasta(spark, path, "part-*"), region_in_title=True)
 
 
+@query("genome_files", """
+  SELECT CAST(page_id AS VARCHAR) AS title, CAST(k AS BIGINT) AS chunk_no, substr(seq, k * 1000 + 1, 1000) AS seq
+  FROM (SELECT *, unnest(range((length(seq) + 999) // 1000)) AS k
+        FROM (SELECT page_id, regexp_replace(html, '[\\x09-\\x0D\\x1C-\\x1F\\x85\\p{Z}>]', '_', 'g') AS seq FROM pages))""")
+def genome_files(spark, d):
+    """Pages as chromosomes in lines of 60 letters, read back in pieces of 1,000."""
+    seq = F.regexp_replace("html", r"[\x09-\x0D\x1C-\x1F\x85\p{Z}>]", "_")
+    lines = F.concat_ws("\n", F.concat(F.lit(">"), F.col("page_id").cast("string")), F.regexp_extract_all(seq, F.lit("(?s).{1,60}"), F.lit(0)))
+    path = _written(A.table(spark, d, "pages").select(lines.alias("value")), "genome")
+    return readers.read_genome(spark, path, 1000, "part-*").select("title", "chunk_no", "seq")
+
+
 @query("ss_files", f"""
   SELECT CAST(idx AS VARCHAR) AS key, {MARKED_SQL.format("pattern")} AS value, n FROM v_pat
   UNION ALL SELECT unnest(['NSEQS', 'LENGTH', 'NTUPLES']),

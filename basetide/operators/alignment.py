@@ -226,16 +226,19 @@ def batch_loci(loci: DataFrame, size: int = 20, order: Sequence[str] = ("chrom",
     return out.select("batch_id", "idx", (F.col("_to") - length).alias("start"), F.col("_to").alias("end"), "name")
 
 
-def chunk_genome(fasta: DataFrame, chunk: int = 1 << 20) -> DataFrame:
-    """(title, seq) -> (chrom, chunk_no, seq) pieces of fixed length."""
-    last = F.floor((F.length("seq") - 1) / chunk)
-    return (fasta.where(F.length("seq") > 0)
-            .select(F.col("title").alias("chrom"), "seq", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("chunk_no"))
-            .select("chrom", "chunk_no", F.substring("seq", (F.col("chunk_no") * chunk + 1).cast("int"), F.lit(chunk))
-                    .alias("seq")))
+#: Letters of a genome piece. A slice reads its pieces from their start, so pieces are short.
+CHUNK = 1 << 16
 
 
-def genome_slice(regions: DataFrame, genome: DataFrame, chunk: int = 1 << 20) -> DataFrame:
+def chunk_genome(fasta: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """(title, seq) -> (chrom, chunk_no, seq) pieces of fixed length, by one pass over each text. ``readers.read_genome`` makes
+    them from files without a row per chromosome."""
+    pieces = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    return fasta.where(F.length("seq") > 0).select(F.col("title").alias("chrom"), F.posexplode(pieces).alias("chunk_no", "seq")).select(
+        "chrom", F.col("chunk_no").cast("long").alias("chunk_no"), "seq")
+
+
+def genome_slice(regions: DataFrame, genome: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Add ``genome_seq``, the genome text of [start, end), read from a chunked genome."""
     first, last = F.floor(F.col("start") / chunk), F.floor((F.col("end") - 1) / chunk)
     spans = regions.select("chrom", "start", "end").distinct().withColumn("chunk_no", F.explode(F.sequence(first, last)))
@@ -249,7 +252,7 @@ def genome_slice(regions: DataFrame, genome: DataFrame, chunk: int = 1 << 20) ->
     return regions.join(whole, ["chrom", "start", "end"], "left")
 
 
-def validate_reference(aln: DataFrame, genome: DataFrame, ref_species: str, chunk: int = 1 << 20) -> DataFrame:
+def validate_reference(aln: DataFrame, genome: DataFrame, ref_species: str, chunk: int = CHUNK) -> DataFrame:
     """Reference records with ``matches``: equal to the genome text, case ignored."""
     ref = aln.where(F.col("species") == ref_species)
     return genome_slice(ref, genome, chunk).withColumn(

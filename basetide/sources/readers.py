@@ -1,6 +1,7 @@
 """Readers for the text formats. Each is one lazy scan; records span lines through ``lineSep``.
 
-A record is one row, so it must fit in memory: a fixedStep block, an alignment block, a FASTA entry.
+A record is one row, so it must fit in memory: an alignment block, a FASTA entry of ``read_fasta``. Whole chromosomes are read
+in pieces by ``read_genome``, fixedStep blocks line by line.
 All columns are declared, nothing is inferred.
 """
 
@@ -11,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basetide.sources.carried import read_genome, read_wig_lines  # noqa: F401
+
 BED3 = "chrom string, start long, end long"
 
 
@@ -73,27 +76,23 @@ def read_fai(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
 
 
 def read_wig_fixedstep(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """fixedStep WIG -> one 1-bp row per score; the 1-based start becomes 0-based."""
-    raw = spark.read.option("lineSep", "fixedStep ").text(_paths(path))
-    head = F.substring_index("value", "\n", 1)
-    body = F.expr("substring(value, instr(value, '\n') + 1)")
+    """fixedStep WIG -> one 1-bp row per score; the 1-based start becomes 0-based. A block may span any number of tasks.
+
+    Blank, track, browser and comment lines are passed over; other lines outside a fixedStep block and values that are no
+    numbers are errors."""
+    lines = read_wig_lines(spark, path)
 
     def field(name: str) -> Column:
-        return F.regexp_extract(head, rf"{name}=(\S+)", 1)
-
-    # what stands before the first block may be empty or track lines; nothing else is passed over
-    lines = F.filter(F.split("value", r"\r?\n"), lambda x: (F.trim(x) != "") & ~x.rlike("^(track|browser|#)"))
-    preface = (F.size(lines) == 0) & ~head.rlike("=")
-    known = head.rlike(r"chrom=\S+") & head.rlike(r"start=\d+") & ~F.contains("value", F.lit("variableStep"))
-    bad_block = F.raise_error(F.concat(F.lit("not a fixedStep block: "), F.substring(head, 1, 80))).cast("boolean")
-    blocks = raw.where(F.when(preface | head.rlike("^(track|browser|#)") & (F.size(lines) == 0), False).when(known, True).otherwise(bad_block)).select(
-        field("chrom").alias("chrom"), (field("start").cast("long") - 1).alias("first"),
-        F.coalesce(field("step").try_cast("long"), F.lit(1)).alias("step"),
-        F.posexplode(F.split(F.trim(F.regexp_replace(body, "\r", "")), r"\s+")).alias("k", "text"))
-    start = F.col("first") + F.col("k") * F.col("step")
+        return F.regexp_extract("header", rf"\b{name}=(\S+)", 1)
+
+    known = F.col("header").rlike("^fixedStep") & F.col("header").rlike(r"\bchrom=\S+") & F.col("header").rlike(r"\bstart=\d+(\s|$)")
+    bad_block = F.raise_error(F.concat(F.lit("not a fixedStep block: "), F.substring(F.coalesce("header", "text"), 1, 80))).cast("boolean")
+    first = field("start").cast("long") - 1
+    start = first + F.col("k") * F.coalesce(field("step").try_cast("long"), F.lit(1))
     bad_value = F.raise_error(F.concat(F.lit("not a score: "), "text")).cast("double")
     score = F.coalesce(F.col("text").try_cast("double"), bad_value)
-    return blocks.where("text <> ''").select("chrom", start.alias("start"), (start + 1).alias("end"), score.alias("score"))
+    return lines.where(F.coalesce(known, F.lit(False)) | bad_block).select(
+        field("chrom").alias("chrom"), start.alias("start"), (start + 1).alias("end"), score.alias("score"))
 
 
 def read_maf(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
