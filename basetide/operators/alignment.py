@@ -177,11 +177,13 @@ RECORD_ORDER = ("first_block", "first_row", "copy")
 def dedup_species(aln: DataFrame, region: str = "region_id", order: Sequence[str] = RECORD_ORDER) -> DataFrame:
     """Per (region, species), the record with fewest gaps; the first in file order on a tie.
 
-    An arg-min aggregate, so copies shrink on the map side however many there are."""
-    rest = [c for c in aln.columns if c not in (region, "species")]
+    A rank limit of one, which already holds inside map tasks: sequences are exchanged for one record per task and key at
+    most, and no aggregate carries them in its buffer."""
     gaps = F.col("gaps") if "gaps" in aln.columns else gap_count("seq")
-    best = F.min_by(F.struct(*rest), F.struct(gaps.alias("_g"), *[F.col(c) for c in order]))
-    return aln.groupBy(region, "species").agg(best.alias("_b")).select(region, "species", *[f"_b.{c}" for c in rest])
+    first = Window.partitionBy(region, "species").orderBy("_g", *order)
+    ranked = aln.withColumn("_g", gaps).withColumn("_rank", F.row_number().over(first))
+    rest = [c for c in aln.columns if c not in (region, "species")]
+    return ranked.where("_rank = 1").select(region, "species", *rest)
 
 
 def _sequence_counts(aln: DataFrame, region: str) -> DataFrame:

@@ -59,33 +59,66 @@ def point_join(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.join(right, on).withColumn("overlap", F.least("end", "b_end") - F.greatest("start", "b_start"))
 
 
+#: Each length class has bins this many times as wide as the one before it.
+CLASS_STEP = 4
+
+
+def length_class(length: Column, base: int) -> Column:
+    """Number of the narrowest class whose bins, base * CLASS_STEP ** class wide, are as long as an interval."""
+    over = F.greatest(F.ceil(length / base), F.lit(1))
+    guess = F.greatest(F.ceil(F.log(float(CLASS_STEP), over.cast("double"))).cast("int"), F.lit(0))
+    # the logarithm may be off by one at powers
+    enough = lambda c: F.pow(F.lit(float(CLASS_STEP)), c) >= over
+    return F.when(~enough(guess), guess + 1).when((guess > 0) & enough(guess - 1), guess - 1).otherwise(guess)
+
+
 def overlap_join(a: DataFrame, b: DataFrame, bin_width: int | None = None,
                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """All overlapping pairs (a.start < b.end and b.start < a.end) with the overlap length.
 
-    Both sides are laid on bins and joined on (chrom, bin); a pair is kept only in the bin that
-    holds the later start, so no distinct is needed. The default bin is the mean interval length of
-    both sides, which bounds the binned tables by three rows per interval on average. Crowded bins
-    are split into a grid of cells. Output: a's columns, b's as ``b_*``, and ``overlap``.
+    Intervals fall into classes by length, and the bins of a class are as wide as its longest interval, so each lies on
+    two bins of its class at most. A pair meets on the bins of the longer one's class: one join takes b there with a on all
+    classes from its own up that b has, the other one a with b on the classes above its own. So an interval is laid out on
+    two bins for every class that occurs, whatever the mix of lengths, and a pair is kept only in the bin that holds the
+    later start, so no distinct is needed. The narrowest bins are ``bin_width`` wide, by default the median length.
+    Crowded bins are split into a grid of cells. Output: a's columns, b's as ``b_*``, and ``overlap``.
     """
+    lengths = a.select(F.col("end") - F.col("start")).union(b.select(F.col("end") - F.col("start"))).toDF("len")
     if bin_width is None:
-        lengths = a.select(F.col("end") - F.col("start")).union(b.select(F.col("end") - F.col("start"))).toDF("len")
-        bin_width = max(1, int(lengths.agg(F.avg("len")).first()[0] or 1))
+        bin_width = max(1, int(lengths.agg(F.percentile_approx("len", 0.5, 1000)).first()[0] or 1))
 
-    def binned(df: DataFrame, prefix: str) -> DataFrame:
+    def classed(df: DataFrame, prefix: str, out: str) -> DataFrame:
         s, e = F.col(f"{prefix}start"), F.col(f"{prefix}end")
-        out = _explode_range(df, F.floor(s / bin_width), F.floor((F.greatest(e, s + 1) - 1) / bin_width), "_bin")
-        return out.withColumn("_chrom", F.col(f"{prefix}chrom"))
+        return df.where(s.isNotNull() & e.isNotNull()).withColumn(out, length_class(F.greatest(e - s, F.lit(1)), bin_width))
 
-    left = binned(a, "")
-    right = binned(b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns]), "b_")
-    left, right = grid_salt(left, right, ["_chrom", "_bin"], hot_rows)
+    left = classed(a, "", "_ca")
+    right = classed(b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns]), "b_", "_cb")
+    # classes are few: four times as long each
+    found = [sorted(r[0] for r in df.select(c).distinct().collect()) for df, c in ((left, "_ca"), (right, "_cb"))]
     latest = F.greatest("start", "b_start")
-    pairs = left.join(right, ["_chrom", "_bin", "_ls", "_rs"]).where(
-        (F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end"))
-        & (F.col("_bin") == F.floor(latest / bin_width)))
-    return pairs.select(*a.columns, *[f"b_{c}" for c in b.columns],
-                        (F.least("end", "b_end") - latest).alias("overlap"))
+
+    def on_bins(df: DataFrame, prefix: str, own: str, classes: Column | None) -> DataFrame:
+        level = df.withColumn("_class", F.col(own) if classes is None else F.explode(classes))
+        width = (F.lit(float(bin_width)) * F.pow(F.lit(float(CLASS_STEP)), F.col("_class"))).cast("long")
+        s, e = F.col(f"{prefix}start"), F.col(f"{prefix}end")
+        out = level.withColumn("_width", width).withColumn("_bin", F.explode(F.sequence(
+            F.floor(s / F.col("_width")), F.floor((F.greatest(e, s + 1) - 1) / F.col("_width")))))
+        return out.withColumn("_chrom", F.col(f"{prefix}chrom")).drop(own)
+
+    def met(one: DataFrame, two: DataFrame) -> DataFrame:
+        one, two = grid_salt(one, two.drop("_width"), ["_chrom", "_class", "_bin"], hot_rows)
+        pairs = one.join(two, ["_chrom", "_class", "_bin", "_ls", "_rs"]).where(
+            (F.col("start") < F.col("b_end")) & (F.col("b_start") < F.col("end")) & (F.col("_bin") == F.floor(latest / F.col("_width"))))
+        return pairs.select(*a.columns, *[f"b_{c}" for c in b.columns], (F.least("end", "b_end") - latest).alias("overlap"))
+
+    def above(own: str, classes: list[int], strictly: bool) -> Column:
+        every = F.array(*[F.lit(c) for c in classes]).cast("array<int>")
+        return F.filter(every, lambda c: (c > F.col(own)) if strictly else (c >= F.col(own)))
+
+    pairs = met(on_bins(left, "", "_ca", above("_ca", found[1], False)), on_bins(right, "b_", "_cb", None))
+    if found[0] and found[1] and max(found[0]) > min(found[1]):
+        pairs = pairs.unionByName(met(on_bins(left, "", "_ca", None), on_bins(right, "b_", "_cb", above("_cb", found[0], True))))
+    return pairs
 
 
 def overlap_count(a: DataFrame, b: DataFrame, out: str = "n", tile_width: int = TILE_WIDTH) -> DataFrame:

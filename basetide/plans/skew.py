@@ -4,12 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basetide.plans.lineage import cut
+
 HOT_ROWS = 1_000_000
 
 
+def salted(df: DataFrame, n: Column, out: str) -> DataFrame:
+    """``df`` with a salt below ``n`` that a recomputed task gives each row again. Equal rows are counted and numbered first, so that
+    they spread as well as different ones."""
+    names = [f"`{c}`" for c in df.columns]
+    copies = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n_equal"))
+    copies = copies.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n_equal"))))
+    return copies.withColumn(out, F.pmod(F.xxhash64(*names, "_copy"), n).cast("int")).drop("_n_equal", "_copy")
+
+
 def lookup_join(big: DataFrame, lookup: DataFrame, counts: DataFrame, keys: Sequence[str], n_col: str,
                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Left join of ``big`` to a lookup that has one row per key; ``counts`` (and the lookup itself)
@@ -18,7 +29,7 @@ def lookup_join(big: DataFrame, lookup: DataFrame, counts: DataFrame, keys: Sequ
     Keys with more than ``hot_rows`` rows are spread over several salts and their lookup row is
     repeated once per salt. The table of hot keys can hold at most ``rows / hot_rows`` rows, which
     is the bound that makes broadcasting it safe. The salt is a hash of the row, so a recomputed
-    task sends every row to the same place.
+    task sends every row to the same place; rows of ``big`` should differ.
     """
     hot = (counts.where(F.col(n_col) > hot_rows)
            .select(*keys, F.ceil(F.col(n_col) / hot_rows).cast("int").alias("_salts")))
@@ -43,14 +54,15 @@ def grid_salt(left: DataFrame, right: DataFrame, keys: Sequence[str],
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         return counts.where(F.col("_n") > hot_rows).select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias(name))
 
-    cells = hot(left, "_nl").join(hot(right, "_nr"), list(keys), "full")
+    cells = cut(hot(left, "_nl").join(hot(right, "_nr"), list(keys), "full"))
+    if cells.isEmpty():
+        return tuple(df.withColumn("_ls", F.lit(0)).withColumn("_rs", F.lit(0)) for df in (left, right))
 
     def place(df: DataFrame, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
-        salted = df.join(F.broadcast(cells), list(keys), "left")
-        return (salted
-                .withColumn(own, F.when(F.col(own_n).isNull(), F.lit(0))
-                            .otherwise(F.pmod(F.xxhash64(*df.columns), F.col(own_n))).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other_n), F.lit(1)) - 1)))
+        met = df.join(F.broadcast(cells), list(keys), "left")
+        crowded = F.col(own_n).isNotNull()
+        spread = met.where(~crowded).withColumn(own, F.lit(0)).unionByName(salted(met.where(crowded), F.col(own_n), own))
+        return (spread.withColumn(other, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other_n), F.lit(1)) - 1)))
                 .drop(own_n, other_n))
 
     return place(left, "_ls", "_nl", "_rs", "_nr"), place(right, "_rs", "_nr", "_ls", "_nl")

@@ -47,3 +47,12 @@ def test_interval_joins_move_coordinates_only(spark, name):
 
 def test_alignment_columns_are_counted_once(spark):
     assert plan(entry.queries()["site_patterns"](spark, SF)).count("MapInPandas") == 0
+
+
+def test_dedup_limits_ranks_in_map_tasks_and_aggregates_no_sequence(spark):
+    from basetide.operators import alignment
+
+    aln = spark.createDataFrame([("r", "s", 0, 0, 0, "AC-")], "region_id string, species string, first_block long, first_row int, copy int, seq string")
+    plan = alignment.dedup_species(aln)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
