@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basetide.llm.common import partition_bases, stored, texts
@@ -43,66 +43,62 @@ def _bits(ids: np.ndarray) -> np.ndarray:
     return out + (rest > 0)
 
 
-def _widest(bits: np.ndarray, n: int) -> np.ndarray:
-    """Largest value of each row's next ``n`` columns, zeros behind the end."""
-    out, have = bits, 1
-    while have < n:
-        step = min(have, n - have)
-        moved = np.zeros_like(out)
-        moved[:, :-step] = out[:, step:]
-        out, have = np.maximum(out, moved), have + step
-    return out
+def _fitting(bits: np.ndarray) -> np.ndarray:
+    """The selector with most ids that fit from each column on, zeros behind a row's end; 0 where none does. The largest value of
+    the next n columns comes from that of fewer columns, so every width takes one step."""
+    chosen = np.zeros(bits.shape, np.uint8)
+    least, widest, have = bits.min(), bits, 1
+    for sel in sorted(SELECTORS, reverse=True):  # more and more ids
+        n, width = SELECTORS[sel]
+        while have < n:
+            step = min(have, n - have)
+            ahead = widest.copy()
+            ahead[:, :-step] = np.maximum(widest[:, :-step], widest[:, step:])
+            widest, have = ahead, have + step
+        if width >= least:
+            chosen[widest <= width] = sel
+    return chosen
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
-    """(words, offsets): unsigned 64-bit words and the first word of each block. All blocks advance
-    together, one word a step, and each word takes the selector with most ids that fit."""
+    """(words, offsets): unsigned 64-bit words and the first word of each block. Each word takes the selector with most ids that
+    fit; the first ids of words are found for all blocks together, one word a step, and the words of a selector are filled at once."""
     total = len(ids)
     if not total:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
     n_blocks = -(-total // block)
     grid = np.zeros(n_blocks * block, np.uint64)
     grid[:total] = ids
-    bits = _bits(grid).reshape(n_blocks, block)
-    chosen = np.zeros((n_blocks, block), np.uint8)  # 0: escape
-    for sel in sorted(SELECTORS, reverse=True):
-        n, width = SELECTORS[sel]
-        if width == 0 and not (bits == 0).any():
-            continue
-        chosen[_widest(bits, n) <= width] = sel
-    grid = np.concatenate([grid, np.zeros(128, np.uint64)])
+    chosen = _fitting(_bits(grid).reshape(n_blocks, block)).ravel()
     size = np.array([1] + [SELECTORS[s][0] for s in range(1, 16)])
-    at = np.zeros(n_blocks, np.int64)
-    length = np.full(n_blocks, block)
-    length[-1] = total - (n_blocks - 1) * block
-    live = np.arange(n_blocks)
-    owners, words = [], []
+    at = np.arange(n_blocks) * block
+    stop = np.minimum(at + block, total)
+    live, owners, starts = np.arange(n_blocks), [], []
     while len(live):
         here = at[live]
-        sel = chosen[live, here]
-        word = sel.astype(np.uint64) << np.uint64(60)
-        start = live * block + here
-        for s in np.unique(sel):
-            rows = np.flatnonzero(sel == s)
-            if s == 0:
-                continue
-            n, width = SELECTORS[int(s)]
-            n_fit = np.minimum(n, length[live[rows]] - here[rows])
-            for j in range(n if width else 0):
-                value = np.where(j < n_fit, grid[start[rows] + j], np.uint64(0))
-                word[rows] |= value << np.uint64(j * width)
-        escape = sel == 0
         owners.append(live)
-        words.append(word)
-        if escape.any():
-            owners.append(live[escape])
-            words.append(grid[start[escape]])
-        at[live] += size[sel]
-        live = live[at[live] < length[live]]
-    owner = np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
+        starts.append(here)
+        at[live] = here = here + size[chosen[here]]
+        live = live[here < stop[live]]
+    owner, start = np.concatenate(owners), np.concatenate(starts)
+    sel = chosen[start]
+    word = sel.astype(np.uint64) << np.uint64(60)
+    for s in np.unique(sel):
+        if s == 0 or not SELECTORS[int(s)][1]:
+            continue
+        n, width = SELECTORS[int(s)]
+        rows = np.flatnonzero(sel == s)
+        place = start[rows][:, None] + np.arange(n)
+        inside = place < stop[owner[rows]][:, None]
+        values = np.where(inside, grid[np.minimum(place, total - 1)], np.uint64(0))
+        word[rows] |= np.bitwise_or.reduce(values << (np.arange(n) * width).astype(np.uint64), axis=1)
+    escape = np.flatnonzero(sel == 0)
+    owner, word = np.concatenate([owner, owner[escape]]), np.concatenate([word, grid[start[escape]]])
+    first = np.concatenate([start, start[escape]])
+    # a raw id follows its escape
+    order = np.lexsort((np.arange(len(owner)) >= len(start), first))
     counts = np.bincount(owner, minlength=n_blocks)
-    return np.concatenate(words)[order], (np.cumsum(counts) - counts).astype(np.uint32)
+    return word[order], (np.cumsum(counts) - counts).astype(np.uint32)
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, total: int, block: int = BLOCK) -> np.ndarray:
@@ -203,14 +199,13 @@ def read_token_files(files: DataFrame) -> DataFrame:
     """(id, start, n_tokens, ids_crc32, ids) of every document, decoded from the segments. ``start`` is the
     number of ids before the document over all segments in (part, segment) order."""
     id_type = files.schema["ids"].dataType.elementType.simpleString()
-    # segments of a part are few (its ids / segment size); parts meet in one row each
-    bases = partition_bases(files.select("part", "n_ids"), "part", "n_ids", "_base")
-    before = files.select("part", "segment", "n_ids").alias("s").join(
-        F.broadcast(bases), "part").withColumn("_seg", F.struct("segment", "n_ids"))
-    starts = before.groupBy("part").agg(F.first("_base").alias("_base"), F.sort_array(F.collect_list("_seg")).alias("_segs"))
-    placed = files.join(F.broadcast(starts), "part").withColumn(
-        "_start", F.col("_base") + F.aggregate(F.filter("_segs", lambda s: s["segment"] < F.col("segment")),
-                                               F.lit(0).cast("long"), lambda a, s: a + s["n_ids"]))
+    # starts by two prefix sums, over the segments of a part and over the parts; only numbers are exchanged for them
+    numbers = files.select("part", "segment", "n_ids")
+    inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
+    starts = numbers.withColumn("_in", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(
+        partition_bases(numbers, "part", "n_ids", "_base"), "part").select(
+        F.col("part").alias("_p"), F.col("segment").alias("_s"), (F.col("_base") + F.col("_in")).alias("_start"))
+    placed = files.join(starts, (F.col("part") == F.col("_p")) & (F.col("segment") == F.col("_s")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -17,12 +17,10 @@ MARKED = regex.compile(r"[A-Z]\p{M}")
 #: Entries of a worker's word table; when full it is emptied and filled again, which changes no result.
 TABLE_ENTRIES = 800_000
 
-_LETTER = np.zeros(256, bool)
-_LETTER[list(b"abcdefghijklmnopqrstuvwxyz")] = True
-_PUNCT = np.zeros(256, bool)
-_PUNCT[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
-_PUNCT_END = _PUNCT.copy()
-_PUNCT_END[ord("'")] = False
+#: Bytes as they are cut: capitals lower-cased, line ends and tabs as spaces.
+_PLAIN = bytes(c + 32 if 65 <= c <= 90 else 32 if c in b"\n\t\r" else c for c in range(256))
+#: Kinds of bytes: 1 letters, 2 punctuation marks, 6 the apostrophe, 0 others.
+_KINDS = bytes(1 if 97 <= c <= 122 else 6 if c == 39 else 2 if 33 <= c < 127 and not chr(c).isalnum() else 0 for c in range(256))
 
 
 def default_path(name: str) -> str:
@@ -116,12 +114,15 @@ class WordEncoder:
 
 
 def _chunks(text: str) -> list[bytes]:
-    raw = text.encode("utf-8", "replace").lower().replace(b"\n", b" ").replace(b"\t", b" ").replace(b"\r", b" ")
-    a = np.frombuffer(raw, np.uint8)
-    left, right = a[:-1], a[1:]
-    at = np.flatnonzero((_LETTER[left] & _PUNCT[right]) | (_PUNCT_END[left] & _LETTER[right]))
+    raw = text.encode("utf-8", "replace").translate(_PLAIN)
+    kind = np.frombuffer(raw.translate(_KINDS), np.uint8)
+    left, right = kind[:-1], kind[1:]
+    # a letter and a mark (1 and 2 or 6), a mark but the apostrophe and a letter (2 and 1): the sums 3 and 7 of different kinds,
+    # but not 6 and 1
+    both = left + right
+    at = np.flatnonzero((both == 3) | ((both == 7) & (left == 1)))
     if len(at):
-        raw = np.insert(a, at + 1, 32).tobytes()
+        raw = np.insert(np.frombuffer(raw, np.uint8), at + 1, 32).tobytes()
     return raw.split(b" ")
 
 
