@@ -62,11 +62,38 @@ def annotate_tree(nodes: DataFrame, info: DataFrame, trait: str, name_col: str =
     return joined.withColumn(trait, flag).drop("_t")
 
 
+def spread_to_ancestors(nodes: DataFrame, marks: DataFrame, flags: list[str]) -> DataFrame:
+    """(tree_id, node, *flags): every node with the flags of ``marks`` (tree_id, node, *flags) that it or a node below it has.
+
+    After round k a node knows of marks less than 2^k steps below it and points 2^k steps up; handing its flags to where it
+    points doubles both. Tables stay as long as the tree, no pair of a node and an ancestor is made, and a tree of depth d takes
+    about log2(d) rounds.
+    """
+    keys = ["tree_id", "node"]
+    jump = cut(nodes.where(F.col("parent").isNotNull()).select(*keys, F.col("parent").alias("up")))
+    state = cut(marks.select(*keys, *flags))
+    reach, longest = 1, None
+    while True:
+        left = jump.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.col("up") == F.col("node")), F.lit(False)).alias("own")).first()
+        longest = left["n"] if longest is None else longest
+        if left["own"] or (left["n"] and reach > longest):
+            raise ValueError("a node is its own ancestor")
+        if not left["n"]:
+            return state
+        handed = state.join(jump, keys).select("tree_id", F.col("up").alias("node"), *flags)
+        state = cut(state.unionByName(handed).groupBy(*keys).agg(*(F.max(f).alias(f) for f in flags)))
+        onward = jump.select("tree_id", F.col("node").alias("up"), F.col("up").alias("_next"))
+        jump = cut(jump.join(onward, ["tree_id", "up"]).select(*keys, F.col("_next").alias("up")))
+        reach *= 2
+
+
 def propagate_trait(nodes: DataFrame, trait: str) -> DataFrame:
-    """An internal node becomes "Y" when all tips below it are "Y"; otherwise it keeps its value."""
+    """An internal node becomes "Y" when all tips below it are "Y"; otherwise it keeps its value. Tips without a value count
+    neither way."""
     typed = cut(node_types(nodes))
-    tips = typed.where(F.col("node_type") == "tip").select("tree_id", "node", (F.col(trait) == "Y").alias("_y"))
-    all_y = (ancestor_pairs(typed).join(tips, ["tree_id", "node"])
-             .groupBy("tree_id", F.col("ancestor").alias("node")).agg(F.bool_and("_y").alias("_all")))
-    return (typed.join(all_y, ["tree_id", "node"], "left")
-            .withColumn(trait, F.when(F.col("_all"), "Y").otherwise(F.col(trait))).drop("_all"))
+    yes = F.col(trait) == "Y"
+    tips = typed.where((F.col("node_type") == "tip") & yes.isNotNull()).select("tree_id", "node", yes.alias("_y"), (~yes).alias("_n"))
+    below = spread_to_ancestors(typed, tips, ["_y", "_n"])
+    changed = F.col("_y") & ~F.col("_n") & (F.col("node_type") != "tip")
+    return (typed.join(below, ["tree_id", "node"], "left")
+            .withColumn(trait, F.when(changed, "Y").otherwise(F.col(trait))).drop("_y", "_n"))
