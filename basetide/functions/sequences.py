@@ -41,11 +41,17 @@ def pad_gaps(n: Column) -> Column:
 
 
 def columns_of(texts: Column | str) -> Column:
-    """Rows to columns: an array of the column strings of equally long texts. For small alignments;
-    large ones go through ``site_patterns`` or ``maf_depth``."""
+    """Rows to columns: an array of the column strings of equally long texts. Each text is taken apart once. For small
+    alignments; large ones go through ``site_patterns`` or ``maf_depth``."""
     t = _c(texts)
-    return F.transform(F.sequence(F.lit(1), F.length(t[0])),
-                       lambda i: F.array_join(F.transform(t, lambda s: F.substring(s, i, F.lit(1))), ""))
+    letters = F.transform(t, lambda s: F.regexp_extract_all(s, F.lit("(?s)."), F.lit(0)))
+    n = F.length(t[0])
+
+    def transposed(rows: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.array_join(F.transform(rows, lambda x: F.get(x, i)), ""))
+
+    # an array of one keeps the letters, which every column would otherwise take apart again
+    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.flatten(F.transform(F.array(letters), transposed)))
 
 
 def parse_region_name(col: Column | str) -> Column:

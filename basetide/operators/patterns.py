@@ -198,17 +198,25 @@ def covered_columns(blocks: DataFrame, spans: DataFrame, species: Sequence[str])
                                                      F.least(a["end"], F.col("start") + F.col("size")) - 1))
     met = meet_areas(blocks.where(F.size("rows") > 0), spans.distinct()).withColumn("_wanted", F.array_distinct(F.flatten(part)))
     ref = F.get("rows", F.lit(0))["text"]
-    letters = F.split(ref, "")
-    bases = F.filter(F.transform(letters, lambda c, i: F.when(c != "-", i)), lambda i: i.isNotNull())
-    wrong = F.raise_error(F.concat(F.lit("the reference row does not match the size of the block at "), "chrom", F.lit(":"),
-                                   F.col("start").cast("string"))).cast("array<int>")
-    gapped = F.when(F.size(bases) == F.col("size"), bases).otherwise(wrong)
-    at = F.when(F.length(ref) == F.col("size"), F.sequence(F.lit(0), F.length(ref) - 1)).otherwise(gapped)
-    cells = (met.select("chrom", "start", species_texts(species).alias("texts"), letters.alias("letters"), at.alias("at"),
-                   F.explode("_wanted").alias("pos"))
-           .withColumn("i", F.get("at", (F.col("pos") - F.col("start")).cast("int"))))
-    pattern = F.array_join(F.transform("texts", lambda t: F.substring(t, F.col("i") + 1, F.lit(1))), "")
-    return cells.select("chrom", "pos", F.upper(F.get("letters", F.col("i"))).alias("base"), pattern.alias("pattern"))
+    return (met.select("chrom", "start", "size", F.concat(F.array(ref), species_texts(species)).alias("texts"), F.col("_wanted").alias("wanted"))
+            .mapInPandas(_columns_at, "chrom string, pos long, base string, pattern string"))
+
+
+def _columns_at(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The wanted columns of each block, from one matrix of its letters; the first text is the reference."""
+    for pdf in batches:
+        out = []
+        for chrom, start, size, texts, wanted in pdf.itertuples(index=False, name=None):
+            cells = char_matrix(list(texts)).astype("<u4")
+            at = np.arange(size) if cells.shape[1] == size else np.flatnonzero(cells[0] != ord("-"))
+            if len(at) != size:
+                raise ValueError(f"the reference row does not match the size of the block at {chrom}:{start}")
+            wanted = np.asarray(wanted, dtype=np.int64)
+            some = np.ascontiguousarray(cells[:, at[wanted - start]].T)
+            out.append(pd.DataFrame({"chrom": chrom, "pos": wanted, "base": [chr(c).upper() for c in some[:, 0]],
+                                     "pattern": np.ascontiguousarray(some[:, 1:]).view(f"<U{some.shape[1] - 1}").ravel().astype(object)}))
+        if out:
+            yield pd.concat(out)
 
 
 def fourfold_columns(blocks: DataFrame, gff: DataFrame, species: Sequence[str]) -> DataFrame:

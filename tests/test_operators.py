@@ -484,3 +484,11 @@ def test_sets_side_by_side_equal_sets_alone():
     together = segment._entering(full, entry)
     alone = np.concatenate([segment._entering(full[i:i + 1], entry[i:i + 1]) for i in range(len(sets))])
     assert np.allclose(together, alone, rtol=0, atol=1e-13)
+
+
+def test_columns_are_the_transposed_rows(spark):
+    from basetide.functions.sequences import columns_of
+
+    rows = [["AC-T", "ACGT", "n*GT"], [""], ["日é😀x", "abcd"], ["A"]]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], "k int, t array<string>")
+    assert [r.c for r in df.select("k", columns_of("t").alias("c")).orderBy("k").collect()] == [["".join(c) for c in zip(*r)] for r in rows]
