@@ -96,6 +96,21 @@ def split_maf_blocks(spark, d):
     return split.select("chrom", "win", "start", F.size("rows").cast("long").alias("n_rows"))
 
 
+@query("maf_partitions", f"""
+  SELECT b.chrom AS in_chrom, 'w' || w AS in_win, b.start, 'sp' || d.s AS species,
+         {MARKED_SQL.format("rpad(substr(d.text, b.start + 1, 60), CAST(b.size AS INTEGER), '-')")} AS text
+  FROM (SELECT *, unnest(range(start // 20000, (start + size - 1) // 20000 + 1)) AS w FROM v_blocks) b
+  JOIN v_docs d ON b.g = d.g AND d.len > b.start""")
+def maf_partitions(spark, d):
+    """The alignment in one directory per chromosome and window of 20,000 bases, files of 100 blocks at most, read back."""
+    wins = intervals.make_windows(A.contigs(spark, d), 20000).withColumn("win", F.concat(F.lit("w"), F.col("window_no").cast("string")))
+    path = shared_path(spark, "maf-split")
+    sinks.write_maf_partitioned(_plain_blocks(spark, d), path, wins, 100)
+    back = readers.read_maf(spark, path, ("chrom", "win"))
+    return back.select("in_chrom", "in_win", "start", F.explode("rows").alias("r")).select(
+        "in_chrom", "in_win", "start", "r.species", "r.text")
+
+
 @query("fasta_files", f"""
   SELECT region_id, chrom, start, "end", species, species || '.' || chrom || ':' || start || '-'
          || (start + length(replace(seq, '-', ''))) AS title, {MARKED_SQL.format("seq")} AS seq FROM v_fetched""")

@@ -95,10 +95,13 @@ def read_wig_fixedstep(spark: SparkSession, path: str | Sequence[str]) -> DataFr
         field("chrom").alias("chrom"), start.alias("start"), (start + 1).alias("end"), score.alias("score"))
 
 
-def read_maf(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_maf(spark: SparkSession, path: str | Sequence[str], partitions: Sequence[str] = ()) -> DataFrame:
     """Alignment blocks, one row each. The source name is split at its first dot into species and
-    scaffold; the first row is the reference and gives chrom, start and size."""
-    raw = spark.read.option("lineSep", "\na").text(_paths(path))
+    scaffold; the first row is the reference and gives chrom, start and size. Names of ``partitions`` are directories
+    (``name=value``) of a partitioned alignment and become columns ``in_{name}``."""
+    schema = ", ".join(["value string", *(f"`{p}` string" for p in partitions)])
+    raw = spark.read.schema(schema).option("lineSep", "\na").text(_paths(path))
+    where = [F.col(p).alias(f"in_{p}") for p in partitions]
     lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: x.rlike(r"^s\s"))
     fields = F.transform(lines, lambda line: F.split(line, r"\s+"))  # each line is split once
 
@@ -108,10 +111,10 @@ def read_maf(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                         f[2].cast("long").alias("start"), f[3].cast("long").alias("size"), f[4].alias("strand"),
                         f[5].cast("long").alias("src_size"), f[6].alias("text"))
 
-    blocks = raw.select(F.transform(fields, row).alias("rows")).where(F.size("rows") > 0)
+    blocks = raw.select(F.transform(fields, row).alias("rows"), *where).where(F.size("rows") > 0)
     ref = F.get("rows", F.lit(0))
     return blocks.select(F.xxhash64(ref["scaffold"], ref["start"]).alias("block_id"), ref["scaffold"].alias("chrom"),
-                         ref["start"].alias("start"), ref["size"].alias("size"), "rows")
+                         ref["start"].alias("start"), ref["size"].alias("size"), "rows", *(f"in_{p}" for p in partitions))
 
 
 def read_fasta(spark: SparkSession, path: str | Sequence[str], files: str = "*.{fa,fasta,fna}") -> DataFrame:

@@ -84,12 +84,15 @@ def split_blocks(blocks: DataFrame, regions: DataFrame) -> DataFrame:
     return met.select("chrom", F.explode("areas.win").alias("win"), "start", "rows")
 
 
-def write_maf_partitioned(blocks: DataFrame, path: str, regions: DataFrame | None = None) -> None:
-    """Alignment text split into directories per chromosome, or per chromosome and region."""
+def write_maf_partitioned(blocks: DataFrame, path: str, regions: DataFrame | None = None, max_blocks: int = 100_000) -> None:
+    """Alignment text split into directories per chromosome, or per chromosome and region.
+
+    Tasks take ranges of positions, so a hot chromosome is several files that follow each other, and a file holds
+    ``max_blocks`` blocks at most. ``readers.read_maf`` with ``partitions`` reads the directories back."""
     keys = ["chrom"] if regions is None else ["chrom", "win"]
     df = blocks if regions is None else split_blocks(blocks, regions)
-    (df.repartitionByRange(*keys, "start").sortWithinPartitions(*keys, "start")
-     .select(*keys, maf_text().alias("value")).write.mode("overwrite").partitionBy(*keys).text(path))
+    (df.repartitionByRange(*keys, "start").sortWithinPartitions(*keys, "start").select(*keys, maf_text().alias("value"))
+     .write.mode("overwrite").option("maxRecordsPerFile", max_blocks).partitionBy(*keys).text(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -149,6 +149,11 @@ def test_bed_fasta_and_maf_sinks(spark, fixtures, tmp_path):
     again = R.read_maf(spark, f"{tmp_path}/maf/chrom=chr1")
     assert rows(again, "start", "size") == [(0, 10), (10, 6), (16, 8)]
     wins = spark.createDataFrame([("chr1", 0, 12, "00"), ("chr1", 12, 24, "01")], "chrom string, start long, end long, win string")
+    K.write_maf_partitioned(b, str(tmp_path / "split"), wins, max_blocks=1)
+    files = list((tmp_path / "split").glob("chrom=chr1/win=*/part*"))
+    assert len(files) == 4 and all(f.read_text().count("a\n") == 1 for f in files)
+    back = R.read_maf(spark, str(tmp_path / "split"), ("chrom", "win"))
+    assert rows(back, "in_chrom", "in_win", "start") == [("chr1", "00", 0), ("chr1", "00", 10), ("chr1", "01", 10), ("chr1", "01", 16)]
     assert rows(K.split_blocks(b, wins), "win", "start") == [("00", 0), ("00", 10), ("01", 10), ("01", 16)]
 
 
