@@ -18,12 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basetide.llm.common import partition_bases, stored, texts
+from basetide.llm.common import cut, partition_bases, stored, texts
 from basetide.llm.tokens import default_path, word_encoder
 
 BLOCK = 1024
 #: Ids after which a segment is closed at the next document end.
 SEGMENT_IDS = 1 << 20
+#: Starts of segments are broadcast up to this many.
+BROADCAST_SEGMENTS = 1_000_000
 
 #: Fixed values of the coding: selector -> (ids in a word, bits of an id). Selector 0 is the escape.
 SELECTORS = {
@@ -205,7 +207,9 @@ def read_token_files(files: DataFrame) -> DataFrame:
     starts = numbers.withColumn("_in", F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).join(
         partition_bases(numbers, "part", "n_ids", "_base"), "part").select(
         F.col("part").alias("_p"), F.col("segment").alias("_s"), (F.col("_base") + F.col("_in")).alias("_start"))
-    placed = files.join(starts, (F.col("part") == F.col("_p")) & (F.col("segment") == F.col("_s")))
+    starts = cut(starts)
+    few = starts.count() <= BROADCAST_SEGMENTS  # three numbers a segment of a million ids; beyond, the words are shuffled once
+    placed = files.join(F.broadcast(starts) if few else starts, (F.col("part") == F.col("_p")) & (F.col("segment") == F.col("_s")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
