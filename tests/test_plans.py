@@ -36,9 +36,13 @@ def test_chromosome_windows_run_over_tiles(spark):
 
 @pytest.mark.parametrize("name", ["fetched_regions", "fourfold_columns", "concatenated_blocks"])
 def test_interval_joins_move_coordinates_only(spark, name):
-    """Whole block rows pass no exchange that is keyed on the bins of the interval join."""
+    """Whole block rows pass no exchange that is keyed on the bins of the interval join, also where nothing is broadcast."""
     df = entry.queries()[name](spark, SF)
-    exchanges = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(_chrom" in line]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        exchanges = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(_chrom" in line]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert exchanges
     text = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
     binned = [line for line in text if "_bin#" in line and "Project" in line]
