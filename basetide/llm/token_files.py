@@ -36,6 +36,8 @@ SELECTORS = {
 
 def _bits(ids: np.ndarray) -> np.ndarray:
     """Bit lengths of unsigned 64-bit ids."""
+    if int(ids.max()) < 1 << 53:  # exact as floating-point numbers, whose exponents are the lengths
+        return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
     out = np.zeros(len(ids), np.uint8)
     rest = ids.copy()
     for step in (32, 16, 8, 4, 2, 1):
@@ -52,13 +54,14 @@ def _fitting(bits: np.ndarray) -> np.ndarray:
     least, widest, have = bits.min(), bits, 1
     for sel in sorted(SELECTORS, reverse=True):  # more and more ids
         n, width = SELECTORS[sel]
+        if width < least:  # no narrower one fits anywhere either
+            break
         while have < n:
             step = min(have, n - have)
             ahead = widest.copy()
-            ahead[:, :-step] = np.maximum(widest[:, :-step], widest[:, step:])
+            np.maximum(widest[:, :-step], widest[:, step:], out=ahead[:, :-step])
             widest, have = ahead, have + step
-        if width >= least:
-            chosen[widest <= width] = sel
+        np.copyto(chosen, np.uint8(sel), where=widest <= width)
     return chosen
 
 
@@ -68,39 +71,46 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]
     total = len(ids)
     if not total:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    n_blocks = -(-total // block)
-    grid = np.zeros(n_blocks * block, np.uint64)
-    grid[:total] = ids
-    chosen = _fitting(_bits(grid).reshape(n_blocks, block)).ravel()
+    n_blocks, most = -(-total // block), max(n for n, _ in SELECTORS.values())
+    # zeros behind every block, so that its last word may reach over the end
+    grid = np.zeros((n_blocks, block + most), np.uint64)
+    whole = total // block
+    grid[:whole, :block] = ids[:whole * block].reshape(whole, block)
+    grid[whole:, :total - whole * block] = ids[whole * block:]
+    chosen = _fitting(_bits(grid[:, :block].ravel()).reshape(n_blocks, block)).ravel()
+    grid = grid.ravel()
     size = np.array([1] + [SELECTORS[s][0] for s in range(1, 16)])
     at = np.arange(n_blocks) * block
     stop = np.minimum(at + block, total)
-    live, owners, starts = np.arange(n_blocks), [], []
+    is_first = np.zeros(n_blocks * block, bool)
+    live = np.arange(n_blocks)
     while len(live):
         here = at[live]
-        owners.append(live)
-        starts.append(here)
+        is_first[here] = True
         at[live] = here = here + size[chosen[here]]
         live = live[here < stop[live]]
-    owner, start = np.concatenate(owners), np.concatenate(starts)
-    sel = chosen[start]
+    start = np.flatnonzero(is_first)
+    owner, sel = start // block, chosen[start]
+    place = start + owner * most
     word = sel.astype(np.uint64) << np.uint64(60)
     for s in np.unique(sel):
         if s == 0 or not SELECTORS[int(s)][1]:
             continue
         n, width = SELECTORS[int(s)]
         rows = np.flatnonzero(sel == s)
-        place = start[rows][:, None] + np.arange(n)
-        inside = place < stop[owner[rows]][:, None]
-        values = np.where(inside, grid[np.minimum(place, total - 1)], np.uint64(0))
-        word[rows] |= np.bitwise_or.reduce(values << (np.arange(n) * width).astype(np.uint64), axis=1)
-    escape = np.flatnonzero(sel == 0)
-    owner, word = np.concatenate([owner, owner[escape]]), np.concatenate([word, grid[start[escape]]])
-    first = np.concatenate([start, start[escape]])
+        first, filled = place[rows], word[rows]
+        for j in range(n):
+            filled |= grid[first + j] << np.uint64(j * width)
+        word[rows] = filled
     # a raw id follows its escape
-    order = np.lexsort((np.arange(len(owner)) >= len(start), first))
-    counts = np.bincount(owner, minlength=n_blocks)
-    return word[order], (np.cumsum(counts) - counts).astype(np.uint32)
+    words = 1 + (sel == 0)
+    behind = np.cumsum(words) - 1
+    out = np.empty(int(behind[-1]) + 1, np.uint64)
+    out[behind] = np.where(sel == 0, grid[place], word)
+    escape = np.flatnonzero(sel == 0)
+    out[behind[escape] - 1] = word[escape]
+    counts = np.bincount(owner, weights=words, minlength=n_blocks).astype(np.int64)
+    return out, (np.cumsum(counts) - counts).astype(np.uint32)
 
 
 def decode(words: np.ndarray, offsets: np.ndarray, total: int, block: int = BLOCK) -> np.ndarray:

@@ -48,22 +48,51 @@ def _added_strings(path: str):
     return re.compile("|".join(map(re.escape, found))) if found else None
 
 
+#: A digit is always an id of its own; pieces without the first one are encoded in one text that has it between them.
+SEPARATORS = ("7", "3")
+#: Pieces that are encoded in one text.
+JOINED = 4096
+
+
 class _Table(dict):
-    """chunk of bytes -> row of ``starts`` / ``lengths``; a missing chunk is encoded by the library."""
+    """chunk of bytes -> row of ``starts`` / ``lengths``. A missing chunk gets the next row at once; ``fill`` has the library encode
+    all that are new, many in one text: white space and a digit between two chunks keep them apart."""
 
     def __init__(self, tok):
         super().__init__()
-        self.tok, self.starts, self.lengths, self.flat = tok, array("q"), array("q"), array("I")
+        self.tok, self.starts, self.lengths, self.flat, self.new = tok, array("q"), array("q"), array("I"), []
+        self.separators = [(d, e.ids[0]) for d in SEPARATORS for e in [tok.encode(d, add_special_tokens=False)] if len(e.ids) == 1]
 
     def __missing__(self, chunk: bytes) -> int:
-        ids = self.tok.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
-        row = len(self.starts)
-        self.starts.append(len(self.flat))
-        self.lengths.append(len(ids))
-        self.flat.extend(ids)
-        self[chunk] = row
+        row = self[chunk] = len(self.starts) + len(self.new)
+        self.new.append(chunk)
         return row
 
+    def fill(self) -> None:
+        for lo in range(0, len(self.new), JOINED):
+            pieces = [c.decode("utf-8", "replace") for c in self.new[lo:lo + JOINED]]
+            found: list = [None] * len(pieces)
+            left = range(len(pieces))
+            for digit, mark in self.separators:
+                some, left = [k for k in left if digit not in pieces[k]], [k for k in left if digit in pieces[k]]
+                if not some:
+                    continue
+                joined = f" {digit} ".join(pieces[k] for k in some)
+                ids = np.array(self.tok.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
+                cuts = np.flatnonzero(ids == mark)
+                if len(cuts) != len(some) - 1:  # not a digit of its own in this file
+                    left = [*some, *left]
+                    continue
+                for k, a, b in zip(some, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]):
+                    found[k] = ids[a:b].tobytes()
+            for k in left:
+                found[k] = np.array(self.tok.encode(pieces[k], add_special_tokens=False).ids, np.uint32).tobytes()
+            for raw in found:
+                self.starts.append(len(self.flat))
+                self.lengths.append(len(raw) // 4)
+                self.flat.frombytes(raw)
+        self.new.clear()
+
 
 class WordEncoder:
     """Ids of whole texts under a lower-casing tokenizer that drops white space and never joins a letter
@@ -98,6 +127,7 @@ class WordEncoder:
                 continue
             chunks = _chunks(text)
             rows.append(np.fromiter(map(self.table.__getitem__, chunks), np.int64, len(chunks)))
+        self.table.fill()
         starts, lengths = np.array(self.table.starts, np.int64), np.array(self.table.lengths, np.int64)
         flat = np.array(self.table.flat, np.uint32)
         out = []

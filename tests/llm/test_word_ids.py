@@ -52,3 +52,14 @@ def test_the_pipeline_hands_on_its_sequences(spark):
     for r in got:
         ids = tokens.widen(bytes(r.ids))
         assert len(ids) == r.length and zlib.crc32(ids.tobytes()) == r.ids_crc32
+
+
+def test_pieces_encoded_in_one_text_equal_single_calls():
+    rnd = random.Random(11)
+    letters = list("abXZ7733 '|<.-\n") + ["́", " ", "İ", "Σ", "７", "٧", "³", "一", "‍"]
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.randint(0, 30))) for _ in range(9000)]
+    encoder = tokens.WordEncoder(tokens.default_path("word_bpe_49k.json"))
+    plain = tokens.json_tokenizer(tokens.default_path("word_bpe_49k.json"))
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert len(encoder.table) > tokens.JOINED and not encoder.table.new
