@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from basetide.functions.sequences import gap_count, pad_gaps, region_name, slice_seq, ungapped_length
 from basetide.operators.intervals import overlap_join
+from basetide.plans.lineage import cut
 from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
 
@@ -100,9 +101,11 @@ def meet_areas(blocks: DataFrame, areas: DataFrame, bin_width: int | None = None
     """Blocks that overlap an area (chrom, start, end and more columns), with ``areas``, the list of all they overlap.
 
     Coordinates alone go through the interval join; the rows of a block are moved once, by one equi-join, however many
-    areas it meets, and not at all where it meets none."""
+    areas it meets, and not at all where it meets none. The join counts lengths, classes and bins before it meets, so
+    coordinates and areas are written once and read from there."""
     keys = ["chrom", "start", "size"]
-    spans = blocks.select(*keys, (F.col("start") + F.col("size")).alias("end")).distinct()
+    spans = cut(blocks.select(*keys, (F.col("start") + F.col("size")).alias("end")).distinct())
+    areas = cut(areas)
     rest = [c for c in areas.columns if c != "chrom"]
     met = (overlap_join(areas, spans, bin_width=bin_width)
            .groupBy("chrom", F.col("b_start").alias("start"), F.col("b_size").alias("size"))

@@ -153,84 +153,121 @@ def _transcripts(gff: DataFrame) -> DataFrame:
         F.col("end").alias("e"), F.col("_ph").alias("ph"), F.explode(F.split(own, ",")).alias("transcript")).distinct()
 
 
-def codon_positions(gff: DataFrame) -> DataFrame:
-    """CDS features (1-based inclusive, with strand and phase) -> one row per complete codon:
-    chrom, strand and the positions b1, b2, b3 (0-based) of its bases in reading order.
-
-    Codons inside one feature come from its phase alone. The bases left at the ends of features are put together
-    along the transcript; where a phase does not fit the feature before it, reading starts anew and the
-    bases before the phase have no codon. The window runs over the features of one transcript."""
+def _placed_features(gff: DataFrame) -> DataFrame:
+    """CDS features with their place in the reading of their transcript. The window runs over the features of one transcript."""
     n = F.col("e") - F.col("s")
     w = Window.partitionBy("chrom", "ahead", "transcript").orderBy(F.when(F.col("ahead"), F.col("s")).otherwise(-F.col("e")), n)
     part = Window.partitionBy("chrom", "ahead", "transcript", "run").orderBy("no").rowsBetween(Window.unboundedPreceding, -1)
     fits = F.col("ph") == F.pmod(F.lag(F.col("ph") - n).over(w), F.lit(3))
-    placed = (_transcripts(gff).withColumn("no", F.row_number().over(w))
-              .withColumn("_new", F.when(F.coalesce(fits, F.lit(False)), 0).otherwise(1))
-              .withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("before", F.coalesce(F.sum(n).over(part), F.lit(0)))
-              .withColumn("skip", F.coalesce(F.first("ph").over(part), F.col("ph"))))
+    return (_transcripts(gff).withColumn("no", F.row_number().over(w))
+            .withColumn("_new", F.when(F.coalesce(fits, F.lit(False)), 0).otherwise(1))
+            .withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("before", F.coalesce(F.sum(n).over(part), F.lit(0)))
+            .withColumn("skip", F.coalesce(F.first("ph").over(part), F.col("ph"))))
 
-    def base(offset):
-        return F.when(F.col("ahead"), F.col("s") + offset).otherwise(F.col("e") - 1 - offset)
 
-    whole = F.greatest(F.lit(0), F.floor((n - F.col("ph")) / 3))
-    first = F.col("ph") + 3 * F.col("k")
-    inside = (placed.where(whole > 0).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)))
-              .select("chrom", "ahead", base(first).alias("b1"), base(first + 1).alias("b2"), base(first + 2).alias("b3")))
+def _base_at(offset: Column) -> Column:
+    return F.when(F.col("ahead"), F.col("s") + offset).otherwise(F.col("e") - 1 - offset)
+
+
+def _whole_codons() -> Column:
+    return F.greatest(F.lit(0), F.floor((F.col("e") - F.col("s") - F.col("ph")) / 3))
+
+
+def _split_codons(placed: DataFrame) -> DataFrame:
+    """(chrom, ahead, b1, b2, b3) of the codons put together from the bases left at the ends of features."""
+    n, whole = F.col("e") - F.col("s"), _whole_codons()
     head = F.filter(F.array(F.lit(0), F.lit(1)), lambda i: i < F.least("ph", n))
     tail = F.filter(F.transform(F.array(F.lit(0), F.lit(1)), lambda i: F.col("ph") + 3 * whole + i), lambda i: i < n)
     rest = placed.withColumn("o", F.explode(F.concat(F.transform(head, lambda i: i.cast("long")), tail)))
     at = F.col("before") + F.col("o") - F.col("skip")
-    split = (rest.select("chrom", "ahead", "transcript", "run", F.floor(at / 3).alias("codon"), F.pmod(at, F.lit(3)).alias("place"),
-                         base(F.col("o")).alias("pos"))
-             .groupBy("chrom", "ahead", "transcript", "run", "codon")
-             .agg(*[F.max(F.when(F.col("place") == i, F.col("pos"))).alias(f"b{i + 1}") for i in range(3)])
-             .where(F.col("b1").isNotNull() & F.col("b2").isNotNull() & F.col("b3").isNotNull()))
-    return (inside.unionByName(split.select("chrom", "ahead", "b1", "b2", "b3")).distinct()
-            .select("chrom", F.when(F.col("ahead"), "+").otherwise("-").alias("strand"), "b1", "b2", "b3"))
+    return (rest.select("chrom", "ahead", "transcript", "run", F.floor(at / 3).alias("codon"), F.pmod(at, F.lit(3)).alias("place"),
+                        _base_at(F.col("o")).alias("pos"))
+            .groupBy("chrom", "ahead", "transcript", "run", "codon")
+            .agg(*[F.max(F.when(F.col("place") == i, F.col("pos"))).alias(f"b{i + 1}") for i in range(3)])
+            .where(F.col("b1").isNotNull() & F.col("b2").isNotNull() & F.col("b3").isNotNull()).select("chrom", "ahead", "b1", "b2", "b3"))
 
 
-def covered_columns(blocks: DataFrame, spans: DataFrame, species: Sequence[str]) -> DataFrame:
-    """(chrom, pos, base, pattern) of the reference positions inside ``spans`` (chrom, start, end) that blocks
-    cover. Only coordinates meet in the interval join; a block is read once and cut in its own row. A reference
-    row longer than the block's size has gaps, which count as no position."""
-    part = F.transform("areas", lambda a: F.sequence(F.greatest(a["start"], F.col("start")),
-                                                     F.least(a["end"], F.col("start") + F.col("size")) - 1))
-    met = meet_areas(blocks.where(F.size("rows") > 0), spans.distinct()).withColumn("_wanted", F.array_distinct(F.flatten(part)))
-    ref = F.get("rows", F.lit(0))["text"]
-    return (met.select("chrom", "start", "size", F.concat(F.array(ref), species_texts(species)).alias("texts"), F.col("_wanted").alias("wanted"))
-            .mapInPandas(_columns_at, "chrom string, pos long, base string, pattern string"))
+def codon_positions(gff: DataFrame) -> DataFrame:
+    """CDS features (1-based inclusive, with strand and phase) -> one row per complete codon:
+    chrom, strand and the positions b1, b2, b3 (0-based) of its bases in reading order.
+
+    Codons inside one feature come from its phase alone. The bases left at the ends of features are put together
+    along the transcript; where a phase does not fit the feature before it, reading starts anew and the
+    bases before the phase have no codon."""
+    placed = _placed_features(gff)
+    whole, first = _whole_codons(), F.col("ph") + 3 * F.col("k")
+    inside = (placed.where(whole > 0).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)))
+              .select("chrom", "ahead", _base_at(first).alias("b1"), _base_at(first + 1).alias("b2"), _base_at(first + 2).alias("b3")))
+    return (inside.unionByName(_split_codons(placed)).distinct()
+            .select("chrom", F.when(F.col("ahead"), "+").otherwise("-").alias("strand"), "b1", "b2", "b3"))
 
 
-def _columns_at(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The wanted columns of each block, from one matrix of its letters; the first text is the reference."""
+def _codons_touched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The codons that have a base in a block, with what the block knows of them: the letters of the first two bases and the
+    column of the third. The first text of a block is the reference; a feature with phase -1 is one codon of given places."""
+    names = ["ahead", "b1", "b2", "b3", "x0", "x1", "pattern"]
     for pdf in batches:
-        out = []
-        for chrom, start, size, texts, wanted in pdf.itertuples(index=False, name=None):
+        chroms, sizes, out = [], [], []
+        for chrom, start, size, texts, s, e, ahead, ph, b1, b2, b3 in pdf.itertuples(index=False, name=None):
             cells = char_matrix(list(texts)).astype("<u4")
             at = np.arange(size) if cells.shape[1] == size else np.flatnonzero(cells[0] != ord("-"))
             if len(at) != size:
                 raise ValueError(f"the reference row does not match the size of the block at {chrom}:{start}")
-            wanted = np.asarray(wanted, dtype=np.int64)
-            some = np.ascontiguousarray(cells[:, at[wanted - start]].T)
-            out.append(pd.DataFrame({"chrom": chrom, "pos": wanted, "base": [chr(c).upper() for c in some[:, 0]],
-                                     "pattern": np.ascontiguousarray(some[:, 1:]).view(f"<U{some.shape[1] - 1}").ravel().astype(object)}))
+            letters = cells[0, at].view("<U1").astype(object)
+            columns = np.ascontiguousarray(cells[1:, at].T).view(f"<U{len(cells) - 1}").ravel().astype(object)
+            for i in range(len(s)):
+                if ph[i] < 0:
+                    codon = [np.array([b[i]]) for b in (b1, b2, b3)]
+                else:
+                    lo, hi = max(s[i], start), min(e[i], start + size) - 1
+                    near, far = (lo - s[i], hi - s[i]) if ahead[i] else (e[i] - 1 - hi, e[i] - 1 - lo)
+                    k = np.arange(max((near - ph[i]) // 3, 0), min((far - ph[i]) // 3, (e[i] - s[i] - ph[i]) // 3 - 1) + 1)
+                    first = s[i] + ph[i] + 3 * k if ahead[i] else e[i] - 1 - ph[i] - 3 * k
+                    codon = [first, first + 1, first + 2] if ahead[i] else [first, first - 1, first - 2]
+                n = len(codon[0])
+                if not n:
+                    continue
+                known = []
+                for pos, values in zip(codon, (letters, letters, columns)):
+                    here = pos - start
+                    inside = (here >= 0) & (here < size)
+                    value = np.full(n, None, object)
+                    value[inside] = values[here[inside]]
+                    known.append(value)
+                chroms.append(chrom)
+                sizes.append(n)
+                out.append([np.full(n, bool(ahead[i])), *codon, *known])
         if out:
-            yield pd.concat(out)
+            cols = [np.concatenate(c) for c in zip(*out)]
+            yield pd.DataFrame({"chrom": np.repeat(np.array(chroms, object), sizes), **dict(zip(names, cols))})
 
 
 def fourfold_columns(blocks: DataFrame, gff: DataFrame, species: Sequence[str]) -> DataFrame:
     """Alignment columns at the third position of codons whose first two reference bases leave the
     third one free: (chrom, pos, pattern). The three bases may lie in different blocks and features; a codon
-    with a base that no block covers is left out."""
-    cds = _transcripts(gff).select("chrom", F.col("s").alias("start"), F.col("e").alias("end")).where("start < end")
-    columns = covered_columns(blocks, cds, species)
-    bases = codon_positions(gff).select("chrom", "strand", "b1", "b2", "b3",
-                                        F.posexplode(F.array("b1", "b2", "b3")).alias("place", "pos"))
-    raw = F.when(F.col("strand") == "+", F.col("base")).otherwise(
-        F.translate("base", "".join(COMPLEMENT), "".join(COMPLEMENT.values())))
-    read = bases.join(columns, ["chrom", "pos"]).groupBy("chrom", "strand", "b1", "b2", "b3").agg(
-        *[F.max(F.when(F.col("place") == i, raw)).alias(f"x{i}") for i in (0, 1)],
-        F.collect_set(F.when(F.col("place") == 2, F.col("pattern"))).alias("patterns"))
-    hits = read.where(F.concat("x0", "x1").isin(*FOURFOLD_PREFIXES))
+    with a base that no block covers is left out.
+
+    Blocks meet features by coordinates (``meet_areas``) and tell what they know of each codon they touch, one row a codon;
+    one aggregate puts codons together that lie on several blocks. No row of a single base is made or joined. Only codons
+    that are split over features are laid out in front of the join."""
+    kinds = {"start": "long", "end": "long", "ahead": "boolean", "ph": "int", "b1": "long", "b2": "long", "b3": "long"}
+    placed = _placed_features(gff)
+    none = F.lit(-1).cast("long")
+    features = placed.where(_whole_codons() > 0).select(
+        "chrom", F.col("s").alias("start"), F.col("e").alias("end"), "ahead", "ph", none.alias("b1"), none.alias("b2"), none.alias("b3"))
+    split = _split_codons(placed).withColumn("start", F.explode(F.array("b1", "b2", "b3"))).withColumn("end", F.col("start") + 1)
+    areas = features.unionByName(split.withColumn("ph", F.lit(-1))).select("chrom", *[F.col(c).cast(t) for c, t in kinds.items()]).distinct()
+    met = meet_areas(blocks.where(F.size("rows") > 0), areas)
+    ref = F.get("rows", F.lit(0))["text"]
+    told = met.select("chrom", "start", "size", F.concat(F.array(ref), species_texts(species)).alias("texts"),
+                      *[F.col("areas")[c].alias(f"a_{c}") for c in kinds]).mapInPandas(
+        _codons_touched, "chrom string, ahead boolean, b1 long, b2 long, b3 long, x0 string, x1 string, pattern string")
+
+    def read(letter: str) -> Column:
+        base = F.upper(letter)
+        return F.max(F.when(F.col("ahead"), base).otherwise(F.translate(base, "".join(COMPLEMENT), "".join(COMPLEMENT.values())))).alias(letter)
+
+    codons = told.groupBy("chrom", "ahead", "b1", "b2", "b3").agg(read("x0"), read("x1"), F.collect_set("pattern").alias("patterns"))
+    hits = codons.where(F.concat("x0", "x1").isin(*FOURFOLD_PREFIXES))
     return hits.select("chrom", F.col("b3").alias("pos"), F.explode("patterns").alias("pattern")).distinct()
