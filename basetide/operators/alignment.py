@@ -6,10 +6,13 @@ struct(species, scaffold, start, size, strand, src_size, text) with the referenc
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -286,14 +289,21 @@ def cut_blocks(blocks: DataFrame, features: DataFrame) -> DataFrame:
             .select("block_id", "chrom", "start", "end", "width", rows.alias("rows")))
 
 
-def _pass_through(widths: np.ndarray, state: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Columns of the open group (0: none yet, ``size``: full) and groups opened, for all entry states at once."""
-    opened = np.zeros_like(state)
-    for w in widths:
-        new = (state == 0) | (state >= size)
-        opened += new
-        state = np.minimum(np.where(new, w, state + w), size)
-    return state, opened
+def _closed_groups(widths: Sequence[int], size: int) -> tuple[list[int], list[int], list[int]]:
+    """(reach, to, opened) of the pieces of a tile, for a group that is open at its start: columns up to the end of each piece
+    that may close it, then the columns open at the tile's end and the groups opened, if the next group begins behind it.
+
+    A first entry of 0 columns is for no open group. Nothing but the widths counts from where a group begins, so one pass from the
+    last piece to the first tells this for all."""
+    ends = list(accumulate(widths))
+    n = len(ends)
+    to, opened = [size] * (n + 1), [0] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        before = ends[i - 1] if i else 0
+        j = bisect_left(ends, before + size, i)
+        to[i], opened[i] = (ends[-1] - before, 1) if j == n else (to[j + 1], opened[j + 1] + 1)
+    last = min(bisect_left(ends, size - 1) + 1, n)
+    return [0, *ends[:last]], to[:last + 1], opened[:last + 1]
 
 
 def concat_groups(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH) -> DataFrame:
@@ -302,38 +312,64 @@ def concat_groups(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH
     content are one step and stay together.
 
     Where a group ends depends on where it began, so a running sum cannot tell. A tile is a function from the columns
-    that are open at its start to those at its end: tiles tabulate it for the ``min_size + 1`` possible values, one row
-    per tile is followed along the chromosome, and tiles number their pieces from the state they are given."""
+    that are open at its start to those at its end, and what matters of them is the piece that closes the open group: a tile
+    tells what follows each piece that may, one row per tile is followed along the chromosome, and tiles number their
+    pieces from the state they are given. Tiles are array rows, many to a batch. ``pieces`` is read twice."""
     order = ["start", "end", "block_id", "content"]
     pieces = pieces.withColumn("content", F.xxhash64("rows"))
-    keys = (pieces.groupBy("chrom", *order).agg(F.sum("width").alias("width"))
-            .withColumn("tile", position_tile("start", tile_width)))
-
-    def tabulate(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, opened = _pass_through(pdf.sort_values(order)["width"].to_numpy(), np.arange(min_size + 1), min_size)
-        return pd.DataFrame({"chrom": pdf["chrom"].iloc[:1], "tile": pdf["tile"].iloc[:1], "to": [state], "opened": [opened]})
-
-    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
-        state, group, rows = 0, 0, []
-        for r in pdf.sort_values("tile").itertuples():
-            rows.append((r.chrom, r.tile, state, group))
-            state, group = int(r.to[state]), group + int(r.opened[state])
-        return pd.DataFrame(rows, columns=["chrom", "tile", "state", "before"])
-
-    def number(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        state, group, out = int(pdf["state"].iloc[0]), int(pdf["before"].iloc[0]), []
-        for w in pdf["width"].to_numpy():
-            if state == 0 or state >= min_size:
-                state, group = 0, group + 1
-            state = min(state + int(w), min_size)
-            out.append(group)
-        return pdf.assign(group_no=np.array(out, np.int64))[["chrom", *order, "group_no"]]
-
-    tables = keys.groupBy("chrom", "tile").applyInPandas(tabulate, "chrom string, tile long, to array<long>, opened array<long>")
-    entries = tables.groupBy("chrom").applyInPandas(follow, "chrom string, tile long, state long, before long")
-    numbered = keys.join(entries, ["chrom", "tile"]).groupBy("chrom", "tile").applyInPandas(
-        number, "chrom string, start long, end long, block_id long, content long, group_no long")
+    steps = pieces.groupBy("chrom", *order).agg(F.sum("width").alias("width"))
+    tiles = cut(steps.groupBy("chrom", position_tile("start", tile_width).alias("tile"))
+                .agg(F.sort_array(F.collect_list(F.struct(*order, "width"))).alias("steps")))
+
+    def tabulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            widths = b.column("widths").to_pylist()
+            found = list(zip(*(_closed_groups(w, min_size) for w in widths))) or [[]] * 3
+            yield pa.RecordBatch.from_arrays(
+                [b.column("chrom"), b.column("tile"), pa.array([sum(w) for w in widths], pa.int64()),
+                 *(pa.array(list(f), pa.list_(pa.int64())) for f in found)], ["chrom", "tile", "total", "reach", "to", "opened"])
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            chrom, rows = [], []
+            for name, tiles_of in zip(b.column("chrom").to_pylist(), b.column("l").to_pylist()):
+                state, group = 0, 0
+                for t in tiles_of:
+                    chrom.append(name)
+                    rows.append((t["tile"], state, group))
+                    k = 0 if state in (0, min_size) else bisect_left(t["reach"], min_size - state, 1)
+                    if k == len(t["reach"]):
+                        state += t["total"]
+                    else:
+                        state, group = t["to"][k], group + t["opened"][k]
+            cols = list(zip(*rows)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(chrom, pa.string()), *(pa.array(list(c), pa.int64()) for c in cols)], ["chrom", "tile", "state", "before"])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for widths, state, group in zip(*(b.column(c).to_pylist() for c in ("widths", "state", "before"))):
+                numbers = []
+                for w in widths:
+                    if state == 0 or state >= min_size:
+                        state, group = 0, group + 1
+                    state += w
+                    numbers.append(group)
+                out.append(numbers)
+            yield pa.RecordBatch.from_arrays([b.column("chrom"), b.column("steps"), pa.array(out, pa.list_(pa.int64()))],
+                                             ["chrom", "steps", "group_no"])
+
+    lists = "reach array<long>, to array<long>, opened array<long>"
+    tables = tiles.select("chrom", "tile", F.col("steps.width").alias("widths")).mapInArrow(
+        tabulate, f"chrom string, tile long, total long, {lists}")
+    lines = tables.groupBy("chrom").agg(F.sort_array(F.collect_list(F.struct("tile", "total", "reach", "to", "opened"))).alias("l"))
+    entries = lines.mapInArrow(follow, "chrom string, tile long, state long, before long")
+    one = "struct<start: bigint, end: bigint, block_id: bigint, content: bigint, width: bigint>"
+    numbered = (tiles.join(entries, ["chrom", "tile"]).select("chrom", "steps", F.col("steps.width").alias("widths"), "state", "before")
+                .mapInArrow(number, f"chrom string, steps array<{one}>, group_no array<long>")
+                .select("chrom", F.explode(F.arrays_zip("steps", "group_no")).alias("x"))
+                .select("chrom", *(F.col(f"x.steps.{c}").alias(c) for c in order), F.col("x.group_no").alias("group_no")))
     return pieces.join(numbered, ["chrom", *order]).drop("content")
 
 
