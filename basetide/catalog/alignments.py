@@ -46,7 +46,7 @@ def alignment_depth(spark, d):
   FROM (SELECT *, pos - row_number() OVER (PARTITION BY chrom, depth ORDER BY pos) AS isl FROM v_coldepth)
   GROUP BY chrom, depth, isl""")
 def alignment_depth_packed(spark, d):
-    return intervals.pack_runs(alignment.maf_depth(A.blocks(spark, d)), "depth")
+    return alignment.packed_depth(A.blocks(spark, d))
 
 
 @query("alignment_depth_counts", """

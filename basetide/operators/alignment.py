@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basetide.functions.sequences import gap_count, pad_gaps, region_name, slice_seq, ungapped_length
-from basetide.operators.intervals import overlap_join
+from basetide.operators.intervals import overlap_join, pack_runs
 from basetide.plans.lineage import cut
 from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
@@ -37,40 +37,77 @@ def char_matrix(texts: Sequence[str]) -> np.ndarray:
     return np.frombuffer(joined.encode(code), dtype=kind).reshape(len(texts), -1)
 
 
-def maf_depth(blocks: DataFrame, skip_ref_gaps: bool = False) -> DataFrame:
-    """Species present per alignment column, as runs of equal depth (chrom, start, end, depth).
+def _block_depths(blocks_of: Sequence[Sequence[str]], skip_ref_gaps: bool) -> list[np.ndarray]:
+    """Species present per column of each block. Blocks of one shape are counted together, ``CELLS`` cells at a time."""
+    shapes: dict[tuple[int, int], list[int]] = {}
+    for i, texts in enumerate(blocks_of):
+        shapes.setdefault((len(texts), len(texts[0])), []).append(i)
+        if any(len(t) != len(texts[0]) for t in texts):
+            raise ValueError("the texts of a block differ in length")
+    out: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * len(blocks_of)
+    for (height, width), members in shapes.items():
+        if not width:
+            continue
+        step = max(1, CELLS // (height * width))
+        for some in (members[k:k + step] for k in range(0, len(members), step)):
+            cells = char_matrix([t for i in some for t in blocks_of[i]]).reshape(len(some), height, width)
+            absent = (cells == ord("-")) | (cells == ord("n")) | (cells == ord("N"))
+            depths = height - absent.sum(axis=1)
+            for i, depth, ref in zip(some, depths, cells[:, 0]):
+                out[i] = depth[ref != ord("-")] if skip_ref_gaps else depth
+    return out
 
-    The first row of every species counts; ``-``, ``n`` and ``N`` do not. Blocks are independent, so
-    this needs no shuffle, and cells never become rows. Columns where the reference has a gap
-    advance the position unless ``skip_ref_gaps``.
-    """
-    gaps = np.array([ord(c) for c in "-nN"])
+
+#: Cells of equally shaped blocks that are counted in one array step.
+CELLS = 1 << 22
+
+
+def _depth_runs(blocks: DataFrame, skip_ref_gaps: bool, edges: bool | None) -> DataFrame:
+    """Runs of equal depth inside blocks; with ``edges`` those that touch their block's start or end, or all others."""
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            depths = []
-            for texts in pdf["texts"]:
-                cells = char_matrix(texts)
-                if skip_ref_gaps:
-                    cells = cells[:, cells[0] != ord("-")]
-                absent = (cells == gaps[0]) | (cells == gaps[1]) | (cells == gaps[2])
-                depths.append(len(texts) - absent.sum(axis=0))
+            depths = _block_depths(pdf["texts"].tolist(), skip_ref_gaps)
             sizes = np.array([d.size for d in depths], dtype=np.int64)
             depth = np.concatenate(depths) if depths else np.empty(0, dtype=np.int64)
             # one pass over the batch: a run ends where the depth changes or the block ends
             owner = np.repeat(np.arange(sizes.size), sizes)
             change = (depth[1:] != depth[:-1]) | (owner[1:] != owner[:-1])
             first = np.flatnonzero(np.r_[np.ones(min(depth.size, 1), dtype=bool), change])
+            last = np.r_[first[1:], depth.size][: first.size]
+            ends = np.cumsum(sizes)
+            if edges is not None:
+                block = owner[first]
+                kept = ((first == (ends - sizes)[block]) | (last == ends[block])) == edges
+                first, last = first[kept], last[kept]
             block = owner[first]
-            shift = pdf["start"].to_numpy()[block] - (np.cumsum(sizes) - sizes)[block]
-            yield pd.DataFrame({"chrom": pdf["chrom"].to_numpy()[block], "start": first + shift,
-                                "end": np.r_[first[1:], depth.size][: first.size] + shift, "depth": depth[first]})
+            shift = pdf["start"].to_numpy()[block] - (ends - sizes)[block]
+            yield pd.DataFrame({"chrom": pdf["chrom"].to_numpy()[block], "start": first + shift, "end": last + shift, "depth": depth[first]})
 
     texts = F.transform(first_per_species(), lambda x: x["text"])
     return (blocks.where(F.size("rows") > 0).select("chrom", "start", texts.alias("texts"))
             .mapInPandas(runs, "chrom string, start long, end long, depth int"))
 
 
+def maf_depth(blocks: DataFrame, skip_ref_gaps: bool = False) -> DataFrame:
+    """Species present per alignment column, as runs of equal depth (chrom, start, end, depth).
+
+    The first row of every species counts; ``-``, ``n`` and ``N`` do not. Blocks are independent, so
+    this needs no shuffle, and cells never become rows. Columns where the reference has a gap
+    advance the position unless ``skip_ref_gaps``.
+    """
+    return _depth_runs(blocks, skip_ref_gaps, None)
+
+
+def packed_depth(blocks: DataFrame, skip_ref_gaps: bool = False, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """``maf_depth`` with touching runs of equal depth joined across blocks that do not overlap.
+
+    A run inside a block ends where the depth changes, so only the first and the last run of a block can go on in another
+    one. These alone, two a block at most, go through the scans; all others leave their task as they are."""
+    edges = cut(_depth_runs(blocks, skip_ref_gaps, True))
+    return _depth_runs(blocks, skip_ref_gaps, False).unionByName(pack_runs(edges, "depth", tile_width))
+
+
 def block_summary(blocks: DataFrame) -> DataFrame:
     """Reference scaffold, start, aligned length, length of the reference text and row count."""
     ref = F.get("rows", F.lit(0))
