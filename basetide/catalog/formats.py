@@ -11,7 +11,7 @@ from basetide import adapters as A
 from basetide.catalog import alignments, segments, trees
 from basetide.catalog.common import fragment, query, r6
 from basetide.operators import alignment, intervals, patterns, sites
-from basetide.plans.lineage import shared_path
+from basetide.plans.lineage import shared_path, written
 from basetide.sources import readers, sinks
 
 SPACES = r"[\x09-\x0D ]"
@@ -224,7 +224,7 @@ def line_files(spark, d):
   SELECT tree_id, node, label, node_type, CASE WHEN tree_id % 2 = 0 THEN 'even' ELSE 'odd' END AS set_name FROM v_typed""")
 def union_of_trees(spark, d):
     """Two tables of trees, each described on its own and put below the other."""
-    nodes = A.customer_trees(spark, d)
+    nodes = written(A.customer_trees(spark, d), "trees")
     parts = [trees.tree.tree_info(nodes.where(F.col("tree_id") % 2 == k)).withColumn("set_name", F.lit(name))
              for k, name in ((0, "even"), (1, "odd"))]
     return sites.union_all(parts).select("tree_id", "node", "label", "node_type", "set_name")

@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basetide.plans.lineage import cut
+from basetide.plans.lineage import written
 
 
 def ancestor_pairs(nodes: DataFrame) -> DataFrame:
     """Every (tree_id, node, ancestor, steps), steps >= 1, by path doubling.
 
     Round k extends the pairs exactly 2^k steps apart by all pairs known so far, so a tree of depth
-    d takes about log2(d) rounds and no pair is ever made twice. Lineage is cut once per round with
-    a reliable checkpoint.
+    d takes about log2(d) rounds and no pair is ever made twice. Each round is written once, as
+    compressed columns.
     """
-    pairs = cut(nodes.where(F.col("parent").isNotNull())
-                .select("tree_id", "node", F.col("parent").alias("ancestor"), F.lit(1).alias("steps")))
+    pairs = written(nodes.where(F.col("parent").isNotNull())
+                    .select("tree_id", "node", F.col("parent").alias("ancestor"), F.lit(1).alias("steps")), "pairs")
     reach = 1
     while True:
         far = pairs.where(F.col("steps") == reach)
@@ -24,7 +24,7 @@ def ancestor_pairs(nodes: DataFrame) -> DataFrame:
                               F.col("steps").alias("_more"))
         longer = far.join(onward, ["tree_id", "ancestor"]).select(
             "tree_id", "node", F.col("_next").alias("ancestor"), (F.col("steps") + F.col("_more")).alias("steps"))
-        longer = cut(longer)
+        longer = written(longer, "pairs")
         if not longer.where("node = ancestor").isEmpty():
             raise ValueError("a node is its own ancestor")
         if longer.isEmpty():
@@ -43,14 +43,18 @@ def node_types(nodes: DataFrame) -> DataFrame:
 def tree_info(nodes: DataFrame) -> DataFrame:
     """Per node: the sorted tip labels below it joined by ";", node type, branch length, label.
     A clade text is as long as its tree is wide, which is the size of the asked-for result."""
-    typed = cut(node_types(nodes))
-    tips = typed.where(F.col("node_type") == "tip").select("tree_id", "node", F.col("label").alias("tip"))
-    below = ancestor_pairs(typed).join(tips, ["tree_id", "node"]).select("tree_id", F.col("ancestor").alias("node"), "tip")
-    clades = (below.unionByName(tips).groupBy("tree_id", "node")
-              .agg(F.array_join(F.sort_array(F.collect_list("tip")), ";").alias("clade")))
-    return (typed.select("tree_id", "node", "node_type", "branch_length", "label")
-            .join(clades, ["tree_id", "node"], "full")
-            .select("tree_id", "node", "clade", "node_type", "branch_length", "label"))
+    typed = written(node_types(written(nodes, "nodes")), "typed")
+    tip = F.col("node_type") == "tip"
+    # tips are gathered at their parents first, so that pairs are made of inner nodes only
+    lists = written(typed.where(tip & F.col("parent").isNotNull()).groupBy("tree_id", F.col("parent").alias("node"))
+                    .agg(F.collect_list("label").alias("tips")), "tips")
+    below = ancestor_pairs(typed.where(~tip)).join(lists, ["tree_id", "node"]).select("tree_id", F.col("ancestor").alias("node"), "tips")
+    clades = (below.unionByName(lists).groupBy("tree_id", "node")
+              .agg(F.array_join(F.sort_array(F.flatten(F.collect_list("tips"))), ";").alias("clade")))
+    rows = typed.select("tree_id", "node", "node_type", "branch_length", "label")
+    inner = rows.where(~tip).join(clades, ["tree_id", "node"], "full")
+    return inner.unionByName(rows.where(tip).withColumn("clade", F.coalesce("label", F.lit("")))).select(
+        "tree_id", "node", "clade", "node_type", "branch_length", "label")
 
 
 def annotate_tree(nodes: DataFrame, info: DataFrame, trait: str, name_col: str = "species") -> DataFrame:
@@ -70,8 +74,8 @@ def spread_to_ancestors(nodes: DataFrame, marks: DataFrame, flags: list[str]) ->
     about log2(d) rounds.
     """
     keys = ["tree_id", "node"]
-    jump = cut(nodes.where(F.col("parent").isNotNull()).select(*keys, F.col("parent").alias("up")))
-    state = cut(marks.select(*keys, *flags))
+    jump = written(nodes.where(F.col("parent").isNotNull()).select(*keys, F.col("parent").alias("up")), "jump")
+    state = written(marks.select(*keys, *flags), "state")
     reach, longest = 1, None
     while True:
         left = jump.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.col("up") == F.col("node")), F.lit(False)).alias("own")).first()
@@ -81,19 +85,23 @@ def spread_to_ancestors(nodes: DataFrame, marks: DataFrame, flags: list[str]) ->
         if not left["n"]:
             return state
         handed = state.join(jump, keys).select("tree_id", F.col("up").alias("node"), *flags)
-        state = cut(state.unionByName(handed).groupBy(*keys).agg(*(F.max(f).alias(f) for f in flags)))
+        state = written(state.unionByName(handed).groupBy(*keys).agg(*(F.max(f).alias(f) for f in flags)), "state")
         onward = jump.select("tree_id", F.col("node").alias("up"), F.col("up").alias("_next"))
-        jump = cut(jump.join(onward, ["tree_id", "up"]).select(*keys, F.col("_next").alias("up")))
+        jump = written(jump.join(onward, ["tree_id", "up"]).select(*keys, F.col("_next").alias("up")), "jump")
         reach *= 2
 
 
 def propagate_trait(nodes: DataFrame, trait: str) -> DataFrame:
     """An internal node becomes "Y" when all tips below it are "Y"; otherwise it keeps its value. Tips without a value count
     neither way."""
-    typed = cut(node_types(nodes))
+    typed = written(node_types(written(nodes, "nodes")), "typed")
     yes = F.col(trait) == "Y"
-    tips = typed.where((F.col("node_type") == "tip") & yes.isNotNull()).select("tree_id", "node", yes.alias("_y"), (~yes).alias("_n"))
-    below = spread_to_ancestors(typed, tips, ["_y", "_n"])
-    changed = F.col("_y") & ~F.col("_n") & (F.col("node_type") != "tip")
-    return (typed.join(below, ["tree_id", "node"], "left")
-            .withColumn(trait, F.when(changed, "Y").otherwise(F.col(trait))).drop("_y", "_n"))
+    tip = F.col("node_type") == "tip"
+    # tips hand their value to their parents first, so that marks go up inner nodes only
+    marks = (typed.where(tip & yes.isNotNull() & F.col("parent").isNotNull()).groupBy("tree_id", F.col("parent").alias("node"))
+             .agg(F.max(yes).alias("_y"), F.max(~yes).alias("_n")))
+    inner = typed.where(~tip)
+    below = spread_to_ancestors(inner, marks, ["_y", "_n"])
+    changed = (inner.join(below, ["tree_id", "node"], "left")
+               .withColumn(trait, F.when(F.col("_y") & ~F.col("_n"), "Y").otherwise(F.col(trait))).drop("_y", "_n"))
+    return changed.unionByName(typed.where(tip))
