@@ -28,6 +28,8 @@ LOW, HIGH = 1e-10, 0.9999999999
 TIE = 1e-12
 #: Sets times runs worked on at once, sets from which runs are walked for all sets together, rows of a frame that is sent on.
 SET_CELLS, MANY_SETS, FRAME_ROWS = 250_000, 16, 100_000
+#: Blocks of sets that walk through a tile together, and the longest run whose powers are kept while they do.
+WALKED_BLOCKS, KEPT_POWERS = 32, 512
 
 
 @dataclass(frozen=True)
@@ -407,6 +409,185 @@ def _tile_parts(n_sets: int, start: int, end: int, found: tuple[np.ndarray, ...]
     return out
 
 
+class _Walk:
+    """Many sets side by side over the runs of one tile: every step works on one array per quantity, with an entry for each set.
+
+    Between the eigenvectors of its symbol a run of k bases shrinks one part of the filter by ratio^k, so the states of the run follow
+    from how many bases the shrinking part outweighs the lasting one. Up to there a positive ratio keeps one state and
+    a negative one alternates; both are laid down as a first piece, single bases and a last piece, without a row per piece.
+    Sets of negative ratio stand behind the others (``order``).
+    """
+
+    def __init__(self, models: _Models, ids: np.ndarray, min_len: int, max_len: int):
+        self.order = np.argsort(models.ratio[ids, 0] < 0, kind="stable")
+        ids = ids[self.order]
+        self.n, self.positive = len(ids), int((models.ratio[ids, 0] >= 0).sum())
+        self.min_len, self.max_len = min_len, max_len
+        self.main = [[np.ascontiguousarray(models.main[ids, x, i, j]) for i in (0, 1) for j in (0, 1)] for x in (0, 1)]
+        self.opening = [[np.ascontiguousarray(models.opening[ids, x, i]) for i in (0, 1)] for x in (0, 1)]
+        self.ratio = [np.ascontiguousarray(models.ratio[ids, x]) for x in (0, 1)]
+        with np.errstate(divide="ignore"):
+            self.log_ratio = [np.log(np.abs(r)) for r in self.ratio]
+        self.largest = [float(np.abs(r).max()) for r in self.ratio]
+        self.powers: dict[tuple[int, int], np.ndarray] = {}
+
+    def _power(self, x: int, length: int) -> np.ndarray | None:
+        """ratio^length; none where nothing of it is left. Powers of short runs are kept."""
+        if self.largest[x] ** length < 1e-100:
+            return None
+        known = self.powers.get((x, length))
+        if known is None:
+            known = self.ratio[x] ** length
+            if length <= KEPT_POWERS:
+                self.powers[x, length] = known
+        return known
+
+    def product(self, edges: np.ndarray, symbol: np.ndarray, first: bool) -> np.ndarray:
+        """The matrices of the tile, (sets, 2, 2), up to scale."""
+        a, b = np.zeros((2, self.n)), np.zeros((2, self.n))  # rows of the matrix; their first axis is its column
+        a[0], b[1] = 1.0, 1.0
+        for i, (x, length) in enumerate(zip(symbol.tolist(), np.diff(edges).tolist())):
+            if first and i == 0:
+                total = a + b
+                a, b = self.opening[x][0] * total, self.opening[x][1] * total
+            else:
+                m00, m01, m10, m11 = self.main[x]
+                qa, qb = m00 * a + m01 * b, m10 * a + m11 * b
+                power = self._power(x, length)
+                if power is not None:
+                    qa, qb = qa + power * (a - qa), qb + power * (b - qb)
+                a, b = qa, qb
+            scale = 1 / (a + b).max(axis=0)
+            a, b = a * scale, b * scale
+        out = np.empty((self.n, 2, 2))
+        out[self.order, 0], out[self.order, 1] = a.T, b.T
+        return out
+
+    def parts(self, edges: np.ndarray, symbol: np.ndarray, first: bool, entry: np.ndarray) -> np.ndarray:
+        """What ``_tile_parts`` gives, (len(PARTS), sets), from the distributions in front of the tile."""
+        n, cut_at = self.n, self.positive
+        self.start, end = int(edges[0]), int(edges[-1])
+        self.out = {name: np.zeros(n) for name in PARTS}
+        for name, value in (("head_end", self.start), ("tail_start", end), ("first", -1), ("last", -1)):
+            self.out[name][:] = value
+        self.open, self.begin, self.held = np.zeros(n, bool), np.zeros(n), np.zeros(n)
+        a, b = (np.ascontiguousarray(v) for v in entry[self.order].T)
+        nothing = np.zeros(n)
+        for i, (x, lo, length) in enumerate(zip(symbol.tolist(), edges.tolist(), np.diff(edges).tolist())):
+            if first and i == 0:
+                total = a + b
+                qa, qb = self.opening[x][0] * total, self.opening[x][1] * total
+                ra = rb = nothing
+            else:
+                m00, m01, m10, m11 = self.main[x]
+                qa, qb = m00 * a + m01 * b, m10 * a + m11 * b
+                ra, rb = a - qa, b - qb
+            lead = (1 - TIE) * qb - (1 + TIE) * qa
+            drift = (1 - TIE) * rb - (1 + TIE) * ra
+            settled, rising = lead > 0, drift > 0
+            # bases in which the drift outweighs the lead; neither of both (nan): none
+            with np.errstate(divide="ignore", invalid="ignore"):
+                reach = np.ceil(np.log(np.abs(lead / drift)) / self.log_ratio[x]) - 1
+            reach = np.minimum(np.fmax(reach, 0), length)
+            self._run(x, lo, length, reach, settled, rising, cut_at)
+            power = self._power(x, length)
+            if power is not None:
+                qa, qb = qa + power * ra, qb + power * rb
+            scale = 1 / (qa + qb)
+            a, b = qa * scale, qb * scale
+        held = np.flatnonzero(self.open)
+        through = self.begin[held] == self.start
+        at, rest = held[through], held[~through]
+        self.out["head_end"][at], self.out["head_n"][at] = end, self.held[at]
+        self.out["tail_start"][rest], self.out["tail_n"][rest] = self.begin[rest], self.held[rest]
+        kept = self.out["first"] >= 0  # the gaps between the kept ones are what these leave of their range
+        self.out["gap"][kept] = (self.out["last"] - self.out["first"] - self.out["len"])[kept]
+        parts = np.empty((len(PARTS), n))
+        for i, name in enumerate(PARTS):
+            parts[i, self.order] = self.out[name]
+        return parts
+
+    def _run(self, x: int, lo: int, length: int, reach: np.ndarray, settled: np.ndarray, rising: np.ndarray, cut_at: int) -> None:
+        """The pieces of one run. ``before`` bases come in front of the last piece, which has state ``final``."""
+        before, final, opens = np.where(settled != rising, reach, 0.0), settled.copy(), rising.copy()
+        if cut_at < self.n:
+            c, s1 = reach[cut_at:], ~rising[cut_at:]
+            s_c = s1 ^ (c % 2 == 0)
+            all_of_it = c == length
+            joined = (c > 0) & (all_of_it | (s_c == settled[cut_at:]))
+            before[cut_at:] = c - joined
+            final[cut_at:] = np.where(joined, s_c, settled[cut_at:])
+            opens[cut_at:] = s1
+        some = np.flatnonzero(before > 0)
+        if some.size:
+            s = opens[some]
+            self._close(some[self.open[some] & ~s], lo)
+            fresh = some[s & ~self.open[some]]
+            self.begin[fresh], self.held[fresh] = lo, 0
+            self.open[some] = s
+            if x:
+                own = some[s]
+                self.held[own] += np.where(own < cut_at, before[own], 1)
+            singles = some[(some >= cut_at) & (before[some] > 1)]
+            if singles.size:
+                self._close(singles[self.open[singles]], lo + 1)
+                self.open[singles] = False
+                self._single_bases(x, lo, singles, before[singles], opens[singles])
+        rest = before < length
+        at = lo + before
+        closed = np.flatnonzero(self.open & ~final & rest)
+        self._close(closed, at[closed])
+        fresh = np.flatnonzero(final & ~self.open & rest)
+        self.begin[fresh], self.held[fresh] = at[fresh], 0
+        self.open = np.where(rest, final, self.open)
+        if x:
+            self.held += np.where(final, length - before, 0)
+
+    def _single_bases(self, x: int, lo: int, which: np.ndarray, last: np.ndarray, opens: np.ndarray) -> None:
+        """Bases 2 to ``last`` of a run alternate; each of them in state 1 is a stretch."""
+        lowest = np.where(opens, 3, 2)
+        n = (last - lowest) // 2 + 1
+        some = n > 0
+        which, n, lowest = which[some], n[some], lowest[some]
+        self.out["total"][which] += n
+        if 1 <= self.min_len:
+            self.out["short"][which] += n
+        elif 1 >= self.max_len:
+            self.out["long"][which] += n
+        else:
+            begin = lo + lowest - 1
+            self._keep(which, begin, begin + 2 * n - 1, n, n * x, n * x)
+
+    def _keep(self, which, begin, end, length, n, density) -> None:
+        self.out["len"][which] += length
+        self.out["n"][which] += n
+        self.out["dens"][which] += density
+        fresh = self.out["first"][which] < 0
+        self.out["first"][which[fresh]] = begin[fresh]
+        self.out["last"][which] = end
+
+    def _close(self, which: np.ndarray, end: np.ndarray | int) -> None:
+        """Stretches that end inside the tile."""
+        if not which.size:
+            return
+        begin, end, n = self.begin[which], np.broadcast_to(end, which.shape), self.held[which]
+        head = begin == self.start
+        if head.any():
+            at = which[head]
+            self.out["head_end"][at], self.out["head_n"][at] = end[head], n[head]
+            which, begin, end, n = which[~head], begin[~head], end[~head], n[~head]
+        length = end - begin
+        short = length <= self.min_len
+        long = (length >= self.max_len) & ~short
+        self.out["total"][which] += 1
+        self.out["short"][which] += short
+        self.out["long"][which] += long
+        kept = ~short & ~long
+        if kept.any():
+            length, n = length[kept], n[kept]
+            self._keep(which[kept], begin[kept], end[kept], length, n, n / length)
+
+
 class _Folded:
     """Counts and sums of all sets over the tiles of a chromosome so far, and the stretch that is still open."""
 
@@ -462,28 +643,33 @@ def hmm_grid_summary(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmP
 
     Sets go in blocks, as array rows: a tile gives each block its matrices, a fold over the tiles of a chromosome gives what
     enters them, a tile then gives counts and sums of its stretches and those cut by its borders, and a second fold adds
-    them up. A group of both folds is a chromosome and a block: its tiles times ``block`` sets.
+    them up. A group of both folds is a chromosome and a block: its tiles times ``block`` sets. Many sets walk through a tile
+    together, ``WALKED_BLOCKS`` blocks at a time (``_Walk``).
     """
     models = _Models(params)
     n_blocks = -(-len(params) // block)
     sets_of = [slice(b * block, min((b + 1) * block, len(params))) for b in range(n_blocks)]
+    walked_sets = [slice(b * block, min((b + WALKED_BLOCKS) * block, len(params))) for b in range(0, n_blocks, WALKED_BLOCKS)]
     tiles = cut(hmm_tiles(sites, chromes, False, tile_width))
 
+    def walks() -> list[_Walk]:
+        return [_Walk(models, np.arange(w.start, w.stop), min_len, max_len) for w in walked_sets] if len(params) >= MANY_SETS else []
+
     def parts_of(which: slice, runs: int) -> Iterator[np.ndarray]:
         ids, step = np.arange(which.start, which.stop), max(1, SET_CELLS // max(runs, 1))
         return (ids[i:i + step] for i in range(0, len(ids), step))
 
     def reduce_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        many = walks()
         for chrom, tile, start, end, reset, lo, hi in _tuples(batches):
             edges, symbol = _tile_runs(start, end, np.asarray(lo), np.asarray(hi), reset)
-            length, rows = np.diff(edges), []
-            for b, which in enumerate(sets_of):
-                mats = []
-                for ids in parts_of(which, len(length)):
-                    main, rest, ratio = models.runs(ids, symbol, reset)
-                    mats.append(_product(main + (ratio**length)[:, :, None, None] * rest))
-                rows.append((chrom, b, tile, np.concatenate(mats).tobytes()))
-            yield pd.DataFrame(rows, columns=["chrom", "block", "tile", "m"])
+            length, mats = np.diff(edges), [w.product(edges, symbol, reset) for w in many]
+            for ids in () if many else parts_of(slice(0, len(params)), len(length)):
+                main, rest, ratio = models.runs(ids, symbol, reset)
+                mats.append(_product(main + (ratio**length)[:, :, None, None] * rest))
+            mats = np.concatenate(mats)
+            yield pd.DataFrame([(chrom, b, tile, mats[which].tobytes()) for b, which in enumerate(sets_of)],
+                               columns=["chrom", "block", "tile", "m"])
 
     def enter_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chrom, b, numbers, mats in _tuples(batches):
@@ -497,17 +683,20 @@ def hmm_grid_summary(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmP
             yield pd.DataFrame(rows, columns=["chrom", "block", "tile", "v"])
 
     def walk_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chrom, tile, start, end, reset, lo, hi, b, v in _tuples(batches):
+        many = walks()
+        for chrom, tile, start, end, reset, lo, hi, group, v in _tuples(batches):
             edges, symbol = _tile_runs(start, end, np.asarray(lo), np.asarray(hi), reset)
-            length, v, parts, at = np.diff(edges), np.frombuffer(v).reshape(-1, 2), [], 0
-            for ids in parts_of(sets_of[b], len(length)):
+            length, v, which = np.diff(edges), np.frombuffer(b"".join(v)).reshape(-1, 2), walked_sets[group]
+            parts = [many[group].parts(edges, symbol, reset, v)] if many else []
+            for ids in () if many else parts_of(which, len(length)):
                 main, rest, ratio = models.runs(ids, symbol, reset)
-                entries = _entering(main + (ratio**length)[:, :, None, None] * rest, v[at:at + len(ids)])
+                entries = _entering(main + (ratio**length)[:, :, None, None] * rest, v[ids - which.start])
                 found = _conserved_stretches(main, rest, ratio, edges, symbol, entries)
                 parts.append(_tile_parts(len(ids), start, end, found, min_len, max_len))
-                at += len(ids)
-            yield pd.DataFrame([(chrom, b, tile, start, end, np.concatenate(parts, axis=1).tobytes())],
-                               columns=["chrom", "block", "tile", "start", "end", "parts"])
+            parts = np.concatenate(parts, axis=1)
+            yield pd.DataFrame(
+                [(chrom, group * WALKED_BLOCKS + k, tile, start, end, parts[:, i:i + block].tobytes())
+                 for k, i in enumerate(range(0, parts.shape[1], block))], columns=["chrom", "block", "tile", "start", "end", "parts"])
 
     def fold_tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chrom, b, starts, ends, parts in _tuples(batches):
@@ -524,8 +713,10 @@ def hmm_grid_summary(sites: DataFrame, chromes: DataFrame, params: Sequence[HmmP
         _in_frames(reduce_tiles), "chrom string, block int, tile long, m binary")
     lines = matrices.groupBy("chrom", "block").agg(F.sort_array(F.collect_list(F.struct("tile", "m"))).alias("l"))
     entering = lines.select("chrom", "block", "l.tile", "l.m").mapInPandas(enter_tiles, "chrom string, block int, tile long, v binary")
-    walked = tiles.join(entering, ["chrom", "tile"]).select("chrom", "tile", "start", "end", "reset", "lo", "hi", "block", "v")
-    walked = walked.repartition(tasks, "chrom", "tile", "block")
+    entering = entering.withColumn("group", F.floor(F.col("block") / WALKED_BLOCKS)).groupBy("chrom", "tile", "group").agg(
+        F.sort_array(F.collect_list(F.struct("block", "v"))).alias("l")).select("chrom", "tile", "group", F.col("l.v").alias("v"))
+    walked = tiles.join(entering, ["chrom", "tile"]).select("chrom", "tile", "start", "end", "reset", "lo", "hi", "group", "v")
+    walked = walked.repartition(tasks, "chrom", "tile", "group")
     partial = walked.mapInPandas(_in_frames(walk_tiles), "chrom string, block int, tile long, start long, end long, parts binary")
     lines = partial.groupBy("chrom", "block").agg(F.sort_array(F.collect_list(F.struct("tile", "start", "end", "parts"))).alias("l"))
     counts = "total_elements", "too_short", "too_long", "_len", "_gap", "sites_in_elements"
