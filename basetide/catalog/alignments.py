@@ -205,7 +205,7 @@ fragment("v_fetched", """
 @query("fetched_regions", """
   SELECT region_id, species, start AS src_start, start + length(replace(seq, '-', '')) AS src_end, seq FROM v_fetched""")
 def fetched_regions(spark, d):
-    out = alignment.fetch_regions(A.blocks(spark, d), _regions(spark, d), ref="doc", bin_width=240)
+    out = alignment.fetch_regions(A.blocks(spark, d), _regions(spark, d), ref="doc", bin_width=240, spans=A.block_spans(spark, d))
     return out.select("region_id", "species", "src_start", "src_end", "seq")
 
 
@@ -213,7 +213,8 @@ def fetched_regions(spark, d):
   SELECT region_id, species, seq FROM v_fetched WHERE "end" - start >= 200""")
 def long_features(spark, d):
     regions = _regions(spark, d).where(F.col("end") - F.col("start") >= 200)
-    return alignment.fetch_regions(A.blocks(spark, d), regions, ref="doc", bin_width=240).select("region_id", "species", "seq")
+    return alignment.fetch_regions(A.blocks(spark, d), regions, ref="doc", bin_width=240, spans=A.block_spans(spark, d)).select(
+        "region_id", "species", "seq")
 
 
 # two of three windows are features, so groups run over holes; the shortest pieces have 10 columns
@@ -252,7 +253,7 @@ def region_loci(spark, d):
     from basetide.plans.pipelines import element_loci
 
     regions = _regions(spark, d)
-    return element_loci(A.blocks(spark, d), regions, 4, ref="doc")[1]
+    return element_loci(A.blocks(spark, d), regions, 4, ref="doc", spans=A.block_spans(spark, d))[1]
 
 
 fragment("v_aln", """

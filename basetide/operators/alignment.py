@@ -137,14 +137,16 @@ def subset_species(blocks: DataFrame, species: Sequence[str], unique: bool = Tru
     return blocks.withColumn("rows", kept).where(F.size("rows") > 0)
 
 
-def meet_areas(blocks: DataFrame, areas: DataFrame, bin_width: int | None = None) -> DataFrame:
+def meet_areas(blocks: DataFrame, areas: DataFrame, bin_width: int | None = None, spans: DataFrame | None = None) -> DataFrame:
     """Blocks that overlap an area (chrom, start, end and more columns), with ``areas``, the list of all they overlap.
 
     Coordinates alone go through the interval join; the rows of a block are moved once, by one equi-join, however many
     areas it meets, and not at all where it meets none. The join counts lengths, classes and bins before it meets, so
-    coordinates and areas are written once and read from there."""
+    coordinates and areas are written once and read from there. ``spans`` (chrom, start, size) are the coordinates of all
+    blocks where an index knows them; otherwise they are read from the blocks."""
     keys = ["chrom", "start", "size"]
-    spans = cut(blocks.select(*keys, (F.col("start") + F.col("size")).alias("end")).distinct())
+    known = blocks if spans is None else spans
+    spans = cut(known.select(*keys, (F.col("start") + F.col("size")).alias("end")).distinct())
     areas = cut(areas)
     rest = [c for c in areas.columns if c != "chrom"]
     met = (overlap_join(areas, spans, bin_width=bin_width)
@@ -154,10 +156,10 @@ def meet_areas(blocks: DataFrame, areas: DataFrame, bin_width: int | None = None
 
 
 def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, ref: str = "ref",
-                  bin_width: int | None = None) -> DataFrame:
+                  bin_width: int | None = None, spans: DataFrame | None = None) -> DataFrame:
     """Stitched alignment of every region: one row per (region, species, scaffold, copy).
 
-    Blocks meet regions through ``meet_areas``; each block row is cut to the region and
+    Blocks meet regions through ``meet_areas`` (``spans``: their coordinates, where known); each block row is cut to the region and
     rows of one (region, species, scaffold) are folded in block order. A piece extends the first
     copy whose last source position is less than ``join_dist`` away and that was not extended in
     this block; otherwise it opens a new copy. Bases a copy does not cover are gaps, so every
@@ -169,7 +171,7 @@ def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, r
     """
     areas = regions.select("chrom", "start", "end").distinct()
     fits = F.length(F.get("rows", F.lit(0))["text"]) == F.col("size")
-    met = (meet_areas(blocks, areas, bin_width)
+    met = (meet_areas(blocks, areas, bin_width, spans)
            .select("chrom", F.col("start").alias("b_start"), (F.col("start") + F.col("size")).alias("b_end"), fits.alias("fits"), "rows",
                    F.explode("areas").alias("area"))
            .select("chrom", "area.*", "b_start", "b_end", "fits", "rows"))
@@ -203,10 +205,22 @@ def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, r
         return F.when(hit > 0, F.transform(copies, lambda c, i: F.when(i + 1 == hit, extended(c, p)).otherwise(c))
                       ).otherwise(F.concat(copies, F.array(opened(p))))
 
+    # where every piece extends the one before it there is one copy, laid down at once: the fold copies it at each step
+    before = lambda i: F.get("pieces", i - 1)
+    follows = lambda p, i: (i == 0) | ((F.abs(before(i)["src_last"] - p["src"]) < join_dist) & (before(i)["at"] < p["at"])
+                                       & (before(i)["at"] + F.length(before(i)["seq"]) <= p["at"]))
+    hole = lambda p, i: p["at"] - F.when(i == 0, F.col("start")).otherwise(before(i)["at"] + F.length(before(i)["seq"]))
+    one = F.get("pieces", F.lit(0))
+    end = F.element_at("pieces", -1)
+    whole = F.array_join(F.transform("pieces", lambda p, i: F.concat(pad_gaps(hole(p, i)), p["seq"])), "")
+    single = F.array(F.struct(end["src_last"].alias("last"), end["at"].alias("at"), one["at"].alias("first_block"), one["row_no"].alias("first_row"),
+                              (one["src"] + one["offset"]).alias("src_start"), whole.alias("seq")))
+    in_line = ~F.exists(F.transform("pieces", follows), lambda x: ~x)
+
     empty = F.expr("cast(array() as array<struct<last: bigint, at: bigint, first_block: bigint, first_row: int, "
                    "src_start: bigint, seq: string>>)")
     folded = groups.select("chrom", "start", "end", "species", "scaffold",
-                           F.posexplode(F.aggregate("pieces", empty, step)).alias("copy", "c"))
+                           F.posexplode(F.when(in_line, single).otherwise(F.aggregate("pieces", empty, step))).alias("copy", "c"))
     tail = F.col("end") - F.col("start") - F.length("c.seq")
     out = folded.withColumn("seq", F.concat("c.seq", pad_gaps(tail)))
     return out.select(region_name(ref, "chrom", "start", "end").alias("region_id"), "chrom", "start", "end", "species",

@@ -47,9 +47,9 @@ def cluster_grid(site_table: DataFrame, sizes: Sequence[int], samples: Sequence[
 
 
 def element_loci(blocks: DataFrame, elements: DataFrame, n_species: int, prune: DataFrame | None = None,
-                 ref: str = "ref") -> tuple[DataFrame, DataFrame]:
+                 ref: str = "ref", spans: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Elements -> stitched, de-duplicated, complete and pruned alignments, and their batches."""
-    aln = alignment.dedup_species(alignment.fetch_regions(blocks, elements, ref=ref))
+    aln = alignment.dedup_species(alignment.fetch_regions(blocks, elements, ref=ref, spans=spans))
     aln = alignment.complete_regions(aln, n_species)
     if prune is not None:
         aln = alignment.prune_species(aln, prune)
