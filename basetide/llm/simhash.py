@@ -43,10 +43,11 @@ def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
     """64-bit fingerprint: ASCII-lower-cased words, ``shingle``-word sequences with repeats (a shorter text is one
     sequence), and a bit for each place set in over half of their XXH64 values; 0 without words."""
     hashes = sequence_hashes(text, shingle, seed)
-    return _majority(hashes) if len(hashes) else 0
+    return majority(hashes)
 
 
-def _majority(hashes: np.ndarray) -> int:
+def majority(hashes: np.ndarray) -> int:
+    """The bits set in over half of some hashes; 0 without any."""
     n, counts = len(hashes), np.zeros(64, np.int64)
     for lo in range(0, n, 1 << 14):
         some = hashes[lo:lo + (1 << 14)].astype("<u8")
