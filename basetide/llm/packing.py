@@ -25,35 +25,47 @@ PIECE_SCHEMA = ("id {id}, start long, length long, ids_crc32 long, doc_tokens lo
                 "ids binary")
 
 
+#: Of a ``frugal`` run: texts encoded at once, and entries of the word table.
+FRUGAL_ROWS, FRUGAL_ENTRIES = 1_000, 200_000
+
+
 def encode_documents(docs: DataFrame, end_id: int, tokenizer: str, id_col: str = "doc_id",
-                     text_col: str = "text", added: bool = False) -> DataFrame:
+                     text_col: str = "text", added: bool = False, frugal: bool = False) -> DataFrame:
     """(id, n, ids): one row per document, ids closed by ``end_id``. Null texts count as empty; with ``added`` the string of
-    an added token gives its id."""
+    an added token gives its id. ``frugal`` tasks take fewer texts at once and leave no word table behind in their worker, for some
+    more time."""
     rows = texts(docs, id_col, text_col)
     id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = word_encoder(tokenizer, added)
-        for b in batches:
-            ids = [np.append(x, np.uint32(end_id)) for x in enc.encode(b.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([narrow(x) for x in ids], pa.binary())],
-                ["id", "n", "ids"])
+        try:
+            for batch in batches:
+                step = FRUGAL_ROWS if frugal else max(batch.num_rows, 1)
+                for b in (batch.slice(lo, step) for lo in range(0, batch.num_rows, step)):
+                    found = enc.encode(b.column("text").to_pylist(), FRUGAL_ENTRIES if frugal else None)
+                    ids = [np.append(x, np.uint32(end_id)) for x in found]
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column("id"), pa.array([len(x) for x in ids], pa.int64()), pa.array([narrow(x) for x in ids], pa.binary())],
+                        ["id", "n", "ids"])
+        finally:
+            if frugal:  # the worker goes on with other tasks
+                enc.release()
 
     return rows.mapInArrow(run, f"id {id_type}, n long, ids binary")
 
 
 def pack(docs: DataFrame, seq_len: int = 4096, end_id: int = 2, tokenizer: str | None = None,
-         id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", added: bool = False, frugal: bool = False) -> DataFrame:
     """Pieces (id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids) of all documents.
 
     ``start`` counts the ids of the document before the piece, ``offset`` the ids of the sequence
     before it; ``ids`` holds the piece (``tokens.widen`` reads it). Null and empty texts are a single
     end id. Rows that repeat an id are packed each on their own, a null id is carried as it is, an empty
-    table gives no piece. Other columns are not read. ``added``: see ``encode_documents``.
+    table gives no piece. Other columns are not read. ``added``, ``frugal``: see ``encode_documents``.
     """
     tokenizer = tokenizer or default_path("word_bpe_49k.json")
-    ids = cut(encode_documents(docs, end_id, tokenizer, id_col, text_col, added))  # its partitions and their order are now fixed
+    ids = cut(encode_documents(docs, end_id, tokenizer, id_col, text_col, added, frugal))  # its partitions and their order are now fixed
     placed = ids.withColumn("_part", F.spark_partition_id())
     bases = partition_bases(placed, "_part", "n", "_base")
     # one row per partition of the checkpoint

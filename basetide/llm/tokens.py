@@ -108,6 +108,10 @@ class WordEncoder:
     def __init__(self, path: str, added: bool = False):
         self.tok = json_tokenizer(path, added)
         self.added = _added_strings(path) if added else None
+        self.release()
+
+    def release(self) -> None:
+        """Empty the word table, which is filled again as texts come."""
         self.table = _Table(self.tok)
 
     def _whole(self, text: str) -> bool:
@@ -115,9 +119,9 @@ class WordEncoder:
             return True
         return not text.isascii() and MARKED.search(text) is not None
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.table) > TABLE_ENTRIES:
-            self.table = _Table(self.tok)
+    def encode(self, texts: list[str], entries: int | None = None) -> list[np.ndarray]:
+        if len(self.table) > (TABLE_ENTRIES if entries is None else entries):
+            self.release()
         rows, counts, whole = [], [], {}
         for k, text in enumerate(texts):
             if self._whole(text):

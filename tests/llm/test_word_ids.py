@@ -63,3 +63,24 @@ def test_pieces_encoded_in_one_text_equal_single_calls():
     for text, ids in zip(texts, encoder.encode(texts)):
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
     assert len(encoder.table) > tokens.JOINED and not encoder.table.new
+
+
+def test_the_pipeline_leaves_no_word_table_in_its_workers(spark):
+    """A table of some 800,000 pieces stayed in every worker, through all stages that followed."""
+    import pyarrow as pa
+
+    docs = spark.range(5_000).selectExpr("id AS doc_id", "concat('Word', id, ' and, others ', id * 7, ' of x', id) AS text").repartition(8)
+    got = {(r.doc_id, r.start): r.ids_crc32 for r in corpus_pipeline.pack_sequences(spark, docs, "").collect()}
+
+    def left(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(tokens.word_encoder(PATH, True).table)] * b.num_rows, pa.int64())], ["n"])
+
+    assert max(r.n for r in spark.range(0, 64, numPartitions=8).mapInArrow(left, "n long").collect()) == 0
+    tok = tokens.WordEncoder(PATH, True)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    whole = {i: zlib.crc32(np.append(ids, np.uint32(2)).astype("<u4").tobytes()) for i, ids in zip(texts, tok.encode(list(texts.values())))}
+    cut = {i for i, s in got if s > 0}
+    assert len({i for i, _ in got}) == 5_000 and len(cut) < 100
+    assert {i: c for (i, s), c in got.items() if i not in cut} == {i: c for i, c in whole.items() if i not in cut}
+    assert [x.tolist() for x in tok.encode(CASES, 0)] == [x.tolist() for x in tokens.WordEncoder(PATH, True).encode(CASES)]
