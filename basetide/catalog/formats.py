@@ -102,11 +102,11 @@ def split_maf_blocks(spark, d):
   FROM (SELECT *, unnest(range(start // 20000, (start + size - 1) // 20000 + 1)) AS w FROM v_blocks) b
   JOIN v_docs d ON b.g = d.g AND d.len > b.start""")
 def maf_partitions(spark, d):
-    """The alignment in one directory per chromosome and window of 20,000 bases, files of 100 blocks at most, read back."""
+    """The alignment in files of one chromosome and window of 20,000 bases and 100 blocks at most, kept as rows of a table, read back."""
     wins = intervals.make_windows(A.contigs(spark, d), 20000).withColumn("win", F.concat(F.lit("w"), F.col("window_no").cast("string")))
     path = shared_path(spark, "maf-split")
-    sinks.write_maf_partitioned(_plain_blocks(spark, d), path, wins, 100)
-    back = readers.read_maf(spark, path, ("chrom", "win"))
+    sinks.write_maf_archive(_plain_blocks(spark, d), path, wins, 100, A.block_spans(spark, d))
+    back = readers.read_maf_archive(spark, path)
     return back.select("in_chrom", "in_win", "start", F.explode("rows").alias("r")).select(
         "in_chrom", "in_win", "start", "r.species", "r.text")
 

@@ -100,7 +100,17 @@ def read_maf(spark: SparkSession, path: str | Sequence[str], partitions: Sequenc
     scaffold; the first row is the reference and gives chrom, start and size. Names of ``partitions`` are directories
     (``name=value``) of a partitioned alignment and become columns ``in_{name}``."""
     schema = ", ".join(["value string", *(f"`{p}` string" for p in partitions)])
-    raw = spark.read.schema(schema).option("lineSep", "\na").text(_paths(path))
+    return _maf_blocks(spark.read.schema(schema).option("lineSep", "\na").text(_paths(path)), partitions)
+
+
+def read_maf_archive(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``read_maf`` of the files in a table of ``sinks.write_maf_archive``, with ``in_chrom`` and ``in_win``."""
+    raw = spark.read.parquet(path) if isinstance(path, str) else spark.read.parquet(*path)
+    return _maf_blocks(raw.select(F.explode(F.split("text", "\na")).alias("value"), "chrom", "win"), ("chrom", "win"))
+
+
+def _maf_blocks(raw: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Blocks of raw records (value and the columns ``partitions``), which end in front of the next line that starts with an a."""
     where = [F.col(p).alias(f"in_{p}") for p in partitions]
     lines = F.filter(F.split(F.regexp_replace("value", "\r", ""), "\n"), lambda x: x.rlike(r"^s\s"))
     fields = F.transform(lines, lambda line: F.split(line, r"\s+"))  # each line is split once

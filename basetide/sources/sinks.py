@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,10 +78,10 @@ def maf_text(rows: Column | str = "rows") -> Column:
     return F.concat(F.lit("a\n"), F.array_join(lines, "\n"), F.lit("\n"))
 
 
-def split_blocks(blocks: DataFrame, regions: DataFrame) -> DataFrame:
+def split_blocks(blocks: DataFrame, regions: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     """Blocks with the region each one meets: (chrom, win, start, rows). Regions have a ``win`` name;
-    a block that spans several regions goes to each of them."""
-    met = meet_areas(blocks.select("chrom", "start", "size", "rows"), regions.select("chrom", "start", "end", "win"))
+    a block that spans several regions goes to each of them. ``spans``: see ``meet_areas``."""
+    met = meet_areas(blocks.select("chrom", "start", "size", "rows"), regions.select("chrom", "start", "end", "win"), spans=spans)
     return met.select("chrom", F.explode("areas.win").alias("win"), "start", "rows")
 
 
@@ -95,6 +96,40 @@ def write_maf_partitioned(blocks: DataFrame, path: str, regions: DataFrame | Non
      .write.mode("overwrite").option("maxRecordsPerFile", max_blocks).partitionBy(*keys).text(path))
 
 
+def write_maf_archive(blocks: DataFrame, path: str, regions: DataFrame, max_blocks: int = 100_000,
+                      spans: DataFrame | None = None) -> None:
+    """``write_maf_partitioned`` for very many regions: the same files as rows (chrom, win, file_no, text) of one Parquet table.
+
+    Where each region is a directory, time goes into opening files, some milliseconds each, and their list into the driver.
+    Here both grow with the bytes only. A file holds ``max_blocks`` blocks at most, in order of their starts; a region is
+    written by one task, as a stream. ``readers.read_maf_archive`` reads the table back."""
+    text = split_blocks(blocks, regions, spans).select("chrom", "win", "start", maf_text().alias("value"))
+    dealt = text.repartition("chrom", "win").sortWithinPartitions("chrom", "win", "start").select("chrom", "win", "value")
+    kinds = ", ".join(f"{c} {dealt.schema[c].dataType.simpleString()}" for c in ("chrom", "win"))
+
+    def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region, number, held, types = None, 0, [], None
+        for b in batches:
+            types, out = b.schema, []
+            for chrom, win, value in zip(*(c.to_pylist() for c in b.columns)):
+                if held and ((chrom, win) != region or len(held) == max_blocks):
+                    out.append((*region, number, "".join(held)))
+                    number, held = number + 1, []
+                if (chrom, win) != region:
+                    region, number = (chrom, win), 0
+                held.append(value + "\n")
+            yield rows(out, types)
+        if held:
+            yield rows([(*region, number, "".join(held))], types)
+
+    def rows(found: list[tuple], types: pa.Schema) -> pa.RecordBatch:
+        cols = list(zip(*found)) if found else [[]] * 4
+        kinds = (types.field(0).type, types.field(1).type, pa.int32(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], ["chrom", "win", "file_no", "text"])
+
+    dealt.mapInArrow(files, f"{kinds}, file_no int, text string").write.mode("overwrite").parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header: filled sample sheets, tree tables."""
     df.write.mode("overwrite").option("header", True).csv(path)
