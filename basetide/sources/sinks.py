@@ -78,10 +78,10 @@ def maf_text(rows: Column | str = "rows") -> Column:
     return F.concat(F.lit("a\n"), F.array_join(lines, "\n"), F.lit("\n"))
 
 
-def split_blocks(blocks: DataFrame, regions: DataFrame, spans: DataFrame | None = None) -> DataFrame:
+def split_blocks(blocks: DataFrame, regions: DataFrame) -> DataFrame:
     """Blocks with the region each one meets: (chrom, win, start, rows). Regions have a ``win`` name;
-    a block that spans several regions goes to each of them. ``spans``: see ``meet_areas``."""
-    met = meet_areas(blocks.select("chrom", "start", "size", "rows"), regions.select("chrom", "start", "end", "win"), spans=spans)
+    a block that spans several regions goes to each of them."""
+    met = meet_areas(blocks.select("chrom", "start", "size", "rows"), regions.select("chrom", "start", "end", "win"))
     return met.select("chrom", F.explode("areas.win").alias("win"), "start", "rows")
 
 
@@ -102,9 +102,11 @@ def write_maf_archive(blocks: DataFrame, path: str, regions: DataFrame, max_bloc
 
     Where each region is a directory, time goes into opening files, some milliseconds each, and their list into the driver.
     Here both grow with the bytes only. A file holds ``max_blocks`` blocks at most, in order of their starts; a region is
-    written by one task, as a stream. ``readers.read_maf_archive`` reads the table back."""
-    text = split_blocks(blocks, regions, spans).select("chrom", "win", "start", maf_text().alias("value"))
-    dealt = text.repartition("chrom", "win").sortWithinPartitions("chrom", "win", "start").select("chrom", "win", "value")
+    written by one task, as a stream. ``spans``: see ``meet_areas``. ``readers.read_maf_archive`` reads the table back."""
+    text = blocks.select("chrom", "start", "size", maf_text().alias("value"))  # far smaller than the rows
+    met = meet_areas(text, regions.select("chrom", "start", "end", "win"), spans=spans)
+    split = met.select("chrom", F.explode("areas.win").alias("win"), "start", "value")
+    dealt = split.repartition("chrom", "win").sortWithinPartitions("chrom", "win", "start").select("chrom", "win", "value")
     kinds = ", ".join(f"{c} {dealt.schema[c].dataType.simpleString()}" for c in ("chrom", "win"))
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
