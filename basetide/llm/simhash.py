@@ -1,9 +1,9 @@
-"""SimHash near-duplicates by exact comparison of tiles of fingerprints.
+"""SimHash near-duplicates by exact comparison of fingerprints that share a piece of their bits.
 
-Equal fingerprints are one row. Rows are dealt to cells by the numbers of set bits in the two halves of
-the fingerprint. Two fingerprints within ``radius`` bits differ in these two counts by ``radius`` in sum at
-most, so only such cells meet; crowded cells are dealt to several tiles. A pair of tiles is compared
-with exclusive-or and bit counts, and passes on a spanning forest of the links it finds.
+Equal fingerprints are one row. The bits are cut into ``radius`` + 1 pieces: two fingerprints within ``radius`` bits are equal in
+one of them at least, so only fingerprints with an equal piece meet. The other bits of a crowded bucket are cut once more, by the
+same rule, and what is crowded then is dealt to tiles that meet pair by pair. Buckets and pairs of tiles are compared
+with exclusive-or and bit counts, and pass on a spanning forest of the links they find.
 """
 
 from __future__ import annotations
@@ -12,13 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basetide.llm.common import cut, texts
 from basetide.llm.components import components
 
-#: Fingerprints of a tile at most, by expectation of an even deal.
+#: Fingerprints of a bucket at most, and of a tile by expectation of an even deal.
 TILE = 8192
 
 
@@ -107,37 +107,75 @@ def tile_links(a: np.ndarray, b: np.ndarray, radius: int, same: bool, block: int
     return u, v
 
 
+def _piece_bounds(bits: int, n: int) -> list[tuple[int, int]]:
+    """(first bit, number of bits) of ``n`` pieces of a number of ``bits`` bits, as equal as they can be."""
+    ends = [bits * i // n for i in range(n + 1)]
+    return [(s, e - s) for s, e in zip(ends, ends[1:])]
+
+
+def _low(value: Column, bits: int) -> Column:
+    return value if bits >= 64 else value.bitwiseAND(F.lit((1 << bits) - 1)) if bits else F.lit(0).cast("long")
+
+
+def _piece(value: Column, first: int, bits: int) -> Column:
+    return _low(F.shiftrightunsigned(value, first), bits)
+
+
+def _without(value: Column, first: int, bits: int, all_bits: int) -> Column:
+    """``value`` without some of its bits, those above them moved down."""
+    above = F.shiftleft(_piece(value, first + bits, all_bits - first - bits), first) if first + bits < all_bits else F.lit(0).cast("long")
+    return above.bitwiseOR(_low(value, first))
+
+
+def _keyed(prints: DataFrame, radius: int) -> DataFrame:
+    """(fp, piece, key): one row a fingerprint and piece; fingerprints that are equal in a piece have its key in common."""
+    fp = F.col("fp")
+    each = [F.struct(F.lit(i).alias("piece"), F.xxhash64(F.lit(i), _piece(fp, *b)).alias("key"))
+            for i, b in enumerate(_piece_bounds(64, radius + 1))]
+    return prints.select("fp", F.explode(F.array(*each)).alias("k")).select("fp", "k.piece", "k.key")
+
+
+def _keyed_again(crowded: DataFrame, radius: int) -> DataFrame:
+    """(fp, key): the same for the bits beside the piece that the rows of a bucket have in common."""
+    per_piece = []
+    for b in _piece_bounds(64, radius + 1):
+        rest = _without(F.col("fp"), *b, 64)
+        per_piece.append(F.array(*[F.xxhash64("key", F.lit(j), _piece(rest, *c)) for j, c in enumerate(_piece_bounds(64 - b[1], radius + 1))]))
+    return crowded.select("fp", F.explode(F.get(F.array(*per_piece), F.col("piece"))).alias("key"))
+
+
+def _split_off(rows: DataFrame, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of the keys with ``tile`` rows at most, and the others with their number of tiles, ``parts``."""
+    # as many as rows / tile at most
+    hot = F.broadcast(cut(rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("parts")).where("parts > 1")))
+    return rows.join(hot, "key", "left_anti"), rows.join(hot, "key")
+
+
 def near_links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
     """(a, b): links between fingerprints of ``prints`` (fp, distinct) that span all components of the relation
-    "at most ``radius`` bits differ". Every pair that can be within the radius is compared."""
-    low, high = F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))), F.bit_count(F.shiftrightunsigned("fp", 32))
-    cells = prints.select("fp", low.alias("lo"), high.alias("hi"))
-    # 33 x 33 cells at most
-    parts = cells.groupBy("lo", "hi").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("parts"))
-    tiled = (cells.join(F.broadcast(parts), ["lo", "hi"])
-             .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")))
-    blobs = cut(tiled.groupBy("lo", "hi", "part").agg(F.sort_array(F.collect_list("fp")).alias("fps")))
-    names = blobs.select("lo", "hi", "part")
-    steps = [(i, j) for i in range(-radius, radius + 1) for j in range(-radius, radius + 1) if abs(i) + abs(j) <= radius]
-    ahead = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in steps if (i, j) >= (0, 0)])
-    met = names.select(F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("part").alias("part1"), F.explode(ahead).alias("s"))
-    met = met.select("lo1", "hi1", "part1", (F.col("lo1") + F.col("s.i")).alias("lo"), (F.col("hi1") + F.col("s.j")).alias("hi"))
-    pairs = met.join(names, ["lo", "hi"]).where(
-        (F.col("lo") != F.col("lo1")) | (F.col("hi") != F.col("hi1")) | (F.col("part1") <= F.col("part")))
-    first = blobs.select(F.col("lo").alias("lo1"), F.col("hi").alias("hi1"), F.col("part").alias("part1"), F.col("fps").alias("a"))
-    loaded = (pairs.join(first, ["lo1", "hi1", "part1"]).join(blobs.withColumnRenamed("fps", "b"), ["lo", "hi", "part"])
-              .select("a", "b", ((F.col("lo") == F.col("lo1")) & (F.col("hi") == F.col("hi1")) & (F.col("part") == F.col("part1")))
-                      .alias("same"), "lo", "hi", "lo1", "hi1", "part", "part1")
-              .repartition("lo", "hi", "lo1", "hi1", "part", "part1").select("a", "b", "same"))
+    "at most ``radius`` bits differ". Every pair that can be within the radius is compared. ``prints`` is read several times."""
+    few, many = _split_off(_keyed(prints, radius), tile)
+    few_again, crowded = _split_off(_keyed_again(many, radius), tile)
+    fps = F.collect_list("fp").alias("a")
+    whole = (few.select("key", "fp").unionByName(few_again.select("key", "fp")).groupBy("key").agg(fps).where(F.size("a") > 1)
+             .select("a", F.lit(None).cast("array<long>").alias("b")))
+    tiles = cut(crowded.groupBy("key", F.pmod(F.xxhash64("fp"), F.col("parts")).alias("part")).agg(fps))
+    second = tiles.select("key", F.col("part").alias("part2"), F.col("a").alias("b"))
+    names = tiles.select("key", "part").join(second.select("key", "part2"), "key").where("part <= part2")
+    met = names.join(tiles, ["key", "part"]).join(second, ["key", "part2"]).select(
+        "key", "part", "part2", "a", F.when(F.col("part") < F.col("part2"), F.col("b")).alias("b"))
+    pairs = met.repartition("key", "part", "part2").select("a", "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                a, b = (batch.column(c)[i].values.to_numpy(zero_copy_only=False).view(np.uint64) for c in ("a", "b"))
-                u, v = tile_links(a, b, radius, batch.column("same")[i].as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["a", "b"])
-
-    return loaded.mapInArrow(compare, "a long, b long")
+            sides = [[x.values.to_numpy(zero_copy_only=False).view(np.uint64) if x.is_valid else None for x in batch.column(c)]
+                     for c in ("a", "b")]
+            found = [tile_links(a, a if b is None else b, radius, b is None) for a, b in zip(*sides)]
+            u, v = (np.concatenate([np.zeros(0, np.uint64), *x]) for x in zip(*found)) if found else (np.zeros(0, np.uint64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["a", "b"])
+
+    kind = "a long, b long"
+    return whole.mapInArrow(compare, kind).unionByName(pairs.mapInArrow(compare, kind))
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, seed: int = 42, tile: int = TILE,
