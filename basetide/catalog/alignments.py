@@ -238,7 +238,7 @@ fragment("v_group", """
   GROUP BY p.chrom, o.group_no, d.s HAVING bool_or(d.len > p.start // 60 * 60)""")
 def concatenated_blocks(spark, d):
     features = _regions(spark, d).where(F.floor(F.col("start") / 250) % 3 != 1)
-    out = alignment.concat_blocks(A.blocks(spark, d), features, 200, tile_width=1024)
+    out = alignment.concat_blocks(A.blocks(spark, d), features, 200, tile_width=1024, spans=A.block_spans(spark, d))
     return out.select("chrom", "group_no", "start", "end", "n_pieces", "width", F.explode("rows").alias("r")).select(
         "chrom", "group_no", "start", "end", "n_pieces", "width", "r.species", F.col("r.text").alias("seq"))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from basetide.functions.sequences import gap_count, pad_gaps, region_name, slice_seq, ungapped_length
 from basetide.operators.intervals import overlap_join, pack_runs
-from basetide.plans.lineage import cut
+from basetide.plans.lineage import cut, written
 from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
 
@@ -146,8 +146,8 @@ def meet_areas(blocks: DataFrame, areas: DataFrame, bin_width: int | None = None
     blocks where an index knows them; otherwise they are read from the blocks."""
     keys = ["chrom", "start", "size"]
     known = blocks if spans is None else spans
-    spans = cut(known.select(*keys, (F.col("start") + F.col("size")).alias("end")).distinct())
-    areas = cut(areas)
+    spans = written(known.select(*keys, (F.col("start") + F.col("size")).alias("end")).distinct(), "spans")
+    areas = written(areas, "areas")
     rest = [c for c in areas.columns if c != "chrom"]
     met = (overlap_join(areas, spans, bin_width=bin_width)
            .groupBy("chrom", F.col("b_start").alias("start"), F.col("b_size").alias("size"))
@@ -318,11 +318,14 @@ def validate_reference(aln: DataFrame, genome: DataFrame, ref_species: str, chun
         "matches", F.coalesce(F.upper("genome_seq") == F.upper("seq"), F.lit(False)))
 
 
-def cut_blocks(blocks: DataFrame, features: DataFrame) -> DataFrame:
+def cut_blocks(blocks: DataFrame, features: DataFrame, spans: DataFrame | None = None) -> DataFrame:
     """Blocks cut to the features they meet: block_id, chrom, start, end, width (columns) and rows (species, text), one
-    row per block and distinct stretch. Only coordinates meet in the interval join. Reference gaps between two bases of
+    row per block and distinct stretch. Only coordinates meet in the interval join (``spans``: see ``meet_areas``), and of the
+    rows of a block only species and texts are moved. Reference gaps between two bases of
     a stretch stay in it; a reference row shorter than the block's size is an error."""
-    met = meet_areas(blocks, features.select("chrom", "start", "end").where("start < end").distinct())
+    bare = blocks.select("block_id", "chrom", "start", "size", F.transform("rows", lambda r: F.struct(
+        r["species"].alias("species"), r["text"].alias("text"))).alias("rows"))
+    met = meet_areas(bare, features.select("chrom", "start", "end").where("start < end").distinct(), spans=spans)
     inside = F.transform("areas", lambda a: F.struct(F.greatest(a["start"], F.col("start")).alias("at"),
                                                      F.least(a["end"], F.col("start") + F.col("size")).alias("to")))
     ref = F.get("rows", F.lit(0))["text"]
@@ -357,20 +360,28 @@ def _closed_groups(widths: Sequence[int], size: int) -> tuple[list[int], list[in
     return [0, *ends[:last]], to[:last + 1], opened[:last + 1]
 
 
-def concat_groups(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH) -> DataFrame:
-    """Add ``group_no``: consecutive pieces of a chromosome (chrom, start, end, block_id, width) are put together until
+#: What orders the pieces of a chromosome. Pieces equal in all of it are one step.
+_STEP = ("start", "end", "block_id", "content")
+
+
+def group_numbers(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """Numbers for consecutive pieces of a chromosome (chrom, start, end, block_id, content, width) that are put together until
     they hold ``min_size`` columns. What is left at the end of a chromosome is a group too. Pieces equal in place and
     content are one step and stay together.
 
     Where a group ends depends on where it began, so a running sum cannot tell. A tile is a function from the columns
     that are open at its start to those at its end, and what matters of them is the piece that closes the open group: a tile
     tells what follows each piece that may, one row per tile is followed along the chromosome, and tiles number their
-    pieces from the state they are given. Tiles are array rows, many to a batch. ``pieces`` is read twice."""
-    order = ["start", "end", "block_id", "content"]
-    pieces = pieces.withColumn("content", F.xxhash64("rows"))
-    steps = pieces.groupBy("chrom", *order).agg(F.sum("width").alias("width"))
-    tiles = cut(steps.groupBy("chrom", position_tile("start", tile_width).alias("tile"))
-                .agg(F.sort_array(F.collect_list(F.struct(*order, "width"))).alias("steps")))
+    pieces from the state they are given. Tiles are array rows, many to a batch.
+
+    Output, one row a tile: chrom, tile, group_no (one entry a piece of the tile, in order of ``_STEP``), and what may be shared with
+    other tiles: ``open_first``, the number of the group that is open at the tile's start, and ``open_last``, that of the one open at its
+    end, 0 where there is none."""
+    order = list(_STEP)
+    steps = pieces.groupBy("chrom", *order).agg(F.sum("width").alias("width"), F.count(F.lit(1)).alias("n"))
+    tiles = written(steps.groupBy("chrom", position_tile("start", tile_width).alias("tile"))
+                    .agg(F.sort_array(F.collect_list(F.struct(*order, "width", "n"))).alias("steps"))
+                    .select("chrom", "tile", F.col("steps.width").alias("widths"), F.col("steps.n").alias("copies")), "tiles")
 
     def tabulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -400,37 +411,60 @@ def concat_groups(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for widths, state, group in zip(*(b.column(c).to_pylist() for c in ("widths", "state", "before"))):
-                numbers = []
-                for w in widths:
+            for widths, copies, state, group in zip(*(b.column(c).to_pylist() for c in ("widths", "copies", "state", "before"))):
+                numbers, first = [], 0 if state == 0 or state >= min_size else group
+                for w, n in zip(widths, copies):
                     if state == 0 or state >= min_size:
                         state, group = 0, group + 1
                     state += w
-                    numbers.append(group)
-                out.append(numbers)
-            yield pa.RecordBatch.from_arrays([b.column("chrom"), b.column("steps"), pa.array(out, pa.list_(pa.int64()))],
-                                             ["chrom", "steps", "group_no"])
+                    numbers += [group] * n
+                out.append((numbers, first, group if state < min_size else 0))
+            cols = list(zip(*out)) or [[]] * 3
+            kinds = (pa.list_(pa.int64()), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("chrom"), b.column("tile"), *(pa.array(list(c), t) for c, t in zip(cols, kinds))],
+                                             ["chrom", "tile", "group_no", "open_first", "open_last"])
 
     lists = "reach array<long>, to array<long>, opened array<long>"
-    tables = tiles.select("chrom", "tile", F.col("steps.width").alias("widths")).mapInArrow(
-        tabulate, f"chrom string, tile long, total long, {lists}")
+    tables = tiles.select("chrom", "tile", "widths").mapInArrow(tabulate, f"chrom string, tile long, total long, {lists}")
     lines = tables.groupBy("chrom").agg(F.sort_array(F.collect_list(F.struct("tile", "total", "reach", "to", "opened"))).alias("l"))
     entries = lines.mapInArrow(follow, "chrom string, tile long, state long, before long")
-    one = "struct<start: bigint, end: bigint, block_id: bigint, content: bigint, width: bigint>"
-    numbered = (tiles.join(entries, ["chrom", "tile"]).select("chrom", "steps", F.col("steps.width").alias("widths"), "state", "before")
-                .mapInArrow(number, f"chrom string, steps array<{one}>, group_no array<long>")
-                .select("chrom", F.explode(F.arrays_zip("steps", "group_no")).alias("x"))
-                .select("chrom", *(F.col(f"x.steps.{c}").alias(c) for c in order), F.col("x.group_no").alias("group_no")))
-    return pieces.join(numbered, ["chrom", *order]).drop("content")
+    return tiles.join(entries, ["chrom", "tile"]).select("chrom", "tile", "widths", "copies", "state", "before").mapInArrow(
+        number, "chrom string, tile long, group_no array<long>, open_first long, open_last long")
+
+
+def _numbered(pieces: DataFrame, min_size: int, tile_width: int) -> DataFrame:
+    """``pieces``, which have ``content``, with what ``group_numbers`` tells of each. They move once, to the numbers of their tile, and
+    stay dealt by chromosome and tile. ``pieces`` is read twice."""
+    numbers = written(group_numbers(pieces, min_size, tile_width), "numbers")
+    rest = [c for c in pieces.columns if c not in ("chrom", *_STEP)]
+    tiles = pieces.groupBy("chrom", position_tile("start", tile_width).alias("tile")).agg(
+        F.sort_array(F.collect_list(F.struct(*_STEP, *rest))).alias("p"))
+    told = tiles.join(numbers, ["chrom", "tile"]).select("chrom", "tile", "open_first", "open_last", F.explode(F.arrays_zip("p", "group_no")).alias("x"))
+    return told.select("chrom", "tile", *(F.col(f"x.p.{c}").alias(c) for c in (*_STEP, *rest)), F.col("x.group_no").alias("group_no"),
+                       "open_first", "open_last")
+
+
+def concat_groups(pieces: DataFrame, min_size: int, tile_width: int = TILE_WIDTH) -> DataFrame:
+    """Add ``group_no``, the number that ``group_numbers`` tells of each of ``pieces`` (chrom, start, end, block_id, width, rows)."""
+    told = _numbered(pieces.withColumn("content", F.xxhash64("rows")), min_size, tile_width)
+    return told.select(*pieces.columns, "group_no")
 
 
-def concat_blocks(blocks: DataFrame, features: DataFrame, min_size: int = 200, tile_width: int = TILE_WIDTH) -> DataFrame:
+def concat_blocks(blocks: DataFrame, features: DataFrame, min_size: int = 200, tile_width: int = TILE_WIDTH,
+                  spans: DataFrame | None = None) -> DataFrame:
     """Blocks cut to the features and put together, in order, until they hold ``min_size`` columns: chrom, group_no
     (from 1), start and end (of the first and last piece), n_pieces, width and rows (species, text). No piece is left out,
-    however short. A species without a row in a piece has gaps there. A group holds ``min_size`` pieces at most."""
-    pieces = concat_groups(cut_blocks(blocks, features), min_size, tile_width)
-    groups = pieces.groupBy("chrom", "group_no").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "block_id", "width", "rows"))).alias("parts"))
+    however short. A species without a row in a piece has gaps there. A group holds ``min_size`` pieces at most.
+    ``spans``: see ``meet_areas``.
+
+    Pieces are written once. Numbers come from their coordinates; the texts of a tile then move once, to where its numbers go,
+    and groups inside a tile are put together there. Only what a tile shares with the next one moves again."""
+    pieces = written(cut_blocks(blocks, features, spans).withColumn("content", F.xxhash64("rows")), "pieces")
+    each = _numbered(pieces, min_size, tile_width).withColumn("p", F.struct("start", "end", "block_id", "width", "rows"))
+    shared = (F.col("group_no") == F.col("open_first")) | (F.col("group_no") == F.col("open_last"))
+    parts = F.sort_array(F.collect_list("p")).alias("parts")
+    groups = each.where(~shared).groupBy("chrom", "tile", "group_no").agg(parts).drop("tile").unionByName(
+        each.where(shared).groupBy("chrom", "group_no").agg(parts))
     names = F.array_distinct(F.flatten(F.transform("parts", lambda p: F.transform(p["rows"], lambda r: r["species"]))))
 
     def text_of(name: Column) -> Column:
