@@ -116,9 +116,9 @@ def maf_partitions(spark, d):
          || (start + length(replace(seq, '-', ''))) AS title, {MARKED_SQL.format("seq")} AS seq FROM v_fetched""")
 def fasta_files(spark, d):
     regions = intervals.make_windows(A.contigs(spark, d), 250)
-    aln = alignment.fetch_regions(_plain_blocks(spark, d), regions, ref="doc", bin_width=240, spans=A.block_spans(spark, d))
+    aln = alignment.fetch_regions(_plain_blocks(spark, d), regions, ref="doc", bin_width=240, spans=A.block_spans(spark, d), ordered=True)
     path = shared_path(spark, "fasta")
-    sinks.write_fasta_batches(aln, path)
+    sinks.write_fasta_batches(aln, path, placed=True, compression="gzip")
     return readers.fasta_alignments(readers.read_fasta(spark, path, "part-*"), region_in_title=True)
 
 

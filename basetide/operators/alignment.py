@@ -156,11 +156,12 @@ def meet_areas(blocks: DataFrame, areas: DataFrame, bin_width: int | None = None
 
 
 def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, ref: str = "ref",
-                  bin_width: int | None = None, spans: DataFrame | None = None) -> DataFrame:
+                  bin_width: int | None = None, spans: DataFrame | None = None, ordered: bool = False) -> DataFrame:
     """Stitched alignment of every region: one row per (region, species, scaffold, copy).
 
-    Blocks meet regions through ``meet_areas`` (``spans``: their coordinates, where known); each block row is cut to the region and
-    rows of one (region, species, scaffold) are folded in block order. A piece extends the first
+    Blocks meet regions through ``meet_areas`` (``spans``: their coordinates, where known); each block is cut to the region and moved
+    to it as one row, and rows of one (region, species, scaffold) are folded there in block order. With ``ordered`` the regions
+    lie in ranges of region_id, one partition behind the other. A piece extends the first
     copy whose last source position is less than ``join_dist`` away and that was not extended in
     this block; otherwise it opens a new copy. Bases a copy does not cover are gaps, so every
     sequence is as long as its region. A met block whose reference row is longer than its size (it holds gaps)
@@ -171,21 +172,27 @@ def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, r
     """
     areas = regions.select("chrom", "start", "end").distinct()
     fits = F.length(F.get("rows", F.lit(0))["text"]) == F.col("size")
-    met = (meet_areas(blocks, areas, bin_width, spans)
+    bare = blocks.select("chrom", "start", "size", F.transform("rows", lambda r: F.struct(
+        r["species"].alias("species"), r["scaffold"].alias("scaffold"), r["start"].alias("start"), r["text"].alias("text"))).alias("rows"))
+    met = (meet_areas(bare, areas, bin_width, spans)
            .select("chrom", F.col("start").alias("b_start"), (F.col("start") + F.col("size")).alias("b_end"), fits.alias("fits"), "rows",
                    F.explode("areas").alias("area"))
-           .select("chrom", "area.*", "b_start", "b_end", "fits", "rows"))
-    pieces = met.select("chrom", "start", "end", "b_start", F.greatest("start", "b_start").alias("at"), F.least("end", "b_end").alias("to"),
-                        "fits", F.posexplode("rows").alias("row_no", "r"))
+           .select("chrom", "area.*", "b_start", "fits", "rows", F.greatest("start", "b_start").alias("at"),
+                   F.least("end", "b_end").alias("to")))
     offset = F.col("at") - F.col("b_start")
     # positions are columns only where the reference row has no gap; asked behind the join, where only met blocks are left
     gapped = F.raise_error(F.concat(F.lit("reference gaps in the block at "), "chrom", F.lit(":"), F.col("b_start").cast("string")))
-    seq = F.when(F.col("fits"), slice_seq("r.text", offset, F.col("to") - F.col("b_start"))).otherwise(gapped.cast("string"))
-    piece = F.struct(
-        F.col("at"), F.col("row_no"), F.col("r.start").alias("src"), offset.alias("offset"),
-        (F.col("r.start") + ungapped_length("r.text")).alias("src_last"), seq.alias("seq"))
-    groups = (pieces.groupBy("chrom", "start", "end", F.col("r.species").alias("species"),
-                             F.col("r.scaffold").alias("scaffold"))
+    inside = F.transform("rows", lambda r: F.struct(
+        r["species"].alias("species"), r["scaffold"].alias("scaffold"), r["start"].alias("src"),
+        (r["start"] + ungapped_length(r["text"])).alias("src_last"),
+        F.when(F.col("fits"), slice_seq(r["text"], offset, F.col("to") - F.col("b_start"))).otherwise(gapped.cast("string")).alias("seq")))
+    region = ["region_id", "chrom", "start", "end"]
+    cuts = met.select(region_name(ref, "chrom", "start", "end").alias("region_id"), "chrom", "start", "end", "at", offset.alias("offset"), inside.alias("rows"))
+    dealt = cuts.repartitionByRange("region_id") if ordered else cuts.repartition(*region)
+    pieces = dealt.select(*region, "at", "offset", F.posexplode("rows").alias("row_no", "r"))
+    piece = F.struct(F.col("at"), F.col("row_no"), F.col("r.src").alias("src"), F.col("offset"), F.col("r.src_last").alias("src_last"),
+                     F.col("r.seq").alias("seq"))
+    groups = (pieces.groupBy(*region, F.col("r.species").alias("species"), F.col("r.scaffold").alias("scaffold"))
               .agg(F.sort_array(F.collect_list(piece)).alias("pieces")))
 
     def opened(p: Column) -> Column:
@@ -219,12 +226,11 @@ def fetch_regions(blocks: DataFrame, regions: DataFrame, join_dist: int = 100, r
 
     empty = F.expr("cast(array() as array<struct<last: bigint, at: bigint, first_block: bigint, first_row: int, "
                    "src_start: bigint, seq: string>>)")
-    folded = groups.select("chrom", "start", "end", "species", "scaffold",
+    folded = groups.select(*region, "species", "scaffold",
                            F.posexplode(F.when(in_line, single).otherwise(F.aggregate("pieces", empty, step))).alias("copy", "c"))
     tail = F.col("end") - F.col("start") - F.length("c.seq")
     out = folded.withColumn("seq", F.concat("c.seq", pad_gaps(tail)))
-    return out.select(region_name(ref, "chrom", "start", "end").alias("region_id"), "chrom", "start", "end", "species",
-                      "scaffold", "copy", "c.first_block", "c.first_row", "c.src_start",
+    return out.select(*region, "species", "scaffold", "copy", "c.first_block", "c.first_row", "c.src_start",
                       (F.col("c.src_start") + ungapped_length("seq")).alias("src_end"), "seq")
 
 

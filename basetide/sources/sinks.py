@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basetide.operators.alignment import RECORD_ORDER, meet_areas
+from basetide.plans.lineage import shuffles_dropped
 
 
 def write_bed(df: DataFrame, path: str, columns: Sequence[str] = (), partitions: int | None = None) -> None:
@@ -40,13 +41,17 @@ def write_fasta(aln: DataFrame, path: str, only_species: bool = False) -> None:
      .write.mode("overwrite").partitionBy("region").text(path))
 
 
-def write_fasta_batches(aln: DataFrame, path: str, only_species: bool = False, partitions: int | None = None) -> None:
+def write_fasta_batches(aln: DataFrame, path: str, only_species: bool = False, partitions: int | None = None, placed: bool = False,
+                        compression: str = "none") -> None:
     """FASTA files of many regions each, for more regions than a store likes folders. The title ends with
-    the region's name; regions and their records keep their order. No region is gathered in one row."""
+    the region's name; regions and their records keep their order. No region is gathered in one row. With ``placed`` the
+    regions lie in their order already (``fetch_regions`` with ``ordered``), and texts are not moved once more."""
     order = ("region_id", *RECORD_ORDER)
-    ranged = aln.repartitionByRange(partitions, *order) if partitions else aln.repartitionByRange(*order)
+    ranged = aln if placed else aln.repartitionByRange(partitions, *order) if partitions else aln.repartitionByRange(*order)
     text = F.concat(F.lit(">"), _title(only_species), F.lit(" "), "region_id", F.lit("\n"), "seq")
-    ranged.sortWithinPartitions(*order).select(text.alias("value")).write.mode("overwrite").text(path)
+    with shuffles_dropped(aln.sparkSession):
+        (ranged.sortWithinPartitions(*order).select(text.alias("value")).write.mode("overwrite").option("compression", compression)
+         .text(path))
 
 
 def ss_lines(header: DataFrame, patterns: DataFrame) -> DataFrame:
