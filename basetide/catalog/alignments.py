@@ -174,7 +174,7 @@ fragment("v_third", """
 @query("fourfold_columns", f"""
   SELECT t.chrom, t.pos, {ACGT_SQL.format("c.pattern")} AS pattern FROM v_third t JOIN v_cols c ON t.g = c.g AND t.pos = c.pos""")
 def fourfold_columns(spark, d):
-    return patterns.fourfold_columns(A.blocks(spark, d, acgt=True), _features(spark, d), A.SPECIES)
+    return patterns.fourfold_columns(A.blocks(spark, d, acgt=True), _features(spark, d), A.SPECIES, A.block_spans(spark, d, acgt=True))
 
 
 @query("feature_subset", """

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from basetide.functions.sequences import count_char
 from basetide.operators.alignment import char_matrix, meet_areas
-from basetide.plans.lineage import cut
+from basetide.operators.intervals import merge_intervals
+from basetide.plans.lineage import cut, written
 from basetide.plans.ordered import TILE_WIDTH, Scan, ordered_scan, position_tile
 
 MISSING = "*"
@@ -203,10 +204,20 @@ def codon_positions(gff: DataFrame) -> DataFrame:
             .select("chrom", F.when(F.col("ahead"), "+").otherwise("-").alias("strand"), "b1", "b2", "b3"))
 
 
+_BASES = "ACGT"
+#: By code point: the number of a base, 4 for all others.
+_NUMBER = np.array([_BASES.find(chr(c).upper()) % 5 for c in range(128)])
+_OPPOSITE = np.array([_BASES.find(COMPLEMENT[b]) for b in _BASES] + [4])
+_FREE = np.array([[f"{a}{b}" in FOURFOLD_PREFIXES for b in f"{_BASES}-"] for a in f"{_BASES}-"])
+#: Phases that are no phase: a codon of given places, a stretch where blocks overlap each other.
+_PLACES, _SHARED = -1, -2
+
+
 def _codons_touched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The codons that have a base in a block, with what the block knows of them: the letters of the first two bases and the
-    column of the third. The first text of a block is the reference; a feature with phase -1 is one codon of given places."""
-    names = ["ahead", "b1", "b2", "b3", "x0", "x1", "pattern"]
+    """The codons that have a base in a block. What is whole inside a block that shares no base with another one is decided here
+    (``hit``, only with the place of the third base and its column). Of all others a row tells what the block knows of them: the letters of the
+    first two bases and the column of the third. The first text of a block is the reference."""
+    names = ["hit", "ahead", "b1", "b2", "b3", "x0", "x1", "pattern"]
     for pdf in batches:
         chroms, sizes, out = [], [], []
         for chrom, start, size, texts, s, e, ahead, ph, b1, b2, b3 in pdf.itertuples(index=False, name=None):
@@ -214,10 +225,14 @@ def _codons_touched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at = np.arange(size) if cells.shape[1] == size else np.flatnonzero(cells[0] != ord("-"))
             if len(at) != size:
                 raise ValueError(f"the reference row does not match the size of the block at {chrom}:{start}")
-            letters = cells[0, at].view("<U1").astype(object)
-            columns = np.ascontiguousarray(cells[1:, at].T).view(f"<U{len(cells) - 1}").ravel().astype(object)
+            ref = cells[0, at]
+            number = np.where(ref < 128, _NUMBER[np.minimum(ref, 127)], 4)
+            columns = np.ascontiguousarray(cells[1:, at].T).view(f"<U{len(cells) - 1}").ravel()
+            alone = not (ph == _SHARED).any()
             for i in range(len(s)):
-                if ph[i] < 0:
+                if ph[i] == _SHARED:
+                    continue
+                if ph[i] == _PLACES:
                     codon = [np.array([b[i]]) for b in (b1, b2, b3)]
                 else:
                     lo, hi = max(s[i], start), min(e[i], start + size) - 1
@@ -225,49 +240,68 @@ def _codons_touched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     k = np.arange(max((near - ph[i]) // 3, 0), min((far - ph[i]) // 3, (e[i] - s[i] - ph[i]) // 3 - 1) + 1)
                     first = s[i] + ph[i] + 3 * k if ahead[i] else e[i] - 1 - ph[i] - 3 * k
                     codon = [first, first + 1, first + 2] if ahead[i] else [first, first - 1, first - 2]
-                n = len(codon[0])
-                if not n:
-                    continue
-                known = []
-                for pos, values in zip(codon, (letters, letters, columns)):
-                    here = pos - start
-                    inside = (here >= 0) & (here < size)
-                    value = np.full(n, None, object)
-                    value[inside] = values[here[inside]]
-                    known.append(value)
-                chroms.append(chrom)
-                sizes.append(n)
-                out.append([np.full(n, bool(ahead[i])), *codon, *known])
+                here = [pos - start for pos in codon]
+                inside = [(x >= 0) & (x < size) for x in here]
+                whole = inside[0] & inside[1] & inside[2] if alone else np.zeros(len(here[0]), bool)
+                if whole.any():
+                    one, two = (number[x[whole]] for x in here[:2])
+                    free = _FREE[one, two] if ahead[i] else _FREE[_OPPOSITE[one], _OPPOSITE[two]]
+                    n = int(free.sum())
+                    if n:
+                        none = np.zeros(n, np.int64)
+                        chroms.append(chrom)
+                        sizes.append(n)
+                        out.append([np.ones(n, bool), np.ones(n, bool), none, none, codon[2][whole][free], np.full(n, None, object),
+                                    np.full(n, None, object), columns[here[2][whole][free]].astype(object)])
+                rest = ~whole
+                n = int(rest.sum())
+                if n:
+                    known = []
+                    for x, there, values in zip(here, inside, (ref.view("<U1"), ref.view("<U1"), columns)):
+                        value = np.full(n, None, object)
+                        value[there[rest]] = values[x[rest & there]]
+                        known.append(value)
+                    chroms.append(chrom)
+                    sizes.append(n)
+                    out.append([np.zeros(n, bool), np.full(n, bool(ahead[i])), *(c[rest] for c in codon), *known])
         if out:
             cols = [np.concatenate(c) for c in zip(*out)]
             yield pd.DataFrame({"chrom": np.repeat(np.array(chroms, object), sizes), **dict(zip(names, cols))})
 
 
-def fourfold_columns(blocks: DataFrame, gff: DataFrame, species: Sequence[str]) -> DataFrame:
+def fourfold_columns(blocks: DataFrame, gff: DataFrame, species: Sequence[str], spans: DataFrame | None = None) -> DataFrame:
     """Alignment columns at the third position of codons whose first two reference bases leave the
     third one free: (chrom, pos, pattern). The three bases may lie in different blocks and features; a codon
     with a base that no block covers is left out.
 
-    Blocks meet features by coordinates (``meet_areas``) and tell what they know of each codon they touch, one row a codon;
-    one aggregate puts codons together that lie on several blocks. No row of a single base is made or joined. Only codons
-    that are split over features are laid out in front of the join."""
+    Blocks meet features by coordinates (``meet_areas``). A codon inside a block that overlaps no other one is decided in its task, and
+    goes on only where it counts; of the others, at the borders of blocks, each block tells what it knows, one row a codon. No row of a
+    single base is made or joined. Rows move once, to the place of the third base. Only codons that are split over features are laid
+    out in front of the join. ``spans`` (chrom, start, size) has a row for every block, where an index knows them."""
     kinds = {"start": "long", "end": "long", "ahead": "boolean", "ph": "int", "b1": "long", "b2": "long", "b3": "long"}
     placed = _placed_features(gff)
     none = F.lit(-1).cast("long")
+    blocks = blocks.where(F.size("rows") > 0)
+    spans = written((blocks if spans is None else spans).select("chrom", "start", "size"), "block-spans")
+    shared = (merge_intervals(spans.where("size > 0").select("chrom", "start", (F.col("start") + F.col("size")).alias("end")), gap=-1, count=True)
+              .where("n_merged > 1"))
     features = placed.where(_whole_codons() > 0).select(
         "chrom", F.col("s").alias("start"), F.col("e").alias("end"), "ahead", "ph", none.alias("b1"), none.alias("b2"), none.alias("b3"))
     split = _split_codons(placed).withColumn("start", F.explode(F.array("b1", "b2", "b3"))).withColumn("end", F.col("start") + 1)
-    areas = features.unionByName(split.withColumn("ph", F.lit(-1))).select("chrom", *[F.col(c).cast(t) for c, t in kinds.items()]).distinct()
-    met = meet_areas(blocks.where(F.size("rows") > 0), areas)
+    marks = shared.select("chrom", "start", "end", F.lit(True).alias("ahead"), F.lit(_SHARED).alias("ph"), none.alias("b1"), none.alias("b2"), none.alias("b3"))
+    areas = features.unionByName(split.withColumn("ph", F.lit(_PLACES))).unionByName(marks)
+    areas = areas.select("chrom", *[F.col(c).cast(t) for c, t in kinds.items()]).distinct()
     ref = F.get("rows", F.lit(0))["text"]
-    told = met.select("chrom", "start", "size", F.concat(F.array(ref), species_texts(species)).alias("texts"),
-                      *[F.col("areas")[c].alias(f"a_{c}") for c in kinds]).mapInPandas(
-        _codons_touched, "chrom string, ahead boolean, b1 long, b2 long, b3 long, x0 string, x1 string, pattern string")
+    bare = blocks.select("chrom", "start", "size", F.concat(F.array(ref), species_texts(species)).alias("texts"))
+    told = meet_areas(bare, areas, spans=spans).select("chrom", "start", "size", "texts", *[F.col("areas")[c].alias(f"a_{c}") for c in kinds]).mapInPandas(
+        _codons_touched, "chrom string, hit boolean, ahead boolean, b1 long, b2 long, b3 long, x0 string, x1 string, pattern string")
+
+    codon = Window.partitionBy("chrom", "b3", "hit", "ahead", "b1", "b2")
 
     def read(letter: str) -> Column:
         base = F.upper(letter)
-        return F.max(F.when(F.col("ahead"), base).otherwise(F.translate(base, "".join(COMPLEMENT), "".join(COMPLEMENT.values())))).alias(letter)
+        return F.max(F.when(F.col("ahead"), base).otherwise(F.translate(base, "".join(COMPLEMENT), "".join(COMPLEMENT.values())))).over(codon)
 
-    codons = told.groupBy("chrom", "ahead", "b1", "b2", "b3").agg(read("x0"), read("x1"), F.collect_set("pattern").alias("patterns"))
-    hits = codons.where(F.concat("x0", "x1").isin(*FOURFOLD_PREFIXES))
-    return hits.select("chrom", F.col("b3").alias("pos"), F.explode("patterns").alias("pattern")).distinct()
+    met = told.repartition("chrom", "b3").withColumn("first", read("x0")).withColumn("second", read("x1"))
+    hits = met.where(F.col("pattern").isNotNull() & (F.col("hit") | F.concat("first", "second").isin(*FOURFOLD_PREFIXES)))
+    return hits.select("chrom", F.col("b3").alias("pos"), "pattern").distinct()
